@@ -45,3 +45,56 @@ def q_tokens(spark, sf):
 @query
 def q_word_count(spark, sf):
     return T.word_count(B.doc_lines(spark, sf))
+
+
+# --- logs -----------------------------------------------------------------
+
+from tessera.operators import logs as L  # noqa: E402
+
+_LOG_COLS = ("event_id", "ts", "level", "app", "message")
+
+
+def _tab_logs(spark, sf):
+    logs, _ = L.parse_tab_logs(B.log_lines_tab(spark, sf))
+    return logs
+
+
+@query
+def q_parse_tab_logs(spark, sf):
+    return _tab_logs(spark, sf).select(*_LOG_COLS)
+
+
+@query
+def q_log_errors(spark, sf):
+    return L.errors(_tab_logs(spark, sf)).select(*_LOG_COLS)
+
+
+@query
+def q_log_error_count(spark, sf):
+    return L.error_count(_tab_logs(spark, sf))
+
+
+@query
+def q_log_app_errors(spark, sf):
+    return L.errors_of(_tab_logs(spark, sf), "MySQL", 10, order_by=("ts", "event_id")).select(*_LOG_COLS)
+
+
+@query
+def q_log_errors_by_app(spark, sf):
+    return L.errors_by_app(_tab_logs(spark, sf))
+
+
+def _fmt_time(c):
+    return F.date_format(c, "yyyy-MM-dd HH:mm:ss")
+
+
+@query
+def q_parse_log_lines(spark, sf):
+    return L.parse_log_lines(B.log_lines_space(spark, sf)).select(
+        "event_id", _fmt_time(F.col("time")).alias("time"), "level")
+
+
+@query
+def q_errors_per_minute(spark, sf):
+    epm = L.errors_per_minute(L.parse_log_lines(B.log_lines_space(spark, sf)))
+    return epm.select(_fmt_time(F.col("log_time")).alias("log_time"), "log_count")

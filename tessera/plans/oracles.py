@@ -38,3 +38,62 @@ oracle("read_lines", f"WITH {DOC_LINES} SELECT doc_id, line_no, value FROM doc_l
 oracle("tokens", f"WITH {DOC_LINES}, {TOKENS} SELECT doc_id, line_no, pos, word FROM doc_tokens")
 oracle("word_count", f"WITH {DOC_LINES}, {TOKENS} "
        "SELECT word, CAST(count(*) AS BIGINT) AS n FROM doc_tokens GROUP BY word")
+
+
+# --- logs -----------------------------------------------------------------
+
+TAB_LOGS = r"""
+tab_lines AS (
+  SELECT event_id,
+         strftime(ts, '%Y-%m-%d %H:%M:%S') || chr(9) || upper(event_type) || chr(9) ||
+         (['Java', 'MySQL', 'Nginx'])[CAST(user_id % 3 AS INTEGER) + 1] || chr(9) || props AS value
+  FROM events),
+tab_f AS (
+  SELECT event_id, string_split(regexp_replace(value, '\t+$', ''), chr(9)) AS f FROM tab_lines),
+tab_logs AS (
+  SELECT event_id, f[1] AS ts, f[2] AS level, f[3] AS app,
+         CASE WHEN len(f) > 3 THEN array_to_string(f[4:], chr(9)) END AS message
+  FROM tab_f
+  WHERE NOT (len(f) < 2 OR (f[2] = 'ERROR' AND len(f) < 3)))"""
+
+SPACE_LOGS = r"""
+space_lines AS (
+  SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || upper(event_type) || ' ' || props AS value
+  FROM events),
+space_m AS (
+  SELECT event_id,
+         regexp_extract(value, '^(.{19}) ([A-Z]+).*$', 1) AS t,
+         regexp_extract(value, '^(.{19}) ([A-Z]+).*$', 2) AS level
+  FROM space_lines WHERE regexp_matches(value, '^(.{19}) ([A-Z]+).*$')),
+space_p AS (
+  SELECT event_id, level,
+         CAST(regexp_extract(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$', 1) AS INTEGER) AS y,
+         CAST(regexp_extract(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$', 2) AS INTEGER) AS mo,
+         CAST(regexp_extract(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$', 3) AS INTEGER) AS d,
+         CAST(regexp_extract(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$', 4) AS INTEGER) AS h,
+         CAST(regexp_extract(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$', 5) AS INTEGER) AS mi,
+         CAST(regexp_extract(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$', 6) AS INTEGER) AS s
+  FROM space_m WHERE regexp_matches(t, '^(\d{4})-(\d{2})-(\d{2}) (\d{2}):(\d{2}):(\d{2})$')),
+space_logs AS (
+  SELECT event_id, level,
+         make_timestamp(y, mo, least(d, day(last_day(make_date(y, mo, 1)))),
+                        CASE WHEN h = 24 THEN 0 ELSE h END, mi, s)
+           + CASE WHEN h = 24 THEN INTERVAL 1 DAY ELSE INTERVAL 0 DAY END AS time
+  FROM space_p
+  WHERE y >= 1 AND mo BETWEEN 1 AND 12 AND d BETWEEN 1 AND 31 AND mi BETWEEN 0 AND 59
+    AND s BETWEEN 0 AND 59 AND (h BETWEEN 0 AND 23 OR (h = 24 AND mi = 0 AND s = 0)))"""
+
+_LOGC = "event_id, ts, level, app, message"
+oracle("parse_tab_logs", f"WITH {TAB_LOGS} SELECT {_LOGC} FROM tab_logs")
+oracle("log_errors", f"WITH {TAB_LOGS} SELECT {_LOGC} FROM tab_logs WHERE level = 'ERROR'")
+oracle("log_error_count", f"WITH {TAB_LOGS} SELECT CAST(count(*) AS BIGINT) AS n_errors "
+       "FROM tab_logs WHERE level = 'ERROR'")
+oracle("log_app_errors", f"WITH {TAB_LOGS} SELECT {_LOGC} FROM tab_logs "
+       "WHERE level = 'ERROR' AND app = 'MySQL' ORDER BY ts, event_id LIMIT 10")
+oracle("log_errors_by_app", f"WITH {TAB_LOGS} SELECT app, CAST(count(*) AS BIGINT) AS n "
+       "FROM tab_logs WHERE level = 'ERROR' GROUP BY app")
+oracle("parse_log_lines", f"WITH {SPACE_LOGS} SELECT event_id, "
+       "strftime(time, '%Y-%m-%d %H:%M:%S') AS time, level FROM space_logs")
+oracle("errors_per_minute", f"WITH {SPACE_LOGS} SELECT "
+       "strftime(date_trunc('minute', time), '%Y-%m-%d %H:%M:%S') AS log_time, "
+       "CAST(count(*) AS BIGINT) AS log_count FROM space_logs WHERE level = 'ERROR' GROUP BY 1")
