@@ -98,3 +98,186 @@ def q_parse_log_lines(spark, sf):
 def q_errors_per_minute(spark, sf):
     epm = L.errors_per_minute(L.parse_log_lines(B.log_lines_space(spark, sf)))
     return epm.select(_fmt_time(F.col("log_time")).alias("log_time"), "log_count")
+
+
+# --- ratings, similarity, recommendation, evaluation ------------------------
+
+from tessera.operators import common as C  # noqa: E402
+from tessera.operators import evaluate as EV  # noqa: E402
+from tessera.operators import ratings as RT  # noqa: E402
+from tessera.operators import recommend as RC  # noqa: E402
+from tessera.operators import similarity as S  # noqa: E402
+
+SPLIT_SEED = 913
+NUM_NEIGHBOURS = 50
+NUM_RECS = 30
+
+
+def _rated(spark, sf):
+    return RT.with_user_id(B.event_ratings(spark, sf))
+
+
+def _split(spark, sf):
+    return RT.train_test_split(_rated(spark, sf), SPLIT_SEED)
+
+
+def _train(spark, sf):
+    return _split(spark, sf)[0]
+
+
+def _sim(spark, sf, method):
+    return S.similarity(_train(spark, sf), method).select(
+        F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), r6("sim").alias("sim"))
+
+
+def _nb(spark, sf, method="cosine"):
+    return S.top_neighbours(S.similarity(_train(spark, sf), method), NUM_NEIGHBOURS)
+
+
+def _recs(spark, sf, how):
+    train = _train(spark, sf)
+    nb = _nb(spark, sf)
+    if how == "score":
+        return RC.recommend_score(nb, train, NUM_RECS)
+    return RC.recommend_weighted_sum(nb, train, NUM_RECS)
+
+
+def _rec_out(recs):
+    return recs.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("rank").cast("bigint").alias("rank"),
+                       F.col("item").cast("bigint").alias("item"), r6("score").alias("score"))
+
+
+@query
+def q_parse_ratings(spark, sf):
+    return RT.parse_ratings(B.rating_lines(spark, sf)).select(
+        "user", F.col("item").cast("bigint").alias("item"), F.col("clicks").cast("bigint").alias("clicks"))
+
+
+@query
+def q_rating_stats(spark, sf):
+    return RT.rating_stats(B.event_ratings(spark, sf))
+
+
+@query
+def q_user_ids(spark, sf):
+    return RT.user_ids(B.event_ratings(spark, sf)).select("user", F.col("user_id").cast("bigint").alias("user_id"))
+
+
+@query
+def q_user_id_join(spark, sf):
+    return _rated(spark, sf).select("user", F.col("user_id").cast("bigint").alias("user_id"),
+                                    F.col("item").cast("bigint").alias("item"), r6("rating").alias("rating"))
+
+
+@query
+def q_train_test_split(spark, sf):
+    train, test = _split(spark, sf)
+    cols = ["user", F.col("item").cast("bigint").alias("item"), r6("rating").alias("rating")]
+    return (train.select(*cols, F.lit("train").alias("part"))
+            .unionByName(test.select(*cols, F.lit("test").alias("part"))))
+
+
+@query
+def q_zscore_by_user(spark, sf):
+    z = C.zscore(B.event_ratings(spark, sf), "user", "rating", "z")
+    return z.select("user", F.col("item").cast("bigint").alias("item"), r6("z").alias("z"))
+
+
+@query
+def q_minmax_by_user(spark, sf):
+    m = C.minmax(B.event_ratings(spark, sf), "user", "rating", "scaled")
+    return m.select("user", F.col("item").cast("bigint").alias("item"), r6("scaled").alias("scaled"))
+
+
+@query
+def q_lp_scale_by_user(spark, sf):
+    m = C.lp_scale(B.event_ratings(spark, sf), "user", "rating", 2.0, "scaled")
+    return m.select("user", F.col("item").cast("bigint").alias("item"), r6("scaled").alias("scaled"))
+
+
+@query
+def q_item_stats(spark, sf):
+    s = S.item_stats(_train(spark, sf))
+    return s.select(F.col("item").cast("bigint").alias("item"), r6("ss").alias("ss"), "cnt")
+
+
+@query
+def q_item_pairs(spark, sf):
+    p = S.pair_stats(_train(spark, sf))
+    return p.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"),
+                    r6("dot").alias("dot"), "co")
+
+
+for _m in S.METHODS:
+    def _mk(m):
+        def fn(spark, sf):
+            return _sim(spark, sf, m)
+        fn.__name__ = "q_sim_" + m.replace("-", "_")
+        return fn
+    query(_mk(_m))
+
+
+@query
+def q_top_neighbours(spark, sf):
+    nb = _nb(spark, sf)
+    return nb.select(F.col("item").cast("bigint").alias("item"), F.col("neighbour").cast("bigint").alias("neighbour"),
+                     r6("weight").alias("weight"), F.col("rank").cast("bigint").alias("rank"))
+
+
+@query
+def q_rec_candidates(spark, sf):
+    c = RC.candidates(_nb(spark, sf), _train(spark, sf))
+    return c.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("item").cast("bigint").alias("item"),
+                    F.col("neighbour").cast("bigint").alias("neighbour"), r6("weight").alias("weight"))
+
+
+@query
+def q_candidates_unseen(spark, sf):
+    train, nb = _train(spark, sf), _nb(spark, sf)
+    c = RC.drop_seen(RC.candidates(nb, train), RC.owned(nb, train))
+    return c.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("item").cast("bigint").alias("item"),
+                    F.col("neighbour").cast("bigint").alias("neighbour"), r6("weight").alias("weight"))
+
+
+@query
+def q_rec_users(spark, sf):
+    return RC.rec_users(_nb(spark, sf), _train(spark, sf)).select(F.col("user_id").cast("bigint").alias("user_id"))
+
+
+@query
+def q_rec_score(spark, sf):
+    return _rec_out(_recs(spark, sf, "score")[1])
+
+
+@query
+def q_rec_weighted_sum(spark, sf):
+    return _rec_out(_recs(spark, sf, "weighted-sum")[1])
+
+
+def _metric_cols(df):
+    return df.select(*[r6(c).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+
+
+@query
+def q_eval_precision(spark, sf):
+    train, test = _split(spark, sf)
+    users, recs = _recs(spark, sf, "weighted-sum")
+    return _metric_cols(EV.precision_recall(test, users, recs))
+
+
+@query
+def q_eval_coverage(spark, sf):
+    users, recs = _recs(spark, sf, "weighted-sum")
+    return _metric_cols(EV.coverage(_train(spark, sf), recs))
+
+
+@query
+def q_eval_popularity(spark, sf):
+    users, recs = _recs(spark, sf, "weighted-sum")
+    return _metric_cols(EV.popularity(_train(spark, sf), recs))
+
+
+@query
+def q_matrix_mae(spark, sf):
+    train = _train(spark, sf)
+    return _metric_cols(EV.matrix_mae(S.similarity(train, "cosine"), S.similarity(train, "cosine-mod")))

@@ -97,3 +97,173 @@ oracle("parse_log_lines", f"WITH {SPACE_LOGS} SELECT event_id, "
 oracle("errors_per_minute", f"WITH {SPACE_LOGS} SELECT "
        "strftime(date_trunc('minute', time), '%Y-%m-%d %H:%M:%S') AS log_time, "
        "CAST(count(*) AS BIGINT) AS log_count FROM space_logs WHERE level = 'ERROR' GROUP BY 1")
+
+
+# --- ratings, similarity, recommendation, evaluation ------------------------
+
+def xlogx(x: str) -> str:
+    return f"(CASE WHEN ({x}) = 0 THEN 0.0 ELSE CAST({x} AS DOUBLE) * ln(CAST({x} AS DOUBLE)) END)"
+
+
+def entropy(*xs: str) -> str:
+    total = " + ".join(f"({x})" for x in xs)
+    return f"({xlogx(total)} - ({' + '.join(xlogx(x) for x in xs)}))"
+
+
+def r6(x: str) -> str:
+    return f"round(CAST({x} AS DOUBLE), 6)"
+
+
+RATINGS = r"""
+ratings AS (
+  SELECT 'u' || CAST(user_id AS VARCHAR) AS "user", CAST(json_extract_string(props, '$.k') AS INTEGER) AS item,
+         CAST(count(*) AS DOUBLE) AS rating
+  FROM events GROUP BY 1, 2),
+uids AS (
+  SELECT "user", CAST(row_number() OVER (ORDER BY "user") - 1 AS BIGINT) AS user_id
+  FROM (SELECT DISTINCT "user" FROM ratings)),
+rated AS (SELECT r."user", r.item, r.rating, u.user_id FROM ratings r JOIN uids u USING ("user")),
+bucketed AS (
+  SELECT *, CAST('0x' || substr(md5('913:' || "user" || ':' || CAST(item AS VARCHAR)), 1, 8) AS BIGINT) % 10 AS bucket
+  FROM rated),
+train AS (SELECT "user", item, rating, user_id FROM bucketed WHERE bucket < 9),
+test AS (SELECT "user", item, rating, user_id FROM bucketed WHERE bucket = 9),
+entries AS (SELECT user_id AS u, CAST(item AS BIGINT) AS i, rating AS v FROM train WHERE rating <> 0),
+istats AS (SELECT i AS item, sum(v * v) AS ss, count(*) AS cnt FROM entries GROUP BY i),
+pairs AS (
+  SELECT a.i, b.i AS j, sum(a.v * b.v) AS dot, count(*) AS co
+  FROM entries a JOIN entries b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2),
+ps AS (
+  SELECT p.*, si.ss AS ss_i, si.cnt AS n_i, sj.ss AS ss_j, sj.cnt AS n_j
+  FROM pairs p JOIN istats si ON p.i = si.item JOIN istats sj ON p.j = sj.item),
+zst AS (SELECT u, avg(v) AS mean, stddev_pop(v) AS sd FROM entries GROUP BY u),
+zs AS (
+  SELECT e.u, e.i, CASE WHEN z.sd <> 0 THEN (e.v - z.mean) / z.sd ELSE 'NaN'::DOUBLE END AS z
+  FROM entries e JOIN zst z USING (u)),
+zf AS (SELECT u, i, z FROM zs WHERE NOT isnan(z) AND z <> 0)"""
+
+_N_USERS = "(SELECT count(DISTINCT user_id) FROM train)"
+_LLR_ROW = entropy("co + (n_j - co)", f"(n_i - co) + ({_N_USERS} - n_i - n_j + co)")
+_LLR_COL = entropy("co + (n_i - co)", f"(n_j - co) + ({_N_USERS} - n_i - n_j + co)")
+_LLR_MAT = entropy("co", "n_j - co", "n_i - co", f"{_N_USERS} - n_i - n_j + co")
+
+SIMS = {
+    "cosine": "SELECT i, j, dot / sqrt(ss_i) / sqrt(ss_j) AS sim FROM ps",
+    "cosine_mod": "SELECT i, j, dot / pow(ss_i, 0.6) / pow(ss_j, 0.4) AS sim FROM ps",
+    "llr": f"SELECT i, j, CASE WHEN {_LLR_ROW} + {_LLR_COL} < {_LLR_MAT} THEN 0.0 "
+           f"ELSE 2.0 * ({_LLR_ROW} + {_LLR_COL} - {_LLR_MAT}) END AS sim FROM ps",
+    "jaccard": "SELECT i, j, CAST(co AS DOUBLE) / (n_i + n_j - co) AS sim FROM ps",
+    "euclidean": "SELECT a.i, b.i AS j, sqrt(sum(pow(a.z - b.z, 2))) AS sim "
+                 "FROM zf a JOIN zf b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2",
+}
+
+
+def sim_cte(name: str, measure: str) -> str:
+    """Symmetric measure as a CTE named ``name`` (both directions)."""
+    return (f"{name}_h AS ({SIMS[measure]}),\n"
+            f"{name} AS (SELECT i, j, sim FROM {name}_h UNION ALL SELECT j AS i, i AS j, sim FROM {name}_h)")
+
+
+_UPPER_COS = "SELECT i, j, dot / (sqrt(ss_i) * sqrt(ss_j)) AS sim FROM ps"
+for _m in ("cosine", "cosine_mod", "llr", "jaccard", "euclidean"):
+    oracle(f"sim_{_m}", f"WITH {RATINGS}, {sim_cte('s', _m)} "
+           f"SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, {r6('sim')} AS sim FROM s")
+# Exact cosine on the upper triangle; at this scale no column norm reaches the
+# DIMSUM sampling bound, so the sampled variant is exact too.
+oracle("sim_spark", f"WITH {RATINGS}, s AS ({_UPPER_COS}) SELECT i, j, {r6('sim')} AS sim FROM s")
+oracle("sim_spark_appr", f"WITH {RATINGS}, s AS ({_UPPER_COS}) SELECT i, j, {r6('sim')} AS sim FROM s")
+
+NEIGHBOURS = sim_cte("cos", "cosine") + r""",
+nbr AS (SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY round(sim, 9) DESC, j) AS rank FROM cos),
+nb AS (
+  SELECT i AS item, j AS neighbour,
+         CASE WHEN max(sim) OVER w = min(sim) OVER w THEN 0.5
+              ELSE (sim - min(sim) OVER w) / (max(sim) OVER w - min(sim) OVER w) END AS weight,
+         rank
+  FROM nbr WHERE rank <= 50 WINDOW w AS (PARTITION BY i)),
+owned AS (SELECT user_id, item FROM train WHERE item IN (SELECT item FROM nb)),
+rusers AS (SELECT DISTINCT user_id FROM owned),
+cands AS (SELECT t.user_id, t.item, n.neighbour, n.weight FROM train t JOIN nb n ON t.item = n.item),
+unseen AS (
+  SELECT * FROM cands c
+  WHERE NOT EXISTS (SELECT 1 FROM owned o WHERE o.user_id = c.user_id AND o.item = c.neighbour)),
+rs AS (
+  SELECT user_id, neighbour AS item, weight AS score,
+         row_number() OVER (PARTITION BY user_id ORDER BY round(weight, 9) DESC, neighbour, item) AS rank
+  FROM unseen),
+sc AS (
+  SELECT t.user_id, t.item,
+         CASE WHEN m.hi = m.lo THEN 0.5 ELSE (t.rating - m.lo) / (m.hi - m.lo) END AS r
+  FROM train t JOIN (SELECT user_id, min(rating) AS lo, max(rating) AS hi FROM train GROUP BY 1) m USING (user_id)),
+ws_c AS (
+  SELECT s.user_id, s.item, s.r, n.neighbour, n.weight FROM sc s JOIN nb n ON s.item = n.item
+  WHERE NOT EXISTS (SELECT 1 FROM owned o WHERE o.user_id = s.user_id AND o.item = n.neighbour)),
+ws_a AS (
+  SELECT user_id, neighbour AS item,
+         CASE WHEN sum(weight) <> 0 THEN sum(weight * r) / sum(weight) ELSE 0.0 END AS score
+  FROM ws_c GROUP BY 1, 2),
+ws AS (
+  SELECT user_id, item, score,
+         row_number() OVER (PARTITION BY user_id ORDER BY round(score, 9) DESC, item) AS rank
+  FROM ws_a)"""
+
+_REC_COLS = f"CAST(user_id AS BIGINT) AS user_id, CAST(rank AS BIGINT) AS rank, CAST(item AS BIGINT) AS item, {r6('score')} AS score"
+
+oracle("parse_ratings", f"WITH {RATINGS} SELECT \"user\", CAST(item AS BIGINT) AS item, "
+       "CAST(rating AS BIGINT) AS clicks FROM ratings")
+oracle("rating_stats", f"WITH {RATINGS} SELECT CAST(count(*) AS BIGINT) AS n_ratings, "
+       "CAST(count(DISTINCT \"user\") AS BIGINT) AS n_users, CAST(count(DISTINCT item) AS BIGINT) AS n_items FROM ratings")
+oracle("user_ids", f"WITH {RATINGS} SELECT \"user\", user_id FROM uids")
+oracle("user_id_join", f"WITH {RATINGS} SELECT \"user\", user_id, CAST(item AS BIGINT) AS item, "
+       f"{r6('rating')} AS rating FROM rated")
+oracle("train_test_split", f"WITH {RATINGS} SELECT \"user\", CAST(item AS BIGINT) AS item, {r6('rating')} AS rating, "
+       "CASE WHEN bucket = 9 THEN 'test' ELSE 'train' END AS part FROM bucketed")
+oracle("zscore_by_user", f"WITH {RATINGS}, st AS (SELECT \"user\", avg(rating) AS m, stddev_pop(rating) AS sd "
+       "FROM ratings GROUP BY 1) SELECT \"user\", CAST(item AS BIGINT) AS item, "
+       f"{r6(chr(39) + 'NaN' + chr(39) + '::DOUBLE')} AS z FROM ratings JOIN st USING (\"user\") WHERE sd = 0 "
+       f"UNION ALL SELECT \"user\", CAST(item AS BIGINT) AS item, {r6('(rating - m) / sd')} AS z "
+       "FROM ratings JOIN st USING (\"user\") WHERE sd <> 0")
+oracle("minmax_by_user", f"WITH {RATINGS}, st AS (SELECT \"user\", min(rating) AS lo, max(rating) AS hi "
+       "FROM ratings GROUP BY 1) SELECT \"user\", CAST(item AS BIGINT) AS item, "
+       f"{r6('CASE WHEN hi = lo THEN 0.5 ELSE (rating - lo) / (hi - lo) END')} AS scaled "
+       "FROM ratings JOIN st USING (\"user\")")
+oracle("lp_scale_by_user", f"WITH {RATINGS}, st AS (SELECT \"user\", pow(sum(pow(rating, 2.0)), 0.5) AS nrm "
+       "FROM ratings GROUP BY 1) SELECT \"user\", CAST(item AS BIGINT) AS item, "
+       f"{r6('rating / nrm')} AS scaled FROM ratings JOIN st USING (\"user\")")
+oracle("item_stats", f"WITH {RATINGS} SELECT item, {r6('ss')} AS ss, CAST(cnt AS BIGINT) AS cnt FROM istats")
+oracle("item_pairs", f"WITH {RATINGS} SELECT i, j, {r6('dot')} AS dot, CAST(co AS BIGINT) AS co FROM pairs")
+oracle("top_neighbours", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS BIGINT) AS item, "
+       f"CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight, CAST(rank AS BIGINT) AS rank FROM nb")
+oracle("rec_candidates", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(user_id AS BIGINT) AS user_id, "
+       f"CAST(item AS BIGINT) AS item, CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight FROM cands")
+oracle("candidates_unseen", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(user_id AS BIGINT) AS user_id, "
+       f"CAST(item AS BIGINT) AS item, CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight FROM unseen")
+oracle("rec_users", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(user_id AS BIGINT) AS user_id FROM rusers")
+oracle("rec_score", f"WITH {RATINGS}, {NEIGHBOURS} SELECT {_REC_COLS} FROM rs WHERE rank <= 30")
+oracle("rec_weighted_sum", f"WITH {RATINGS}, {NEIGHBOURS} SELECT {_REC_COLS} FROM ws WHERE rank <= 30")
+
+EVAL = r"""
+recs AS (SELECT user_id, item FROM ws WHERE rank <= 30),
+common AS (SELECT DISTINCT user_id FROM test WHERE user_id IN (SELECT user_id FROM rusers)),
+tc AS (SELECT DISTINCT user_id, item FROM test WHERE user_id IN (SELECT user_id FROM common)),
+rc AS (SELECT DISTINCT user_id, item FROM recs WHERE user_id IN (SELECT user_id FROM common)),
+tot AS (
+  SELECT CAST((SELECT count(*) FROM tc JOIN rc USING (user_id, item)) AS BIGINT) AS tp,
+         CAST((SELECT count(*) FROM tc) AS BIGINT) AS tp_fn,
+         CAST((SELECT count(*) FROM rc) AS BIGINT) AS tp_fp),
+pr AS (
+  SELECT *, CASE WHEN tp_fp = 0 THEN 'NaN'::DOUBLE ELSE CAST(tp AS DOUBLE) / tp_fp END AS precision,
+         CASE WHEN tp_fn = 0 THEN 'NaN'::DOUBLE ELSE CAST(tp AS DOUBLE) / tp_fn END AS recall FROM tot)"""
+
+oracle("eval_precision", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL} SELECT tp, tp_fn, tp_fp, {r6('precision')} AS precision, "
+       f"{r6('recall')} AS recall, "
+       f"{r6('CASE WHEN precision + recall = 0 THEN ' + chr(39) + 'NaN' + chr(39) + '::DOUBLE ELSE 2.0 * precision * recall / (precision + recall) END')} AS f1 FROM pr")
+oracle("eval_coverage", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL} SELECT "
+       "CAST((SELECT count(DISTINCT item) FROM recs) AS BIGINT) AS n_rec_items, "
+       "CAST((SELECT count(DISTINCT item) FROM train) AS BIGINT) AS n_train_items, "
+       f"{r6('(SELECT count(DISTINCT item) FROM recs) / (SELECT count(DISTINCT item) FROM train)')} AS coverage")
+oracle("eval_popularity", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL}, cnt AS (SELECT item, count(*) AS n FROM train GROUP BY 1) "
+       f"SELECT {r6('avg(ln(1 + n))')} AS popularity, CAST(count(*) AS BIGINT) AS n_rows FROM recs JOIN cnt USING (item)")
+oracle("matrix_mae", f"WITH {RATINGS}, {sim_cte('a', 'cosine')}, {sim_cte('b', 'cosine_mod')} "
+       f"SELECT {r6('avg(abs(a.sim - coalesce(b.sim, 0)))')} AS mae, CAST(count(*) AS BIGINT) AS n_entries "
+       "FROM a LEFT JOIN b ON a.i = b.i AND a.j = b.j")

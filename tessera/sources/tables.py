@@ -127,9 +127,6 @@ def kafka_records(spark: SparkSession, sf_dir: str, partitions: int = 2) -> Data
 
     Partition is ``user_id mod partitions``; offsets are dense per partition in
     event order (what a broker assigns), value is the space-format log line.
-    The dense numbering is a window over the partition column, which has only
-    ``partitions`` values: it is computed as a global row count per partition
-    via a running count, split across tasks by ``event_id`` ranges.
     """
     ev = table(spark, sf_dir, "events").select("event_id", "user_id", "ts", "event_type", "props")
     part = F.pmod(F.col("user_id"), F.lit(partitions)).cast("int")
@@ -142,24 +139,11 @@ def kafka_records(spark: SparkSession, sf_dir: str, partitions: int = 2) -> Data
 def with_dense_offsets(df: DataFrame) -> DataFrame:
     """Dense 0-based ``offset`` per (topic, partition) in ``event_id`` order.
 
-    Done without a per-partition window (one topic partition may hold a third
-    of all rows): rows are range-partitioned by ``event_id``; each Spark
-    partition counts its rows per topic partition, a small prefix sum over
-    those counts gives each Spark partition's starting offset, and a running
-    count inside the Spark partition finishes the numbering.
+    No per-partition window: one topic partition may hold a third of all rows.
+    ``dense_number`` numbers range partitions and stitches them with a small
+    prefix sum instead.
     """
-    spark = df.sparkSession
-    n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    ranged = df.repartitionByRange(n, "event_id").withColumn("_sp", F.spark_partition_id())
-    counts = ranged.groupBy("_sp", "topic", "partition").agg(F.count(F.lit(1)).alias("_c"))
-    from pyspark.sql import Window
-    w = Window.partitionBy("topic", "partition").orderBy("_sp") \
-        .rowsBetween(Window.unboundedPreceding, -1)
-    # counts has (spark partitions x topic partitions) rows: bounded by the plan, not the data.
-    starts = counts.select("_sp", "topic", "partition",
-                           F.coalesce(F.sum("_c").over(w), F.lit(0)).alias("_start"))
-    inner = Window.partitionBy("_sp", "topic", "partition").orderBy("event_id")
-    numbered = ranged.withColumn("_i", F.row_number().over(inner) - 1)
-    return (numbered.join(F.broadcast(starts), ["_sp", "topic", "partition"])
-            .select("topic", "partition", (F.col("_start") + F.col("_i")).cast("bigint").alias("offset"),
-                    "event_id", "key", "value"))
+    from tessera.operators.common import dense_number
+    numbered = dense_number(df, ["event_id"], ["topic", "partition"], "offset")
+    return numbered.select("topic", "partition", F.col("offset").cast("bigint").alias("offset"),
+                           "event_id", "key", "value")
