@@ -281,3 +281,80 @@ def q_eval_popularity(spark, sf):
 def q_matrix_mae(spark, sf):
     train = _train(spark, sf)
     return _metric_cols(EV.matrix_mae(S.similarity(train, "cosine"), S.similarity(train, "cosine-mod")))
+
+
+# --- graph ----------------------------------------------------------------
+
+from tessera.operators import graph as G  # noqa: E402
+from tessera.sources.text import edges_from_lines  # noqa: E402
+
+CONVERGED_TOL = 1e-10
+PPR_ITERATIONS = 20
+
+
+def _bip_edges(spark, sf):
+    return G.bipartite_edges(B.bipartite_relation(spark, sf))
+
+
+def _ppr_source(spark, sf):
+    """The first user's vertex (lowest user id), read from the data."""
+    return -(B.table(spark, sf, "events").agg(F.min("user_id")).first()[0] + 1)
+
+
+def _ranks_out(r):
+    return r.select(F.col("id").cast("bigint").alias("id"), r6("rank").alias("rank"))
+
+
+@query
+def q_bipartite_edges(spark, sf):
+    return _bip_edges(spark, sf)
+
+
+@query
+def q_edge_list(spark, sf):
+    lines = B.order_edges(spark, sf).select(F.concat_ws(" ", "src", "dst").alias("value"))
+    return edges_from_lines(lines)
+
+
+@query
+def q_parse_users(spark, sf):
+    c = B.table(spark, sf, "customer")
+    lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("value"))
+    return G.parse_users(lines)
+
+
+@query
+def q_pagerank(spark, sf):
+    return _ranks_out(G.pagerank(_bip_edges(spark, sf), tol=CONVERGED_TOL))
+
+
+@query
+def q_pagerank_sinks(spark, sf):
+    return _ranks_out(G.pagerank(B.order_edges(spark, sf), tol=CONVERGED_TOL))
+
+
+@query
+def q_pagerank_named(spark, sf):
+    c = B.table(spark, sf, "customer")
+    users = G.parse_users(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value")))
+    ranks = G.pagerank(B.order_edges(spark, sf), tol=CONVERGED_TOL)
+    return users.join(ranks, "id").select("handle", r6("rank").alias("rank"))
+
+
+@query
+def q_ppr_static(spark, sf):
+    return _ranks_out(G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), PPR_ITERATIONS))
+
+
+@query
+def q_ppr_converged(spark, sf):
+    return _ranks_out(G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), tol=CONVERGED_TOL))
+
+
+@query
+def q_ppr_items(spark, sf):
+    ranks = G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), PPR_ITERATIONS)
+    items = ranks.where(F.col("id") >= 0).withColumn("_neg", -F.round("rank", 9))
+    ordered = C.dense_number(items, ["_neg", "id"], (), "pos")
+    return ordered.select(F.col("id").cast("bigint").alias("id"), r6("rank").alias("rank"),
+                          (F.col("pos") + 1).cast("bigint").alias("pos"))

@@ -267,3 +267,60 @@ oracle("eval_popularity", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL}, cnt AS (SELECT
 oracle("matrix_mae", f"WITH {RATINGS}, {sim_cte('a', 'cosine')}, {sim_cte('b', 'cosine_mod')} "
        f"SELECT {r6('avg(abs(a.sim - coalesce(b.sim, 0)))')} AS mae, CAST(count(*) AS BIGINT) AS n_entries "
        "FROM a LEFT JOIN b ON a.i = b.i AND a.j = b.j")
+
+
+# --- graph ----------------------------------------------------------------
+
+BIP_EDGES = r"""
+bip_rel AS (
+  SELECT DISTINCT -(CAST(user_id AS BIGINT) + 1) AS "user", CAST(json_extract_string(props, '$.k') AS BIGINT) AS item
+  FROM events),
+g_edges AS (SELECT "user" AS src, item AS dst FROM bip_rel UNION ALL SELECT item AS src, "user" AS dst FROM bip_rel)"""
+
+ORDER_EDGES = r"""
+g_edges AS (
+  SELECT o.o_custkey AS src, -l.l_suppkey AS dst FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+
+PPR_SOURCE = "(SELECT -(min(user_id) + 1) FROM events)"
+
+# Iteration counts of the unrolled oracles: a fixed count for the static
+# variant, and for converging variants enough steps that the 0.85 contraction
+# leaves an error far below the 6 decimals compared.
+UNROLL_CONVERGED = 220
+
+
+def unrolled_ranks(edges_cte: str, iterations: int, source: str | None) -> str:
+    """``WITH ...`` prefix ending in CTE ``ranks(id, rank)`` after ``iterations`` plain steps."""
+    parts = [edges_cte.strip().rstrip(","),
+             "g_deg AS (SELECT src, count(*) AS d FROM g_edges GROUP BY src)",
+             "g_w AS (SELECT e.src, e.dst, 1.0 / g.d AS w FROM g_edges e JOIN g_deg g USING (src))",
+             "g_v AS (SELECT DISTINCT id FROM (SELECT src AS id FROM g_edges UNION ALL SELECT dst FROM g_edges))"]
+    if source is None:
+        parts.append("r0 AS (SELECT id, 1.0 AS rank FROM g_v)")
+        reset = "0.15"
+    else:
+        parts.append(f"r0 AS (SELECT id, CASE WHEN id = {source} THEN 1.0 ELSE 0.0 END AS rank FROM g_v)")
+        reset = f"CASE WHEN v.id = {source} THEN 0.15 ELSE 0.0 END"
+    for t in range(iterations):
+        parts.append(
+            f"r{t + 1} AS (SELECT v.id, {reset} + 0.85 * coalesce(c.s, 0.0) AS rank FROM g_v v LEFT JOIN "
+            f"(SELECT w.dst, sum(r.rank * w.w) AS s FROM g_w w JOIN r{t} r ON w.src = r.id GROUP BY w.dst) c "
+            f"ON v.id = c.dst)")
+    scale = "1.0" if source is not None else "count(*) OVER ()"
+    parts.append(f"ranks AS (SELECT id, rank * {scale} / sum(rank) OVER () AS rank FROM r{iterations})")
+    return "WITH " + ",\n".join(parts)
+
+
+_RANK_OUT = f"SELECT CAST(id AS BIGINT) AS id, {r6('rank')} AS rank FROM ranks"
+oracle("bipartite_edges", f"WITH {BIP_EDGES} SELECT src, dst FROM g_edges")
+oracle("edge_list", f"WITH {ORDER_EDGES} SELECT src, dst FROM g_edges")
+oracle("parse_users", "SELECT c_custkey AS id, c_name AS handle FROM customer")
+oracle("pagerank", unrolled_ranks(BIP_EDGES, UNROLL_CONVERGED, None) + " " + _RANK_OUT)
+oracle("pagerank_sinks", unrolled_ranks(ORDER_EDGES, 40, None) + " " + _RANK_OUT)
+oracle("pagerank_named", unrolled_ranks(ORDER_EDGES, 40, None) +
+       f" SELECT c.c_name AS handle, {r6('r.rank')} AS rank FROM ranks r JOIN customer c ON r.id = c.c_custkey")
+oracle("ppr_static", unrolled_ranks(BIP_EDGES, 20, PPR_SOURCE) + " " + _RANK_OUT)
+oracle("ppr_converged", unrolled_ranks(BIP_EDGES, UNROLL_CONVERGED, PPR_SOURCE) + " " + _RANK_OUT)
+oracle("ppr_items", unrolled_ranks(BIP_EDGES, 20, PPR_SOURCE) +
+       f" SELECT CAST(id AS BIGINT) AS id, {r6('rank')} AS rank, CAST(row_number() OVER "
+       "(ORDER BY round(rank, 9) DESC, id) AS BIGINT) AS pos FROM ranks WHERE id >= 0")

@@ -38,6 +38,9 @@ def build_session(master: str | None = None, app_name: str = "tessera",
         "spark.ui.showConsoleProgress": "false",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
     }
+    if master and master.startswith("local"):
+        # Local runs: the driver is the only JVM, give it room for plans and shuffles.
+        conf["spark.driver.memory"] = "8g"
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
