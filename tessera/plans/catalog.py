@@ -358,3 +358,62 @@ def q_ppr_items(spark, sf):
     ordered = C.dense_number(items, ["_neg", "id"], (), "pos")
     return ordered.select(F.col("id").cast("bigint").alias("id"), r6("rank").alias("rank"),
                           (F.col("pos") + 1).cast("bigint").alias("pos"))
+
+
+# --- iterative fitting ------------------------------------------------------
+
+from tessera.operators import fit as FT  # noqa: E402
+
+KMEANS_K = 5
+KMEANS_STEPS = 5
+LR_DIMS = 8
+LR_ITERATIONS = 3
+
+
+def _vector_lines(spark, sf, with_label=False):
+    e = B.table(spark, sf, "embeddings")
+    nums = F.transform(F.col("embedding").cast("array<double>"), lambda v: F.format_string("%.9f", v))
+    parts = [F.when(F.pmod("label", F.lit(2)) == 0, F.lit("1.0")).otherwise(F.lit("-1.0"))] if with_label else []
+    return e.select(F.col("vec_id").alias("id"), F.concat_ws(" ", *parts, F.array_join(nums, " ")).alias("value"))
+
+
+@query
+def q_parse_vectors(spark, sf):
+    v = FT.parse_vectors(_vector_lines(spark, sf))
+    return v.select("id", F.posexplode("x").alias("pos", "x")).select(
+        "id", F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
+
+
+@query
+def q_parse_points(spark, sf):
+    p = FT.parse_points(_vector_lines(spark, sf, True), LR_DIMS)
+    return p.select("id", "y", F.posexplode("x").alias("pos", "x")).select(
+        "id", r6("y").alias("y"), F.col("pos").cast("bigint").alias("pos"), r6("x").alias("x"))
+
+
+@query
+def q_sample_k(spark, sf):
+    return FT.sample_k(B.vectors(spark, sf), KMEANS_K).select("id")
+
+
+def _kmeans_out(df):
+    return df.select("id", F.col("cluster").cast("bigint").alias("cluster"), r6("dist").alias("dist"))
+
+
+@query
+def q_kmeans_assign(spark, sf):
+    pts = B.vectors(spark, sf)
+    centers = [list(r["x"]) for r in FT.sample_k(pts, KMEANS_K).collect()]
+    return _kmeans_out(FT.assign(pts, centers))
+
+
+@query
+def q_kmeans_steps(spark, sf):
+    _, assigned = FT.kmeans(B.vectors(spark, sf), KMEANS_K, 0.0, max_iterations=KMEANS_STEPS)
+    return _kmeans_out(assigned)
+
+
+@query
+def q_logistic_steps(spark, sf):
+    w = FT.logistic_gd(B.labelled_points(spark, sf, LR_DIMS), LR_DIMS, LR_ITERATIONS)
+    return w.select(F.col("pos").cast("bigint").alias("pos"), r6("weight").alias("weight"))

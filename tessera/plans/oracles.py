@@ -324,3 +324,57 @@ oracle("ppr_converged", unrolled_ranks(BIP_EDGES, UNROLL_CONVERGED, PPR_SOURCE)
 oracle("ppr_items", unrolled_ranks(BIP_EDGES, 20, PPR_SOURCE) +
        f" SELECT CAST(id AS BIGINT) AS id, {r6('rank')} AS rank, CAST(row_number() OVER "
        "(ORDER BY round(rank, 9) DESC, id) AS BIGINT) AS pos FROM ranks WHERE id >= 0")
+
+
+# --- iterative fitting ------------------------------------------------------
+
+def _java_start_weights(d: int, seed: int = 42) -> list[float]:
+    from tessera.functions.javarandom import start_weights
+    return start_weights(d, seed)
+
+
+_PTS = "pts AS (SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS x FROM embeddings)"
+_SAMPLE_KEY = "md5('42:' || CAST(id AS VARCHAR)), id"
+
+
+def kmeans_sql(k: int, steps: int) -> str:
+    parts = [_PTS,
+             f"c0 AS (SELECT CAST(row_number() OVER (ORDER BY {_SAMPLE_KEY}) - 1 AS INTEGER) AS cid, x FROM pts "
+             f"QUALIFY row_number() OVER (ORDER BY {_SAMPLE_KEY}) <= {k})"]
+    dist = "list_sum(list_transform(range(1, len(p.x) + 1), lambda i: (p.x[i] - c.x[i]) * (p.x[i] - c.x[i])))"
+    for t in range(steps + 1):
+        parts.append(f"b{t} AS (SELECT p.id, p.x, c.cid, {dist} AS d FROM pts p, c{t} c "
+                     f"QUALIFY row_number() OVER (PARTITION BY p.id ORDER BY {dist}, c.cid) = 1)")
+        if t == steps:
+            break
+        parts.append(f"m{t} AS (SELECT cid, list(s ORDER BY k) AS x FROM (SELECT b.cid, r.k, "
+                     f"sum(b.x[r.k]) * (1.0 / count(*)) AS s FROM b{t} b, range(1, 65) r(k) GROUP BY b.cid, r.k) "
+                     "GROUP BY cid)")
+        parts.append(f"c{t + 1} AS (SELECT c.cid, coalesce(m.x, c.x) AS x FROM c{t} c LEFT JOIN m{t} m USING (cid))")
+    return "WITH " + ",\n".join(parts)
+
+
+def logistic_sql(d: int, iterations: int) -> str:
+    w0 = ", ".join(repr(v) for v in _java_start_weights(d))
+    parts = [f"lp AS (SELECT CAST(CASE WHEN label % 2 = 0 THEN 1.0 ELSE -1.0 END AS DOUBLE) AS y, "
+             f"CAST(embedding AS DOUBLE[])[1:{d}] AS x FROM embeddings)",
+             f"w0 AS (SELECT [{w0}]::DOUBLE[] AS w)"]
+    for t in range(iterations):
+        parts.append(f"f{t} AS (SELECT lp.x, (1.0 / (1.0 + exp(-lp.y * list_sum(list_transform(range(1, {d} + 1), "
+                     f"lambda i: lp.x[i] * w{t}.w[i])))) - 1.0) * lp.y AS f FROM lp, w{t})")
+        parts.append(f"w{t + 1} AS (SELECT list(wk ORDER BY k) AS w FROM (SELECT r.k, w{t}.w[r.k] - sum(f.x[r.k] * f.f) AS wk "
+                     f"FROM f{t} f, range(1, {d} + 1) r(k), w{t} GROUP BY r.k, w{t}.w))")
+    return "WITH " + ",\n".join(parts)
+
+
+_VEC9 = "CAST(printf('%.9f', CAST(v AS DOUBLE)) AS DOUBLE)"
+oracle("parse_vectors", "SELECT vec_id AS id, CAST(generate_subscripts(embedding, 1) - 1 AS BIGINT) AS pos, "
+       f"round({_VEC9.replace('v', 'unnest(embedding)', 1)}, 6) AS x FROM embeddings")
+oracle("parse_points", "SELECT id, y, CAST(pos AS BIGINT) AS pos, round(CAST(printf('%.9f', v) AS DOUBLE), 6) AS x FROM "
+       "(SELECT vec_id AS id, CAST(CASE WHEN label % 2 = 0 THEN 1.0 ELSE -1.0 END AS DOUBLE) AS y, "
+       "generate_subscripts(embedding[1:8], 1) - 1 AS pos, unnest(CAST(embedding[1:8] AS DOUBLE[])) AS v FROM embeddings)")
+oracle("sample_k", f"WITH {_PTS} SELECT id FROM pts ORDER BY {_SAMPLE_KEY} LIMIT 5")
+oracle("kmeans_assign", kmeans_sql(5, 0) + f" SELECT id, CAST(cid AS BIGINT) AS cluster, {r6('d')} AS dist FROM b0")
+oracle("kmeans_steps", kmeans_sql(5, 5) + f" SELECT id, CAST(cid AS BIGINT) AS cluster, {r6('d')} AS dist FROM b5")
+oracle("logistic_steps", logistic_sql(8, 3) + f" SELECT CAST(k - 1 AS BIGINT) AS pos, {r6('w3.w[k]')} AS weight "
+       "FROM w3, range(1, 9) r(k)")
