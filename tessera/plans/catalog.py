@@ -417,3 +417,111 @@ def q_kmeans_steps(spark, sf):
 def q_logistic_steps(spark, sf):
     w = FT.logistic_gd(B.labelled_points(spark, sf, LR_DIMS), LR_DIMS, LR_ITERATIONS)
     return w.select(F.col("pos").cast("bigint").alias("pos"), r6("weight").alias("weight"))
+
+
+# --- sources and sinks: JDBC, ranges, files, upserts ------------------------
+
+from tessera.session import scratch_path  # noqa: E402
+from tessera.sinks import files as FS  # noqa: E402
+from tessera.sinks import upsert as U  # noqa: E402
+from tessera.sources import int_range as IR  # noqa: E402
+from tessera.sources import jdbc as J  # noqa: E402
+
+_SUP_COLS = ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
+Q1_NATION = 7
+
+
+def _supplier_rows(spark, sf):
+    return B.table(spark, sf, "supplier").select(
+        "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("decimal(12,2)").alias("s_acctbal"))
+
+
+def _derby_supplier(spark, sf):
+    url = J.derby_memory_url()
+    J.jdbc_write(_supplier_rows(spark, sf), url, "supplier", mode="overwrite")
+    return url
+
+
+def _sup_out(df):
+    return df.select("s_suppkey", "s_name", F.col("s_nationkey").cast("int").alias("s_nationkey"),
+                     r6("s_acctbal").alias("s_acctbal"))
+
+
+def _supplier_updates(spark, sf):
+    c = B.table(spark, sf, "customer")
+    return c.where(F.col("c_mktsegment") == "BUILDING").select(
+        F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"),
+        F.col("c_nationkey").alias("s_nationkey"), F.col("c_acctbal").cast("decimal(12,2)").alias("s_acctbal"))
+
+
+@query
+def q_jdbc_scan(spark, sf):
+    return _sup_out(J.jdbc_scan(spark, _derby_supplier(spark, sf), "supplier"))
+
+
+@query
+def q_jdbc_eq_pushdown(spark, sf):
+    df = J.jdbc_scan(spark, _derby_supplier(spark, sf), "supplier")
+    return df.where(F.col("s_nationkey") == Q1_NATION).select("s_suppkey", "s_name")
+
+
+@query
+def q_jdbc_range_scan(spark, sf):
+    hi = B.table(spark, sf, "supplier").agg(F.max("s_suppkey")).first()[0]
+    df = J.jdbc_scan(spark, _derby_supplier(spark, sf), "supplier", partition_column="s_suppkey",
+                     lower=1, upper=hi, num_partitions=2)
+    return _sup_out(df)
+
+
+@query
+def q_jdbc_sql_view(spark, sf):
+    J.register_view(spark, "supplier_db", _derby_supplier(spark, sf), "supplier")
+    return _sup_out(spark.sql("SELECT * FROM supplier_db"))
+
+
+@query
+def q_jdbc_count_avg(spark, sf):
+    J.register_view(spark, "supplier_db", _derby_supplier(spark, sf), "supplier")
+    df = spark.sql(f"SELECT COUNT(*) AS n, AVG(s_acctbal) AS avg_acctbal FROM supplier_db "
+                   f"WHERE s_nationkey = {Q1_NATION}")
+    return df.select("n", r6("avg_acctbal").alias("avg_acctbal"))
+
+
+@query
+def q_jdbc_upsert(spark, sf):
+    url = _derby_supplier(spark, sf)
+    J.jdbc_upsert(_supplier_updates(spark, sf), url, "supplier", ["s_suppkey"])
+    return _sup_out(J.jdbc_scan(spark, url, "supplier"))
+
+
+@query
+def q_upsert_table(spark, sf):
+    return _sup_out(U.upsert(_supplier_rows(spark, sf), _supplier_updates(spark, sf), ["s_suppkey"]))
+
+
+def _hourly(spark, sf, kind):
+    ev = B.table(spark, sf, "events")
+    return (ev.where(F.col("event_type") == kind)
+            .groupBy(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("log_time"))
+            .agg(F.count(F.lit(1)).alias("log_count")))
+
+
+@query
+def q_upsert_add(spark, sf):
+    return U.upsert_add(_hourly(spark, sf, "error"), _hourly(spark, sf, "click"), "log_time", "log_count")
+
+
+@query
+def q_int_range(spark, sf):
+    IR.register(spark)
+    n = B.table(spark, sf, "orders").count()
+    return spark.read.format("int_range").option("from", 1).option("TO", n).load()
+
+
+@query
+def q_write_tsv_roundtrip(spark, sf):
+    nb = _nb(spark, sf)
+    path = scratch_path(spark, "item_similarities")
+    FS.write_tsv(nb.select("item", "neighbour", "weight"), path)
+    back = FS.read_tsv(spark, path, "item bigint, neighbour bigint, weight double")
+    return back.select("item", "neighbour", r6("weight").alias("weight"))

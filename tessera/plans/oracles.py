@@ -378,3 +378,26 @@ oracle("kmeans_assign", kmeans_sql(5, 0) + f" SELECT id, CAST(cid AS BIGINT) AS
 oracle("kmeans_steps", kmeans_sql(5, 5) + f" SELECT id, CAST(cid AS BIGINT) AS cluster, {r6('d')} AS dist FROM b5")
 oracle("logistic_steps", logistic_sql(8, 3) + f" SELECT CAST(k - 1 AS BIGINT) AS pos, {r6('w3.w[k]')} AS weight "
        "FROM w3, range(1, 9) r(k)")
+
+
+# --- sources and sinks: JDBC, ranges, files, upserts ------------------------
+
+_SUP = "s_suppkey, s_name, s_nationkey, round(CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS DOUBLE), 6) AS s_acctbal"
+_UPD = ("SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_nationkey, "
+        "round(CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS DOUBLE), 6) AS s_acctbal FROM customer "
+        "WHERE c_mktsegment = 'BUILDING'")
+_UPSERTED = (f"SELECT {_SUP} FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer "
+             f"WHERE c_mktsegment = 'BUILDING') UNION ALL {_UPD}")
+oracle("jdbc_scan", f"SELECT {_SUP} FROM supplier")
+oracle("jdbc_eq_pushdown", "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 7")
+oracle("jdbc_range_scan", f"SELECT {_SUP} FROM supplier")
+oracle("jdbc_sql_view", f"SELECT {_SUP} FROM supplier")
+oracle("jdbc_count_avg", "SELECT CAST(count(*) AS BIGINT) AS n, "
+       "round(CAST(avg(CAST(s_acctbal AS DECIMAL(12, 2))) AS DOUBLE), 6) AS avg_acctbal FROM supplier WHERE s_nationkey = 7")
+oracle("jdbc_upsert", _UPSERTED)
+oracle("upsert_table", _UPSERTED)
+oracle("upsert_add", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS log_time, "
+       "CAST(count(*) AS BIGINT) AS log_count FROM events WHERE event_type IN ('error', 'click') GROUP BY 1")
+oracle("int_range", "SELECT CAST(unnest(range(1, (SELECT count(*) FROM orders) + 1)) AS INTEGER) AS i")
+oracle("write_tsv_roundtrip", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS BIGINT) AS item, "
+       f"CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight FROM nb")
