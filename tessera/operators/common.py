@@ -15,18 +15,25 @@ def dense_number(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[
     """Add a 0-based dense row number per ``group_cols`` in ``order_cols`` order.
 
     A global ``row_number()`` would pull every row through one task.  Here the
-    rows are range-partitioned and sorted on (group, order); the in-partition
-    position comes from ``monotonically_increasing_id`` (partition index in the
-    high bits); a table of per-partition counts, one row per (partition, group),
-    gives each partition's starting number.  That table is bounded by the number
-    of partitions times the number of groups, so ``group_cols`` must have few
+    rows are range-partitioned and sorted on (group, order), and each row's
+    (partition, position) is taken from ``monotonically_increasing_id``.  That
+    numbering is written once as a table in the shared checkpoint folder:
+    range bounds come from sampling and may differ between two evaluations of
+    the same plan, so every later use must read the same materialised rows.
+    A table of per-partition counts, one row per (partition, group), then
+    gives each partition's starting number.  It is bounded by the number of
+    partitions times the number of groups, so ``group_cols`` must have few
     values (no grouping, or Kafka partitions); it is broadcast.
     """
+    from tessera.session import scratch_path
     spark = df.sparkSession
     n = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
     keys = [*group_cols, *order_cols]
-    ranged = (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-              .withColumn("_mid", F.monotonically_increasing_id())
+    path = scratch_path(spark, "dense-number")
+    (df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+     .withColumn("_mid", F.monotonically_increasing_id())
+     .write.parquet(path))
+    ranged = (spark.read.parquet(path)
               .withColumn("_sp", F.shiftright("_mid", 33))
               .withColumn("_i", F.col("_mid").bitwiseAND(F.lit(_LOW33))))
     stats = ranged.groupBy("_sp", *group_cols).agg(F.min("_i").alias("_i0"),

@@ -525,3 +525,110 @@ def q_write_tsv_roundtrip(spark, sf):
     FS.write_tsv(nb.select("item", "neighbour", "weight"), path)
     back = FS.read_tsv(spark, path, "item bigint, neighbour bigint, weight double")
     return back.select("item", "neighbour", r6("weight").alias("weight"))
+
+
+# --- streaming --------------------------------------------------------------
+
+from tessera.functions.text import text_lines  # noqa: E402
+from tessera.streaming import batches as SB  # noqa: E402
+from tessera.streaming import exactly_once as XO  # noqa: E402
+from tessera.streaming import sources as SS  # noqa: E402
+
+OFFSET_SLICE = 2500
+
+
+def _doc_line_files(spark, sf):
+    """Document lines as text files, one file per document source (one micro-batch each)."""
+    path = scratch_path(spark, "doc-lines")
+    docs = B.table(spark, sf, "documents").select("source", "text")
+    lines = docs.select("source", F.explode(text_lines("text")).alias("value"))
+    lines.repartition("source").write.partitionBy("source").text(path)
+    return path
+
+
+def _record_files(spark, sf):
+    """Kafka-shaped records as parquet files, one file per slice of offsets (one micro-batch each)."""
+    path = scratch_path(spark, "records")
+    recs = B.kafka_records(spark, sf).withColumn("slice", F.floor(F.col("offset") / OFFSET_SLICE))
+    recs.repartition("slice").write.partitionBy("slice").parquet(path)
+    return path
+
+
+def _record_stream(spark, path):
+    return spark.readStream.schema(SS.RECORD_SCHEMA).option("maxFilesPerTrigger", 1).parquet(path)
+
+
+@query
+def q_stream_word_count(spark, sf):
+    src, out = _doc_line_files(spark, sf), scratch_path(spark, "wc-out")
+    stream = SS.stream_lines(spark, format="text", path=src, max_files_per_trigger=1).select("value")
+    SB.start(stream, SB.batch_word_counts(out), scratch_path(spark, "wc-ckpt")).awaitTermination()
+    res = spark.read.parquet(out)
+    return res.groupBy("word").agg(F.count_distinct("batch_id").alias("n_batches"), F.sum("n").alias("n"))
+
+
+@query
+def q_stream_counts_with_offsets(spark, sf):
+    src, out = _record_files(spark, sf), scratch_path(spark, "kc-out")
+    SB.start(_record_stream(spark, src), SB.batch_counts_with_offsets(out),
+             scratch_path(spark, "kc-ckpt")).awaitTermination()
+    return spark.read.parquet(f"{out}/ranges").select("topic", "partition", "from_offset", "until_offset",
+                                                      "batch_words")
+
+
+@query
+def q_offset_ranges(spark, sf):
+    return SB.offset_ranges(B.kafka_records(spark, sf))
+
+
+def _exactly_once(spark, sf):
+    url = J.derby_memory_url()
+    XO.create_tables(spark, url)
+    src = _record_files(spark, sf)
+    SB.start(_record_stream(spark, src), XO.exactly_once_batch(url),
+             scratch_path(spark, "xo-ckpt")).awaitTermination()
+    return url
+
+
+@query
+def q_stream_exactly_once(spark, sf):
+    res = XO.read_results(spark, _exactly_once(spark, sf))
+    return res.select(_fmt_time(F.col("log_time")).alias("log_time"), F.col("log_count").cast("bigint").alias("log_count"))
+
+
+@query
+def q_offset_ledger(spark, sf):
+    led = XO.read_ledger_table(spark, _exactly_once(spark, sf))
+    return led.select("topic", F.col("partition").cast("int").alias("partition"),
+                      F.col("offset").cast("bigint").alias("offset"))
+
+
+@query
+def q_ledger_start_offsets(spark, sf):
+    ledger = SB.offset_ranges(B.kafka_records(spark, sf)).select(
+        "topic", "partition", F.col("until_offset").alias("offset"))
+    return SS.start_offsets_frame(ledger)
+
+
+# --- recommender run and ALS ------------------------------------------------
+
+from tessera.plans.recommender import run_recommender  # noqa: E402
+
+
+@query
+def q_recommender_run(spark, sf):
+    m = run_recommender(B.rating_lines(spark, sf), "sim", "cosine", "weighted-sum", NUM_RECS,
+                        output_path=scratch_path(spark, "recommender-out"))
+    return _metric_cols(m)
+
+
+@query
+def q_rec_als_user(spark, sf):
+    users, recs = RC.recommend_als(_train(spark, sf), NUM_RECS, "user-product")
+    return _rec_out(recs)
+
+
+@query
+def q_rec_als_item(spark, sf):
+    users, recs = RC.recommend_als(_train(spark, sf), NUM_RECS, "product-user")
+    return _rec_out(recs)

@@ -401,3 +401,45 @@ oracle("upsert_add", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S
 oracle("int_range", "SELECT CAST(unnest(range(1, (SELECT count(*) FROM orders) + 1)) AS INTEGER) AS i")
 oracle("write_tsv_roundtrip", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS BIGINT) AS item, "
        f"CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight FROM nb")
+
+
+# --- streaming --------------------------------------------------------------
+
+RECORDS = r"""
+records AS (
+  SELECT 'events' AS topic, CAST(user_id % 2 AS INTEGER) AS partition,
+         CAST(row_number() OVER (PARTITION BY user_id % 2 ORDER BY event_id) - 1 AS BIGINT) AS "offset",
+         strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || upper(event_type) || ' ' || props AS value
+  FROM events)"""
+
+_NTOK = ("len(CASE WHEN value <> '' AND rtrim(value, ' ') = '' THEN []::VARCHAR[] "
+         "ELSE string_split(rtrim(value, ' '), ' ') END)")
+
+oracle("stream_word_count", DOC_LINES.replace(
+    "SELECT doc_id,\n         CASE", "SELECT doc_id, source,\n         CASE").replace(
+    "SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no",
+    "SELECT doc_id, source, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no").join(["WITH ", ""]) +
+    ", " + TOKENS.replace("SELECT doc_id, line_no,\n         CASE", "SELECT doc_id, source, line_no,\n         CASE")
+    .replace("SELECT doc_id, line_no, CAST(generate_subscripts(ts, 1)", "SELECT doc_id, source, line_no, "
+             "CAST(generate_subscripts(ts, 1)") +
+    " SELECT word, CAST(count(DISTINCT source) AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n "
+    "FROM doc_tokens GROUP BY word")
+oracle("stream_counts_with_offsets", f"WITH {RECORDS}, sl AS (SELECT *, CAST(floor(\"offset\" / 2500) AS BIGINT) AS slice "
+       f"FROM records), bw AS (SELECT slice, CAST(sum({_NTOK}) AS BIGINT) AS batch_words FROM sl GROUP BY slice) "
+       "SELECT topic, partition, min(\"offset\") AS from_offset, max(\"offset\") + 1 AS until_offset, "
+       "any_value(bw.batch_words) AS batch_words FROM sl JOIN bw USING (slice) GROUP BY topic, partition, slice")
+oracle("offset_ranges", f"WITH {RECORDS} SELECT topic, partition, min(\"offset\") AS from_offset, "
+       "max(\"offset\") + 1 AS until_offset FROM records GROUP BY topic, partition")
+oracle("stream_exactly_once", ORACLES["errors_per_minute"])
+oracle("offset_ledger", f"WITH {RECORDS} SELECT topic, partition, max(\"offset\") + 1 AS \"offset\" "
+       "FROM records GROUP BY topic, partition")
+oracle("ledger_start_offsets", f"WITH {RECORDS}, led AS (SELECT topic, partition, max(\"offset\") + 1 AS o "
+       "FROM records GROUP BY 1, 2) SELECT topic, '{\"' || topic || '\":{' || "
+       "string_agg('\"' || CAST(partition AS VARCHAR) || '\":' || CAST(o AS VARCHAR), ',' ORDER BY partition) "
+       "|| '}}' AS offsets_json FROM led GROUP BY topic")
+
+oracle("recommender_run", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL}, cnt AS (SELECT item, count(*) AS n FROM train GROUP BY 1) "
+       f"SELECT tp, tp_fn, tp_fp, {r6('precision')} AS precision, {r6('recall')} AS recall, "
+       f"{r6('CASE WHEN precision + recall = 0 THEN ' + chr(39) + 'NaN' + chr(39) + '::DOUBLE ELSE 2.0 * precision * recall / (precision + recall) END')} AS f1, "
+       f"{r6('(SELECT count(DISTINCT item) FROM recs) / (SELECT count(DISTINCT item) FROM train)')} AS coverage, "
+       f"{r6('(SELECT avg(ln(1 + n)) FROM recs JOIN cnt USING (item))')} AS popularity FROM pr")
