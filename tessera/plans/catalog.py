@@ -551,6 +551,7 @@ def _record_files(spark, sf):
     path = scratch_path(spark, "records")
     recs = B.kafka_records(spark, sf).withColumn("slice", F.floor(F.col("offset") / OFFSET_SLICE))
     recs.repartition("slice").write.partitionBy("slice").parquet(path)
+    SS.stamp_in_order(spark, path, "slice")
     return path
 
 
