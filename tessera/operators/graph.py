@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from tessera.session import scratch_path
 
 RESET = 0.15
+# Out-edges of one vertex per salt (see _weighted_edges).
+EDGE_CHUNK = 1 << 20
 
 
 def parse_users(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -42,40 +44,59 @@ def graph_vertices(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
     return v.distinct()
 
 
-def _weighted_edges(edges: DataFrame) -> DataFrame:
-    """``src, dst, w = 1/outdeg(src)``, partitioned on ``src`` and kept for the loop."""
+def _weighted_edges(edges: DataFrame, edge_chunk: int = EDGE_CHUNK) -> tuple[DataFrame, DataFrame]:
+    """``(edges, chunks)``: ``src, dst, w = 1/outdeg(src), _salt`` kept for the loop,
+    and ``id, _nc`` (number of salts) for vertices with out-edges.
+
+    A vertex with more than ``EDGE_CHUNK`` out-edges has them spread over
+    ``ceil(outdeg / EDGE_CHUNK)`` salts, and the edge table is partitioned on
+    (src, salt); each step replicates only such a vertex's rank row once per
+    salt.  So no task holds more than about ``EDGE_CHUNK`` edges of one
+    vertex, however skewed the degrees.  Below the bound every vertex has one
+    salt and the plan is the plain one.
+    """
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
     n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return (edges.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"))
-            .repartition(n, "src").persist(StorageLevel.MEMORY_AND_DISK))
+    nc = F.ceil(F.col("_deg") / F.lit(edge_chunk)).cast("int")
+    # Any salt in [0, nc) is correct (every salt of a vertex gets its rank), so
+    # a seeded random draw is fine even if a lost partition recomputes it.
+    we = (edges.join(deg, "src")
+          .select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"),
+                  F.floor(F.rand(17) * nc).cast("int").alias("_salt"))
+          .repartition(n, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK))
+    return we, deg.select(F.col("src").alias("id"), nc.alias("_nc"))
 
 
 def _run(edges: DataFrame, vertices: DataFrame | None, source, tol: float | None,
-         iterations: int | None, reset: float) -> DataFrame:
+         iterations: int | None, reset: float, edge_chunk: int = EDGE_CHUNK) -> DataFrame:
     spark = edges.sparkSession
-    we = _weighted_edges(edges)
-    verts = graph_vertices(edges, vertices).persist(StorageLevel.MEMORY_AND_DISK)
+    we, chunks = _weighted_edges(edges, edge_chunk)
+    verts = (graph_vertices(edges, vertices).join(chunks, "id", "left")
+             .select("id", F.coalesce(F.col("_nc"), F.lit(1)).alias("_nc"))
+             .persist(StorageLevel.MEMORY_AND_DISK))
     if source is None:
-        ranks = verts.select("id", F.lit(1.0).alias("rank"))
+        ranks = verts.select("id", F.lit(1.0).alias("rank"), "_nc")
         reset_term = F.lit(reset)
     else:
         is_src = F.col("id") == F.lit(source)
-        ranks = verts.select("id", F.when(is_src, F.lit(1.0)).otherwise(F.lit(0.0)).alias("rank"))
+        ranks = verts.select("id", F.when(is_src, F.lit(1.0)).otherwise(F.lit(0.0)).alias("rank"), "_nc")
         reset_term = F.when(is_src, F.lit(reset)).otherwise(F.lit(0.0))
     base = scratch_path(spark, "ranks")
     step = 0
     while True:
-        contrib = (we.join(ranks.select(F.col("id").alias("src"), "rank"), "src")
+        salted = ranks.select(F.col("id").alias("src"), "rank",
+                              F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)).alias("_salt"))
+        contrib = (we.join(salted, ["src", "_salt"])
                    .groupBy("dst").agg(F.sum(F.col("rank") * F.col("w")).alias("_c")))
         fresh = reset_term + F.lit(1.0 - reset) * F.coalesce(F.col("_c"), F.lit(0.0))
         new = ranks.join(contrib, ranks.id == contrib.dst, "left").select(
-            "id", fresh.alias("rank"), F.abs(fresh - F.col("rank")).alias("_delta"))
+            "id", fresh.alias("rank"), "_nc", F.abs(fresh - F.col("rank")).alias("_delta"))
         # One job per step: the ranks are written as a table in the shared
         # folder (cuts the lineage, survives executor loss) and the largest
         # change is observed during that same write.
         obs = Observation(f"rank-delta-{step}")
         path = f"{base}/it={step}"
-        new.observe(obs, F.max("_delta").alias("delta")).select("id", "rank").write.parquet(path)
+        new.observe(obs, F.max("_delta").alias("delta")).select("id", "rank", "_nc").write.parquet(path)
         ranks = spark.read.parquet(path)
         step += 1
         if iterations is not None and step >= iterations:
@@ -91,18 +112,22 @@ def _run(edges: DataFrame, vertices: DataFrame | None, source, tol: float | None
     return ranks.select("id", (F.col("rank") * scale / total).alias("rank"))
 
 
+
+
+
 def pagerank(edges: DataFrame, tol: float = 1e-4, vertices: DataFrame | None = None,
-             reset: float = RESET, max_iterations: int | None = None) -> DataFrame:
+             reset: float = RESET, max_iterations: int | None = None, edge_chunk: int = EDGE_CHUNK) -> DataFrame:
     """``id, rank``: rank = reset + (1 - reset) * sum(rank(src) / outdeg(src)), to tolerance.
 
     Iterates until no rank moves by ``tol`` or more, then scales the ranks to
     sum to the vertex count (mass lost at sinks is restored proportionally).
     """
-    return _run(edges, vertices, None, tol, max_iterations, reset)
+    return _run(edges, vertices, None, tol, max_iterations, reset, edge_chunk)
 
 
 def personalized_pagerank(edges: DataFrame, source, iterations: int | None = 20, tol: float | None = None,
-                          vertices: DataFrame | None = None, reset: float = RESET) -> DataFrame:
+                          vertices: DataFrame | None = None, reset: float = RESET,
+                          edge_chunk: int = EDGE_CHUNK) -> DataFrame:
     """``id, rank`` personalised to ``source``: reset mass returns to the source only.
 
     Starts at 1 on the source and 0 elsewhere; runs ``iterations`` steps, or
@@ -110,7 +135,7 @@ def personalized_pagerank(edges: DataFrame, source, iterations: int | None = 20,
     """
     if tol is not None:
         iterations = None
-    return _run(edges, vertices, source, tol, iterations, reset)
+    return _run(edges, vertices, source, tol, iterations, reset, edge_chunk)
 
 
 def split_ranks(ranks: DataFrame, is_item) -> tuple[DataFrame, DataFrame]:

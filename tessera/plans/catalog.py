@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import text as T
+from tessera.session import materialize
 from tessera.sources import tables as B
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -114,7 +115,8 @@ NUM_RECS = 30
 
 
 def _rated(spark, sf):
-    return RT.with_user_id(B.event_ratings(spark, sf))
+    # Materialised once: the split, similarity and recommendation branches all read it.
+    return materialize(RT.with_user_id(B.event_ratings(spark, sf)), "rated")
 
 
 def _split(spark, sf):
@@ -130,13 +132,14 @@ def _sim(spark, sf, method):
         F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), r6("sim").alias("sim"))
 
 
-def _nb(spark, sf, method="cosine"):
-    return S.top_neighbours(S.similarity(_train(spark, sf), method), NUM_NEIGHBOURS)
+def _nb(spark, sf, method="cosine", train=None):
+    train = train if train is not None else _train(spark, sf)
+    return materialize(S.top_neighbours(S.similarity(train, method), NUM_NEIGHBOURS), "neighbours")
 
 
 def _recs(spark, sf, how):
     train = _train(spark, sf)
-    nb = _nb(spark, sf)
+    nb = _nb(spark, sf, train=train)
     if how == "score":
         return RC.recommend_score(nb, train, NUM_RECS)
     return RC.recommend_weighted_sum(nb, train, NUM_RECS)

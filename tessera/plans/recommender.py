@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +11,7 @@ from tessera.operators import evaluate as EV
 from tessera.operators import ratings as RT
 from tessera.operators import recommend as RC
 from tessera.operators import similarity as S
+from tessera.session import materialize
 from tessera.sinks.files import write_tsv
 
 NUM_NEIGHBOURS = 50
@@ -28,16 +28,15 @@ def run_recommender(lines: DataFrame, algorithm: str, similarity_method: str = "
     (item similarity + ``score`` / ``weighted-sum``) or ``als``
     (``user-product`` / ``product-user``).  With ``output_path``, the
     neighbour lists and the recommendations are written as tab-separated text
-    under it (each folder replaced).  Ratings, the split and the
-    recommendations are persisted where they are reused.
+    under it (each folder replaced).  Ratings, neighbour lists and
+    recommendations are each written once to the shared checkpoint folder,
+    since several later steps read them.
     """
     parsed = RT.parse_ratings(lines).select("user", "item", F.col("clicks").cast("double").alias("rating"))
-    rated = RT.with_user_id(parsed).persist(StorageLevel.MEMORY_AND_DISK)
+    rated = materialize(RT.with_user_id(parsed), "rated")
     train, test = RT.train_test_split(rated, seed)
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
     if algorithm == "sim":
-        nb = S.top_neighbours(S.similarity(train, similarity_method), num_neighbours) \
-            .persist(StorageLevel.MEMORY_AND_DISK)
+        nb = materialize(S.top_neighbours(S.similarity(train, similarity_method), num_neighbours), "neighbours")
         if output_path:
             write_tsv(nb.select("item", "neighbour", "weight"), os.path.join(output_path, "item_similarities"))
         users, recs = RC.recommend(recommend_method, nb, train, num_recommendations)
@@ -45,7 +44,8 @@ def run_recommender(lines: DataFrame, algorithm: str, similarity_method: str = "
         users, recs = RC.recommend(recommend_method, None, train, num_recommendations)
     else:
         raise ValueError(f"unknown algorithm: {algorithm}")
-    recs = recs.persist(StorageLevel.MEMORY_AND_DISK)
+    recs = materialize(recs, "recommendations")
+    users = materialize(users, "rec-users")
     if output_path:
         write_tsv(recs.select("user_id", "item", "score"), os.path.join(output_path, "user_recommendations"))
     pr = EV.precision_recall(test, users, recs)

@@ -70,3 +70,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint location."""
     base = ensure_checkpoint_dir(spark)
     return os.path.join(base, "scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def materialize(df, name: str):
+    """Write ``df`` once as a table under the shared checkpoint folder and read it back.
+
+    Used where one intermediate feeds several branches of a plan (Spark
+    recomputes a shared subtree per branch otherwise) and to cut lineage:
+    the table lives in shared storage, so a lost executor does not force a
+    recompute from the sources.  Eager: runs one job.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.parquet(path)
+    return spark.read.parquet(path)
