@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.functions.logs import log_fields, smart_timestamp
+from tessera.functions.logs import log_fields, with_smart_timestamp
 
 
 def parse_tab_logs(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -57,9 +57,8 @@ def parse_log_lines(lines: DataFrame, value: str = "value") -> DataFrame:
     """
     keep = [c for c in lines.columns if c != value]
     ok, text, level = log_fields(F.col(value))
-    return (lines.where(ok)
-            .select(*keep, smart_timestamp(text).alias("time"), level.alias("level"))
-            .where(F.col("time").isNotNull()))
+    matched = lines.where(ok).select(*keep, text.alias("_time_text"), level.alias("level"))
+    return with_smart_timestamp(matched, "_time_text", "time").select(*keep, "time", "level")
 
 
 def errors_per_minute(logs: DataFrame, level: str = "ERROR") -> DataFrame:
