@@ -636,3 +636,10 @@ def q_rec_als_user(spark, sf):
 def q_rec_als_item(spark, sf):
     users, recs = RC.recommend_als(_train(spark, sf), NUM_RECS, "product-user")
     return _rec_out(recs)
+
+
+@query
+def q_sim_cosine_orders(spark, sf):
+    """Cosine between suppliers over customers' line counts (the larger ratings binding)."""
+    sim = S.similarity(materialize(B.order_ratings(spark, sf), "order-ratings"), "cosine", user="user")
+    return sim.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), r6("sim").alias("sim"))

@@ -443,3 +443,12 @@ oracle("recommender_run", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL}, cnt AS (SELECT
        f"{r6('CASE WHEN precision + recall = 0 THEN ' + chr(39) + 'NaN' + chr(39) + '::DOUBLE ELSE 2.0 * precision * recall / (precision + recall) END')} AS f1, "
        f"{r6('(SELECT count(DISTINCT item) FROM recs) / (SELECT count(DISTINCT item) FROM train)')} AS coverage, "
        f"{r6('(SELECT avg(ln(1 + n)) FROM recs JOIN cnt USING (item))')} AS popularity FROM pr")
+
+oracle("sim_cosine_orders", r"""
+WITH ords AS (
+  SELECT 'c' || CAST(o.o_custkey AS VARCHAR) AS u, CAST(l.l_suppkey AS BIGINT) AS i, CAST(count(*) AS DOUBLE) AS v
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2),
+st AS (SELECT i, sum(v * v) AS ss FROM ords GROUP BY i),
+pr AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS dot FROM ords a JOIN ords b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2),
+h AS (SELECT p.i, p.j, p.dot / sqrt(si.ss) / sqrt(sj.ss) AS sim FROM pr p JOIN st si ON p.i = si.i JOIN st sj ON p.j = sj.i)
+SELECT i, j, round(sim, 6) AS sim FROM h UNION ALL SELECT j AS i, i AS j, round(sim, 6) AS sim FROM h""")

@@ -128,3 +128,22 @@ def test_evaluation_metrics(spark):
     assert EV.popularity(train, recs).first()["popularity"] == pytest.approx((math.log(3) + math.log(2)) / 2)
     none = EV.precision_recall(test, users.limit(0), recs).first()
     assert math.isnan(none["precision"])
+
+
+def test_dimsum_samples_at_scale_and_stays_close(spark):
+    import os
+    sf = "/root/testdata/sf0.1"
+    if not os.path.exists(sf):
+        pytest.skip("test data not present")
+    from tessera.sources import tables as B
+    r = RT.with_user_id(B.event_ratings(spark, sf)).cache()
+    mags = S.item_stats(r).select(F.sqrt("ss").alias("m")).agg(F.max("m")).first()[0]
+    sg = math.sqrt(10 * math.log(r.agg(F.max("item")).first()[0] + 1) / 0.1)
+    assert mags > sg  # some columns really are sampled
+    exact = _sims(S.similarity(r, "spark"))
+    appr = _sims(S.similarity(r, "spark-appr"))
+    big = [k for k, v in exact.items() if v >= 0.1]
+    err = sum(abs(appr.get(k, 0.0) - exact[k]) / exact[k] for k in big) / len(big)
+    assert err < 0.2
+    assert appr != pytest.approx(exact)
+    assert _sims(S.similarity(r, "spark-appr")) == appr  # repeatable
