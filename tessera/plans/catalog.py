@@ -566,7 +566,7 @@ def _record_stream(spark, path):
 def q_stream_word_count(spark, sf):
     src, out = _doc_line_files(spark, sf), scratch_path(spark, "wc-out")
     stream = SS.stream_lines(spark, format="text", path=src, max_files_per_trigger=1).select("value")
-    SB.start(stream, SB.batch_word_counts(out), scratch_path(spark, "wc-ckpt")).awaitTermination()
+    SB.stream_word_count(stream, out, scratch_path(spark, "wc-ckpt"), {"availableNow": True}).awaitTermination()
     res = spark.read.parquet(out)
     return res.groupBy("word").agg(F.count_distinct("batch_id").alias("n_batches"), F.sum("n").alias("n"))
 
@@ -574,8 +574,8 @@ def q_stream_word_count(spark, sf):
 @query
 def q_stream_counts_with_offsets(spark, sf):
     src, out = _record_files(spark, sf), scratch_path(spark, "kc-out")
-    SB.start(_record_stream(spark, src), SB.batch_counts_with_offsets(out),
-             scratch_path(spark, "kc-ckpt")).awaitTermination()
+    SB.stream_counts_with_offsets(_record_stream(spark, src), out, scratch_path(spark, "kc-ckpt"),
+                                  {"availableNow": True}).awaitTermination()
     return spark.read.parquet(f"{out}/ranges").select("topic", "partition", "from_offset", "until_offset",
                                                       "batch_words")
 

@@ -48,7 +48,8 @@ def batch_counts_with_offsets(path: str):
             words = word_count(b.select("value"))
             total = words.agg(F.coalesce(F.sum("n"), F.lit(0))).scalar()
             distinct = words.agg(F.count(F.lit(1))).scalar()
-            _write_batch(ranges.select("*", total.alias("batch_words"), distinct.alias("batch_distinct_words")),
+            _write_batch(ranges.select("*", total.alias("batch_words"), distinct.alias("batch_distinct_words"),
+                                       F.current_timestamp().alias("batch_time")),
                          f"{path}/ranges", batch_id)
             _write_batch(words, f"{path}/words", batch_id)
         finally:
@@ -63,3 +64,20 @@ def start(stream: DataFrame, fn, checkpoint: str, trigger: dict | None = None, n
         w = w.queryName(name)
     w = w.trigger(**(trigger or {"availableNow": True}))
     return w.start()
+
+
+def stream_word_count(lines: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """W1: word counts of every micro-batch of ``lines`` (no state carried over).
+
+    Default trigger is the reference's 3-second batch interval.
+    """
+    from tessera.streaming.sources import WORD_COUNT_INTERVAL
+    return start(lines.select("value"), batch_word_counts(out_path), checkpoint,
+                 trigger or {"processingTime": WORD_COUNT_INTERVAL}, name="word-count")
+
+
+def stream_counts_with_offsets(records: DataFrame, out_path: str, checkpoint: str, trigger: dict | None = None):
+    """W2: per-batch word counts of Kafka values plus each batch's offset ranges and time."""
+    from tessera.streaming.sources import KAFKA_COUNT_INTERVAL
+    return start(records, batch_counts_with_offsets(out_path), checkpoint,
+                 trigger or {"processingTime": KAFKA_COUNT_INTERVAL}, name="counts-with-offsets")
