@@ -44,7 +44,9 @@ class _IntRangeReader(DataSourceReader):
         opts = {k.lower(): v for k, v in options.items()}
         self.lo = int(opts["from"])
         self.hi = int(opts["to"])
-        self.n = max(1, int(opts.get("numpartitions", 4)))
+        # Default: one partition per ~1M values, at least one.
+        default = max(1, min(100_000, (self.hi - self.lo + 1) // 1_000_000 + 1))
+        self.n = max(1, int(opts.get("numpartitions", default)))
 
     def partitions(self):
         total = max(0, self.hi - self.lo + 1)
@@ -68,4 +70,14 @@ class _IntRangeReader(DataSourceReader):
 
 
 def register(spark: SparkSession) -> None:
+    """Register the ``int_range`` format.
+
+    The classes are pickled by value, so Python workers need not import this
+    package (it may not be on their path, e.g. on a cluster without
+    ``--py-files``); the module depends only on pyspark, numpy and pyarrow.
+    """
+    import sys
+
+    from pyspark import cloudpickle
+    cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(IntRangeDataSource)
