@@ -23,13 +23,27 @@ LOG_APPS = ["Java", "MySQL", "Nginx"]
 KAFKA_TOPIC = "events"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """A driver table.
+
+    With ``spread``, for bindings whose heavy per-row work (tokenising, regex
+    parsing) comes before any shuffle: if the scan yields fewer splits than
+    the session's ``defaultParallelism`` (a parquet file splits by row group,
+    so a small single-row-group file is one task), the rows are dealt
+    round-robin over that many partitions.  Multi-file inputs at scale already
+    have more splits than cores and are left alone.
+    """
+    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+    if spread:
+        want = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < want:
+            df = df.repartition(want)
+    return df
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, line_no, value``: each document's text as lines."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
     return docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "value"))
 
 
@@ -39,7 +53,7 @@ def _log_time(ts: str = "ts"):
 
 def log_lines_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, value``: ``<time> <LEVEL> <props>`` lines from ``events``."""
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     return ev.select("event_id", F.concat_ws(" ", _log_time(), F.upper("event_type"),
                                              F.col("props")).alias("value"))
 
@@ -51,7 +65,7 @@ def log_app(user_id: str = "user_id"):
 
 def log_lines_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, value``: tab-separated ``time, LEVEL, app, props`` lines."""
-    ev = table(spark, sf_dir, "events")
+    ev = table(spark, sf_dir, "events", spread=True)
     return ev.select("event_id", F.concat_ws("\t", _log_time(), F.upper("event_type"),
                                              log_app(), F.col("props")).alias("value"))
 
