@@ -14,26 +14,36 @@ def oracle(name: str, sql: str) -> None:
     ORACLES[name] = sql.strip()
 
 
-DOC_LINES = r"""
+def doc_lines_cte(extra: str = "") -> str:
+    """CTEs ``doc_split``/``doc_lines``: each document's text as lines (plus ``extra`` columns)."""
+    x = f"{extra}, " if extra else ""
+    return rf"""
 doc_split AS (
-  SELECT doc_id,
-         CASE WHEN text = '' THEN []::VARCHAR[]
+  SELECT doc_id, {x}CASE WHEN text = '' THEN []::VARCHAR[]
               ELSE string_split(regexp_replace(text, '\n$', ''), chr(10)) END AS ls
   FROM documents),
 doc_lines AS (
-  SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no, unnest(ls) AS value
+  SELECT doc_id, {x}CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no, unnest(ls) AS value
   FROM doc_split)"""
 
-TOKENS = r"""
+
+def tokens_cte(extra: str = "") -> str:
+    """CTEs ``tok_split``/``doc_tokens``: one row per token of each line."""
+    x = f"{extra}, " if extra else ""
+    return rf"""
 tok_split AS (
-  SELECT doc_id, line_no,
+  SELECT doc_id, {x}line_no,
          CASE WHEN value <> '' AND rtrim(value, ' ') = '' THEN []::VARCHAR[]
               ELSE string_split(rtrim(value, ' '), ' ') END AS ts
   FROM doc_lines),
 doc_tokens AS (
-  SELECT doc_id, line_no, CAST(generate_subscripts(ts, 1) - 1 AS BIGINT) AS pos, unnest(ts) AS word
+  SELECT doc_id, {x}line_no, CAST(generate_subscripts(ts, 1) - 1 AS BIGINT) AS pos, unnest(ts) AS word
   FROM tok_split)"""
 
+
+DOC_LINES = doc_lines_cte()
+TOKENS = tokens_cte()
+
 oracle("read_lines", f"WITH {DOC_LINES} SELECT doc_id, line_no, value FROM doc_lines")
 oracle("tokens", f"WITH {DOC_LINES}, {TOKENS} SELECT doc_id, line_no, pos, word FROM doc_tokens")
 oracle("word_count", f"WITH {DOC_LINES}, {TOKENS} "
@@ -415,15 +425,9 @@ records AS (
 _NTOK = ("len(CASE WHEN value <> '' AND rtrim(value, ' ') = '' THEN []::VARCHAR[] "
          "ELSE string_split(rtrim(value, ' '), ' ') END)")
 
-oracle("stream_word_count", DOC_LINES.replace(
-    "SELECT doc_id,\n         CASE", "SELECT doc_id, source,\n         CASE").replace(
-    "SELECT doc_id, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no",
-    "SELECT doc_id, source, CAST(generate_subscripts(ls, 1) - 1 AS BIGINT) AS line_no").join(["WITH ", ""]) +
-    ", " + TOKENS.replace("SELECT doc_id, line_no,\n         CASE", "SELECT doc_id, source, line_no,\n         CASE")
-    .replace("SELECT doc_id, line_no, CAST(generate_subscripts(ts, 1)", "SELECT doc_id, source, line_no, "
-             "CAST(generate_subscripts(ts, 1)") +
-    " SELECT word, CAST(count(DISTINCT source) AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n "
-    "FROM doc_tokens GROUP BY word")
+oracle("stream_word_count", f"WITH {doc_lines_cte('source')}, {tokens_cte('source')} "
+       "SELECT word, CAST(count(DISTINCT source) AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n "
+       "FROM doc_tokens GROUP BY word")
 oracle("stream_counts_with_offsets", f"WITH {RECORDS}, sl AS (SELECT *, CAST(floor(\"offset\" / 2500) AS BIGINT) AS slice "
        f"FROM records), bw AS (SELECT slice, CAST(sum({_NTOK}) AS BIGINT) AS batch_words FROM sl GROUP BY slice) "
        "SELECT topic, partition, min(\"offset\") AS from_offset, max(\"offset\") + 1 AS until_offset, "

@@ -147,3 +147,52 @@ def test_dimsum_samples_at_scale_and_stays_close(spark):
     assert err < 0.2
     assert appr != pytest.approx(exact)
     assert _sims(S.similarity(r, "spark-appr")) == appr  # repeatable
+
+
+def test_zero_ratings_and_single_item_users(spark):
+    # user 0 owns item 1 with a zero rating and nothing else; user 3 rates one item
+    df = spark.createDataFrame([(0, 1, 0.0), (1, 1, 2.0), (1, 2, 1.0), (2, 1, 1.0), (2, 2, 3.0), (3, 2, 5.0)],
+                               "user_id int, item int, rating double")
+    st = {r["item"]: (r["ss"], r["cnt"]) for r in S.item_stats(df).collect()}
+    assert st == {1: (5.0, 2), 2: (35.0, 3)}  # the zero is not stored
+    pairs = {(r["i"], r["j"]): (r["dot"], r["co"]) for r in S.pair_stats(df).collect()}
+    assert pairs == {(1, 2): (5.0, 2)}
+    llr = _sims(S.similarity(df, "llr"))
+    k11, k12, k21, k22 = 2, 3 - 2, 2 - 2, 4 - 2 - 3 + 2  # n = 4 users, the zero-only one included
+
+    def xlx(x):
+        return 0.0 if x == 0 else x * math.log(x)
+
+    def ent(*xs):
+        return xlx(sum(xs)) - sum(xlx(x) for x in xs)
+    row, col, mat = ent(k11 + k12, k21 + k22), ent(k11 + k21, k12 + k22), ent(k11, k12, k21, k22)
+    assert llr[(1, 2)] == pytest.approx(max(0.0, 2 * (row + col - mat)))
+    # single-item user 3 and equal-rating users give no euclidean entries of their own
+    eu = _sims(S.similarity(df, "euclidean"))
+    assert set(eu) <= {(1, 2), (2, 1)}
+
+
+def test_zero_rated_item_counts_as_owned(spark):
+    train = spark.createDataFrame([(0, 1, 0.0), (0, 2, 1.0)], "user_id int, item int, rating double")
+    nb = spark.createDataFrame([(2, 1, 1.0, 1), (2, 3, 0.5, 2)], "item int, neighbour int, weight double, rank int")
+    users, recs = RC.recommend_score(nb, train, 10)
+    # item 1 has no neighbour list, so it is not recognised as owned and can come back
+    assert [(r["item"], r["score"]) for r in recs.orderBy("rank").collect()] == [(1, 1.0), (3, 0.5)]
+    nb2 = nb.unionByName(spark.createDataFrame([(1, 2, 0.7, 1)], "item int, neighbour int, weight double, rank int"))
+    users, recs = RC.recommend_score(nb2, train, 10)
+    assert [(r["item"], r["score"]) for r in recs.collect()] == [(3, 0.5)]  # zero-rated item 1 is owned
+
+
+def test_als_directions(spark):
+    rows = [(u, i, float(1 + (u * 7 + i * 3) % 5)) for u in range(6) for i in range(8) if (u + i) % 3 != 0]
+    train = spark.createDataFrame(rows, "user_id int, item int, rating double")
+    users, recs = RC.recommend_als(train, 3, "user-product")
+    got = recs.collect()
+    assert {r["user_id"] for r in got} == set(range(6))
+    assert all(r["rank"] in (1, 2, 3) for r in got)
+    owned = {(u, i) for u, i, _ in rows}
+    assert any((r["user_id"], r["item"]) in owned for r in got)  # owned items are not removed
+    users2, recs2 = RC.recommend_als(train, 3, "product-user")
+    assert recs2.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 3
+    with pytest.raises(ValueError):
+        RC.recommend_als(train, 3, "sideways")
