@@ -137,8 +137,8 @@ def _nb(spark, sf, method="cosine", train=None):
     return materialize(S.top_neighbours(S.similarity(train, method), NUM_NEIGHBOURS), "neighbours")
 
 
-def _recs(spark, sf, how):
-    train = _train(spark, sf)
+def _recs(spark, sf, how, train=None):
+    train = train if train is not None else _train(spark, sf)
     nb = _nb(spark, sf, train=train)
     if how == "score":
         return RC.recommend_score(nb, train, NUM_RECS)
@@ -264,20 +264,22 @@ def _metric_cols(df):
 @query
 def q_eval_precision(spark, sf):
     train, test = _split(spark, sf)
-    users, recs = _recs(spark, sf, "weighted-sum")
+    users, recs = _recs(spark, sf, "weighted-sum", train=train)
     return _metric_cols(EV.precision_recall(test, users, recs))
 
 
 @query
 def q_eval_coverage(spark, sf):
-    users, recs = _recs(spark, sf, "weighted-sum")
-    return _metric_cols(EV.coverage(_train(spark, sf), recs))
+    train = _train(spark, sf)
+    users, recs = _recs(spark, sf, "weighted-sum", train=train)
+    return _metric_cols(EV.coverage(train, recs))
 
 
 @query
 def q_eval_popularity(spark, sf):
-    users, recs = _recs(spark, sf, "weighted-sum")
-    return _metric_cols(EV.popularity(_train(spark, sf), recs))
+    train = _train(spark, sf)
+    users, recs = _recs(spark, sf, "weighted-sum", train=train)
+    return _metric_cols(EV.popularity(train, recs))
 
 
 @query
