@@ -17,7 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.session import scratch_path
+from tessera.session import materialize, scratch_path
 
 RESET = 0.15
 # Steps chained into one job between table writes (each step's change is still observed).
@@ -98,6 +98,8 @@ def _step(ranks: DataFrame, we: DataFrame, reset_term, reset: float) -> DataFram
 def _run(edges: DataFrame, vertices: DataFrame | None, source, tol: float | None,
          iterations: int | None, reset: float, edge_chunk: int = EDGE_CHUNK) -> DataFrame:
     spark = edges.sparkSession
+    # Degrees, weighted edges and the vertex set all read the edge list: write it once.
+    edges = materialize(edges.select("src", "dst"), "edges")
     we, chunks = _weighted_edges(edges, edge_chunk)
     verts = (graph_vertices(edges, vertices).join(chunks, "id", "left")
              .select("id", F.coalesce(F.col("_nc"), F.lit(1)).alias("_nc"))

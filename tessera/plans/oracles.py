@@ -289,7 +289,7 @@ g_edges AS (SELECT "user" AS src, item AS dst FROM bip_rel UNION ALL SELECT item
 
 ORDER_EDGES = r"""
 g_edges AS (
-  SELECT o.o_custkey AS src, -l.l_suppkey AS dst FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
+  SELECT o.o_custkey AS src, -(l.l_suppkey + 1) AS dst FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
 PPR_SOURCE = "(SELECT -(min(user_id) + 1) FROM events)"
 

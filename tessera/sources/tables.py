@@ -115,11 +115,15 @@ def bipartite_relation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def order_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Directed customer -> supplier edges, one per line item; suppliers are sinks."""
+    """Directed customer -> supplier edges, one per line item; suppliers are sinks.
+
+    Customers keep their keys (>= 0); supplier ``k`` is vertex ``-(k + 1)``, so
+    the two id ranges cannot meet (key 0 exists on both sides).
+    """
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey")
     return li.join(o, li.l_orderkey == o.o_orderkey).select(
-        F.col("o_custkey").alias("src"), (-F.col("l_suppkey")).alias("dst"))
+        F.col("o_custkey").alias("src"), (-(F.col("l_suppkey") + 1)).alias("dst"))
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
