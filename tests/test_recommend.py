@@ -196,3 +196,14 @@ def test_als_directions(spark):
     assert recs2.groupBy("user_id").count().agg(F.max("count")).first()[0] <= 3
     with pytest.raises(ValueError):
         RC.recommend_als(train, 3, "sideways")
+
+
+def test_column_similarities_matrix_fixture(spark):
+    entries = [(0, 0, 1.0), (0, 1, 2.0), (0, 2, 3.0), (1, 1, 1.0), (1, 2, 2.0), (5, 0, 4.0)]
+    df = spark.createDataFrame(entries, "user_id int, item int, rating double")
+    got = _sims(S.similarity(df, "spark"))
+    assert got == pytest.approx({(0, 1): 0.216930, (0, 2): 0.201802, (1, 2): 0.992278}, abs=1e-6)
+    dup = spark.createDataFrame(entries + [(0, 0, 2.0)], "user_id int, item int, rating double")
+    assert [(r["user_id"], r["item"]) for r in RT.check_unique(dup, ("user_id", "item")).collect()] == [(0, 0)]
+    summed = RT.group_ratings(dup, "user_id", "item", "rating")
+    assert summed.where("user_id = 0 AND item = 0").first()["rating"] == 3.0
