@@ -83,3 +83,11 @@ def test_resume_options_from_ledger(spark):
     assert XO.resume_options(spark, url, "t") == ('{"t": [0, 1]}', '{"t": {"0": 7, "1": 40}}')
     opts = kafka_options("b:9092", assign='{"t": [0, 1]}', starting_offsets='{"t": {"0": 7, "1": 40}}')
     assert "subscribe" not in opts and opts["failOnDataLoss"] == "true"
+
+
+def test_batch_without_errors_still_moves_the_ledger(spark):
+    url = J.derby_memory_url()
+    XO.create_tables(spark, url)
+    assert XO.commit_batch(spark, url, _records(spark, 3, 0, 3, ["2014-12-11 18:33:52 INFO a", "junk"]))
+    assert XO.read_results(spark, url).count() == 0
+    assert [tuple(r) for r in XO.read_ledger_table(spark, url).collect()] == [("t", 3, 3)]
