@@ -45,3 +45,19 @@ def test_pairs_and_cosine_match_brute_force(spark, rows, chunk):
         assert math.isclose(cos[(i, j)], want, rel_tol=1e-9) and math.isclose(cos[(j, i)], want, rel_tol=1e-9)
         assert -1e-12 <= cos[(i, j)] <= 1 + 1e-12
     assert len(cos) == 2 * len(dot)
+
+
+def test_hot_user_is_split_into_bounded_chunks(spark):
+    from pyspark.sql import functions as F
+    # user 0 rates 400 items (the hot key), 20 other users rate 3 items each
+    rows = [(0, i, 1.0 + i % 3) for i in range(400)] + [(u, i, 1.0) for u in range(1, 21) for i in range(3)]
+    e = spark.createDataFrame(rows, "u int, i long, v double")
+    c = S.chunked(e, chunk=32)
+    hot = c.where("u = 0")
+    assert hot.select("_nc").distinct().first()[0] == 13  # ceil(400 / 32)
+    sizes = [r["n"] for r in hot.groupBy("_c").agg(F.count(F.lit(1)).alias("n")).collect()]
+    assert len(sizes) == 13 and max(sizes) <= 2 * 32  # no chunk far above the bound
+    # and the blocked pairs still equal the brute-force pair set of the hot user
+    pairs = S.pair_stats(e.withColumnRenamed("u", "user_id").withColumnRenamed("i", "item")
+                         .withColumnRenamed("v", "rating"), chunk=32)
+    assert pairs.where("co >= 1").count() == 400 * 399 // 2
