@@ -12,9 +12,27 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tessera.functions.text import text_lines
+from tessera.operators import common as C
+from tessera.operators import evaluate as EV
+from tessera.operators import fit as FT
+from tessera.operators import graph as G
+from tessera.operators import logs as L
+from tessera.operators import ratings as RT
+from tessera.operators import recommend as RC
+from tessera.operators import similarity as S
 from tessera.operators import text as T
-from tessera.session import materialize
+from tessera.plans.recommender import run_recommender
+from tessera.session import materialize, scratch_path
+from tessera.sinks import files as FS
+from tessera.sinks import upsert as U
+from tessera.sources import int_range as IR
+from tessera.sources import jdbc as J
 from tessera.sources import tables as B
+from tessera.sources.text import edges_from_lines
+from tessera.streaming import batches as SB
+from tessera.streaming import exactly_once as XO
+from tessera.streaming import sources as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -50,7 +68,6 @@ def q_word_count(spark, sf):
 
 # --- logs -----------------------------------------------------------------
 
-from tessera.operators import logs as L  # noqa: E402
 
 _LOG_COLS = ("event_id", "ts", "level", "app", "message")
 
@@ -103,11 +120,6 @@ def q_errors_per_minute(spark, sf):
 
 # --- ratings, similarity, recommendation, evaluation ------------------------
 
-from tessera.operators import common as C  # noqa: E402
-from tessera.operators import evaluate as EV  # noqa: E402
-from tessera.operators import ratings as RT  # noqa: E402
-from tessera.operators import recommend as RC  # noqa: E402
-from tessera.operators import similarity as S  # noqa: E402
 
 SPLIT_SEED = 913
 NUM_NEIGHBOURS = 50
@@ -290,8 +302,6 @@ def q_matrix_mae(spark, sf):
 
 # --- graph ----------------------------------------------------------------
 
-from tessera.operators import graph as G  # noqa: E402
-from tessera.sources.text import edges_from_lines  # noqa: E402
 
 CONVERGED_TOL = 1e-10
 PPR_ITERATIONS = 20
@@ -367,7 +377,6 @@ def q_ppr_items(spark, sf):
 
 # --- iterative fitting ------------------------------------------------------
 
-from tessera.operators import fit as FT  # noqa: E402
 
 KMEANS_K = 5
 KMEANS_STEPS = 5
@@ -426,11 +435,6 @@ def q_logistic_steps(spark, sf):
 
 # --- sources and sinks: JDBC, ranges, files, upserts ------------------------
 
-from tessera.session import scratch_path  # noqa: E402
-from tessera.sinks import files as FS  # noqa: E402
-from tessera.sinks import upsert as U  # noqa: E402
-from tessera.sources import int_range as IR  # noqa: E402
-from tessera.sources import jdbc as J  # noqa: E402
 
 _SUP_COLS = ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
 Q1_NATION = 7
@@ -534,10 +538,6 @@ def q_write_tsv_roundtrip(spark, sf):
 
 # --- streaming --------------------------------------------------------------
 
-from tessera.functions.text import text_lines  # noqa: E402
-from tessera.streaming import batches as SB  # noqa: E402
-from tessera.streaming import exactly_once as XO  # noqa: E402
-from tessera.streaming import sources as SS  # noqa: E402
 
 OFFSET_SLICE = 2500
 
@@ -618,8 +618,6 @@ def q_ledger_start_offsets(spark, sf):
 
 # --- recommender run and ALS ------------------------------------------------
 
-from tessera.plans.recommender import run_recommender  # noqa: E402
-
 
 @query
 def q_recommender_run(spark, sf):
