@@ -48,6 +48,20 @@ def graph_vertices(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
     return v.distinct()
 
 
+EDGES_PER_PARTITION = 2_000_000
+
+
+def _edge_partitions(edges: DataFrame) -> int:
+    """Partitions of the persisted edge table: ~2M edges each, between the core
+    count and ``spark.sql.shuffle.partitions`` (a small graph should not pay
+    hundreds of tasks per step; a large one gets the configured width)."""
+    spark = edges.sparkSession
+    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    need = -(-edges.count() // EDGES_PER_PARTITION)
+    return max(1, min(cap, max(cores, need)))
+
+
 def _weighted_edges(edges: DataFrame, edge_chunk: int = EDGE_CHUNK) -> tuple[DataFrame, DataFrame]:
     """``(edges, chunks)``: ``src, dst, w = 1/outdeg(src), _salt`` kept for the loop,
     and ``id, _nc`` (number of salts) for vertices with out-edges.
@@ -60,7 +74,7 @@ def _weighted_edges(edges: DataFrame, edge_chunk: int = EDGE_CHUNK) -> tuple[Dat
     salt and the plan is the plain one.
     """
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    n = int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = _edge_partitions(edges)
     nc = F.ceil(F.col("_deg") / F.lit(edge_chunk)).cast("int")
     # Any salt in [0, nc) is correct (every salt of a vertex gets its rank), so
     # a seeded random draw is fine even if a lost partition recomputes it.
