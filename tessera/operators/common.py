@@ -106,3 +106,28 @@ def top_k(df: DataFrame, group: str | Sequence[str], order: Sequence[Column], k:
 def score_order(score: str, *ids: str) -> list[Column]:
     """Descending score rounded to 9 places, then ascending ids: a repeatable tie rule."""
     return [F.round(F.col(score), 9).desc(), *[F.col(i).asc() for i in ids]]
+
+
+def next_in_group(df: DataFrame, group: Sequence[str], order: Sequence[str], values: Sequence[str],
+                  prefix: str = "next_") -> DataFrame:
+    """``df`` plus the ``values`` of the next row of the same group in ``order`` (NULL for the last).
+
+    The same answer as ``lead()`` over ``partitionBy(group).orderBy(order)``,
+    without a per-group window (which puts a whole group in one task): rows
+    get a dense global position in (group, order) order (``dense_number``),
+    and each row is joined to the row at position + 1 when it belongs to the
+    same group.  The join key is the unique position, so no key is hot.
+    ``order`` must make rows unique within a group.
+    """
+    group, order, values = list(group), list(order), list(values)
+    numbered = dense_number(df, order, (), "_pos") if not group else dense_number(df, [*group, *order], (), "_pos")
+    nxt = numbered.select((F.col("_pos") - 1).alias("_pos"), *[F.col(g).alias(f"_g_{g}") for g in group],
+                          *[F.col(v).alias(f"{prefix}{v}") for v in values])
+    same = None
+    for g in group:
+        cond = F.col(g) == F.col(f"_g_{g}")
+        same = cond if same is None else same & cond
+    joined = numbered.join(nxt, "_pos", "left")
+    out = [F.when(same, F.col(f"{prefix}{v}")).alias(f"{prefix}{v}") if same is not None else F.col(f"{prefix}{v}")
+           for v in values]
+    return joined.select(*df.columns, *out)

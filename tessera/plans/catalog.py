@@ -343,6 +343,16 @@ def q_pagerank(spark, sf):
     return _ranks_out(G.pagerank(_bip_edges(spark, sf), tol=CONVERGED_TOL))
 
 
+@query
+def q_next_item_edges(spark, sf):
+    return B.next_item_edges(spark, sf)
+
+
+@query
+def q_pagerank_next_item(spark, sf):
+    return _ranks_out(G.pagerank(B.next_item_edges(spark, sf), tol=CONVERGED_TOL))
+
+
 @query
 def q_pagerank_sinks(spark, sf):
     return _ranks_out(G.pagerank(B.order_edges(spark, sf), tol=CONVERGED_TOL))

@@ -291,6 +291,11 @@ ORDER_EDGES = r"""
 g_edges AS (
   SELECT o.o_custkey AS src, -(l.l_suppkey + 1) AS dst FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey)"""
 
+NEXT_ITEM_EDGES = r"""
+ev_k AS (SELECT user_id, ts, event_id, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events),
+ev_next AS (SELECT k AS src, lead(k) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS dst FROM ev_k),
+g_edges AS (SELECT src, dst FROM ev_next WHERE dst IS NOT NULL)"""
+
 PPR_SOURCE = "(SELECT -(min(user_id) + 1) FROM events)"
 
 # Iteration counts of the unrolled oracles: a fixed count for the static
@@ -327,6 +332,8 @@ oracle("edge_list", f"WITH {ORDER_EDGES} SELECT src, dst FROM g_edges")
 oracle("parse_users", "SELECT c_custkey AS id, c_name AS handle FROM customer")
 oracle("pagerank", unrolled_ranks(BIP_EDGES, UNROLL_CONVERGED, None) + " " + _RANK_OUT)
 oracle("pagerank_sinks", unrolled_ranks(ORDER_EDGES, 40, None) + " " + _RANK_OUT)
+oracle("next_item_edges", f"WITH {NEXT_ITEM_EDGES} SELECT src, dst FROM g_edges")
+oracle("pagerank_next_item", unrolled_ranks(NEXT_ITEM_EDGES, UNROLL_CONVERGED, None) + " " + _RANK_OUT)
 oracle("pagerank_named", unrolled_ranks(ORDER_EDGES, 40, None) +
        f" SELECT c.c_name AS handle, {r6('r.rank')} AS rank FROM ranks r JOIN customer c ON r.id = c.c_custkey")
 oracle("ppr_static", unrolled_ranks(BIP_EDGES, 20, PPR_SOURCE) + " " + _RANK_OUT)

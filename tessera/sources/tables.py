@@ -165,3 +165,16 @@ def with_dense_offsets(df: DataFrame) -> DataFrame:
     numbered = dense_number(df, ["event_id"], ["topic", "partition"], "offset")
     return numbered.select("topic", "partition", F.col("offset").cast("bigint").alias("offset"),
                            "event_id", "key", "value")
+
+
+def next_item_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``src, dst``: each event's item to the same user's next event's item, by (ts, event_id).
+
+    Repeated edges are kept.  Built with ``next_in_group`` (a lead without a
+    per-user window), so one very active user is never a single task.
+    """
+    from tessera.operators.common import next_in_group
+    ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_id",
+                                               event_item().cast("bigint").alias("k"))
+    nxt = next_in_group(ev, ["user_id"], ["ts", "event_id"], ["k"])
+    return nxt.where(F.col("next_k").isNotNull()).select(F.col("k").alias("src"), F.col("next_k").alias("dst"))

@@ -61,3 +61,18 @@ def test_hot_user_is_split_into_bounded_chunks(spark):
     pairs = S.pair_stats(e.withColumnRenamed("u", "user_id").withColumnRenamed("i", "item")
                          .withColumnRenamed("v", "rating"), chunk=32)
     assert pairs.where("co >= 1").count() == 400 * 399 // 2
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.integers(0, 9)), min_size=1, max_size=40,
+                     unique_by=lambda t: (t[0], t[1])))
+def test_next_in_group_equals_lead(spark, rows):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    from tessera.operators.common import next_in_group
+    df = spark.createDataFrame(rows, "g int, t int, v int")
+    got = sorted(tuple(r) for r in next_in_group(df, ["g"], ["t"], ["v"]).collect())
+    w = Window.partitionBy("g").orderBy("t")
+    want = sorted(tuple(r) for r in df.select("g", "t", "v", F.lead("v").over(w).alias("next_v")).collect())
+    assert got == want
