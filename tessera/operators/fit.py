@@ -89,8 +89,9 @@ def kmeans(points: DataFrame, k: int, converge_dist: float, centers: list[list[f
         step += 1
         if moved <= converge_dist or (max_iterations is not None and step >= max_iterations):
             break
-    result = assign(pts, centers, x)
-    return centers, result
+    pts.unpersist()
+    # The returned assignment is lazy and re-reads the points from their source.
+    return centers, assign(points, centers, x)
 
 
 def logistic_gradient(points: DataFrame, w: list[float], x: str = "x", y: str = "y") -> DataFrame:
@@ -118,6 +119,8 @@ def logistic_gd(points: DataFrame, d: int, iterations: int, w0: list[float] | No
         return pts.limit(1).select(F.explode(F.arrays_zip(
             F.sequence(F.lit(0), F.lit(d - 1)).alias("pos"), lit_vector(w).alias("weight"))).alias("_z")) \
             .select("_z.pos", "_z.weight")
-    g = logistic_gradient(pts, w, x, y)
+    pts.unpersist()
+    # The last step stays lazy and re-reads the points from their source.
+    g = logistic_gradient(points.select(x, y), w, x, y)
     final = F.array(*[F.lit(w[i]) - F.col(f"g{i}") for i in range(d)])
     return g.select(F.posexplode(final).alias("pos", "weight"))
