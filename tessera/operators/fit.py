@@ -110,15 +110,13 @@ def logistic_gd(points: DataFrame, d: int, iterations: int, w0: list[float] | No
     ``iterations - 1`` steps bring d numbers to the driver each; the last
     step stays a lazy aggregate.
     """
-    pts = points.select(x, y).persist(StorageLevel.MEMORY_AND_DISK)
     w = list(w0) if w0 is not None else start_weights(d, seed)
+    if iterations <= 0:  # no step: the start weights themselves (d numbers)
+        return points.sparkSession.createDataFrame(list(enumerate(w)), "pos int, weight double")
+    pts = points.select(x, y).persist(StorageLevel.MEMORY_AND_DISK)
     for _ in range(iterations - 1):
         g = logistic_gradient(pts, w, x, y).first()
         w = [w[i] - g[f"g{i}"] for i in range(d)]
-    if iterations <= 0:
-        return pts.limit(1).select(F.explode(F.arrays_zip(
-            F.sequence(F.lit(0), F.lit(d - 1)).alias("pos"), lit_vector(w).alias("weight"))).alias("_z")) \
-            .select("_z.pos", "_z.weight")
     pts.unpersist()
     # The last step stays lazy and re-reads the points from their source.
     g = logistic_gradient(points.select(x, y), w, x, y)

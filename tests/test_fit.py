@@ -45,3 +45,9 @@ def test_sample_k_is_repeatable(spark):
     a = [r["id"] for r in FT.sample_k(df, 5).collect()]
     b = [r["id"] for r in FT.sample_k(df.repartition(7), 5).collect()]
     assert a == b and len(set(a)) == 5
+
+
+def test_logistic_zero_iterations_returns_start_weights(spark):
+    pts = FT.parse_points(lines(spark, "1 1.0 0.0"), 2)
+    got = sorted(tuple(r) for r in FT.logistic_gd(pts, 2, 0, w0=[0.25, -0.5]).collect())
+    assert got == [(0, 0.25), (1, -0.5)]
