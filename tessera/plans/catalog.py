@@ -552,12 +552,23 @@ def q_write_tsv_roundtrip(spark, sf):
 OFFSET_SLICE = 2500
 
 
+def _doc_batches(n_docs: int) -> int:
+    """Micro-batches of the replayed document stream: 20, or more so each holds ~500 documents."""
+    return max(20, n_docs // 500)
+
+
 def _doc_line_files(spark, sf):
-    """Document lines as text files, one file per document source (one micro-batch each)."""
+    """Document lines as text files, one folder (and file) per micro-batch.
+
+    Documents are dealt to batches by ``doc_id mod B`` rather than by their
+    ``source`` column: a source may hold a third of all documents, and one
+    file per source would be written by one task.
+    """
     path = scratch_path(spark, "doc-lines")
-    docs = B.table(spark, sf, "documents").select("source", "text")
-    lines = docs.select("source", F.explode(text_lines("text")).alias("value"))
-    lines.repartition("source").write.partitionBy("source").text(path)
+    docs = B.table(spark, sf, "documents").select("doc_id", "text")
+    n = _doc_batches(docs.count())
+    lines = docs.select(F.pmod("doc_id", F.lit(n)).alias("batch"), F.explode(text_lines("text")).alias("value"))
+    lines.repartition("batch").write.partitionBy("batch").text(path)
     return path
 
 

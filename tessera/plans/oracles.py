@@ -432,8 +432,9 @@ records AS (
 _NTOK = ("len(CASE WHEN value <> '' AND rtrim(value, ' ') = '' THEN []::VARCHAR[] "
          "ELSE string_split(rtrim(value, ' '), ' ') END)")
 
-oracle("stream_word_count", f"WITH {doc_lines_cte('source')}, {tokens_cte('source')} "
-       "SELECT word, CAST(count(DISTINCT source) AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n "
+oracle("stream_word_count", f"WITH {doc_lines_cte('doc_id % greatest(20, (SELECT count(*) FROM documents) // 500) AS batch')}, "
+       f"{tokens_cte('batch')} "
+       "SELECT word, CAST(count(DISTINCT batch) AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n "
        "FROM doc_tokens GROUP BY word")
 oracle("stream_counts_with_offsets", f"WITH {RECORDS}, sl AS (SELECT *, CAST(floor(\"offset\" / 2500) AS BIGINT) AS slice "
        f"FROM records), bw AS (SELECT slice, CAST(sum({_NTOK}) AS BIGINT) AS batch_words FROM sl GROUP BY slice) "
