@@ -76,3 +76,23 @@ def test_next_in_group_equals_lead(spark, rows):
     w = Window.partitionBy("g").orderBy("t")
     want = sorted(tuple(r) for r in df.select("g", "t", "v", F.lead("v").over(w).alias("next_v")).collect())
     assert got == want
+
+
+def _java_split_space(s):
+    if s == "":
+        return [""]
+    parts = s.split(" ")
+    while parts and parts[-1] == "":
+        parts.pop()
+    return parts
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(texts=st.lists(st.text(alphabet="ab ", max_size=8), min_size=1, max_size=12))
+def test_tokens_follow_java_split(spark, texts):
+    from pyspark.sql import functions as F
+
+    from tessera.functions.text import tokens
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, value string")
+    got = {r["i"]: list(r["t"]) for r in df.select("i", tokens(F.col("value")).alias("t")).collect()}
+    assert got == {i: _java_split_space(t) for i, t in enumerate(texts)}
