@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tessera.llm import mixing, quality_rules
+from tessera.llm import dartminhash, importance, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,4 +25,12 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules)}
+def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dartminhash.near_duplicates(read(spark, sf_dir, "documents")).drop("s1", "s2")
+
+
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
+
+
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules, op9_near_duplicates, op10_quality_classifier)}
