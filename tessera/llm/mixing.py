@@ -27,7 +27,7 @@ from tessera.session import materialize
 WORD = r"[^\x20\x09-\x0D]+"
 WEIGHTS = (5.0, 2.0, 1.0)
 MAX_EPOCHS = 3
-ROWS_PER_BIN = 20_000
+ROWS_PER_BIN = 2_000
 #: Quality weight of a document by its label; unlabelled documents lie between.
 LABEL_WEIGHTS = {1: 4.0, 0: 1.0}
 UNLABELLED = 2.0

@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tessera.llm import dartminhash, importance, mixing, quality_rules
+from tessera.llm import dartminhash, importance, line_dedup, mixing, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -25,6 +26,11 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_verdicts(read(spark, sf_dir, "documents")) \
+        .select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed_lines"))
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(read(spark, sf_dir, "documents")).drop("s1", "s2")
 
@@ -33,4 +39,4 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules, op9_near_duplicates, op10_quality_classifier)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules, op7_line_dedup, op9_near_duplicates, op10_quality_classifier)}
