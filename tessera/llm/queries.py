@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import dartminhash, importance, line_dedup, mixing, quality_rules
+from tessera.llm import dartminhash, importance, line_dedup, mixing, quality_rules, substring_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -31,6 +31,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "n_lines", F.size("removed").cast("long").alias("n_removed"), F.array_join("removed", ",").alias("removed_lines"))
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(read(spark, sf_dir, "documents"), digest=True)
+
+
 def op9_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dartminhash.near_duplicates(read(spark, sf_dir, "documents")).drop("s1", "s2")
 
@@ -39,4 +43,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules, op7_line_dedup, op9_near_duplicates, op10_quality_classifier)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
+                                                   op9_near_duplicates, op10_quality_classifier)}
