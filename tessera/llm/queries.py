@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import dartminhash, importance, line_dedup, mixing, quality_rules, substring_dedup
+from tessera.llm import dartminhash, importance, line_dedup, mixing, quality_rules, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -22,6 +22,10 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
         .select("doc_id", "size", "source_size", "target", "taken", "source")
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
@@ -43,5 +47,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
+QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op4_toxicity, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
                                                    op9_near_duplicates, op10_quality_classifier)}
