@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import dartminhash, importance, line_dedup, mixing, quality_rules, substring_dedup, toxicity
+from tessera.llm import dartminhash, importance, line_dedup, mixing, pii, quality_rules, sentencepiece, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece.encode(read(spark, sf_dir, "documents"), sentencepiece.model_content(spark, f"file://{sentencepiece.MODEL}"))
+
+
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents")
     return mixing.mix(docs, mixing.label_weights(docs, read(spark, sf_dir, "labels"))) \
@@ -26,6 +30,10 @@ def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonyms(read(spark, sf_dir, "documents"), pii.DEMO_KEY)
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(read(spark, sf_dir, "documents"))
 
@@ -47,5 +55,6 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op3_mix_sources, op4_toxicity, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
-                                                   op9_near_duplicates, op10_quality_classifier)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op2_sentencepiece, op3_mix_sources, op4_toxicity, op5_pii, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
+    op9_near_duplicates, op10_quality_classifier)}
