@@ -9,9 +9,10 @@ of their weighted Jaccard similarity.  128 coordinates in 32 bands of 4 miss a p
 probability of 5e-8.  Candidates are verified on whole shingle sets.
 
 Documents are first reduced to classes of equal word sequences.  In a band's bucket every class is
-compared with the least (a star), the verified links are joined to components, and then all pairs of a
+compared with a leader (a star), the verified links are joined to components, and then the pairs of a
 bucket that lie in different components are compared, so no link between different texts is lost,
-and a large group of near copies isn't multiplied with itself.
+and a large group of near copies isn't multiplied with itself.  Pairs that cannot reach the threshold
+are left out exactly: by their sizes, and because strips that no other set has can't be shared.
 
 Texts of one to four words are one shingle; null and wordless texts are a class of their own row each.
 Repeated rows are one class.  A class is named by the least doc_id in it (null if all are null).
@@ -26,11 +27,14 @@ from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from tessera.llm.components import connected_components
+from tessera.llm.sizes import small
 from tessera.llm.words import Chunk, U, chunks, lists, mix, occurrences, signed, spans_hash
 from tessera.session import materialize
 
 K, BANDS, SHINGLE = 128, 32, 5
 THRESHOLD = 0.8
+#: Rows (of three longs) of a lookup table that may be broadcast.
+MAX_BROADCAST = 300_000
 
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate([[1.0], np.arange(1, 16)])))
 
@@ -137,8 +141,33 @@ def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     return both.where(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b")
 
 
-def _similar_size(a: str, b: str, threshold: float) -> Column:
-    return F.least(a, b) >= threshold * F.greatest(a, b) - F.lit(1e-9)
+def _possible(n: str, shared: str, m: str, other: str, threshold: float) -> Column:
+    """Whether two sets can be similar, by their sizes and the strips that they share with any other."""
+    sizes = F.least(n, m) >= threshold * F.greatest(n, m) - F.lit(1e-9)
+    return sizes & (F.least(shared, other) >= threshold / (1 + threshold) * (F.col(n) + F.col(m)) - F.lit(1e-9))
+
+
+def _shared(sets: DataFrame) -> DataFrame:
+    """``node, shared``: how many strips of a node are in another set as well: no pair can share more."""
+    once = sets.select("node", F.explode("ids").alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"), F.min("node").alias("node")).where("n = 1")
+    own = once.groupBy("node").agg(F.count(F.lit(1)).alias("own"))
+    return sets.select("node", F.size("ids").alias("n")).join(own, "node", "left") \
+        .select("node", (F.col("n") - F.coalesce("own", F.lit(0))).alias("shared"))
+
+
+def _members(banded: DataFrame) -> DataFrame:
+    """``key, node, weight, leader`` of buckets with more than one class.
+
+    The leader is the member that meets the most others over all bands: in a group of copies of one
+    text it is likely that text, to which most copies are near.
+    """
+    sizes = materialize(banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "buckets")
+    crowded = materialize(banded.join(sizes, "key"), "crowded")
+    met = crowded.groupBy("node").agg(F.sum("n").alias("met"))
+    ranked = materialize(crowded.drop("n").join(met, "node"), "ranked")
+    first = F.max(F.struct(F.col("met"), (-F.col("node")).alias("node"))).alias("first")
+    leaders = materialize(ranked.groupBy("key").agg(first).select("key", (-F.col("first.node")).alias("leader")), "leaders")
+    return ranked.drop("met").join(leaders, "key")
 
 
 def with_sequence(docs: DataFrame) -> DataFrame:
@@ -165,18 +194,15 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     copies = materialize(words.groupBy("s1", "s2").agg(F.min("rid").alias("node"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "copies")
     named = materialize(sig.join(copies, ["s1", "s2"], "left").withColumn("node", F.coalesce(F.when(F.col("n_words") > 0, F.col("node")), "rid")), "named")
     reps = named.where("node = rid AND n_words > 0")
-    banded = reps.select("node", "weight", F.explode("bands").alias("key"))
-    least = F.min(F.struct("node", "weight")).alias("least")
-    buckets = banded.groupBy("key").agg(least, F.count(F.lit(1)).alias("n")).where("n > 1")
-    buckets = materialize(buckets.select("key", F.col("least.node").alias("least"), F.col("least.weight").alias("least_weight")), "buckets")
-    members = materialize(banded.join(buckets, "key"), "members")
-    star = members.where((F.col("node") != F.col("least")) & _similar_size("weight", "least_weight", threshold)) \
-        .select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
-    star = materialize(star, "pairs")
+    members = materialize(_members(reps.select("node", "weight", F.explode("bands").alias("key"))), "members")
     needed = reps.join(members.select("node").distinct(), "node", "left_semi").select("node", "s1", "s2")
     texts = docs.select(F.col("text").cast("string").alias("text")).mapInArrow(_packed, "s1 long, s2 long, packed binary")
-    found = texts.join(needed, ["s1", "s2"]).select("node", "packed").dropDuplicates(["node"])
+    found = texts.join(small(materialize(needed, "needed"), MAX_BROADCAST), ["s1", "s2"]).select("node", "packed").dropDuplicates(["node"])
     sets = materialize(found.mapInArrow(_sets, "node long, ids array<long>"), "sets")
+    members = materialize(members.join(_shared(sets), "node"), "members")
+    leads = members.where("node = leader").select("key", F.col("weight").alias("lead_weight"), F.col("shared").alias("lead_shared"))
+    near = members.join(leads, "key").where((F.col("node") != F.col("leader")) & _possible("weight", "shared", "lead_weight", "lead_shared", threshold))
+    star = materialize(near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "pairs")
     links = materialize(verified(star, sets, threshold), "links")
     comps = connected_components(links)
     cross = _cross_pairs(members, comps, threshold)
@@ -199,14 +225,14 @@ def _cross_pairs(members: DataFrame, comps: DataFrame, threshold: float) -> Data
     Of each bucket with more than one component, the members outside its largest component are
     joined with the members of the other components, so a large component isn't joined with itself.
     """
-    labelled = members.join(comps, "node", "left").select("key", "node", "weight", F.coalesce("comp", "node").alias("comp"))
+    labelled = members.join(comps, "node", "left").select("key", "node", "weight", "shared", F.coalesce("comp", "node").alias("comp"))
     labelled = materialize(labelled, "labelled")
     parts = labelled.groupBy("key", "comp").count()
     main = parts.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1") \
         .select("key", F.col("m.comp").alias("main"))
     mixed = materialize(labelled.join(main, "key"), "mixed")
-    rest = mixed.where("comp != main").select("key", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("comp").alias("pc"))
-    pairs = rest.join(mixed, "key").where((F.col("pc") != F.col("comp")) & _similar_size("pw", "weight", threshold))
+    rest = mixed.where("comp != main").select("key", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("shared").alias("ps"), F.col("comp").alias("pc"))
+    pairs = rest.join(mixed, "key").where((F.col("pc") != F.col("comp")) & _possible("pw", "ps", "weight", "shared", threshold))
     return materialize(pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct(), "cross")
 
 
