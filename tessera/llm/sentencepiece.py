@@ -226,14 +226,9 @@ class Transducer:
     def path(self, part: str) -> tuple[int, ...]:
         """The ids along the shortest path through the lattice of a part."""
         out: list[int] = []
-        unknown = False
         for piece in (self._bpe_path if self.bpe else self._unigram_path)(part):
             i = self.ids.get(piece)
-            if i is not None:
-                out.append(i)
-            elif self.bytes or not unknown:
-                out += self._fallback(piece)
-            unknown = i is None
+            out += (i,) if i is not None else self._fallback(piece)
         return tuple(out)
 
     def _part(self, part: str) -> tuple[int, ...]:
@@ -255,6 +250,8 @@ class Transducer:
                 found = self._part(part)
                 get = self._young.get
             add(found)
+        if not self.bytes:  # a run of unknown characters is one unknown piece
+            out = [i for at, i in enumerate(out) if i != self.unknown or not at or out[at - 1] != i]
         return out
 
     def decode(self, ids: list[int]) -> str:
