@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import dartminhash, importance, line_dedup, mixing, pii, quality_rules, sentencepiece, substring_dedup, toxicity
+from tessera.llm import dartminhash, importance, line_dedup, mixing, nearest, pii, quality_rules, sentencepiece, substring_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -16,6 +16,10 @@ def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest.neighbours(read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece.encode(read(spark, sf_dir, "documents"), sentencepiece.model_content(spark, f"file://{sentencepiece.MODEL}"))
 
@@ -56,5 +60,5 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op2_sentencepiece, op3_mix_sources, op4_toxicity, op5_pii, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
+    op1_nearest, op2_sentencepiece, op3_mix_sources, op4_toxicity, op5_pii, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
     op9_near_duplicates, op10_quality_classifier)}
