@@ -3,9 +3,10 @@
 A line is the set of its lower-case words.  Words are ordered by rarity (counted over all documents
 in ``SLOTS`` hashed counters, so the table has a fixed size), each line's first words in that order
 are its prefix, and two lines can only be similar if their prefixes share a word.  Sharing pairs pass
-the length filter and the positional filter, then their whole sets are compared: a line goes if an
-earlier line (smaller doc_id, null last; in the same document an earlier line) has a Jaccard
-similarity of ``threshold`` or more.  Lines are judged on the input, not on what is left.
+the length filter, the positional filter and a filter on 64-bit maps of their words (bits that differ
+are words that aren't shared), then their whole sets are compared: a line goes if an earlier line
+(smaller doc_id, null last; in the same document an earlier line) has a Jaccard similarity of
+``threshold`` or more.  Lines are judged on the input, not on what is left.
 
 Equal sets are joined as one class, so copies aren't multiplied.  Words are compared by 57 bits of
 their hash, sets by 64.  Wordless lines stay.  Null and empty texts have no lines to lose.  Rows that
@@ -14,8 +15,6 @@ agree in doc_id and text are one document and lose the same lines.  Extra column
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,7 +22,7 @@ from tessera.llm.sizes import small
 from tessera.session import materialize
 
 THRESHOLD = 0.8
-SLOTS = 1 << 16
+SLOTS = 1 << 20
 #: Rows (of 8 to 50 bytes) of a lookup table that may be broadcast.
 MAX_BROADCAST = 500_000
 
@@ -36,21 +35,29 @@ def words(text: Column) -> Column:
 
 
 def rarity(docs: DataFrame) -> Column:
-    """An array literal of ``SLOTS`` entries: log2 of the number of words that hash to each slot."""
+    """An array literal of ``SLOTS`` small numbers: the whole log2 of the number of words that hash to
+    each slot, 0 for one word or none.  The driver gets it as strings of 4096 slots each."""
+    spark = docs.sparkSession
     word = docs.select(F.explode(words(F.col("text"))).alias("w")).where("w != ''")
-    counts = word.groupBy(F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).count().collect()
-    levels = [0] * SLOTS
-    for slot, n in counts:
-        levels[slot] = int(math.log2(n))
-    return F.split(F.lit(",".join(map(str, levels))), ",").cast("array<long>")
+    counts = word.groupBy(F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1)).alias("id")).count()
+    level = F.coalesce(F.floor(F.log2("count") + 1e-12), F.lit(0)).cast("string")
+    every = spark.range(SLOTS).join(counts, "id", "left").select(F.shiftright("id", 12).alias("part"), "id", level.alias("level"))
+    parts = every.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("id", "level"))).alias("x")) \
+        .select("part", F.array_join(F.col("x.level"), ",").alias("levels"))
+    return F.split(F.lit(",".join(r.levels for r in sorted(parts.collect()))), ",").cast("array<tinyint>")
 
 
 def token_set(line: Column, levels: Column) -> Column:
     """The sorted set of a line's words as longs: rarity level in the upper 6 bits, hash in the rest."""
-    hashes = F.transform(F.array_remove(F.array_distinct(words(line)), ""), lambda w: F.xxhash64(w))
-    keyed = F.transform(hashes, lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")), 57)
-                        .bitwiseOR(F.shiftrightunsigned(h, 7)))
-    return F.sort_array(F.array_distinct(keyed))
+    hashes = F.array_distinct(F.transform(F.array_remove(words(line), ""), lambda w: F.xxhash64(w)))
+    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 57)
+                                    .bitwiseOR(F.shiftrightunsigned(h, 7))))
+
+
+def word_map(tokens: Column) -> Column:
+    """64 bits, one set for each word's hash."""
+    one = F.lit(1).cast("long")
+    return F.aggregate(tokens, F.lit(0).cast("long"), lambda s, t: s.bitwiseOR(F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))))
 
 
 def _exploded(docs: DataFrame) -> DataFrame:
@@ -63,44 +70,53 @@ def prefix_size(n: Column, threshold: float) -> Column:
 
 
 def similar_pairs(index: DataFrame, threshold: float) -> DataFrame:
-    """``a, b``: classes whose prefixes share a word, after the length and positional filters.
+    """``a, b``: classes whose prefixes share a word, after the length, positional and map filters.
 
-    ``index``: ``c, n, prefix`` of each class.  The filters keep every similar pair, by its first
-    common word: after it, no more words can be shared than the shorter rest holds.
+    ``index``: ``c, n, bits, prefix`` of each class; null entries of a prefix are words of one line
+    only.  The filters keep every similar pair, by its first common word: after it, no more words can
+    be shared than the shorter rest holds.
     """
-    entry = index.select("c", "n", F.posexplode("prefix").alias("p", "token"))
-    left = entry.select("token", F.col("c").alias("a"), F.col("n").alias("na"), F.col("p").alias("pa"))
-    right = entry.select("token", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("p").alias("pb"))
-    least = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
-    rest = 1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1
-    enough = rest >= threshold / (1 + threshold) * (F.col("na") + F.col("nb")) - 1e-9
-    return left.join(right, "token").where((F.col("a") < F.col("b")) & least & enough).select("a", "b").distinct()
+    entry = index.select("c", "n", "bits", F.posexplode("prefix").alias("p", "token")).where("token IS NOT NULL")
+    left = entry.select("token", F.col("c").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"), F.col("p").alias("pa"))
+    right = entry.select("token", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"), F.col("p").alias("pb"))
+    both = F.col("na") + F.col("nb")
+    enough = threshold / (1 + threshold) * both - 1e-9
+    sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
+    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    common = (both - F.bit_count(F.col("ba").bitwiseXOR(F.col("bb")))) / 2
+    return left.join(right, "token").where((F.col("a") < F.col("b")) & sizes & (rest >= enough) & (common >= enough)).select("a", "b").distinct()
 
 
 def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, text_hash, n_lines, removed``: one row for each distinct (doc_id, text), ``removed``
     being the sorted numbers (from 0) of the lines to remove."""
     levels = rarity(docs)
-    tokens = _exploded(docs).withColumn("tokens", token_set(F.col("line"), levels))
+    exploded = _exploded(docs)
+    tokens = exploded.withColumn("tokens", token_set(F.col("line"), levels))
     n = F.size("tokens")
+    # a set that is too small to be similar to another set needs no prefix
+    first = F.when(n / (n + 1) >= threshold - 1e-9, F.slice("tokens", 1, prefix_size(n, threshold)))
+    shared = F.transform(first, lambda t: F.when(F.shiftrightunsigned(t, 57) > 0, t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
     lines = tokens.select("doc_id", "text_hash", "line_no", F.when(n > 0, F.xxhash64("tokens")).alias("c"), n.alias("n"),
-                          F.transform(F.slice("tokens", 1, prefix_size(n, threshold)), lambda t: t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")).alias("prefix"))
+                          word_map(F.col("tokens")).alias("bits"), shared.alias("prefix"))
     lines = materialize(lines, "lines")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("text_hash").alias("text_hash"), F.col("line_no").alias("line_no"))
-    classes = lines.where("n > 0").groupBy("c").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no")
+    classes = lines.where("n > 0").groupBy("c").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     classes = materialize(classes, "classes")
-    pairs = materialize(similar_pairs(classes.select("c", "n", "prefix"), threshold), "pairs")
-    needed = materialize(pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct(), "needed")
-    sets = tokens.select(F.xxhash64("tokens").alias("c"), "tokens").join(small(needed, MAX_BROADCAST), "c", "left_semi").dropDuplicates(["c"])
-    sets = materialize(sets.join(classes.select("c", "first"), "c"), "sets")
+    pairs = materialize(similar_pairs(classes.select("c", "n", "bits", "prefix"), threshold), "pairs")
+    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    wanted = materialize(wanted.join(classes.select("c", "first"), "c").select("c", "first", "first.doc_id", "first.text_hash", "first.line_no"), "wanted")
+    some = small(wanted, MAX_BROADCAST).withColumnsRenamed({x: f"_{x}" for x in ("doc_id", "text_hash", "line_no")})
+    same = exploded["doc_id"].eqNullSafe(some["_doc_id"]) & (exploded["text_hash"] == some["_text_hash"]) & (exploded["line_no"] == some["_line_no"])
+    sets = exploded.join(some, same).select("c", "first", token_set(F.col("line"), levels).alias("tokens")).dropDuplicates(["c"])
+    sets = materialize(sets, "sets")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x"), F.col("first").alias("fa")), "a") \
         .join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("y"), F.col("first").alias("fb")), "b")
     common = F.size(F.array_intersect("x", "y"))
     later = both.where(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9) \
         .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("c")).distinct()
-    later = materialize(later.withColumn("later", F.lit(True)), "later")
-    firsts = classes.join(later, "c", "left_anti").select(F.col("first.*")).drop("none") \
-        .withColumn("stays", F.lit(True))
+    later = materialize(later, "later")
+    firsts = classes.join(later, "c", "left_anti").select("first.doc_id", "first.text_hash", "first.line_no")
     return _by_document(lines, firsts)
 
 
