@@ -21,6 +21,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.llm.sizes import small
 from tessera.operators.common import dense_number
 from tessera.session import materialize
 
@@ -31,6 +32,8 @@ ROWS_PER_BIN = 2_000
 #: Quality weight of a document by its label; unlabelled documents lie between.
 LABEL_WEIGHTS = {1: 4.0, 0: 1.0}
 UNLABELLED = 2.0
+#: Rows (of about 40 bytes) of a lookup table that may be broadcast.
+MAX_BROADCAST = 300_000
 
 
 def uniform(col: str, seed: str) -> Column:
@@ -71,14 +74,15 @@ def source_targets(sizes: DataFrame, weights: Sequence[float], max_epochs: float
 
 def mix(docs: DataFrame, quality: DataFrame | None = None, weights: Sequence[float] = WEIGHTS,
         max_epochs: float = MAX_EPOCHS, seed: str = "mix", default_weight: float = UNLABELLED) -> DataFrame:
-    """``doc_id, size, source_size, target, taken, source, copies`` for every row of ``docs``.
+    """``doc_id, size, source_size, target, taken, source, copies, text_hash`` for every row of ``docs``.
 
     ``quality``: ``doc_id, quality_weight``.  Prefix sums run in two levels, so that a source with
     most of the rows isn't one task: a document's bin is a monotone function of its key, with about
     ``ROWS_PER_BIN`` rows a bin (times the largest over the smallest weight of the source at most);
     sums run within a bin and over the totals of a source's bins.
     """
-    rows = docs.select(F.col("doc_id"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
+    rows = docs.select(F.col("doc_id"), F.col("source"), F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
+                       F.xxhash64("text").alias("text_hash"))
     if quality is not None:
         rows = rows.join(quality.select("doc_id", F.col("quality_weight").alias("weight")), "doc_id", "left")
     else:
@@ -104,4 +108,14 @@ def mix(docs: DataFrame, quality: DataFrame | None = None, weights: Sequence[flo
     middle = F.col("bin_start") + F.col("upto") - F.col("size") / 2
     copies = (epochs + F.when((F.col("size") > 0) & (middle < rest), 1).otherwise(0)).cast("long")
     return placed.withColumn("copies", F.least(copies, F.lit(int(max_epochs)))) \
-        .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies")
+        .select("doc_id", "size", "source_size", "target", (F.col("copies") * F.col("size")).alias("taken"), "source", "copies", "text_hash")
+
+
+def mixed(docs: DataFrame, quality: DataFrame | None = None, **options) -> DataFrame:
+    """The mix itself: each row of ``docs`` as often as it is taken, with its columns.  Rows that agree
+    in doc_id, source and text are taken as often as the one of them that is taken most."""
+    by = ["doc_id", "source", "text_hash"]
+    taken = mix(docs, quality, **options).where("copies > 0").groupBy(*by).agg(F.max("copies").cast("int").alias("_copies"))
+    taken = materialize(taken.withColumnsRenamed({x: f"_{x}" for x in by}), "taken")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc_id")) & F.col("source").eqNullSafe(F.col("_source")) & (F.xxhash64("text") == F.col("_text_hash"))
+    return docs.join(small(taken, MAX_BROADCAST), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)

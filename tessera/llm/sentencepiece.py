@@ -24,7 +24,7 @@ from __future__ import annotations
 
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
 
 import pyarrow as pa
@@ -275,7 +275,7 @@ def model_content(spark, path: str) -> bytes:
     return bytes(spark.read.format("binaryFile").load(path).select("content").first()[0])
 
 
-def _encoded(content: bytes):
+def _encoded(content: bytes, passed: list[str]):
     def run(batches):
         t = compiled(content)
         for b in batches:
@@ -284,16 +284,18 @@ def _encoded(content: bytes):
                 texts = part.column("text").to_pylist()
                 ids = [None if x is None else t.encode(x) for x in texts]
                 same = [None if x is None else t.decode(i) == t.restored(x) for x, i in zip(texts, ids)]
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(ids, pa.list_(pa.int32())), pa.array([len(i or ()) for i in ids], pa.int64()), pa.array(same, pa.bool_())],
-                                                 names=["doc_id", "ids", "n_ids", "round_trip"])
+                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in passed), pa.array(ids, pa.list_(pa.int32())), pa.array([len(i or ()) for i in ids], pa.int64()), pa.array(same, pa.bool_())],
+                                                 names=[*passed, "ids", "n_ids", "round_trip"])
     return run
 
 
-def encode(docs: DataFrame, content: bytes) -> DataFrame:
-    """``doc_id, ids, n_ids, round_trip``: the encoding of every whole text, and whether decoding it
-    gave the normalised text back.  A map over the rows; a worker keeps one compiled model."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return rows.mapInArrow(_encoded(content), "doc_id long, ids array<int>, n_ids long, round_trip boolean")
+def encode(docs: DataFrame, content: bytes, passed: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, the ``passed`` columns, ``ids, n_ids, round_trip``: the encoding of every whole text,
+    and whether decoding it gave the normalised text back.  A map over the rows; a worker keeps one
+    compiled model."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *passed, F.col("text").cast("string").alias("text"))
+    kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != "text")
+    return rows.mapInArrow(_encoded(content, ["doc_id", *passed]), f"{kinds}, ids array<int>, n_ids long, round_trip boolean")
 
 
 def decode(encoded: DataFrame, content: bytes) -> DataFrame:
