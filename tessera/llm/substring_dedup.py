@@ -4,14 +4,15 @@ A window is ``window`` consecutive words.  A word goes if a window that covers i
 earlier: in a smaller doc_id (null last), or in the same doc_id at an earlier start.  Windows are
 judged on the input.
 
-1. Each window names an anchor, its ``ANCHOR``-word run of least hash, so equal windows have equal
-   anchors; a document keeps about one in seven of its runs.  Anchors found once can't be in a
-   repeated window, and end here.
-2. Around each occurrence of a repeated anchor, the words that any window with it covers are cut out
+1. Documents with the word sequence of a smaller doc_id lose all their words, and are set aside.
+2. Each window names an anchor, its ``ANCHOR``-word run of least hash, so equal windows have equal
+   anchors; a document keeps about one in seven of its runs.  Sorted by hash, anchors found once
+   can't be in a repeated window, and end here.
+3. Around each occurrence of a repeated anchor, the words that any window with it covers are cut out
    and sent to the shard of the anchor.  A task builds the suffix automaton of the distinct cuttings
    of a bounded shard, in order of their places, and streams the cuttings through it: where the
    matching statistic reaches ``window`` words that ended earlier elsewhere, the window goes.
-3. Anchors with more than ``MAX_GROUP`` occurrences don't fit a shard: their windows are compared
+4. Anchors with more than ``MAX_GROUP`` occurrences don't fit a shard: their windows are compared
    one by one, by a partial aggregate over 128-bit hashes (the exact way for the rest).
 
 The automata of all reference text have no size bound, so they aren't sent to every executor: the
@@ -28,24 +29,23 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from zstandard import ZstdCompressor, ZstdDecompressor
 
 from tessera.llm.automaton import SuffixAutomaton
 from tessera.llm.dartminhash import sequence
 from tessera.llm.sizes import small
-from tessera.llm.words import Chunk, U, chunks, lists, mix, signed
+from tessera.llm.words import Chunk, U, chunks, mix, signed
 from tessera.session import materialize
 
 WINDOW = 20
 ANCHOR = 8
 MAX_GROUP = 1024
 SHARD_WORDS = 50_000
-#: Rows of a lookup table that may be broadcast: hashes; documents with a list.
-MAX_HASHES, MAX_DOCS = 500_000, 50_000
-
-KEY = ["doc_id", "s1", "s2"]
+#: Rows of a lookup table that may be broadcast: keys; documents with a list.
+MAX_KEYS, MAX_DOCS = 300_000, 10_000
 
 
 def anchors(c: Chunk, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -63,30 +63,79 @@ def anchors(c: Chunk, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
     return pos, h[pos]
 
 
+def _keys(c: Chunk, ids: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of each document: a long that names its doc_id and words, and the two that name its words."""
+    s1, s2 = sequence(c)
+    known = pc.fill_null(ids, 0).to_numpy().view(U) ^ mix(np.asarray(ids.is_null()).astype(U) + U(17))
+    return signed(mix(mix(known) + mix(s1.view(U) ^ mix(s2.view(U))))), s1, s2
+
+
+def _sequences(window: int):
+    """Of documents with a window: key, words and size."""
+    def run(batches):
+        for b in batches:
+            for c in chunks(b.column("text")):
+                ids = b.column("doc_id").slice(c.first, c.n)
+                some = np.flatnonzero(c.n_words >= window)
+                yield pa.RecordBatch.from_arrays([*(pa.array(x[some]) for x in _keys(c, ids)), ids.take(pa.array(some)), pa.array(c.n_words[some].astype(np.int32))],
+                                                 names=["key", "s1", "s2", "doc_id", "n"])
+    return run
+
+
 def _anchored(window: int, k: int):
     def run(batches):
         for b in batches:
             for c in chunks(b.column("text")):
                 pos, h = anchors(c, window, k)
                 doc = c.doc[pos]
-                some = np.unique(doc)
-                bounds = np.append(np.searchsorted(doc, some), len(doc))
-                s1, s2 = sequence(c)
-                ids = b.column("doc_id").slice(c.first, c.n).take(pa.array(some))
-                yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(s1[some]), pa.array(s2[some]), lists(signed(h), bounds), lists((pos - c.wbounds[:-1][doc]).astype(np.int32), bounds)],
-                    names=[*KEY, "hash", "pos"])
+                key = _keys(c, b.column("doc_id").slice(c.first, c.n))[0]
+                yield pa.RecordBatch.from_arrays([pa.array(signed(h)), pa.array(key[doc]), pa.array((pos - c.wbounds[:-1][doc]).astype(np.int32))], names=["hash", "key", "pos"])
+    return run
+
+
+def _repeated(most: int):
+    """Rows sorted by hash: those whose hash occurs again, and whether more than ``most`` times.
+
+    Streams; what is held between batches is one run of at most ``most`` rows.
+    """
+    def out(cols, hot):
+        return pa.RecordBatch.from_arrays([*map(pa.array, cols), pa.array(hot)], names=["hash", "key", "pos", "hot"])
+
+    def run(batches):
+        held, frequent = [np.zeros(0, t) for t in (np.int64, np.int64, np.int32)], None
+        for b in batches:
+            cols = [np.concatenate([x, b.column(n).to_numpy()]) for x, n in zip(held, ("hash", "key", "pos"))]
+            h = cols[0]
+            if not len(h):
+                continue
+            start = np.flatnonzero(np.append(True, h[1:] != h[:-1]))
+            size = np.diff(np.append(start, len(h)))
+            hot = size > most
+            if frequent is not None and h[0] == frequent:
+                hot[0] = True
+            else:
+                frequent = None
+            whole = size > 1
+            whole |= hot
+            if hot[-1]:
+                frequent, cut = h[-1], len(h)
+            else:
+                cut = start[-1]
+            row = np.repeat(whole, size)
+            row[cut:] = False
+            yield out([x[row] for x in cols], np.repeat(hot, size)[row])
+            held = [x[cut:] for x in cols]
+        if len(held[0]) > 1:
+            yield out(held, np.zeros(len(held[0]), bool))
     return run
 
 
 def _packed(batches):
-    pack = ZstdCompressor(level=1).compress
+    pack = ZstdCompressor(level=3).compress
     for b in batches:
         for c in chunks(b.column("text")):
-            s1, s2 = sequence(c)
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id").slice(c.first, c.n), pa.array(s1), pa.array(s2), pa.array(c.n_words.astype(np.int64)), pa.array([pack(c.text(i)) for i in range(c.n)], pa.binary())],
-                names=[*KEY, "n_words", "packed"])
+            ids = b.column("doc_id").slice(c.first, c.n)
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(c, ids)[0]), ids, pa.array([pack(c.text(i)) for i in range(c.n)], pa.binary())], names=["key", "doc_id", "packed"])
 
 
 def _unpacked(batches, rows: int = 512):
@@ -103,46 +152,40 @@ def _cut(window: int, k: int):
     """Cuttings around repeated anchors: words joined by one space, and where they start."""
     def run(batches):
         for part, c in _unpacked(batches):
-            out: dict[str, list] = {x: [] for x in ("hash", "row", "start", "n", "words")}
-            raw = c.data.tobytes()
+            raw, starts, ends = c.data.tobytes(), c.starts.tolist(), c.ends.tolist()
             for i in range(c.n):
                 first, last = int(c.wbounds[i]), int(c.wbounds[i + 1])
-                words = [raw[a:b] for a, b in zip(c.starts[first:last].tolist(), c.ends[first:last].tolist())]
-                for p, h in zip(part.column("pos")[i].as_py(), part.column("hash")[i].as_py()):
-                    a, z = max(0, p - (window - k)), min(len(words), p + window)
-                    if z - a >= window:
-                        out["hash"].append(h)
-                        out["row"].append(i)
-                        out["start"].append(a)
-                        out["n"].append(z - a)
-                        out["words"].append(b" ".join(words[a:z]))
-            take = pa.array(out["row"], pa.int32())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out["hash"], pa.int64()), *(part.column(x).take(take) for x in KEY), pa.array(out["start"], pa.int32()), pa.array(out["n"], pa.int32()), pa.array(out["words"], pa.binary())],
-                names=["hash", *KEY, "start", "n", "words"])
+                words = [raw[a:b] for a, b in zip(starts[first:last], ends[first:last])]
+                pos = np.array(part.column("pos")[i].as_py())
+                low, high = np.maximum(pos - (window - k), 0), np.minimum(pos + window, len(words))
+                cut = [b" ".join(words[a:z]) for a, z in zip(low.tolist(), high.tolist())]
+                same = pa.array(np.full(len(pos), i, np.int32))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("hash")[i].values, part.column("key").take(same), part.column("doc_id").take(same), pa.array(low.astype(np.int32)), pa.array((high - low).astype(np.int32)), pa.array(cut, pa.binary())],
+                    names=["hash", "key", "doc_id", "start", "n", "words"])
     return run
 
 
 def _place(row: tuple) -> tuple:
-    """Order of a cutting (hash, doc_id, s1, s2, start, n, words): nulls last, then the start."""
-    return row[1] is None, row[1] or 0, row[4]
+    """Order of a cutting (hash, key, doc_id, start, n, words): nulls last, then the start."""
+    return row[2] is None, row[2] or 0, row[3]
 
 
 def shard_ranges(groups: list[list[tuple]], window: int) -> list[tuple]:
-    """Ranges (doc_id, s1, s2, from, to) of words to remove, from whole groups of cuttings."""
+    """Ranges (key, from, to) of words to remove, from whole groups of cuttings."""
     out, refs = [], []
     for group in groups:
         firsts: dict[bytes, tuple] = {}
         for row in sorted(group, key=_place):
-            first = firsts.setdefault(row[6], row)
+            first = firsts.setdefault(row[5], row)
             if _place(first) < _place(row):
-                out.append((*row[1:4], row[4], row[4] + row[5]))
+                out.append((row[1], row[3], row[3] + row[4]))
             elif first is not row:  # equal words at an equal place: judged like the first
                 refs.append(row)
         if len(firsts) > 1:
             refs += firsts.values()
     refs.sort(key=_place)
-    split = [row[6].split(b" ") for row in refs]
+    split = [row[5].split(b" ") for row in refs]
     automaton = SuffixAutomaton()
     for i, words in enumerate(split):
         automaton.add(i, words)
@@ -150,14 +193,14 @@ def shard_ranges(groups: list[list[tuple]], window: int) -> list[tuple]:
         own, begin, end = _place(row)[:2], 0, -1
         for at, (number, ended) in automaton.matches(words, window):
             other = _place(refs[number])
-            if (other[:2], other[2] + ended) < (own, row[4] + at):
+            if (other[:2], other[2] + ended) < (own, row[3] + at):
                 if at - window > end:
                     if end > 0:
-                        out.append((*row[1:4], row[4] + begin, row[4] + end))
+                        out.append((row[1], row[3] + begin, row[3] + end))
                     begin = at - window
                 end = at
         if end > 0:
-            out.append((*row[1:4], row[4] + begin, row[4] + end))
+            out.append((row[1], row[3] + begin, row[3] + end))
     return out
 
 
@@ -168,15 +211,15 @@ def _sharded(window: int):
             yield from zip(*(x.to_pylist() for x in b.columns))
 
     def batch(ranges):
-        cols = list(zip(*ranges)) or [()] * 5
-        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, [pa.int64()] * 3 + [pa.int32()] * 2)], names=[*KEY, "a", "z"])
+        cols = list(zip(*ranges)) or [()] * 3
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(cols, (pa.int64(), pa.int32(), pa.int32()))], names=["key", "a", "z"])
 
     def run(batches):
         shard, size = [], 0
         for _, group in groupby(rows(batches), key=lambda r: r[0]):
             group = list(group)
             shard.append(group)
-            size += sum(r[5] for r in group)
+            size += sum(r[4] for r in group)
             if size >= SHARD_WORDS:
                 yield batch(shard_ranges(shard, window))
                 shard, size = [], 0
@@ -200,51 +243,51 @@ def _windows(window: int, k: int):
             at = at[ok[at]]
             take = pa.array(c.doc[at])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h1[at])), pa.array(signed(h2[at])), *(part.column(x).take(take) for x in KEY), pa.array((at - c.wbounds[:-1][c.doc[at]]).astype(np.int32))],
-                names=["h1", "h2", *KEY, "start"])
+                [pa.array(signed(h1[at])), pa.array(signed(h2[at])), part.column("key").take(take), part.column("doc_id").take(take), pa.array((at - c.wbounds[:-1][c.doc[at]]).astype(np.int32))],
+                names=["h1", "h2", "key", "doc_id", "start"])
     return run
 
 
-def _same(a: DataFrame, b: DataFrame):
-    return a["doc_id"].eqNullSafe(b["_doc_id"]) & (a["s1"] == b["_s1"]) & (a["s2"] == b["_s2"])
-
-
-def _join(left: DataFrame, right: DataFrame, how: str) -> DataFrame:
-    """A join on the document key, which may be null."""
-    right = small(right, MAX_DOCS).withColumnsRenamed({x: f"_{x}" for x in KEY})
-    return left.join(right, _same(left, right), how).drop(*(f"_{x}" for x in KEY))
+def _place_column(start: str) -> Column:
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col(start).alias("start"))
 
 
 def removed_ranges(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> DataFrame:
-    """``doc_id, s1, s2, ranges``: for each document that loses words, the ranges (a, z) of their numbers.
+    """``key, ranges``: for each document that loses words, the ranges (a, z) of their numbers.
 
-    Written: anchors (about 12 bytes in seven words), cuttings of repeated text, ranges.
+    Shuffled: anchors (20 bytes in seven words), compressed texts with a repeated anchor (with all
+    texts, if the list of them is too long to broadcast), cuttings of repeated text, ranges.
     """
     if not 1 <= k <= window:
         raise ValueError("the anchor must fit into the window")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    key = "doc_id long, s1 long, s2 long"
-    found = materialize(rows.mapInArrow(_anchored(window, k), f"{key}, hash array<long>, pos array<int>"), "anchors")
-    often = materialize(found.select(F.explode("hash").alias("hash")).groupBy("hash").count().where("count > 1"), "repeated")
-    each = found.select(*KEY, F.explode(F.arrays_zip("hash", "pos")).alias("x")).select(*KEY, "x.hash", "x.pos")
-    repeated = each.join(small(often, MAX_HASHES), "hash").distinct()
-    listed = repeated.groupBy(*KEY).agg(F.collect_list(F.struct("pos", "hash", "count")).alias("x"))
-    fits = F.filter("x", lambda v: v["count"] <= MAX_GROUP)
-    frequent = F.filter("x", lambda v: v["count"] > MAX_GROUP)
-    listed = listed.select(*KEY, fits["pos"].alias("pos"), fits["hash"].alias("hash"), frequent["pos"].alias("hot"))
-    listed = materialize(listed, "positions")
-    texts = rows.mapInArrow(_packed, f"{key}, n_words long, packed binary")
-    work = _join(texts, listed, "inner").dropDuplicates(KEY)
-    work = materialize(work.select(*KEY, "packed", "pos", "hash", "hot"), "work")
-    cuttings = work.where(F.size("pos") > 0).select(*KEY, "packed", "pos", "hash").mapInArrow(_cut(window, k), f"hash long, {key}, start int, n int, words binary")
-    ranges = cuttings.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sharded(window), f"{key}, a int, z int")
-    hot = work.where(F.size("hot") > 0).select(*KEY, "packed", F.col("hot").alias("pos")).mapInArrow(_windows(window, k), f"h1 long, h2 long, {key}, start int")
-    hot = materialize(hot, "windows")
-    place = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col("start").alias("start"))
-    firsts = materialize(hot.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts")
-    later = hot.join(firsts, ["h1", "h2"]).where(place > F.col("first")).select(*KEY, F.col("start").alias("a"), (F.col("start") + window).cast("int").alias("z"))
-    both = ranges.union(later).distinct()
-    return both.groupBy(*KEY).agg(F.array_sort(F.collect_list(F.struct("a", "z"))).alias("ranges"))
+    sequences = materialize(rows.mapInArrow(_sequences(window), "key long, s1 long, s2 long, doc_id long, n int").distinct(), "sequences")
+    never = sequences.withColumn("start", F.lit(0))
+    first = materialize(never.groupBy("s1", "s2").agg(F.min(_place_column("start")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "copied")
+    copies = materialize(never.join(first, ["s1", "s2"]).where(_place_column("start") > F.col("first")).select("key", "n"), "copies")
+    found = rows.mapInArrow(_anchored(window, k), "hash long, key long, pos int")
+    repeated = found.repartition("hash").sortWithinPartitions("hash").mapInArrow(_repeated(MAX_GROUP), "hash long, key long, pos int, hot boolean")
+    listed = repeated.groupBy("key").agg(F.collect_list(F.when(~F.col("hot"), F.struct("pos", "hash"))).alias("x"), F.collect_list(F.when(F.col("hot"), F.col("pos"))).alias("hot"))
+    listed = listed.select("key", F.col("x.pos").alias("pos"), F.col("x.hash").alias("hash"), "hot")
+    listed = materialize(listed.join(small(copies.select("key"), MAX_KEYS), "key", "left_anti"), "positions")
+    texts = rows.mapInArrow(_packed, "key long, doc_id long, packed binary")
+    work = texts.join(small(listed.where("size(pos) > 0").drop("hot"), MAX_DOCS), "key")
+    cuttings = work.select("key", "doc_id", "packed", "pos", "hash").mapInArrow(_cut(window, k), "hash long, key long, doc_id long, start int, n int, words binary")
+    ranges = cuttings.repartition("hash").sortWithinPartitions("hash").mapInArrow(_sharded(window), "key long, a int, z int")
+    hot = listed.where("size(hot) > 0").select("key", F.col("hot").alias("pos"))
+    if not hot.isEmpty():
+        ranges = ranges.union(_frequent(texts, hot, window, k))
+    ranges = ranges.union(copies.select("key", F.lit(0).alias("a"), F.col("n").alias("z")))
+    return ranges.groupBy("key").agg(F.collect_list(F.struct("a", "z")).alias("ranges"))
+
+
+def _frequent(texts: DataFrame, hot: DataFrame, window: int, k: int) -> DataFrame:
+    """``key, a, z`` of the windows with a frequent anchor that also start earlier."""
+    each = texts.join(small(hot, MAX_DOCS), "key").select("key", "doc_id", "packed", "pos")
+    each = materialize(each.mapInArrow(_windows(window, k), "h1 long, h2 long, key long, doc_id long, start int"), "windows")
+    place = _place_column("start")
+    firsts = materialize(each.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts")
+    return each.join(firsts, ["h1", "h2"]).where(place > F.col("first")).select("key", F.col("start").alias("a"), (F.col("start") + window).cast("int").alias("z"))
 
 
 def _kept(batches):
@@ -281,7 +324,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, digest: bool = False
     their hash ``kept_sha256``.  One row per input row."""
     ranges = materialize(removed_ranges(docs, window), "ranges")
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    texts = rows.mapInArrow(_packed, "doc_id long, s1 long, s2 long, n_words long, packed binary")
-    joined = _join(texts, ranges, "left").select("doc_id", "packed", "ranges")
+    texts = rows.mapInArrow(_packed, "key long, doc_id long, packed binary")
+    joined = texts.join(small(ranges, MAX_DOCS), "key", "left").select("doc_id", "packed", "ranges")
     run, last = (_digested, "kept_sha256") if digest else (_texted, "text")
     return joined.mapInArrow(run, f"doc_id long, n_words long, n_removed long, {last} string")

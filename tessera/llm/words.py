@@ -41,7 +41,7 @@ _powers: list[np.ndarray] = [np.ones(1, U), np.ones(1, U)]
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """``B**i`` and ``B**-i`` modulo 2**64 for i < n (kept between calls up to 4M entries)."""
+    """``B**i`` and ``B**-i`` modulo 2**64 for i < n (kept between calls up to 2M entries)."""
     if len(_powers[0]) < n:
         with np.errstate(over="ignore"):
             fresh = []
@@ -49,7 +49,7 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
                 p = np.ones(n, U)
                 p[1:] = U(base)
                 fresh.append(np.cumprod(p, dtype=U))
-        if n > 1 << 22:
+        if n > 1 << 21:
             return fresh[0], fresh[1]
         _powers[:] = fresh
     return _powers[0][:n], _powers[1][:n]
@@ -111,7 +111,7 @@ class Chunk:
         return self.data[self.offs[i]:self.offs[i + 1]].tobytes()
 
 
-def chunks(texts: pa.Array, max_bytes: int = 1 << 21) -> Iterator[Chunk]:
+def chunks(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[Chunk]:
     """The documents of an Arrow string array, in order, as chunks."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()

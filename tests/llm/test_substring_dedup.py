@@ -81,6 +81,6 @@ def test_passages(spark, monkeypatch, most):
 def test_edges(spark):
     run = " ".join(f"w{i}" for i in range(30))
     rows = [(1, None), (2, ""), (3, "a " * 50_000), (4, run), (4, run), (5, run + " " + run), (None, run), (None, None), (6, " ".join(run.split()[:20])), (7, " ".join(run.split()[:19]))]
-    docs = frame(spark, rows).selectExpr("*", "'x' AS s1", "1 AS pos", "text AS packed", "2 AS n_words")
+    docs = frame(spark, rows).selectExpr("*", "'x' AS key", "1 AS pos", "text AS packed", "2 AS n_words")
     assert got(S.dedup_substrings(docs, digest=True)) == brute(rows)
     assert S.dedup_substrings(docs.limit(0)).count() == 0
