@@ -12,7 +12,8 @@ Documents are first reduced to classes of equal word sequences.  In a band's buc
 compared with a leader (a star), the verified links are joined to components, and then the pairs of a
 bucket that lie in different components are compared, so no link between different texts is lost,
 and a large group of near copies isn't multiplied with itself.  Pairs that cannot reach the threshold
-are left out exactly: by their sizes, and because strips that no other set has can't be shared.
+are left out exactly: by their sizes, because strips that no other set has can't be shared, and by
+what both share with the leader.
 
 Texts of one to four words are one shingle; null and wordless texts are a class of their own row each.
 Repeated rows are one class.  A class is named by the least doc_id in it (null if all are null).
@@ -133,12 +134,13 @@ def _sets(batches):
                 yield pa.RecordBatch.from_arrays([part.column("node").slice(c.first, c.n), lists(signed(ids), bounds)], names=["node", "ids"])
 
 
-def verified(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
-    """The pairs ``a, b`` whose weighted Jaccard similarity is at least the threshold."""
+def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """``a, b, common, similar``: the strips that two sets share, and whether their weighted Jaccard
+    similarity is at least the threshold."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("ids").alias("x")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("ids").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.where(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).select("a", "b")
+    return both.select("a", "b", common.alias("common"), (common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).alias("similar"))
 
 
 def _possible(n: str, shared: str, m: str, other: str, threshold: float) -> Column:
@@ -203,11 +205,12 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     leads = members.where("node = leader").select("key", F.col("weight").alias("lead_weight"), F.col("shared").alias("lead_shared"))
     near = members.join(leads, "key").where((F.col("node") != F.col("leader")) & _possible("weight", "shared", "lead_weight", "lead_shared", threshold))
     star = materialize(near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "pairs")
-    links = materialize(verified(star, sets, threshold), "links")
+    star = materialize(compared(star, sets, threshold), "compared")
+    links = star.where("similar").select("a", "b")
     comps = connected_components(links)
-    cross = _cross_pairs(members, comps, threshold)
+    cross = _cross_pairs(members, star, comps, threshold)
     if not cross.isEmpty():
-        links = links.union(verified(cross.join(star, ["a", "b"], "left_anti"), sets, threshold))
+        links = links.union(compared(cross.join(star, ["a", "b"], "left_anti"), sets, threshold).where("similar").select("a", "b"))
         comps = connected_components(links)
     comps = materialize(comps, "components")
     owned = named.select("rid", "doc_id", "n_words", "node", "s1", "s2").join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node")).drop("node")
@@ -219,20 +222,30 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
         F.coalesce(F.col("row") == F.col("rid"), F.lit(True)).alias("representative"), "s1", "s2")
 
 
-def _cross_pairs(members: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
-    """Pairs of a bucket whose classes lie in different components.
+def _cross_pairs(members: DataFrame, star: DataFrame, comps: DataFrame, threshold: float) -> DataFrame:
+    """Pairs of a bucket whose classes lie in different components and may be similar.
 
     Of each bucket with more than one component, the members outside its largest component are
     joined with the members of the other components, so a large component isn't joined with itself.
+    What two members share lies inside or outside their bucket's leader: inside, it is at most the
+    lesser of what they share with the leader, outside, the lesser of what else they share with any.
     """
-    labelled = members.join(comps, "node", "left").select("key", "node", "weight", "shared", F.coalesce("comp", "node").alias("comp"))
+    met = star.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "common")
+    pair = (F.least("leader", "node") == F.col("_a")) & (F.greatest("leader", "node") == F.col("_b"))
+    known = members.join(met, pair, "left").withColumn("inside", F.when(F.col("leader") == F.col("node"), F.col("weight")).otherwise(F.col("common")))
+    labelled = known.join(comps, "node", "left").select("key", "node", "weight", "shared", "inside", F.coalesce("comp", "node").alias("comp"))
     labelled = materialize(labelled, "labelled")
     parts = labelled.groupBy("key", "comp").count()
     main = parts.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1") \
         .select("key", F.col("m.comp").alias("main"))
     mixed = materialize(labelled.join(main, "key"), "mixed")
-    rest = mixed.where("comp != main").select("key", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("shared").alias("ps"), F.col("comp").alias("pc"))
-    pairs = rest.join(mixed, "key").where((F.col("pc") != F.col("comp")) & _possible("pw", "ps", "weight", "shared", threshold))
+    rest = mixed.where("comp != main").select("key", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("shared").alias("ps"),
+                                              F.col("inside").alias("pi"), F.col("comp").alias("pc"))
+    outside = F.least(F.col("ps") - F.col("pi"), F.col("shared") - F.col("inside"))
+    most = F.least("pi", "inside") + outside
+    enough = threshold / (1 + threshold) * (F.col("pw") + F.col("weight")) - F.lit(1e-9)
+    pairs = rest.join(mixed, "key").where((F.col("pc") != F.col("comp")) & _possible("pw", "ps", "weight", "shared", threshold)
+                                          & F.coalesce(most >= enough, F.lit(True)))
     return materialize(pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct(), "cross")
 
 
