@@ -8,9 +8,11 @@ are words that aren't shared), then their whole sets are compared: a line goes i
 (smaller doc_id, null last; in the same document an earlier line) has a Jaccard similarity of
 ``threshold`` or more.  Lines are judged on the input, not on what is left.
 
-Equal sets are joined as one class, so copies aren't multiplied.  Words are compared by 57 bits of
-their hash, sets by 64.  Wordless lines stay.  Null and empty texts have no lines to lose.  Rows that
-agree in doc_id and text are one document and lose the same lines.  Extra columns don't matter.
+Equal sets are joined as one class, so copies aren't multiplied.  A class is first compared with the
+earliest class of each word of its prefix; only classes that this doesn't settle are joined with all
+earlier ones, so a large group of similar lines isn't joined with itself.  Words are compared by 57
+bits of their hash, sets by 64.  Wordless lines stay.  Null and empty texts have no lines to lose.
+Rows that agree in doc_id and text are one document and lose the same lines.  Extra columns don't matter.
 """
 
 from __future__ import annotations
@@ -22,36 +24,41 @@ from tessera.llm.sizes import small
 from tessera.session import materialize
 
 THRESHOLD = 0.8
-SLOTS = 1 << 20
+SLOTS = 1 << 19
 #: Rows (of 8 to 50 bytes) of a lookup table that may be broadcast.
 MAX_BROADCAST = 500_000
 
-_SPACES = "\t\x0b\x0c\r"
-
 
 def words(text: Column) -> Column:
     """The lower-case words of a line, empty strings among them."""
-    return F.split(F.translate(F.lower(text), _SPACES + "\n", "     "), " ")
+    text = F.lower(text)
+    for space in "\t\x0b\x0c\r\n":
+        text = F.replace(text, F.lit(space), F.lit(" "))
+    return F.split(text, " ")
 
 
 def rarity(docs: DataFrame) -> Column:
-    """An array literal of ``SLOTS`` small numbers: the whole log2 of the number of words that hash to
-    each slot, 0 for one word or none.  The driver gets it as strings of 4096 slots each."""
+    """A literal of ``SLOTS`` bytes: a letter for the whole log2 of the number of words that hash to each
+    slot, A for one word or none.  The driver gets it as strings of 4096 slots each."""
     spark = docs.sparkSession
     word = docs.select(F.explode(words(F.col("text"))).alias("w")).where("w != ''")
     counts = word.groupBy(F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1)).alias("id")).count()
-    level = F.coalesce(F.floor(F.log2("count") + 1e-12), F.lit(0)).cast("string")
+    level = F.char(F.lit(65) + F.coalesce(F.floor(F.log2("count") + 1e-12), F.lit(0)))
     every = spark.range(SLOTS).join(counts, "id", "left").select(F.shiftright("id", 12).alias("part"), "id", level.alias("level"))
     parts = every.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("id", "level"))).alias("x")) \
-        .select("part", F.array_join(F.col("x.level"), ",").alias("levels"))
-    return F.split(F.lit(",".join(r.levels for r in sorted(parts.collect()))), ",").cast("array<tinyint>")
+        .select("part", F.array_join(F.col("x.level"), "").alias("levels"))
+    return F.lit("".join(r.levels for r in sorted(parts.collect())).encode())
 
 
 def token_set(line: Column, levels: Column) -> Column:
     """The sorted set of a line's words as longs: rarity level in the upper 6 bits, hash in the rest."""
     hashes = F.array_distinct(F.transform(F.array_remove(words(line), ""), lambda w: F.xxhash64(w)))
-    return F.sort_array(F.transform(hashes, lambda h: F.shiftleft(F.get(levels, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")).cast("long"), 57)
-                                    .bitwiseOR(F.shiftrightunsigned(h, 7))))
+
+    def keyed(h: Column) -> Column:
+        letter = F.substring(levels, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int") + 1, 1)
+        level = F.ascii(letter.cast("string")) - 65
+        return F.shiftleft(level.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    return F.sort_array(F.transform(hashes, keyed))
 
 
 def word_map(tokens: Column) -> Column:
@@ -69,22 +76,40 @@ def prefix_size(n: Column, threshold: float) -> Column:
     return (n - F.ceil(threshold * n - 1e-9) + 1).cast("int")
 
 
-def similar_pairs(index: DataFrame, threshold: float) -> DataFrame:
-    """``a, b``: classes whose prefixes share a word, after the length, positional and map filters.
+def _entries(classes: DataFrame) -> DataFrame:
+    """``token, x`` of each word of a class's prefix that other lines have as well."""
+    doc = F.coalesce(F.col("first.doc_id"), F.lit((1 << 63) - 1)).alias("doc")
+    return classes.select("c", doc, "n", "bits", F.posexplode("prefix").alias("p", "token")).where("token IS NOT NULL") \
+        .select("token", F.struct("doc", "c", "n", "bits", "p").alias("x"))
+
 
-    ``index``: ``c, n, bits, prefix`` of each class; null entries of a prefix are words of one line
-    only.  The filters keep every similar pair, by its first common word: after it, no more words can
-    be shared than the shorter rest holds.
-    """
-    entry = index.select("c", "n", "bits", F.posexplode("prefix").alias("p", "token")).where("token IS NOT NULL")
-    left = entry.select("token", F.col("c").alias("a"), F.col("n").alias("na"), F.col("bits").alias("ba"), F.col("p").alias("pa"))
-    right = entry.select("token", F.col("c").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("bb"), F.col("p").alias("pb"))
-    both = F.col("na") + F.col("nb")
+def _possible(a: Column, b: Column, threshold: float) -> Column:
+    """The length, positional and map filters.  They keep every similar pair, by its first common word:
+    after it, no more words can be shared than the shorter rest holds."""
+    both = a["n"] + b["n"]
     enough = threshold / (1 + threshold) * both - 1e-9
-    sizes = F.least("na", "nb") >= threshold * F.greatest("na", "nb") - 1e-9
-    rest = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-    common = (both - F.bit_count(F.col("ba").bitwiseXOR(F.col("bb")))) / 2
-    return left.join(right, "token").where((F.col("a") < F.col("b")) & sizes & (rest >= enough) & (common >= enough)).select("a", "b").distinct()
+    sizes = F.least(a["n"], b["n"]) >= threshold * F.greatest(a["n"], b["n"]) - 1e-9
+    rest = F.least(a["n"] - a["p"], b["n"] - b["p"])
+    common = (both - F.bit_count(a["bits"].bitwiseXOR(b["bits"]))) / 2
+    return (a["c"] != b["c"]) & sizes & (rest >= enough) & (common >= enough)
+
+
+def _later(pairs: DataFrame, exploded: DataFrame, classes: DataFrame, levels: Column, threshold: float) -> DataFrame:
+    """``c``: the classes of the pairs ``a, b`` that have a similar earlier one.
+
+    The whole sets are computed again from the lines at the classes' first places."""
+    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
+    wanted = materialize(wanted.join(classes.select("c", "first"), "c").select("c", "first", "first.doc_id", "first.text_hash", "first.line_no"), "wanted")
+    some = small(wanted, MAX_BROADCAST).withColumnsRenamed({x: f"_{x}" for x in ("doc_id", "text_hash", "line_no")})
+    same = exploded["doc_id"].eqNullSafe(some["_doc_id"]) & (exploded["text_hash"] == some["_text_hash"]) & (exploded["line_no"] == some["_line_no"])
+    sets = materialize(exploded.join(some, same).select("c", "first", token_set(F.col("line"), levels).alias("tokens")), "sets")
+    if sets.count() > wanted.count():  # rows that agree in doc_id and text
+        sets = materialize(sets.dropDuplicates(["c"]), "sets")
+    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x"), F.col("first").alias("fa")), "a") \
+        .join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("y"), F.col("first").alias("fb")), "b")
+    common = F.size(F.array_intersect("x", "y"))
+    return both.where(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9) \
+        .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("c")).distinct()
 
 
 def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -103,19 +128,17 @@ def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no")
     classes = lines.where("n > 0").groupBy("c").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     classes = materialize(classes, "classes")
-    pairs = materialize(similar_pairs(classes.select("c", "n", "bits", "prefix"), threshold), "pairs")
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    wanted = materialize(wanted.join(classes.select("c", "first"), "c").select("c", "first", "first.doc_id", "first.text_hash", "first.line_no"), "wanted")
-    some = small(wanted, MAX_BROADCAST).withColumnsRenamed({x: f"_{x}" for x in ("doc_id", "text_hash", "line_no")})
-    same = exploded["doc_id"].eqNullSafe(some["_doc_id"]) & (exploded["text_hash"] == some["_text_hash"]) & (exploded["line_no"] == some["_line_no"])
-    sets = exploded.join(some, same).select("c", "first", token_set(F.col("line"), levels).alias("tokens")).dropDuplicates(["c"])
-    sets = materialize(sets, "sets")
-    both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x"), F.col("first").alias("fa")), "a") \
-        .join(sets.select(F.col("c").alias("b"), F.col("tokens").alias("y"), F.col("first").alias("fb")), "b")
-    common = F.size(F.array_intersect("x", "y"))
-    later = both.where(common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9) \
-        .select(F.when(F.col("fa") < F.col("fb"), F.col("b")).otherwise(F.col("a")).alias("c")).distinct()
-    later = materialize(later, "later")
+    entries = _entries(classes)
+    leaders = entries.groupBy("token").agg(F.min("x").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    near = entries.join(materialize(leaders, "leaders"), "token").where(_possible(F.col("lead"), F.col("x"), threshold))
+    ordered = [F.least("lead.c", "x.c").alias("a"), F.greatest("lead.c", "x.c").alias("b")]
+    pairs = materialize(near.select(*ordered).distinct(), "pairs")
+    later = materialize(_later(pairs, exploded, classes, levels, threshold), "later")
+    open_ = _entries(classes.join(small(later, MAX_BROADCAST), "c", "left_anti"))
+    rest = entries.withColumnRenamed("x", "lead").join(open_, "token").where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold))
+    rest = materialize(rest.select(*ordered).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    if not rest.isEmpty():
+        later = materialize(later.union(_later(rest, exploded, classes, levels, threshold)).distinct(), "later")
     firsts = classes.join(later, "c", "left_anti").select("first.doc_id", "first.text_hash", "first.line_no")
     return _by_document(lines, firsts)
 
