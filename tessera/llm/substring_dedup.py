@@ -42,7 +42,7 @@ from tessera.session import materialize
 
 WINDOW = 20
 ANCHOR = 8
-MAX_GROUP = 1024
+MAX_GROUP = 16_384
 SHARD_WORDS = 50_000
 #: Rows of a lookup table that may be broadcast: keys; documents with a list.
 MAX_KEYS, MAX_DOCS = 300_000, 10_000
