@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.session import materialize
+
 _LOW33 = (1 << 33) - 1
 
 
@@ -45,21 +47,28 @@ def dense_number(df: DataFrame, order_cols: Sequence[str], group_cols: Sequence[
             .select(*df.columns, (F.col("_start") + F.col("_i") - F.col("_i0")).alias(out)))
 
 
-def _stats_join(df: DataFrame, group: str | Sequence[str], stats: DataFrame) -> DataFrame:
+def stats_join(df: DataFrame, group: str | Sequence[str], stats: DataFrame, name: str = "group-stats") -> DataFrame:
+    """``df`` joined with one row of statistics per group.
+
+    ``stats`` is an aggregate on the join key; joined directly, Spark would reuse its partitioning,
+    and then cannot split a group that holds a large share of ``df``.  The statistics are therefore
+    written once and read back: Spark broadcasts a small table and splits hot groups of a shuffled
+    join (AQE skew join) otherwise.  Eager: runs the aggregate.
+    """
     keys = [group] if isinstance(group, str) else list(group)
-    return df.join(stats, keys)
+    return df.join(materialize(stats, name), keys)
 
 
 def zscore(df: DataFrame, group: str | Sequence[str], value: str, out: str = "z") -> DataFrame:
     """Per-group z-score with the population deviation; an all-equal group gives NaN.
 
-    The group statistics are a partial aggregate joined back, not a window, so
-    a group holding a large share of the rows is never sorted in one task
-    (AQE splits the hot side of the join).
+    The group statistics are a partial aggregate joined back by ``stats_join``,
+    not a window, so a group holding a large share of the rows is never sorted
+    in one task.
     """
     keys = [group] if isinstance(group, str) else list(group)
     stats = df.groupBy(*keys).agg(F.avg(value).alias("_mean"), F.stddev_pop(value).alias("_std"))
-    return (_stats_join(df, keys, stats)
+    return (stats_join(df, keys, stats)
             .withColumn(out, F.when(F.col("_std") != 0, (F.col(value) - F.col("_mean")) / F.col("_std"))
                         .otherwise(F.lit(float("nan"))))
             .drop("_mean", "_std"))
@@ -70,7 +79,7 @@ def minmax(df: DataFrame, group: str | Sequence[str], value: str, out: str | Non
     keys = [group] if isinstance(group, str) else list(group)
     out = out or value
     stats = df.groupBy(*keys).agg(F.min(value).alias("_lo"), F.max(value).alias("_hi"))
-    return (_stats_join(df, keys, stats)
+    return (stats_join(df, keys, stats)
             .withColumn(out, minmax_expr(F.col(value), F.col("_lo"), F.col("_hi")))
             .drop("_lo", "_hi"))
 
@@ -85,7 +94,7 @@ def lp_scale(df: DataFrame, group: str | Sequence[str], value: str, p: float = 2
     keys = [group] if isinstance(group, str) else list(group)
     out = out or value
     stats = df.groupBy(*keys).agg(F.pow(F.sum(F.pow(F.col(value), F.lit(p))), F.lit(1.0 / p)).alias("_norm"))
-    return (_stats_join(df, keys, stats)
+    return (stats_join(df, keys, stats)
             .withColumn(out, F.when(F.col("_norm") != 0, F.col(value) / F.col("_norm"))
                         .otherwise(F.lit(float("nan"))))
             .drop("_norm"))

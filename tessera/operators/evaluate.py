@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.common import stats_join
+
 
 def ratio(num: Column, den: Column) -> Column:
     """IEEE division (0/0 = NaN, x/0 = +-inf); ANSI mode would raise instead."""
@@ -47,7 +49,7 @@ def coverage(train: DataFrame, recs: DataFrame, item: str = "item") -> DataFrame
 def popularity(train: DataFrame, recs: DataFrame, item: str = "item") -> DataFrame:
     """Mean of ``ln(1 + training count)`` over recommendation rows (duplicates counted)."""
     counts = train.groupBy(item).agg(F.count(F.lit(1)).alias("_n"))
-    j = recs.select(item).join(counts, item)
+    j = stats_join(recs.select(item), item, counts, "item-counts")
     return j.agg(F.avg(F.ln(F.lit(1.0) + F.col("_n"))).alias("popularity"),
                  F.count(F.lit(1)).alias("n_rows"))
 

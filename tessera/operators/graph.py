@@ -17,6 +17,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from tessera.operators.common import stats_join
 from tessera.session import materialize, scratch_path
 
 RESET = 0.15
@@ -26,11 +27,13 @@ STEPS_PER_JOB = 5
 EDGE_CHUNK = 1 << 20
 
 
-def parse_users(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``id bigint, handle string`` from ``id,handle[,...]`` lines; bad ids dropped."""
+def parse_users(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(users, rejects)`` of ``id,handle[,...]`` lines: ``id bigint, handle string``, and the lines
+    without an integer id or without a handle (null lines among them)."""
     f = F.split(F.col(value), ",", -1)
-    return (lines.select(F.get(f, 0).try_cast("bigint").alias("id"), F.get(f, 1).alias("handle"))
-            .where(F.col("id").isNotNull() & F.col("handle").isNotNull()))
+    staged = lines.select(F.col(value), F.get(f, 0).try_cast("bigint").alias("id"), F.get(f, 1).alias("handle"))
+    good = F.col("id").isNotNull() & F.col("handle").isNotNull()
+    return staged.where(good).select("id", "handle"), staged.where(~good).select(value)
 
 
 def bipartite_edges(relation: DataFrame, a: str = "user", b: str = "item") -> DataFrame:
@@ -48,20 +51,6 @@ def graph_vertices(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
     return v.distinct()
 
 
-EDGES_PER_PARTITION = 2_000_000
-
-
-def _edge_partitions(edges: DataFrame) -> int:
-    """Partitions of the persisted edge table: ~2M edges each, between the core
-    count and ``spark.sql.shuffle.partitions`` (a small graph should not pay
-    hundreds of tasks per step; a large one gets the configured width)."""
-    spark = edges.sparkSession
-    cap = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    need = -(-edges.count() // EDGES_PER_PARTITION)
-    return max(1, min(cap, max(cores, need)))
-
-
 def _weighted_edges(edges: DataFrame, edge_chunk: int = EDGE_CHUNK) -> tuple[DataFrame, DataFrame]:
     """``(edges, chunks)``: ``src, dst, w = 1/outdeg(src), _salt`` kept for the loop,
     and ``id, _nc`` (number of salts) for vertices with out-edges.
@@ -74,14 +63,13 @@ def _weighted_edges(edges: DataFrame, edge_chunk: int = EDGE_CHUNK) -> tuple[Dat
     salt and the plan is the plain one.
     """
     deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    n = _edge_partitions(edges)
     nc = F.ceil(F.col("_deg") / F.lit(edge_chunk)).cast("int")
     # Any salt in [0, nc) is correct (every salt of a vertex gets its rank), so
     # a seeded random draw is fine even if a lost partition recomputes it.
-    we = (edges.join(deg, "src")
+    we = (stats_join(edges, "src", deg, "out-degrees")
           .select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"),
                   F.floor(F.rand(17) * nc).cast("int").alias("_salt"))
-          .repartition(n, "src", "_salt").persist(StorageLevel.MEMORY_AND_DISK))
+          .repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK))
     return we, deg.select(F.col("src").alias("id"), nc.alias("_nc"))
 
 
@@ -106,7 +94,9 @@ def _step(ranks: DataFrame, we: DataFrame, reset_term, reset: float) -> DataFram
            .groupBy(F.col("_m.k").alias("id"))
            .agg(F.sum("_m.c").alias("_c"), F.max("_m.old").alias("_old"), F.max("_m.nc").alias("_nc")))
     fresh = reset_term + F.lit(1.0 - reset) * F.col("_c")
-    return agg.select("id", fresh.alias("rank"), "_nc", F.abs(fresh - F.col("_old")).alias("_delta"))
+    # A rank above 1 is measured against itself: a hub's rank has no digits left for a small absolute change.
+    change = F.abs(fresh - F.col("_old")) / F.greatest(F.lit(1.0), fresh)
+    return agg.select("id", fresh.alias("rank"), "_nc", change.alias("_delta"))
 
 
 def _run(edges: DataFrame, vertices: DataFrame | None, source, tol: float | None,
@@ -163,7 +153,7 @@ def pagerank(edges: DataFrame, tol: float = 1e-4, vertices: DataFrame | None = N
              reset: float = RESET, max_iterations: int | None = None, edge_chunk: int = EDGE_CHUNK) -> DataFrame:
     """``id, rank``: rank = reset + (1 - reset) * sum(rank(src) / outdeg(src)), to tolerance.
 
-    Iterates until no rank moves by ``tol`` or more, then scales the ranks to
+    Iterates until no rank moves by ``tol`` or more (ranks above 1: by that share of themselves), then scales the ranks to
     sum to the vertex count (mass lost at sinks is restored proportionally).
     """
     return _run(edges, vertices, None, tol, max_iterations, reset, edge_chunk)

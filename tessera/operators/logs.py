@@ -13,7 +13,7 @@ def parse_tab_logs(lines: DataFrame, value: str = "value") -> tuple[DataFrame, D
 
     Trailing empty fields are dropped before indexing, as a Java ``split``
     does.  A row without a level, or an ERROR row without an app, would fail
-    the reference job; here it goes to ``rejects`` instead.  Other columns of
+    the whole job in a strict parser; here it goes to ``rejects`` with a ``reason``.  Other columns of
     ``lines`` are carried along.
     """
     keep = [c for c in lines.columns if c != value]
@@ -27,7 +27,8 @@ def parse_tab_logs(lines: DataFrame, value: str = "value") -> tuple[DataFrame, D
         F.get(F.col("_f"), 1).alias("level"),
         F.get(F.col("_f"), 2).alias("app"),
         F.when(n > 3, F.array_join(F.slice("_f", 4, F.greatest(n - 3, F.lit(1))), "\t")).alias("message"))
-    rejects = staged.where(bad).select(*keep, F.col(value))
+    reason = F.when(n < 2, F.lit("no level")).otherwise(F.lit("error without application"))
+    rejects = staged.where(bad).select(*keep, F.col(value), reason.alias("reason"))
     return logs, rejects
 
 

@@ -30,6 +30,15 @@ def check_unique(ratings: DataFrame, keys=("user", "item")) -> DataFrame:
     return ratings.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1)
 
 
+def require_unique(ratings: DataFrame, keys=("user", "item")) -> DataFrame:
+    """``ratings``, or ValueError if a key occurs more than once (sum them with ``group_ratings`` first).
+    Eager: one partial aggregate."""
+    twice = check_unique(ratings, keys).first()
+    if twice:
+        raise ValueError(f"repeated ({', '.join(keys)}) rows, for example {tuple(twice[k] for k in keys)}")
+    return ratings
+
+
 def group_ratings(ratings: DataFrame, user="user", item="item", value="rating") -> DataFrame:
     """Sum duplicate (user, item) rows into one."""
     return ratings.groupBy(user, item).agg(F.sum(value).cast("double").alias(value))

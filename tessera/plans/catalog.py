@@ -26,12 +26,9 @@ from tessera.plans.recommender import run_recommender
 from tessera.session import materialize, scratch_path
 from tessera.sinks import files as FS
 from tessera.sinks import upsert as U
-from tessera.sources import int_range as IR
-from tessera.sources import jdbc as J
 from tessera.sources import tables as B
-from tessera.sources.text import edges_from_lines
+from tessera.sources.text import parse_edges
 from tessera.streaming import batches as SB
-from tessera.streaming import exactly_once as XO
 from tessera.streaming import sources as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -82,6 +79,12 @@ def q_parse_tab_logs(spark, sf):
     return _tab_logs(spark, sf).select(*_LOG_COLS)
 
 
+@query
+def q_tab_log_rejects(spark, sf):
+    _, rejects = L.parse_tab_logs(B.damaged_log_lines(spark, sf))
+    return rejects.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query
 def q_log_errors(spark, sf):
     return L.errors(_tab_logs(spark, sf)).select(*_LOG_COLS)
@@ -328,14 +331,14 @@ def q_bipartite_edges(spark, sf):
 @query
 def q_edge_list(spark, sf):
     lines = B.order_edges(spark, sf).select(F.concat_ws(" ", "src", "dst").alias("value"))
-    return edges_from_lines(lines)
+    return parse_edges(lines)[0]
 
 
 @query
 def q_parse_users(spark, sf):
     c = B.table(spark, sf, "customer")
     lines = c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name", "c_mktsegment").alias("value"))
-    return G.parse_users(lines)
+    return G.parse_users(lines)[0]
 
 
 @query
@@ -361,7 +364,7 @@ def q_pagerank_sinks(spark, sf):
 @query
 def q_pagerank_named(spark, sf):
     c = B.table(spark, sf, "customer")
-    users = G.parse_users(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value")))
+    users = G.parse_users(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value")))[0]
     ranks = G.pagerank(B.order_edges(spark, sf), tol=CONVERGED_TOL)
     return users.join(ranks, "id").select("handle", r6("rank").alias("rank"))
 
@@ -389,8 +392,8 @@ def q_ppr_items(spark, sf):
 
 
 KMEANS_K = 5
-KMEANS_STEPS = 5
-LR_DIMS = 8
+KMEANS_CONVERGE = 1e-12
+LR_DIMS = 64
 LR_ITERATIONS = 3
 
 
@@ -433,13 +436,13 @@ def q_kmeans_assign(spark, sf):
 
 @query
 def q_kmeans_steps(spark, sf):
-    _, assigned = FT.kmeans(B.vectors(spark, sf), KMEANS_K, 0.0, max_iterations=KMEANS_STEPS)
+    _, assigned = FT.kmeans(B.vectors(spark, sf), KMEANS_K, KMEANS_CONVERGE)
     return _kmeans_out(assigned)
 
 
 @query
 def q_logistic_steps(spark, sf):
-    w = FT.logistic_gd(B.labelled_points(spark, sf, LR_DIMS), LR_DIMS, LR_ITERATIONS)
+    w = FT.logistic_gd(B.labelled_points(spark, sf), LR_DIMS, LR_ITERATIONS)
     return w.select(F.col("pos").cast("bigint").alias("pos"), r6("weight").alias("weight"))
 
 
@@ -455,12 +458,6 @@ def _supplier_rows(spark, sf):
         "s_suppkey", "s_name", "s_nationkey", F.col("s_acctbal").cast("decimal(12,2)").alias("s_acctbal"))
 
 
-def _derby_supplier(spark, sf):
-    url = J.derby_memory_url()
-    J.jdbc_write(_supplier_rows(spark, sf), url, "supplier", mode="overwrite")
-    return url
-
-
 def _sup_out(df):
     return df.select("s_suppkey", "s_name", F.col("s_nationkey").cast("int").alias("s_nationkey"),
                      r6("s_acctbal").alias("s_acctbal"))
@@ -468,51 +465,11 @@ def _sup_out(df):
 
 def _supplier_updates(spark, sf):
     c = B.table(spark, sf, "customer")
-    return c.where(F.col("c_mktsegment") == "BUILDING").select(
+    return c.select(
         F.col("c_custkey").alias("s_suppkey"), F.col("c_name").alias("s_name"),
         F.col("c_nationkey").alias("s_nationkey"), F.col("c_acctbal").cast("decimal(12,2)").alias("s_acctbal"))
 
 
-@query
-def q_jdbc_scan(spark, sf):
-    return _sup_out(J.jdbc_scan(spark, _derby_supplier(spark, sf), "supplier"))
-
-
-@query
-def q_jdbc_eq_pushdown(spark, sf):
-    df = J.jdbc_scan(spark, _derby_supplier(spark, sf), "supplier")
-    return df.where(F.col("s_nationkey") == Q1_NATION).select("s_suppkey", "s_name")
-
-
-@query
-def q_jdbc_range_scan(spark, sf):
-    hi = B.table(spark, sf, "supplier").agg(F.max("s_suppkey")).first()[0]
-    df = J.jdbc_scan(spark, _derby_supplier(spark, sf), "supplier", partition_column="s_suppkey",
-                     lower=1, upper=hi, num_partitions=2)
-    return _sup_out(df)
-
-
-@query
-def q_jdbc_sql_view(spark, sf):
-    J.register_view(spark, "supplier_db", _derby_supplier(spark, sf), "supplier")
-    return _sup_out(spark.sql("SELECT * FROM supplier_db"))
-
-
-@query
-def q_jdbc_count_avg(spark, sf):
-    J.register_view(spark, "supplier_db", _derby_supplier(spark, sf), "supplier")
-    df = spark.sql(f"SELECT COUNT(*) AS n, AVG(s_acctbal) AS avg_acctbal FROM supplier_db "
-                   f"WHERE s_nationkey = {Q1_NATION}")
-    return df.select("n", r6("avg_acctbal").alias("avg_acctbal"))
-
-
-@query
-def q_jdbc_upsert(spark, sf):
-    url = _derby_supplier(spark, sf)
-    J.jdbc_upsert(_supplier_updates(spark, sf), url, "supplier", ["s_suppkey"])
-    return _sup_out(J.jdbc_scan(spark, url, "supplier"))
-
-
 @query
 def q_upsert_table(spark, sf):
     return _sup_out(U.upsert(_supplier_rows(spark, sf), _supplier_updates(spark, sf), ["s_suppkey"]))
@@ -520,21 +477,14 @@ def q_upsert_table(spark, sf):
 
 def _hourly(spark, sf, kind):
     ev = B.table(spark, sf, "events")
-    return (ev.where(F.col("event_type") == kind)
+    return (ev.where(kind)
             .groupBy(F.date_format(F.date_trunc("hour", "ts"), "yyyy-MM-dd HH:mm:ss").alias("log_time"))
             .agg(F.count(F.lit(1)).alias("log_count")))
 
 
 @query
 def q_upsert_add(spark, sf):
-    return U.upsert_add(_hourly(spark, sf, "error"), _hourly(spark, sf, "click"), "log_time", "log_count")
-
-
-@query
-def q_int_range(spark, sf):
-    IR.register(spark)
-    n = B.table(spark, sf, "orders").count()
-    return spark.read.format("int_range").option("from", 1).option("TO", n).load()
+    return U.upsert_add(_hourly(spark, sf, F.col("event_type") == "error"), _hourly(spark, sf, ~F.col("event_type").eqNullSafe("error")), "log_time", "log_count")
 
 
 @query
@@ -549,12 +499,8 @@ def q_write_tsv_roundtrip(spark, sf):
 # --- streaming --------------------------------------------------------------
 
 
-OFFSET_SLICE = 2500
-
-
-def _doc_batches(n_docs: int) -> int:
-    """Micro-batches of the replayed document stream: 20, or more so each holds ~500 documents."""
-    return max(20, n_docs // 500)
+#: Micro-batches of a replayed table; a batch grows with its table.
+BATCHES = 8
 
 
 def _doc_line_files(spark, sf):
@@ -566,16 +512,16 @@ def _doc_line_files(spark, sf):
     """
     path = scratch_path(spark, "doc-lines")
     docs = B.table(spark, sf, "documents").select("doc_id", "text")
-    n = _doc_batches(docs.count())
-    lines = docs.select(F.pmod("doc_id", F.lit(n)).alias("batch"), F.explode(text_lines("text")).alias("value"))
+    lines = docs.select(F.pmod("doc_id", F.lit(BATCHES)).alias("batch"), F.explode(text_lines("text")).alias("value"))
     lines.repartition("batch").write.partitionBy("batch").text(path)
     return path
 
 
 def _record_files(spark, sf):
-    """Kafka-shaped records as parquet files, one file per slice of offsets (one micro-batch each)."""
+    """Kafka-shaped records as parquet files, one folder per slice of events (one micro-batch each)."""
     path = scratch_path(spark, "records")
-    recs = B.kafka_records(spark, sf).withColumn("slice", F.floor(F.col("offset") / OFFSET_SLICE))
+    end = B.table(spark, sf, "events").agg(F.max("event_id") + 1).first()[0] or 1
+    recs = B.kafka_records(spark, sf).withColumn("slice", F.floor(F.col("event_id") * BATCHES / F.lit(end)))
     recs.repartition("slice").write.partitionBy("slice").parquet(path)
     SS.stamp_in_order(spark, path, "slice")
     return path
@@ -608,28 +554,6 @@ def q_offset_ranges(spark, sf):
     return SB.offset_ranges(B.kafka_records(spark, sf))
 
 
-def _exactly_once(spark, sf):
-    url = J.derby_memory_url()
-    XO.create_tables(spark, url)
-    src = _record_files(spark, sf)
-    SB.start(_record_stream(spark, src), XO.exactly_once_batch(url),
-             scratch_path(spark, "xo-ckpt")).awaitTermination()
-    return url
-
-
-@query
-def q_stream_exactly_once(spark, sf):
-    res = XO.read_results(spark, _exactly_once(spark, sf))
-    return res.select(_fmt_time(F.col("log_time")).alias("log_time"), F.col("log_count").cast("bigint").alias("log_count"))
-
-
-@query
-def q_offset_ledger(spark, sf):
-    led = XO.read_ledger_table(spark, _exactly_once(spark, sf))
-    return led.select("topic", F.col("partition").cast("int").alias("partition"),
-                      F.col("offset").cast("bigint").alias("offset"))
-
-
 @query
 def q_ledger_start_offsets(spark, sf):
     ledger = SB.offset_ranges(B.kafka_records(spark, sf)).select(
@@ -649,14 +573,28 @@ def q_recommender_run(spark, sf):
 
 @query
 def q_rec_als_user(spark, sf):
-    users, recs = RC.recommend_als(_train(spark, sf), NUM_RECS, "user-product")
-    return _rec_out(recs)
+    """Each user's list: its length, first and last rank, and how many items were trained on."""
+    train = _train(spark, sf)
+    _, recs = RC.recommend_als(train, NUM_RECS, "user-product")
+    known = train.select("item").distinct().withColumn("known", F.lit(1))
+    return recs.join(known, "item", "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.min("rank").cast("bigint").alias("first_rank"),
+        F.max("rank").cast("bigint").alias("last_rank"), F.count("known").alias("n_known")) \
+        .withColumn("user_id", F.col("user_id").cast("bigint"))
 
 
 @query
 def q_rec_als_item(spark, sf):
-    users, recs = RC.recommend_als(_train(spark, sf), NUM_RECS, "product-user")
-    return _rec_out(recs)
+    """What must hold of the lists whatever the factors are: for every trained user, whether a served list
+    breaks off, is too long or names unknown items (a user in no item's list is served none)."""
+    train = _train(spark, sf)
+    _, recs = RC.recommend_als(train, NUM_RECS, "product-user")
+    known = train.select("item").distinct().withColumn("known", F.lit(1))
+    per = recs.join(known, "item", "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n"), F.max("rank").alias("last"), F.count_distinct("item").alias("items"), F.count("known").alias("known"))
+    sound = (F.col("n") == F.col("last")) & (F.col("n") == F.col("items")) & (F.col("n") == F.col("known")) & (F.col("n") <= NUM_RECS)
+    return train.select("user_id").distinct().join(per, "user_id", "left").select(
+        F.col("user_id").cast("bigint").alias("user_id"), F.coalesce(sound, F.lit(True)).alias("sound"))
 
 
 @query

@@ -98,6 +98,10 @@ oracle("parse_tab_logs", f"WITH {TAB_LOGS} SELECT {_LOGC} FROM tab_logs")
 oracle("log_errors", f"WITH {TAB_LOGS} SELECT {_LOGC} FROM tab_logs WHERE level = 'ERROR'")
 oracle("log_error_count", f"WITH {TAB_LOGS} SELECT CAST(count(*) AS BIGINT) AS n_errors "
        "FROM tab_logs WHERE level = 'ERROR'")
+oracle("tab_log_rejects", r"""
+SELECT CASE WHEN event_id % 10 = 3 THEN 'no level' ELSE 'error without application' END AS reason,
+       CAST(count(*) AS BIGINT) AS n
+FROM events WHERE event_id % 10 = 3 OR (event_id % 10 = 7 AND upper(event_type) = 'ERROR') GROUP BY 1""")
 oracle("log_app_errors", f"WITH {TAB_LOGS} SELECT {_LOGC} FROM tab_logs "
        "WHERE level = 'ERROR' AND app = 'MySQL' ORDER BY ts, event_id LIMIT 10")
 oracle("log_errors_by_app", f"WITH {TAB_LOGS} SELECT app, CAST(count(*) AS BIGINT) AS n "
@@ -111,15 +115,6 @@ oracle("errors_per_minute", f"WITH {SPACE_LOGS} SELECT "
 
 # --- ratings, similarity, recommendation, evaluation ------------------------
 
-def xlogx(x: str) -> str:
-    return f"(CASE WHEN ({x}) = 0 THEN 0.0 ELSE CAST({x} AS DOUBLE) * ln(CAST({x} AS DOUBLE)) END)"
-
-
-def entropy(*xs: str) -> str:
-    total = " + ".join(f"({x})" for x in xs)
-    return f"({xlogx(total)} - ({' + '.join(xlogx(x) for x in xs)}))"
-
-
 def r6(x: str) -> str:
     return f"round(CAST({x} AS DOUBLE), 6)"
 
@@ -153,15 +148,19 @@ zs AS (
 zf AS (SELECT u, i, z FROM zs WHERE NOT isnan(z) AND z <> 0)"""
 
 _N_USERS = "(SELECT count(DISTINCT user_id) FROM train)"
-_LLR_ROW = entropy("co + (n_j - co)", f"(n_i - co) + ({_N_USERS} - n_i - n_j + co)")
-_LLR_COL = entropy("co + (n_i - co)", f"(n_j - co) + ({_N_USERS} - n_i - n_j + co)")
-_LLR_MAT = entropy("co", "n_j - co", "n_i - co", f"{_N_USERS} - n_i - n_j + co")
+
+def llr_term(k: str, row: str, col: str) -> str:
+    return f"coalesce(({k}) * ln(CAST({k} AS DOUBLE) * {_N_USERS} / nullif(({row}) * ({col}), 0)), 0)"
+
+
+_LLR = " + ".join(f"CASE WHEN {k} > 0 THEN {llr_term(k, row, col)} ELSE 0 END" for k, row, col in (
+    ("co", "n_i", "n_j"), ("(n_i - co)", "n_i", f"{_N_USERS} - n_j"), ("(n_j - co)", f"{_N_USERS} - n_i", "n_j"),
+    (f"({_N_USERS} - n_i - n_j + co)", f"{_N_USERS} - n_i", f"{_N_USERS} - n_j")))
 
 SIMS = {
     "cosine": "SELECT i, j, dot / sqrt(ss_i) / sqrt(ss_j) AS sim FROM ps",
     "cosine_mod": "SELECT i, j, dot / pow(ss_i, 0.6) / pow(ss_j, 0.4) AS sim FROM ps",
-    "llr": f"SELECT i, j, CASE WHEN {_LLR_ROW} + {_LLR_COL} < {_LLR_MAT} THEN 0.0 "
-           f"ELSE 2.0 * ({_LLR_ROW} + {_LLR_COL} - {_LLR_MAT}) END AS sim FROM ps",
+    "llr": f"SELECT i, j, greatest(0.0, 2.0 * ({_LLR})) AS sim FROM ps",
     "jaccard": "SELECT i, j, CAST(co AS DOUBLE) / (n_i + n_j - co) AS sim FROM ps",
     "euclidean": "SELECT a.i, b.i AS j, sqrt(sum(pow(a.z - b.z, 2))) AS sim "
                  "FROM zf a JOIN zf b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2",
@@ -374,7 +373,7 @@ def kmeans_sql(k: int, steps: int) -> str:
 def logistic_sql(d: int, iterations: int) -> str:
     w0 = ", ".join(repr(v) for v in _java_start_weights(d))
     parts = [f"lp AS (SELECT CAST(CASE WHEN label % 2 = 0 THEN 1.0 ELSE -1.0 END AS DOUBLE) AS y, "
-             f"CAST(embedding AS DOUBLE[])[1:{d}] AS x FROM embeddings)",
+             f"CAST(embedding AS DOUBLE[]) AS x FROM embeddings)",
              f"w0 AS (SELECT [{w0}]::DOUBLE[] AS w)"]
     for t in range(iterations):
         parts.append(f"f{t} AS (SELECT lp.x, (1.0 / (1.0 + exp(-lp.y * list_sum(list_transform(range(1, {d} + 1), "
@@ -389,33 +388,25 @@ oracle("parse_vectors", "SELECT vec_id AS id, CAST(generate_subscripts(embedding
        f"round({_VEC9.replace('v', 'unnest(embedding)', 1)}, 6) AS x FROM embeddings")
 oracle("parse_points", "SELECT id, y, CAST(pos AS BIGINT) AS pos, round(CAST(printf('%.9f', v) AS DOUBLE), 6) AS x FROM "
        "(SELECT vec_id AS id, CAST(CASE WHEN label % 2 = 0 THEN 1.0 ELSE -1.0 END AS DOUBLE) AS y, "
-       "generate_subscripts(embedding[1:8], 1) - 1 AS pos, unnest(CAST(embedding[1:8] AS DOUBLE[])) AS v FROM embeddings)")
+       "generate_subscripts(embedding, 1) - 1 AS pos, unnest(CAST(embedding AS DOUBLE[])) AS v FROM embeddings)")
 oracle("sample_k", f"WITH {_PTS} SELECT id FROM pts ORDER BY {_SAMPLE_KEY} LIMIT 5")
 oracle("kmeans_assign", kmeans_sql(5, 0) + f" SELECT id, CAST(cid AS BIGINT) AS cluster, {r6('d')} AS dist FROM b0")
-oracle("kmeans_steps", kmeans_sql(5, 5) + f" SELECT id, CAST(cid AS BIGINT) AS cluster, {r6('d')} AS dist FROM b5")
-oracle("logistic_steps", logistic_sql(8, 3) + f" SELECT CAST(k - 1 AS BIGINT) AS pos, {r6('w3.w[k]')} AS weight "
-       "FROM w3, range(1, 9) r(k)")
+# unrolled past the step at which the centers stop moving (further steps change nothing)
+oracle("kmeans_steps", kmeans_sql(5, 40) + f" SELECT id, CAST(cid AS BIGINT) AS cluster, {r6('d')} AS dist FROM b40")
+oracle("logistic_steps", logistic_sql(64, 3) + f" SELECT CAST(k - 1 AS BIGINT) AS pos, {r6('w3.w[k]')} AS weight "
+       "FROM w3, range(1, 65) r(k)")
 
 
 # --- sources and sinks: JDBC, ranges, files, upserts ------------------------
 
 _SUP = "s_suppkey, s_name, s_nationkey, round(CAST(CAST(s_acctbal AS DECIMAL(12, 2)) AS DOUBLE), 6) AS s_acctbal"
 _UPD = ("SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_nationkey, "
-        "round(CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS DOUBLE), 6) AS s_acctbal FROM customer "
-        "WHERE c_mktsegment = 'BUILDING'")
-_UPSERTED = (f"SELECT {_SUP} FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer "
-             f"WHERE c_mktsegment = 'BUILDING') UNION ALL {_UPD}")
-oracle("jdbc_scan", f"SELECT {_SUP} FROM supplier")
-oracle("jdbc_eq_pushdown", "SELECT s_suppkey, s_name FROM supplier WHERE s_nationkey = 7")
-oracle("jdbc_range_scan", f"SELECT {_SUP} FROM supplier")
-oracle("jdbc_sql_view", f"SELECT {_SUP} FROM supplier")
-oracle("jdbc_count_avg", "SELECT CAST(count(*) AS BIGINT) AS n, "
-       "round(CAST(avg(CAST(s_acctbal AS DECIMAL(12, 2))) AS DOUBLE), 6) AS avg_acctbal FROM supplier WHERE s_nationkey = 7")
-oracle("jdbc_upsert", _UPSERTED)
+        "round(CAST(CAST(c_acctbal AS DECIMAL(12, 2)) AS DOUBLE), 6) AS s_acctbal FROM customer")
+_UPSERTED = (f"SELECT {_SUP} FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer) "
+             f"UNION ALL {_UPD}")
 oracle("upsert_table", _UPSERTED)
 oracle("upsert_add", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS log_time, "
-       "CAST(count(*) AS BIGINT) AS log_count FROM events WHERE event_type IN ('error', 'click') GROUP BY 1")
-oracle("int_range", "SELECT CAST(unnest(range(1, (SELECT count(*) FROM orders) + 1)) AS INTEGER) AS i")
+       "CAST(count(*) AS BIGINT) AS log_count FROM events GROUP BY 1")
 oracle("write_tsv_roundtrip", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS BIGINT) AS item, "
        f"CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight FROM nb")
 
@@ -424,7 +415,7 @@ oracle("write_tsv_roundtrip", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS
 
 RECORDS = r"""
 records AS (
-  SELECT 'events' AS topic, CAST(user_id % 2 AS INTEGER) AS partition,
+  SELECT event_id, 'events' AS topic, CAST(user_id % 2 AS INTEGER) AS partition,
          CAST(row_number() OVER (PARTITION BY user_id % 2 ORDER BY event_id) - 1 AS BIGINT) AS "offset",
          strftime(ts, '%Y-%m-%d %H:%M:%S') || ' ' || upper(event_type) || ' ' || props AS value
   FROM events)"""
@@ -432,19 +423,16 @@ records AS (
 _NTOK = ("len(CASE WHEN value <> '' AND rtrim(value, ' ') = '' THEN []::VARCHAR[] "
          "ELSE string_split(rtrim(value, ' '), ' ') END)")
 
-oracle("stream_word_count", f"WITH {doc_lines_cte('doc_id % greatest(20, (SELECT count(*) FROM documents) // 500) AS batch')}, "
+oracle("stream_word_count", f"WITH {doc_lines_cte('doc_id % 8 AS batch')}, "
        f"{tokens_cte('batch')} "
        "SELECT word, CAST(count(DISTINCT batch) AS BIGINT) AS n_batches, CAST(count(*) AS BIGINT) AS n "
        "FROM doc_tokens GROUP BY word")
-oracle("stream_counts_with_offsets", f"WITH {RECORDS}, sl AS (SELECT *, CAST(floor(\"offset\" / 2500) AS BIGINT) AS slice "
+oracle("stream_counts_with_offsets", f"WITH {RECORDS}, sl AS (SELECT *, CAST(floor(event_id * 8 / (SELECT max(event_id) + 1 FROM events)) AS BIGINT) AS slice "
        f"FROM records), bw AS (SELECT slice, CAST(sum({_NTOK}) AS BIGINT) AS batch_words FROM sl GROUP BY slice) "
        "SELECT topic, partition, min(\"offset\") AS from_offset, max(\"offset\") + 1 AS until_offset, "
        "any_value(bw.batch_words) AS batch_words FROM sl JOIN bw USING (slice) GROUP BY topic, partition, slice")
 oracle("offset_ranges", f"WITH {RECORDS} SELECT topic, partition, min(\"offset\") AS from_offset, "
        "max(\"offset\") + 1 AS until_offset FROM records GROUP BY topic, partition")
-oracle("stream_exactly_once", ORACLES["errors_per_minute"])
-oracle("offset_ledger", f"WITH {RECORDS} SELECT topic, partition, max(\"offset\") + 1 AS \"offset\" "
-       "FROM records GROUP BY topic, partition")
 oracle("ledger_start_offsets", f"WITH {RECORDS}, led AS (SELECT topic, partition, max(\"offset\") + 1 AS o "
        "FROM records GROUP BY 1, 2) SELECT topic, '{\"' || topic || '\":{' || "
        "string_agg('\"' || CAST(partition AS VARCHAR) || '\":' || CAST(o AS VARCHAR), ',' ORDER BY partition) "
@@ -464,3 +452,10 @@ st AS (SELECT i, sum(v * v) AS ss FROM ords GROUP BY i),
 pr AS (SELECT a.i, b.i AS j, sum(a.v * b.v) AS dot FROM ords a JOIN ords b ON a.u = b.u AND a.i < b.i GROUP BY 1, 2),
 h AS (SELECT p.i, p.j, p.dot / sqrt(si.ss) / sqrt(sj.ss) AS sim FROM pr p JOIN st si ON p.i = si.i JOIN st sj ON p.j = sj.i)
 SELECT i, j, round(sim, 6) AS sim FROM h UNION ALL SELECT j AS i, i AS j, round(sim, 6) AS sim FROM h""")
+
+_ALS = f"""
+WITH {RATINGS}, n AS (SELECT least(30, count(DISTINCT item)) AS items, least(30, count(DISTINCT user_id)) AS users FROM train)
+"""
+oracle("rec_als_user", _ALS + "SELECT user_id, items AS n_recs, CAST(1 AS BIGINT) AS first_rank, items AS last_rank, "
+       "items AS n_known FROM (SELECT DISTINCT user_id FROM train), n")
+oracle("rec_als_item", _ALS + "SELECT DISTINCT user_id, true AS sound FROM train")

@@ -24,7 +24,7 @@ def run_recommender(lines: DataFrame, algorithm: str, similarity_method: str = "
                     seed: int = SPLIT_SEED) -> DataFrame:
     """Metrics row ``tp, tp_fn, tp_fp, precision, recall, f1, coverage, popularity``.
 
-    ``lines`` are ``user item clicks`` text lines.  ``algorithm`` is ``sim``
+    ``lines`` are ``user item clicks`` text lines, one for each user and item (repeated ones raise).  ``algorithm`` is ``sim``
     (item similarity + ``score`` / ``weighted-sum``) or ``als``
     (``user-product`` / ``product-user``).  With ``output_path``, the
     neighbour lists and the recommendations are written as tab-separated text
@@ -33,7 +33,7 @@ def run_recommender(lines: DataFrame, algorithm: str, similarity_method: str = "
     since several later steps read them.
     """
     parsed = RT.parse_ratings(lines).select("user", "item", F.col("clicks").cast("double").alias("rating"))
-    rated = materialize(RT.with_user_id(parsed), "rated")
+    rated = RT.require_unique(materialize(RT.with_user_id(parsed), "rated"))
     train, test = RT.train_test_split(rated, seed)
     if algorithm == "sim":
         nb = materialize(S.top_neighbours(S.similarity(train, similarity_method), num_neighbours), "neighbours")

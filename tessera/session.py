@@ -31,6 +31,7 @@ def build_session(master: str | None = None, app_name: str = "tessera",
         builder = builder.master(master)
     conf = {
         "spark.sql.session.timeZone": "UTC",
+        "spark.sql.ansi.enabled": "true",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -53,12 +54,13 @@ def build_session(master: str | None = None, app_name: str = "tessera",
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the cluster's checkpoint folder, installing a local one only if unset."""
+    """The cluster's checkpoint folder; a local run without one gets a temporary one, a cluster raises."""
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get(CHECKPOINT_CONF, None) \
         or sc.getConf().get(CHECKPOINT_CONF, None)
     if not current:
-        # Only reached in local runs and tests: no cluster folder was named.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(f"set {CHECKPOINT_CONF} to a folder that all executors share (master {sc.master})")
         current = tempfile.mkdtemp(prefix="tessera-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, current)
     if not sc.getCheckpointDir():

@@ -23,27 +23,14 @@ LOG_APPS = ["Java", "MySQL", "Nginx"]
 KAFKA_TOPIC = "events"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """A driver table.
-
-    With ``spread``, for bindings whose heavy per-row work (tokenising, regex
-    parsing) comes before any shuffle: if the scan yields fewer splits than
-    the session's ``defaultParallelism`` (a parquet file splits by row group,
-    so a small single-row-group file is one task), the rows are dealt
-    round-robin over that many partitions.  Multi-file inputs at scale already
-    have more splits than cores and are left alone.
-    """
-    df = spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
-    if spread:
-        want = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < want:
-            df = df.repartition(want)
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table."""
+    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
 
 def doc_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``doc_id, line_no, value``: each document's text as lines."""
-    docs = table(spark, sf_dir, "documents", spread=True).select("doc_id", "text")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return docs.select("doc_id", F.posexplode(text_lines("text")).alias("line_no", "value"))
 
 
@@ -53,7 +40,7 @@ def _log_time(ts: str = "ts"):
 
 def log_lines_space(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, value``: ``<time> <LEVEL> <props>`` lines from ``events``."""
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     return ev.select("event_id", F.concat_ws(" ", _log_time(), F.upper("event_type"),
                                              F.col("props")).alias("value"))
 
@@ -65,11 +52,18 @@ def log_app(user_id: str = "user_id"):
 
 def log_lines_tab(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``event_id, value``: tab-separated ``time, LEVEL, app, props`` lines."""
-    ev = table(spark, sf_dir, "events", spread=True)
+    ev = table(spark, sf_dir, "events")
     return ev.select("event_id", F.concat_ws("\t", _log_time(), F.upper("event_type"),
                                              log_app(), F.col("props")).alias("value"))
 
 
+def damaged_log_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tab log lines of which a tenth end after the time and another tenth after the level."""
+    line, kind = F.split("value", "\t"), F.col("event_id") % 10
+    cut = F.when(kind == 3, F.slice(line, 1, 1)).when(kind == 7, F.slice(line, 1, 2)).otherwise(line)
+    return log_lines_tab(spark, sf_dir).select("event_id", F.array_join(cut, "\t").alias("value"))
+
+
 def event_item(props: str = "props"):
     return F.get_json_object(F.col(props), "$.k").cast("int")
 
@@ -132,12 +126,12 @@ def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("x"))
 
 
-def labelled_points(spark: SparkSession, sf_dir: str, d: int) -> DataFrame:
-    """``id, y, x``: y = +1 for even labels else -1, x = first ``d`` embedding values."""
+def labelled_points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``id, y, x``: y = +1 for even labels else -1, x = the embedding values."""
     e = table(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("id"),
                     F.when(F.pmod("label", F.lit(2)) == 0, F.lit(1.0)).otherwise(F.lit(-1.0)).alias("y"),
-                    F.slice(F.col("embedding").cast("array<double>"), 1, d).alias("x"))
+                    F.col("embedding").cast("array<double>").alias("x"))
 
 
 def kafka_records(spark: SparkSession, sf_dir: str, partitions: int = 2) -> DataFrame:

@@ -13,20 +13,20 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path)
 
 
-def edges_from_lines(lines: DataFrame, value: str = "value") -> DataFrame:
-    """``src, dst`` longs from ``a b`` lines; ``#`` comments and blank lines skipped.
+def parse_edges(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
+    """``(edges, rejects)`` of ``a b`` lines: ``src, dst`` longs, and the lines that are no edge.
 
-    Fields are split on whitespace runs after trimming; lines whose first two
-    fields are not integers are dropped.  Duplicate edges are kept.
+    ``#`` comments and blank lines are skipped.  Fields are split on whitespace runs after trimming; a
+    line with fewer than two fields, or whose first two aren't integers, is a reject.  Duplicate
+    edges are kept.
     """
     f = whitespace_fields(F.trim(F.col(value)))
-    return (lines.where(~F.col(value).startswith("#") & (F.trim(F.col(value)) != ""))
-            .select(f.alias("f"))
-            .select(F.col("f")[0].try_cast("bigint").alias("src"),
-                    F.col("f")[1].try_cast("bigint").alias("dst"))
-            .where(F.col("src").isNotNull() & F.col("dst").isNotNull()))
+    staged = (lines.where(~F.col(value).startswith("#") & (F.trim(F.col(value)) != ""))
+              .select(F.col(value), F.get(f, 0).try_cast("bigint").alias("src"), F.get(f, 1).try_cast("bigint").alias("dst")))
+    good = F.col("src").isNotNull() & F.col("dst").isNotNull()
+    return staged.where(good).select("src", "dst"), staged.where(~good).select(value)
 
 
-def read_edges(spark: SparkSession, path: str) -> DataFrame:
-    """Edge-list file: two integer vertex ids per line."""
-    return edges_from_lines(read_lines(spark, path))
+def read_edges(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Edge-list file, two integer vertex ids per line: ``(edges, rejects)``."""
+    return parse_edges(read_lines(spark, path))

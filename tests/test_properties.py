@@ -63,6 +63,28 @@ def test_hot_user_is_split_into_bounded_chunks(spark):
     assert pairs.where("co >= 1").count() == 400 * 399 // 2
 
 
+def test_hot_group_of_a_statistics_join_is_split(spark):
+    """One group holds a third of the rows; with the statistics read back, its rows go to several tasks."""
+    from pyspark.sql import functions as F
+
+    from tessera.operators import common as C
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "16", "spark.sql.adaptive.coalescePartitions.enabled": "false",
+            "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "32k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+            "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k"}
+    before = {k: spark.conf.get(k, None) for k in conf}
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    try:
+        n = 300_000
+        rows = spark.range(0, n, 1, 16).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("g"), F.rand(1).alias("v"))
+        tasks = C.minmax(rows, "g", "v").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
+    assert sum(r["count"] for r in tasks) == n
+    assert max(r["count"] for r in tasks) < n / 8
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.lists(st.tuples(st.integers(0, 3), st.integers(0, 20), st.integers(0, 9)), min_size=1, max_size=40,
                      unique_by=lambda t: (t[0], t[1])))

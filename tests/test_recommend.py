@@ -91,10 +91,24 @@ def test_neighbours_and_recommendations(ratings):
     assert users.count() == 5
 
 
-def test_zscore_reference_assertion(spark):
-    df = spark.createDataFrame([("u", 0, 1.0), ("u", 1, 2.0), ("u", 2, 3.0)], "g string, i int, v double")
-    got = [r["z"] for r in C.zscore(df, "g", "v").orderBy("i").collect()]
-    assert got == pytest.approx([(v - 2) / math.sqrt(2.0 / 3) for v in (1, 2, 3)])
+def test_zscore_per_group(spark):
+    rows = [("p", 1, 4.0), ("p", 2, 10.0), ("p", 3, 7.0), ("p", 4, 7.0), ("q", 1, -2.0), ("q", 2, 6.0), ("r", 1, 5.0)]
+    got = {(r["g"], r["i"]): r["z"] for r in C.zscore(spark.createDataFrame(rows, "g string, i int, v double"), "g", "v").collect()}
+    sd = math.sqrt(18 / 4)
+    assert math.isnan(got.pop(("r", 1)))
+    assert got == pytest.approx({("p", 1): -3 / sd, ("p", 2): 3 / sd, ("p", 3): 0, ("p", 4): 0, ("q", 1): -1, ("q", 2): 1})
+
+
+def test_repeated_user_item_rows_raise(spark):
+    from tessera.plans.recommender import run_recommender
+    rated = spark.createDataFrame([(1, 5, 1.0), (1, 6, 2.0), (1, 5, 3.0)], "user_id long, item int, rating double")
+    with pytest.raises(ValueError, match="repeated"):
+        RT.require_unique(rated, ("user_id", "item"))
+    assert RT.require_unique(RT.group_ratings(rated, "user_id"), ("user_id", "item")).count() == 2
+    with pytest.raises(ValueError, match="repeated"):
+        S.similarity(rated, "cosine")
+    with pytest.raises(ValueError, match="repeated"):
+        run_recommender(lines(spark, "a 1 1", "a 2 2", "b 1 1", "a 1 1"), "sim")
 
 
 def test_minmax_all_equal_and_lp(spark):

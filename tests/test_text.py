@@ -4,9 +4,9 @@ from tessera.operators.text import tokens, word_count
 
 
 def test_word_count_sample(spark):
-    df = lines(spark, "the cat sat on the mat", "the aardvark sat on the sofa")
+    df = lines(spark, "ships sail by night", "by day ships rest", "by")
     got = {r["word"]: r["n"] for r in word_count(df).collect()}
-    assert got == {"the": 4, "sat": 2, "on": 2, "cat": 1, "mat": 1, "aardvark": 1, "sofa": 1}
+    assert got == {"by": 3, "ships": 2, "sail": 1, "night": 1, "day": 1, "rest": 1}
 
 
 def test_tokeniser_edges(spark):
