@@ -35,7 +35,7 @@ from tessera.llm.sizes import small
 from tessera.session import materialize
 
 TABLES, HASHES, WIDTH, PROBES = 3, 6, 2.0, 110
-CHUNK, BLOCK = 4096, 2048
+CHUNK, BLOCK = 16_384, 4096
 _SPAN = 64
 
 
@@ -143,15 +143,17 @@ def _scored(k: int, probed: bool):
         if not len(base) or not len(asked):
             return none
         x, q = (np.stack(d["vec"].to_numpy()).astype(np.float64) for d in (base, asked))
-        allowed = np.ones((len(q), len(x)), bool)
-        if probed:
-            codes, back = np.unique(base["code"].to_numpy(), return_inverse=True)
-            hit = np.zeros((len(q), len(codes)), bool)
-            for i, c in enumerate(asked["codes"]):
-                hit[i] = np.isin(codes, c)
-            allowed = hit[:, back]
-        rep, vec, score = best(asked["rep"].to_numpy(), q, allowed, list(base["ids"]), x, k)
-        return pd.DataFrame({"rep": rep, "vec_id": vec, "score": score}).astype({"rep": "int64", "vec_id": "int64", "score": "float64"}) if rep else none
+        reps, ids = asked["rep"].to_numpy(), list(base["ids"])
+        codes, back = np.unique(base["code"].to_numpy(), return_inverse=True)
+        found: tuple[list, list, list] = ([], [], [])
+        for at in range(0, len(q), 128):  # bounds the matrix of scores
+            part = slice(at, at + 128)
+            allowed = np.ones((len(q[part]), len(x)), bool)
+            if probed:
+                allowed = np.stack([np.isin(codes, c) for c in asked["codes"][part]])[:, back]
+            for column, more in zip(found, best(reps[part], q[part], allowed, ids, x, k)):
+                column.extend(more)
+        return pd.DataFrame(dict(zip(("rep", "vec_id", "score"), found))).astype({"rep": "int64", "vec_id": "int64", "score": "float64"}) if found[0] else none
     return run
 
 

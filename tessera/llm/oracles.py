@@ -1,3 +1,118 @@
-"""DuckDB SQL of the queries that SQL can express."""
+"""DuckDB SQL of the queries that SQL can express, written from the definitions, not from the operators.
 
-ORACLES: dict[str, str] = {}
+The others (searches with approximate candidates, fitted models, keyed permutations, tokenisers) are
+tested against brute force, held-out labels or exact round trips in tests/llm.
+"""
+
+from __future__ import annotations
+
+_WORDS = r"regexp_extract_all(coalesce({}, ''), '[^\x20\x09-\x0D]+')"
+
+OP3 = rf"""
+WITH docs AS (
+  SELECT doc_id, source, CAST(len({_WORDS.format('text')}) AS BIGINT) AS size,
+         CASE q WHEN 1 THEN 4.0 WHEN 0 THEN 1.0 ELSE 2.0 END AS weight
+  FROM documents LEFT JOIN (SELECT doc_id, max(quality) AS q FROM labels WHERE quality IN (0, 1) GROUP BY 1) USING (doc_id)),
+src AS (
+  SELECT source, sum(size) AS source_size, row_number() OVER (ORDER BY source IS NULL, source) AS pos FROM docs GROUP BY source),
+w AS (SELECT *, ([5.0, 2.0, 1.0])[CAST((pos - 1) % 3 + 1 AS INTEGER)] AS weight, 3.0 * source_size AS cap FROM src),
+s AS (
+  SELECT *, (sum(source_size) OVER () - coalesce(sum(cap) OVER before, 0))
+            / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM w WINDOW before AS (ORDER BY cap / weight, pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lv AS (SELECT min_by(level, cap / weight) FILTER (cap / weight > level) AS level FROM s),
+t AS (SELECT source, CAST(source_size AS BIGINT) AS source_size, least(cap, coalesce(lv.level * weight, cap)) AS target FROM s, lv),
+k AS (
+  SELECT d.doc_id, d.source, d.size, t.source_size, t.target,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY
+           -ln((CAST('0x' || substr(md5('mix:' || coalesce(CAST(d.doc_id AS VARCHAR), '')), 1, 13) AS BIGINT) + 0.5) / 4503599627370496.0) / d.weight,
+           d.doc_id NULLS FIRST, d.size ROWS UNBOUNDED PRECEDING) AS upto
+  FROM docs d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target, CAST(size * least(3, floor(target / source_size)
+         + CASE WHEN upto - size / 2.0 < target - floor(target / source_size) * source_size THEN 1 ELSE 0 END) AS BIGINT) AS taken, source
+FROM k"""
+
+OP6 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, source, coalesce(text, '') AS text, {_WORDS.format('text')} AS ws FROM documents),
+tri AS (SELECT r, i, ws[i:i + 2] AS g FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM d)),
+hit AS (SELECT r, i FROM tri QUALIFY count(*) OVER (PARTITION BY r, g) > 1),
+rep AS (SELECT r, count(DISTINCT i + j) AS n FROM hit, (SELECT unnest([0, 1, 2]) AS j) GROUP BY r),
+ln AS (SELECT r, source, line, {_WORDS.format('line')} AS lw FROM (SELECT r, source, unnest(string_split(text, chr(10))) AS line FROM d)),
+worded AS (SELECT r, source, line, len(lw) AS n,
+           translate(array_to_string(lw, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000') AS folded
+           FROM ln WHERE len(lw) > 0),
+dup AS (SELECT r, count(*) - count(DISTINCT line) AS n FROM worded GROUP BY r),
+often AS (SELECT source, folded FROM worded GROUP BY 1, 2 HAVING count(DISTINCT r) > 20),
+gone AS (SELECT r, sum(n) AS n FROM worded w JOIN often o ON w.source IS NOT DISTINCT FROM o.source AND w.folded = o.folded GROUP BY r),
+m AS (
+  SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(gone.n, 0) AS BIGINT) AS n_removed_words
+  FROM d LEFT JOIN dup USING (r) LEFT JOIN rep USING (r) LEFT JOIN gone USING (r))
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words) AND NOT 100 * n_removed_words > 50 * n_words AS kept
+FROM m"""
+
+OP7 = r"""
+WITH docs AS (SELECT DISTINCT doc_id, text, string_split(text, chr(10)) AS ls FROM documents WHERE text IS NOT NULL),
+ln AS (SELECT doc_id, text, CAST(generate_subscripts(ls, 1) - 1 AS INTEGER) AS line_no, unnest(ls) AS line FROM docs),
+tk AS (SELECT *, list_sort(list_distinct(regexp_extract_all(lower(line), '[^\x20\x09-\x0D]+'))) AS ws FROM ln),
+cls AS (
+  SELECT ws, min(struct_pack(a := doc_id IS NULL, b := doc_id, c := text, d := line_no)) AS first, row_number() OVER () AS id
+  FROM tk WHERE len(ws) > 0 GROUP BY ws),
+df AS (SELECT w, count(*) AS n FROM (SELECT unnest(ws) AS w FROM cls) GROUP BY w),
+ranked AS (
+  SELECT id, len(ws) AS n, w, row_number() OVER (PARTITION BY id ORDER BY df.n, w) AS pos
+  FROM (SELECT id, ws, unnest(ws) AS w FROM cls) JOIN df USING (w)),
+prefix AS (SELECT id, n, w FROM ranked WHERE pos <= n - ceil(0.8 * n - 1e-9) + 1),
+cand AS (SELECT DISTINCT a.id AS x, b.id AS y FROM prefix a JOIN prefix b ON a.w = b.w AND a.id < b.id AND least(a.n, b.n) >= 0.8 * greatest(a.n, b.n) - 1e-9),
+sim AS (
+  SELECT CASE WHEN p.first < q.first THEN y ELSE x END AS id FROM cand JOIN cls p ON p.id = x JOIN cls q ON q.id = y
+  WHERE len(list_intersect(p.ws, q.ws)) >= 0.8 * (len(p.ws) + len(q.ws) - len(list_intersect(p.ws, q.ws))) - 1e-9),
+stay AS (SELECT first.b AS doc_id, first.c AS text, first.d AS line_no FROM cls WHERE id NOT IN (SELECT id FROM sim)),
+gone AS (
+  SELECT t.doc_id, t.text, t.line_no FROM tk t LEFT JOIN stay s ON t.doc_id IS NOT DISTINCT FROM s.doc_id AND t.text = s.text AND t.line_no = s.line_no
+  WHERE len(t.ws) > 0 AND s.line_no IS NULL)
+SELECT d.doc_id, CAST(len(any_value(d.ls)) AS BIGINT) AS n_lines, CAST(count(g.line_no) AS BIGINT) AS n_removed,
+       coalesce(string_agg(CAST(g.line_no AS VARCHAR), ',' ORDER BY g.line_no), '') AS removed_lines
+FROM docs d LEFT JOIN gone g ON d.doc_id IS NOT DISTINCT FROM g.doc_id AND d.text = g.text GROUP BY d.doc_id, d.text"""
+
+OP8 = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS ws FROM documents),
+win AS (SELECT r, doc_id, i, array_to_string(ws[i:i + 19], ' ') AS g FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 18)) AS i FROM d)),
+late AS (
+  SELECT r, i FROM win
+  QUALIFY struct_pack(a := doc_id IS NULL, b := doc_id, c := i) > min(struct_pack(a := doc_id IS NULL, b := doc_id, c := i)) OVER (PARTITION BY g)),
+gone AS (SELECT DISTINCT r, i + j AS i FROM late, (SELECT unnest(range(20)) AS j)),
+word AS (SELECT r, generate_subscripts(ws, 1) AS i, unnest(ws) AS w FROM d),
+kept AS (SELECT r, string_agg(w, ' ' ORDER BY i) AS t FROM word w WHERE NOT EXISTS (SELECT 1 FROM gone g WHERE g.r = w.r AND g.i = w.i) GROUP BY r),
+n AS (SELECT r, count(*) AS n FROM gone GROUP BY r)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n.n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r) LEFT JOIN n USING (r)"""
+
+OP9 = rf"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS.format('text')} AS ws FROM documents),
+sg AS (
+  SELECT r, g, count(*) AS n FROM (
+    SELECT r, array_to_string(ws[i:i + 4], ' ') AS g FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - 3, 2))) AS i FROM d WHERE len(ws) > 0))
+  GROUP BY r, g),
+tot AS (SELECT r, sum(n) AS n FROM sg GROUP BY r),
+same AS (
+  SELECT a.r AS x, b.r AS y, sum(least(a.n, b.n)) AS common FROM sg a JOIN sg b ON a.g = b.g AND a.r <> b.r GROUP BY 1, 2),
+link AS (
+  SELECT x, y FROM same JOIN tot p ON p.r = x JOIN tot q ON q.r = y WHERE common >= 0.8 * (p.n + q.n - common) - 1e-9),
+reach AS (SELECT r AS x, r AS y FROM d UNION SELECT reach.x, link.y FROM reach JOIN link ON reach.y = link.x),
+cls AS (SELECT x AS r, min(y) AS c FROM reach GROUP BY x),
+head AS (SELECT c, min(doc_id) AS class_id FROM d JOIN cls USING (r) GROUP BY c)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, class_id,
+       row_number() OVER (PARTITION BY c ORDER BY doc_id NULLS LAST, r) = 1 AS representative
+FROM d JOIN cls USING (r) JOIN head USING (c)"""
+
+ORACLES: dict[str, str] = {
+    "op3_mix_sources": OP3,
+    "op6_quality_rules": OP6,
+    "op7_line_dedup": OP7,
+    "op8_substring_dedup": OP8,
+    "op9_near_duplicates": OP9,
+}
