@@ -77,7 +77,7 @@ def test_hot_group_of_a_statistics_join_is_split(spark):
     try:
         n = 300_000
         rows = spark.range(0, n, 1, 16).select(F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 1000 + 1).alias("g"), F.rand(1).alias("v"))
-        tasks = C.minmax(rows, "g", "v").groupBy(F.spark_partition_id()).count().collect()
+        tasks = C.minmax(rows, "g", "v").groupBy(F.spark_partition_id()).agg(F.count(F.lit(1)).alias("count"), F.sum("v")).collect()
     finally:
         for k, v in before.items():
             spark.conf.set(k, v) if v is not None else spark.conf.unset(k)
