@@ -103,7 +103,7 @@ def weigh(ratio: np.ndarray, c) -> tuple[np.ndarray, np.ndarray]:
     """(log importance weight, number of n-grams) of a chunk's documents."""
     doc, slot = features(c)
     n = np.bincount(doc, minlength=c.n)
-    return np.bincount(doc, weights=ratio[slot], minlength=c.n), n
+    return np.bincount(doc, weights=ratio[slot], minlength=c.n).astype(np.float64), n
 
 
 def best_cut(weight: np.ndarray, good: np.ndarray, cost: float = GOOD_COST) -> float:
