@@ -13,7 +13,7 @@ compared with a leader (a star), the verified links are joined to components, an
 bucket that lie in different components are compared, so no link between different texts is lost,
 and a large group of near copies isn't multiplied with itself.  Pairs that cannot reach the threshold
 are left out exactly: by their sizes, because strips that no other set has can't be shared, and by
-what both share with the leader.
+what both share with a leader.
 
 Texts of one to four words are one shingle; null and wordless texts are a class of their own row each.
 Repeated rows are one class.  A class is named by the least doc_id in it (null if all are null).
@@ -158,7 +158,7 @@ def _shared(sets: DataFrame) -> DataFrame:
 
 
 def _members(banded: DataFrame) -> DataFrame:
-    """``key, node, weight, leader`` of buckets with more than one class.
+    """``key, node, weight, lead_met, leader`` of buckets with more than one class.
 
     The leader is the member that meets the most others over all bands: in a group of copies of one
     text it is likely that text, to which most copies are near.
@@ -168,7 +168,7 @@ def _members(banded: DataFrame) -> DataFrame:
     met = crowded.groupBy("node").agg(F.sum("n").alias("met"))
     ranked = materialize(crowded.drop("n").join(met, "node"), "ranked")
     first = F.max(F.struct(F.col("met"), (-F.col("node")).alias("node"))).alias("first")
-    leaders = materialize(ranked.groupBy("key").agg(first).select("key", (-F.col("first.node")).alias("leader")), "leaders")
+    leaders = materialize(ranked.groupBy("key").agg(first).select("key", F.col("first.met").alias("lead_met"), (-F.col("first.node")).alias("leader")), "leaders")
     return ranked.drop("met").join(leaders, "key")
 
 
@@ -227,25 +227,30 @@ def _cross_pairs(members: DataFrame, star: DataFrame, comps: DataFrame, threshol
 
     Of each bucket with more than one component, the members outside its largest component are
     joined with the members of the other components, so a large component isn't joined with itself.
-    What two members share lies inside or outside their bucket's leader: inside, it is at most the
-    lesser of what they share with the leader, outside, the lesser of what else they share with any.
+    What two members share lies inside or outside any third set, their pivot: inside, it is at most the
+    lesser of what they share with the pivot, outside, the lesser of what else they share with any.  A
+    member's pivot is the leader of its buckets that meets the most others.
     """
     met = star.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "common")
     pair = (F.least("leader", "node") == F.col("_a")) & (F.greatest("leader", "node") == F.col("_b"))
     known = members.join(met, pair, "left").withColumn("inside", F.when(F.col("leader") == F.col("node"), F.col("weight")).otherwise(F.col("common")))
-    labelled = known.join(comps, "node", "left").select("key", "node", "weight", "shared", "inside", F.coalesce("comp", "node").alias("comp"))
+    known = materialize(known.drop("_a", "_b", "common"), "known")
+    pivots = known.where("inside IS NOT NULL").groupBy("node").agg(F.max(F.struct("lead_met", "leader", "inside")).alias("best"))
+    pivots = materialize(pivots.select("node", F.col("best.leader").alias("pivot"), F.col("best.inside").alias("inside")), "pivots")
+    labelled = known.drop("inside").join(pivots, "node", "left").join(comps, "node", "left") \
+        .select("key", "node", "weight", "shared", "pivot", "inside", F.coalesce("comp", "node").alias("comp"))
     labelled = materialize(labelled, "labelled")
     parts = labelled.groupBy("key", "comp").count()
     main = parts.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1") \
         .select("key", F.col("m.comp").alias("main"))
     mixed = materialize(labelled.join(main, "key"), "mixed")
     rest = mixed.where("comp != main").select("key", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("shared").alias("ps"),
-                                              F.col("inside").alias("pi"), F.col("comp").alias("pc"))
+                                              F.col("inside").alias("pi"), F.col("pivot").alias("pp"), F.col("comp").alias("pc"))
     outside = F.least(F.col("ps") - F.col("pi"), F.col("shared") - F.col("inside"))
     most = F.least("pi", "inside") + outside
     enough = threshold / (1 + threshold) * (F.col("pw") + F.col("weight")) - F.lit(1e-9)
     pairs = rest.join(mixed, "key").where((F.col("pc") != F.col("comp")) & _possible("pw", "ps", "weight", "shared", threshold)
-                                          & F.coalesce(most >= enough, F.lit(True)))
+                                          & F.coalesce((F.col("pp") != F.col("pivot")) | (most >= enough), F.lit(True)))
     return materialize(pairs.select(F.least("p", "node").alias("a"), F.greatest("p", "node").alias("b")).distinct(), "cross")
 
 
