@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: str | None = None) -> DataFrame:
     """Rows of ``target`` replaced or added by ``updates`` (last write wins).
 
-    ``updates`` must be unique per key, or carry an ``order`` column whose
-    largest value wins.  Plan: anti join of the target on the keys, then a
+    ``updates`` must be unique per key (checked: a repeated key raises), or carry
+    an ``order`` column whose largest value wins.  Plan: anti join of the target on the keys, then a
     union; both sides shuffle on the keys only.
     """
     keys = list(keys)
@@ -21,6 +21,10 @@ def upsert(target: DataFrame, updates: DataFrame, keys: Sequence[str], order: st
         latest = updates.groupBy(*keys).agg(F.max_by(F.struct(*[c for c in cols if c not in keys]), F.col(order))
                                             .alias("_v"))
         updates = latest.select(*keys, *[F.col(f"_v.{c}").alias(c) for c in cols if c not in keys])
+    else:
+        twice = updates.groupBy(*keys).count().where("count > 1").first()
+        if twice:
+            raise ValueError(f"repeated key in updates: {tuple(twice[k] for k in keys)}")
     kept = target.join(updates.select(*keys), keys, "left_anti")
     return kept.unionByName(updates.select(*cols))
 

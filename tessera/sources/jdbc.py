@@ -127,13 +127,15 @@ def run_transaction(spark: SparkSession, url: str, statements: Iterable[str | tu
         conn.close()
 
 
-def query_rows(spark: SparkSession, url: str, sql: str) -> list[tuple]:
+def query_rows(spark: SparkSession, url: str, sql: str, user: str | None = None,
+               password: str | None = None) -> list[tuple]:
     """Small driver-side read (ledger rows, a handful of values), not for data."""
     jvm = spark.sparkContext._jvm
     drv = driver_for(url)
     if drv:
         jvm.java.lang.Class.forName(drv)
-    conn = jvm.java.sql.DriverManager.getConnection(url)
+    conn = (jvm.java.sql.DriverManager.getConnection(url, user, password) if user is not None
+            else jvm.java.sql.DriverManager.getConnection(url))
     try:
         rs = conn.createStatement().executeQuery(sql)
         n = rs.getMetaData().getColumnCount()
@@ -166,8 +168,25 @@ def merge_sql(target: str, staging: str, keys: Sequence[str], columns: Sequence[
             f" WHEN NOT MATCHED THEN INSERT ({cols}) VALUES ({vals})")
 
 
+def upsert_sql(url: str, target: str, staging: str, keys: Sequence[str], columns: Sequence[str],
+               additive: Sequence[str] = ()) -> str:
+    """The upsert statement of the URL's database: MySQL and MariaDB have no ``MERGE`` and quote names
+    with back-quotes; the target's primary key must then be ``keys``."""
+    if not url.startswith(("jdbc:mysql:", "jdbc:mariadb:")):
+        return merge_sql(target, staging, keys, columns, additive)
+
+    def name(c: str) -> str:
+        return "`" + c.replace("`", "``") + "`"
+    cols = ", ".join(map(name, columns))
+    sets = ", ".join(f"{name(c)} = {target}.{name(c)} + VALUES({name(c)})" if c in additive else f"{name(c)} = VALUES({name(c)})"
+                     for c in columns if c not in keys)
+    into = f"{target} ({cols}) SELECT {cols} FROM {staging}"
+    return f"INSERT INTO {into} ON DUPLICATE KEY UPDATE {sets}" if sets else f"INSERT IGNORE INTO {into}"
+
+
 def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], additive: Sequence[str] = (),
-                extra_statements: Sequence[str | tuple[str, int]] = ()) -> list[int]:
+                extra_statements: Sequence[str | tuple[str, int]] = (), user: str | None = None,
+                password: str | None = None) -> list[int]:
     """Upsert ``df`` into ``table`` by ``keys``, atomically for the whole job.
 
     The executors write a staging table in parallel; the driver then runs the
@@ -176,10 +195,10 @@ def jdbc_upsert(df: DataFrame, url: str, table: str, keys: Sequence[str], additi
     """
     spark = df.sparkSession
     staging = f"stg_{table}_{uuid.uuid4().hex[:10]}".lower()
-    jdbc_write(df, url, staging, mode="overwrite")
+    jdbc_write(df, url, staging, mode="overwrite", user=user, password=password)
     try:
-        counts = run_transaction(spark, url, [merge_sql(table, staging, keys, df.columns, additive),
-                                              *extra_statements])
+        counts = run_transaction(spark, url, [upsert_sql(url, table, staging, keys, df.columns, additive),
+                                              *extra_statements], user, password)
     finally:
-        run_transaction(spark, url, [f"DROP TABLE {staging}"])
+        run_transaction(spark, url, [f"DROP TABLE {staging}"], user, password)
     return counts

@@ -27,12 +27,12 @@ from tessera.operators.logs import errors_per_minute, parse_log_lines
 from tessera.sources import jdbc as J
 from tessera.streaming.batches import offset_ranges
 
-RESULT_TABLE = "error_log"
-LEDGER_TABLE = "kafka_offset"
+RESULT_TABLE = "minute_errors"
+LEDGER_TABLE = "consumed_offsets"
 
 
 def create_tables(spark: SparkSession, url: str) -> None:
-    """DDL for the result table and the offset ledger (keys as the reference implies)."""
+    """DDL for the result table and the offset ledger (each with its key)."""
     J.run_transaction(spark, url, [
         f'CREATE TABLE {RESULT_TABLE} ("log_time" TIMESTAMP NOT NULL PRIMARY KEY, "log_count" BIGINT)',
         f'CREATE TABLE {LEDGER_TABLE} ("topic" VARCHAR(255) NOT NULL, "partition" INT NOT NULL, '

@@ -63,6 +63,14 @@ def test_upsert_is_atomic_and_idempotent(spark, url):
     assert len(rent()) == 7 and rent()[6] == Decimal(300)
 
 
+def test_upsert_text_by_database():
+    sql = J.upsert_sql("jdbc:mysql://h/d", "boat", "stg", ["id"], ["id", "rent", "seats"], additive=["seats"])
+    assert sql == ("INSERT INTO boat (`id`, `rent`, `seats`) SELECT `id`, `rent`, `seats` FROM stg "
+                   "ON DUPLICATE KEY UPDATE `rent` = VALUES(`rent`), `seats` = boat.`seats` + VALUES(`seats`)")
+    assert J.upsert_sql("jdbc:mysql://h/d", "boat", "stg", ["id"], ["id"]).startswith("INSERT IGNORE INTO boat (`id`)")
+    assert J.upsert_sql("jdbc:derby:x", "boat", "stg", ["id"], ["id", "rent"]) == J.merge_sql("boat", "stg", ["id"], ["id", "rent"])
+
+
 def test_int_range_both_ends(spark):
     assert [r["i"] for r in int_range(spark, 1, 5).collect()] == [1, 2, 3, 4, 5]
     register(spark)
@@ -75,6 +83,8 @@ def test_dataframe_upserts(spark):
     t = spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string")
     u = spark.createDataFrame([(2, "B"), (3, "c")], "k int, v string")
     assert sorted(tuple(r) for r in upsert(t, u, ["k"]).collect()) == [(1, "a"), (2, "B"), (3, "c")]
+    with pytest.raises(ValueError, match="repeated key"):
+        upsert(t, u.union(u), ["k"])
     ta = spark.createDataFrame([(1, 5), (2, 1)], "k int, n long")
     ua = spark.createDataFrame([(2, 4), (3, 1)], "k int, n long")
     assert sorted(tuple(r) for r in upsert_add(ta, ua, "k", "n").collect()) == [(1, 5), (2, 5), (3, 1)]

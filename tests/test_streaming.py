@@ -78,8 +78,8 @@ def test_resume_options_from_ledger(spark):
     url = J.derby_memory_url()
     XO.create_tables(spark, url)
     assert XO.resume_options(spark, url, "t") is None
-    J.run_transaction(spark, url, ['INSERT INTO kafka_offset ("topic", "partition", "offset") VALUES (\'t\', 1, 40)',
-                                   'INSERT INTO kafka_offset ("topic", "partition", "offset") VALUES (\'t\', 0, 7)'])
+    J.run_transaction(spark, url, ['INSERT INTO consumed_offsets ("topic", "partition", "offset") VALUES (\'t\', 1, 40)',
+                                   'INSERT INTO consumed_offsets ("topic", "partition", "offset") VALUES (\'t\', 0, 7)'])
     assert XO.resume_options(spark, url, "t") == ('{"t": [0, 1]}', '{"t": {"0": 7, "1": 40}}')
     opts = kafka_options("b:9092", assign='{"t": [0, 1]}', starting_offsets='{"t": {"0": 7, "1": 40}}')
     assert "subscribe" not in opts and opts["failOnDataLoss"] == "true"
