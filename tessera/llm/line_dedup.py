@@ -128,14 +128,15 @@ def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no")
     classes = lines.where("n > 0").groupBy("c").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("bits").alias("bits"), F.first("prefix").alias("prefix"))
     classes = materialize(classes, "classes")
-    entries = _entries(classes)
+    # dealt by word once a round: both sides of a round's join read the same exchange
+    entries = _entries(classes).repartition("token")
     leaders = entries.groupBy("token").agg(F.min("x").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    near = entries.join(materialize(leaders, "leaders"), "token").where(_possible(F.col("lead"), F.col("x"), threshold))
+    near = entries.join(leaders, "token").where(_possible(F.col("lead"), F.col("x"), threshold))
     ordered = [F.least("lead.c", "x.c").alias("a"), F.greatest("lead.c", "x.c").alias("b")]
     pairs = materialize(near.select(*ordered).distinct(), "pairs")
     later = materialize(_later(pairs, exploded, classes, levels, threshold), "later")
-    open_ = _entries(classes.join(small(later, MAX_BROADCAST), "c", "left_anti"))
-    rest = entries.withColumnRenamed("x", "lead").join(open_, "token").where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold))
+    unsettled = entries.join(small(later, MAX_BROADCAST), F.col("x.c") == F.col("c"), "left_anti")
+    rest = entries.withColumnRenamed("x", "lead").join(unsettled, "token").where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold))
     rest = materialize(rest.select(*ordered).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         later = materialize(later.union(_later(rest, exploded, classes, levels, threshold)).distinct(), "later")
