@@ -81,7 +81,7 @@ def signatures(ids: np.ndarray, doc: np.ndarray, n: int, k: int = K) -> np.ndarr
 
 def band_keys(best: np.ndarray, bands: int = BANDS) -> np.ndarray:
     """n x bands keys; a key also names its band."""
-    bits = best.view(U).reshape(len(best), bands, -1)
+    bits = best.view(U).reshape(len(best), bands, best.shape[1] // bands)
     key = np.zeros(bits.shape[:2], U) + np.arange(bands, dtype=U) * U(0x2545F4914F6CDD1D)
     for j in range(bits.shape[2]):
         key = mix(key ^ bits[:, :, j])
