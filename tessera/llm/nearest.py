@@ -1,7 +1,9 @@
 """Operator 1, approximate nearest neighbours: multiprobe p-stable hashing for inner products.
 
-Vectors are scaled by the largest norm and get one more component that makes all norms 1, so the
-largest inner product with a query is the least distance.  ``TABLES`` tables of ``HASHES`` functions
+Vectors are split into bands of norms that differ by less than a factor ``RATIO``.  Within a band they are
+scaled by its largest norm and get one more component that makes all norms 1, so the largest inner
+product with a query is the least distance.  Every band is searched with probes of its own and none is
+skipped; bands of at most ``WHOLE`` different vectors are compared with every query.  ``TABLES`` tables of ``HASHES`` functions
 ``floor((a x + b) / WIDTH)`` with normal (2-stable) ``a`` name a vector's buckets.  A query visits its
 own bucket and perturbed ones, one step up or down in any of the coordinates, in order of their
 estimated success (the squared distances to the walls that are crossed), ``PROBES`` a table.  The
@@ -15,8 +17,8 @@ Equal vectors are indexed once, with their least ids (no query's list can hold m
 equal queries are searched once.  Queries with fewer than ``k`` finds are searched again against all
 buckets, so lists are short only if there are too few candidates.
 
-The functions are drawn at random from a seed; nothing is fitted to the data but the largest norm and
-the dimension.  Vectors null, zero, of another length than most, or with null or non-finite
+The functions are drawn at random from a seed; nothing is fitted to the data but the bands' largest norms
+and the dimension.  Vectors null, zero, of another length than most, or with null or non-finite
 components take no part, nor do rows without id.  Of rows with equal ids the least vector counts.
 """
 
@@ -35,22 +37,24 @@ from tessera.llm.sizes import small
 from tessera.session import materialize
 
 TABLES, HASHES, WIDTH, PROBES = 3, 6, 2.0, 110
+RATIO, WHOLE = 1.1, 1024
 CHUNK, BLOCK = 16_384, 4096
 _SPAN = 64
+#: The band and page of all bands that are compared with every query; the code there is 0.
+_ALL = -1
 
 
 class Hashes:
     """The hash functions: a, b by table; vectors are given with their extra component."""
 
-    def __init__(self, dim: int, scale: float, seed: int = 1):
+    def __init__(self, dim: int, seed: int = 1):
         rng = np.random.default_rng(seed)
         self.a = rng.standard_normal((TABLES, dim + 1, HASHES))
         self.b = rng.uniform(0, WIDTH, (TABLES, HASHES))
-        self.scale = scale
         self.steps = np.array(list(itertools.product((0, -1, 1), repeat=HASHES)))
 
-    def index(self, x: np.ndarray) -> np.ndarray:
-        x = x / self.scale
+    def index(self, x: np.ndarray, scale: np.ndarray) -> np.ndarray:
+        x = x / scale[:, None]
         return np.column_stack([x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1)))])
 
     def query(self, x: np.ndarray) -> np.ndarray:
@@ -88,16 +92,29 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
 
 
-def _index(h: Hashes):
+def _index(h: Hashes, scales: dict[int, float]):
+    """``scales``: the largest norm of each band that is hashed; vectors of others are dealt to one page."""
     def run(batches: Iterator[pa.RecordBatch]):
+        def batch(table, band, page, code, part):
+            return pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, table, np.int32)), pa.array(band, pa.int32()), pa.array(page, pa.int32()), pa.array(code, pa.int64()), part.column("ids"), part.column("vec")],
+                                              names=["table", "band", "page", "code", "ids", "vec"])
+
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
-                x = h.index(_matrix(part.column("vec")))
+                band = part.column("band").to_numpy(zero_copy_only=False)
+                hashed = np.isin(band, list(scales))
+                every = part.filter(pa.array(~hashed))
+                if every.num_rows:
+                    none = np.full(every.num_rows, _ALL)
+                    yield batch(0, none, none, np.zeros(every.num_rows, np.int64), every)
+                part, band = part.filter(pa.array(hashed)), band[hashed]
+                if not part.num_rows:
+                    continue
+                x = h.index(_matrix(part.column("vec")), np.array([scales[i] for i in band.tolist()]))
                 for table in range(TABLES):
                     page, code = h.name(np.floor(h.place(table, x)))
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), table, np.int32)), pa.array(page), pa.array(code), part.column("ids"), part.column("vec")],
-                                                     names=["table", "page", "code", "ids", "vec"])
+                    yield batch(table, band, page, code, part)
     return run
 
 
@@ -124,12 +141,17 @@ def _visits(h: Hashes, most: int):
 def best(reps: np.ndarray, q: np.ndarray, allowed: np.ndarray, ids: list, x: np.ndarray, k: int) -> tuple[list, list, list]:
     """The k best ids of each query among its allowed vectors: exact scores, ties to the smaller id."""
     score = np.where(allowed, q @ x.T, -np.inf)
-    m = min(k + 4, score.shape[1])
-    top = np.argpartition(-score, m - 1, axis=1)[:, :m] if m < score.shape[1] else np.broadcast_to(np.arange(m), (len(q), m))
+    m = min(k, score.shape[1])
+    # all that may tie with the k-th: the product's rounding is less than the tolerance
+    error = 1e-12 * np.sqrt((q * q).sum(1) * (x * x).sum(1).max())
+    cut = np.partition(score, score.shape[1] - m, axis=1)[:, score.shape[1] - m] - error
+    least = np.array([i[0] for i in ids])
     out: tuple[list, list, list] = ([], [], [])
     for i in range(len(q)):
-        at = top[i][allowed[i, top[i]]]
+        at = np.flatnonzero(allowed[i] & (score[i] >= cut[i]))
         exact = (x[at] * q[i]).sum(1)
+        order = np.lexsort((least[at], -exact))[:k]  # a vector's least id stands for it
+        at, exact = at[order], exact[order]
         found = sorted((-s, int(v)) for s, j in zip(exact.tolist(), at) for v in ids[j])[:k]
         out[0].extend([int(reps[i])] * len(found))
         out[1].extend(v for _, v in found)
@@ -160,15 +182,16 @@ def _scored(k: int, probed: bool):
 def _finds(index: DataFrame, asked: DataFrame, k: int, probed: bool) -> DataFrame:
     """``rep, vec_id, score``: the k best of each chunk that a query visits.
 
-    Both sides are dealt by (table, page, chunk, block); the numbers of chunks come from one count a
-    page (at most a few hundred rows, one for each pair of coordinates in use)."""
-    keys = ["table", "page"]
+    A query visits its pages in every band.  Both sides are dealt by (table, band, page, chunk, block);
+    the numbers of chunks come from one count a page (at most a few hundred rows a band, one for each
+    pair of coordinates in use)."""
+    keys = ["table", "band", "page"]
     pages = materialize(index.groupBy(*keys).agg(F.ceil(F.count(F.lit(1)) / CHUNK).cast("int").alias("chunks")), "pages")
     blocks = max(1, -(-asked.select("rep").distinct().count() // BLOCK))
     base = index.join(small(pages, 100_000), keys) \
         .withColumn("chunk", F.pmod(F.xxhash64("ids"), F.col("chunks")).cast("int")).drop("chunks") \
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    asked = asked.join(small(pages, 100_000), keys) \
+    asked = asked.join(small(pages, 100_000), ["table", "page"]) \
         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1))).drop("chunks") \
         .withColumn("block", F.pmod(F.xxhash64("rep"), F.lit(blocks)).cast("int"))
     by = [*keys, "chunk", "block"]
@@ -192,17 +215,25 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id"
     """``query_id, rank, vec_id, score``: of each row for which ``is_query`` (a column of ``vec_id``) holds,
     the k rows of largest inner product, itself left out."""
     rows = materialize(usable(vectors, id_col, vec_col), "vectors")
-    stats = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)).alias("norm2")) \
+    norm2 = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
+    stats = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("norm2")) \
         .orderBy(F.desc("n"), "dim").limit(1).collect()
-    dim, scale = (stats[0].dim, float(np.sqrt(stats[0].norm2)) * (1 + 1e-9)) if stats else (1, 1.0)
+    dim, top = (stats[0].dim, stats[0].norm2) if stats else (1, 1.0)
     rows = rows.where(F.size("vec") == dim)
-    h = Hashes(dim, scale, seed)
+    h = Hashes(dim, seed)
     least = Window.partitionBy("vec").orderBy("vec_id")
     classes = rows.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1).groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    index = materialize(classes.mapInArrow(_index(h), "table int, page int, code long, ids array<long>, vec array<float>"), "index")
+    classes = materialize(classes.withColumn("norm2", norm2).withColumn("band", F.floor(F.log(F.lit(top) / F.col("norm2")) / (2 * np.log(RATIO)) + 1e-9).cast("int")), "classes")
+    # one row a band; all norms that doubles hold make some thousand bands
+    bands = classes.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("norm2")).collect()
+    scales = {b.band: float(np.sqrt(b.norm2)) * (1 + 1e-9) for b in bands if b.n > WHOLE}
+    index = materialize(classes.select("ids", "vec", "band").mapInArrow(_index(h, scales), "table int, band int, page int, code long, ids array<long>, vec array<float>"), "index")
     asked = rows.where(is_query)
     queries = materialize(asked.groupBy("vec").agg(F.min("vec_id").alias("rep")), "queries")
     visits = queries.mapInArrow(_visits(h, probes), "table int, page int, codes array<long>, rep long, vec array<float>")
+    if len(scales) < len(bands):
+        every = [F.lit(0).alias("table"), F.lit(_ALL).alias("page"), F.array(F.lit(0).cast("long")).alias("codes")]
+        visits = visits.union(queries.select(*every, "rep", "vec"))
     found = materialize(_top(_finds(index, visits, k + 1, True), k + 1), "found")
     short = queries.join(found.groupBy("rep").count(), "rep", "left").where(F.coalesce("count", F.lit(0)) < k + 1).select("rep", "vec")
     short = materialize(short, "short")

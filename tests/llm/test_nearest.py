@@ -63,3 +63,34 @@ def test_edges(spark):
     few = df.where("vec_id IN (0, 20, 105)")
     assert {q: [i for _, i in v] for q, v in got(N.neighbours(few, F.col("vec_id") % 20 == 0)).items()} == {0: [20, 105], 20: [0, 105]}
     assert N.neighbours(df.limit(0), F.col("vec_id") % 20 == 0).count() == 0
+
+
+def lengths(kind, rng, n):
+    out = np.ones(n)
+    if kind == "one long":
+        out[77] = 5.0
+    elif kind == "lognormal":
+        out = np.exp(0.5 * rng.standard_normal(n))
+    else:
+        out = rng.choice([1e-3, 1.0, 1.05, 30.0], n, p=[0.3, 0.3, 0.38, 0.02])
+    return out[:, None]
+
+
+@pytest.mark.parametrize("kind", ["one long", "lognormal", "steps"])
+def test_recall_of_unequal_norms(spark, monkeypatch, kind):
+    monkeypatch.setattr(N, "WHOLE", 150, raising=False)
+    rng = np.random.default_rng(5)
+    x = rng.standard_normal((4000, 48))
+    x = (x / np.sqrt((x * x).sum(1, keepdims=True)) * lengths(kind, rng, len(x))).astype(np.float32)
+    rows = [(i, v) for i, v in enumerate(x.tolist())]
+    want = brute(rows)
+    out = got(N.neighbours(spark.createDataFrame(rows, "vec_id long, embedding array<float>"), F.col("vec_id") % 20 == 0))
+    assert recall(out, want) >= 0.9
+    assert min(sum(s <= want[q][-1][0] + 1e-12 for s, _ in v) for q, v in out.items()) >= 8
+
+
+def test_ties_at_the_cut():
+    x = np.array([[1.0, float(i)] for i in range(60)])
+    ids = [[100 - i] for i in range(60)]
+    found = N.best(np.array([7]), np.array([[1.0, 0.0]]), np.ones((1, 60), bool), ids, x, 5)
+    assert found == ([7] * 5, [41, 42, 43, 44, 45], [1.0] * 5)
