@@ -2,12 +2,17 @@
 
 Personal values are found by their form and validated: payment cards by the Luhn sum, IBANs by their
 check digits, IPv4 addresses by their octets, dates by the calendar, social security numbers by their
-areas.  A value that fails its check is left alone.  A found value is replaced by its image under a
+areas.  Where the longest match fails its check, its other ends are tried (an IBAN's by its country's
+length, a card's by the usual groups of digits), then the other kinds, then what begins after its first
+group of characters; what fails them all is left alone.  A found value is replaced by its image under a
 keyed permutation of all values of its format (a Feistel network on mixed radices, walked until the
 image is in the format), so equal values stay equal in every document and task, different values stay
 different, and only the holder of the key can go back.  Separators, case and lengths stay, check
 digits are computed anew.  Values are compared by what they say: a card with and without spaces maps
-to the same digits.
+to the same digits, a date to the same day in every form (the image agrees with it in whether day and
+month have one digit, and whether the day is above 12).  A line whose images would be read differently
+than its values is permuted again as a whole until they aren't; only there do equal values part.  A
+grouped card of 17 to 19 digits whose first 16 are a valid card as well is read as that card.
 
 Kinds: e-mail addresses (the local part), IBANs, quoted or named hexadecimal secrets, IPv4 addresses,
 dates (from 1900 to 2099), social security numbers, phone numbers, payment cards.  A permutation may
@@ -38,12 +43,13 @@ FORMATS = {
     "iban": r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)",
     "secret": r"(?<![\w])[0-9a-fA-F]{32,128}(?!\w)",
     "ip": r"(?<![\w.])\d{1,3}(?:\.\d{1,3}){3}(?![\w]|\.\d)",
-    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{2}[./]\d{2}[./]\d{4})(?![\w]|[./-]\d)",
+    "date": r"(?<![\w./-])(?:\d{4}-\d{2}-\d{2}|\d{1,2}[./]\d{1,2}[./]\d{4})(?!(?!T\d)\w|[./-]\d)",
     "ssn": r"(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w]|-\d)",
-    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)|(?<![\w.-])\d{3}[.-]\d{3}[.-]\d{4}(?![\w]|[.-]\d)",
+    "phone": r"(?<![\w+])(?:\+\d{1,3}[ .-]?)?\(\d{2,4}\)[ .-]?\d{3,4}[ .-]?\d{3,4}(?!\w)|(?<![\w+])\+\d{1,3}(?:[ .-]\d{2,4}){2,5}(?!\w)|(?<![\w+])\+\d{7,15}(?!\w)|(?<![\w.-])\d{3}(?:[.-]\d{3}[.-]| \d{3} )\d{4}(?![\w]|[.-]\d)",
     "card": r"(?<![\w.-])\d(?:[ -]?\d){12,18}(?![\w]|[.-]\d)",
 }
 KINDS = list(FORMATS)
+_ONE = {k: re.compile(v) for k, v in FORMATS.items()}
 _FIND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in FORMATS.items()))
 _MAYBE = re.compile(r"\d|@|[0-9a-fA-F]{32}")
 
@@ -54,8 +60,24 @@ _LATIN = "".join(chr(c) for c in range(0xDF, 0x100) if c != 0xF7)
 _CLASSES = ["0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", _LATIN]
 _CLASS = {ch: (c, c.index(ch)) for c in _CLASSES for ch in c}
 _HEX = {x: ("0123456789abcdef", i) for i, x in enumerate("0123456789abcdef")}
-#: Days that can only be read as month first when written so.
-_LATE_DAYS = [i for i in range(_DAYS) if datetime.date.fromordinal(_EPOCH + i).day > 12]
+#: The usual groups of a card's digits, the likeliest first.
+_CARDS = [re.compile(x + r"(?!\w|\.\d)") for x in (r"[2-6]\d{3}([ -]?)\d{4}\1\d{4}\1\d{4}", r"3\d{3}([ -])\d{6}\1\d{4,5}", r"[2-6]\d{12,18}", r"[2-6]\d{3}([ -])\d{4}\1\d{4}\1\d{4}\1\d{1,3}", r"[2-6]\d{3}([ -])\d{4}\1\d{4}\1\d")]
+_GROUP = re.compile(r"[^\W_]+|.", re.S)
+_IBAN_SIZES = {c: int(n) for n, cs in (x.split(":") for x in (
+    "15:NO 16:BE 18:DK FO FI GL NL SD FK 19:MK SI 20:AT BA EE KZ LT LU XK MN 21:CH HR LI LV 22:BG BH CR DE GB GE IE ME RS VA "
+    "23:AE GI IL IQ TL OM SO 24:AD CZ ES MD PK RO SA SE SK TN VG DZ 25:PT ST LY 26:IS TR 27:BI DJ FR GR IT MC MR SM CM CF CG GA GQ TD KM MG "
+    "28:AL AZ BY CY DO GT HU LB PL SV NI SN CI ML BJ BF NE TG HN MA 29:BR EG PS QA UA 30:JO KW MU YE 31:MT SC 32:LC 33:RU").replace(" ", ",").replace(",1", " 1").replace(",2", " 2").replace(",3", " 3").split()) for c in cs.split(",")}
+_CODES = {str(x) for x in (20, 27, 30, 31, 32, 33, 34, 36, 39, 40, 41, *range(43, 50), *range(51, 59), *range(60, 67), 81, 82, 84, 86, *range(90, 96), 98)}
+
+
+def _date_form(i: int) -> tuple[int, bool]:
+    d = datetime.date.fromordinal(_EPOCH + i)
+    return (d.day > 9) + (d.day > 12), d.month > 9
+
+
+_FORM_DAYS: dict[tuple[int, bool], list[int]] = {}
+for _i in range(_DAYS):
+    _FORM_DAYS.setdefault(_date_form(_i), []).append(_i)
 
 
 def permute(value: int, size: int, key: bytes, tweak: str, back: bool = False) -> int:
@@ -144,6 +166,8 @@ def _secret(s, key, back):
     if upper and any(ch in "abcdef" for ch in s) or not re.search("[a-fA-F]", s):
         return None
     out = _spelled(s.lower(), _HEX, key, "secret", back)
+    while not re.search("[a-f]", out):  # digits alone wouldn't be read as a secret
+        out = _spelled(out, _HEX, key, "secret", back)
     return out.upper() if upper else out
 
 
@@ -156,23 +180,26 @@ def _ip(s, key, back):
 
 
 def _date(s, key, back):
-    iso = s[4] == "-"
-    y, m, d = (s[:4], s[5:7], s[8:]) if iso else (s[6:], s[3:5], s[:2])
+    iso = "-" in s
+    first, second, third = re.split("[./-]", s)
+    y, m, d = (first, second, third) if iso else (third, second, first)
     swap = not iso and int(m) > 12
-    if swap:
+    if swap:  # month first
         m, d = d, m
     try:
         day = datetime.date(int(y), int(m), int(d)).toordinal() - _EPOCH
     except ValueError:
         return None
-    if not 0 <= day < _DAYS or not iso and s[2] != s[5]:
+    if not 0 <= day < _DAYS or not iso and s[len(first)] != s[-5]:
         return None
-    if swap:  # month first: the image must show a day above 12 as well, so that it is read the same way
-        image = permute(bisect_left(_LATE_DAYS, day), len(_LATE_DAYS), key, "date month first", back)
-        to = datetime.date.fromordinal(_EPOCH + _LATE_DAYS[image])
-        return f"{to.month:02d}{s[2]}{to.day:02d}{s[5]}{to.year:04d}"
-    to = datetime.date.fromordinal(_EPOCH + permute(day, _DAYS, key, "date", back))
-    return f"{to.year:04d}-{to.month:02d}-{to.day:02d}" if iso else f"{to.day:02d}{s[2]}{to.month:02d}{s[5]}{to.year:04d}"
+    form = _date_form(day)
+    days = _FORM_DAYS[form]
+    image = permute(bisect_left(days, day), len(days), key, f"date {form[0]} {int(form[1])}", back)
+    to = datetime.date.fromordinal(_EPOCH + days[image])
+    if iso:
+        return f"{to.year:04d}-{to.month:02d}-{to.day:02d}"
+    x, z = (to.month, to.day) if swap else (to.day, to.month)
+    return f"{x:0{len(first)}d}{s[-5]}{z:0{len(second)}d}{s[-5]}{to.year:04d}"
 
 
 def _ssn(s, key, back):
@@ -187,7 +214,7 @@ def _ssn(s, key, back):
 
 def _phone(s, key, back):
     country = re.match(r"\+\d{1,3}(?=\D)", s)
-    head = country.group() if country else ""
+    head = country.group() if country else s[:2 if s[1] in "17" else 3 if s[1:3] in _CODES else 4] if s[0] == "+" else ""
     digits = re.sub(r"\D", "", s[len(head):])
     if not 7 <= len(digits) + len(head) <= 16:
         return None
@@ -205,21 +232,77 @@ def _card(s, key, back):
 _REPLACE = {"email": _email, "iban": _iban, "secret": _secret, "ip": _ip, "date": _date, "ssn": _ssn, "phone": _phone, "card": _card}
 
 
+def _ends(kind: str, text: str, start: int, end: int, whole: bool) -> list[int]:
+    """The ends to try for a match, the likeliest first; ``whole``: also those without a usual layout."""
+    if kind == "card":
+        usual = [m.end() for m in (c.match(text, start) for c in _CARDS) if m]
+        return usual + [end] * whole
+    if kind == "iban":
+        size = _IBAN_SIZES.get(text[start:start + 2], 0)
+        m = re.compile(r"[A-Z0-9](?: ?[A-Z0-9]){%d}(?!\w)" % (size - 1)).match(text, start) if size else None
+        return ([m.end()] if m else []) + [end]
+    if kind == "phone":
+        return [end] + [i for i in range(end - 1, start, -1) if text[start] == "+" and text[i] in " .-"]
+    return [end]
+
+
+def _spans(text: str, key: bytes) -> list[tuple[int, int, str]]:
+    """Start, end and kind of the personal values of a text, in order."""
+    out, at, tried = [], 0, 0
+    while m := _FIND.search(text, at):
+        start = m.start()
+        kinds = KINDS[KINDS.index(m.lastgroup):]
+        for kind in kinds:
+            found = _ONE[kind].match(text, start)
+            good = found and next((e for e in _ends(kind, text, start, found.end(), start >= tried) if _REPLACE[kind](text[start:e], key, False) is not None), None)
+            if good:
+                out.append((start, good, kind))
+                at = good
+                break
+            if found and kind == "card":
+                tried = max(tried, found.end()) if start >= tried else tried
+        else:
+            at = _GROUP.match(text, start).end()
+    return out
+
+
+def _permuted(text: str, spans: list[tuple[int, int, str]], key: bytes, back: bool) -> tuple[str, list[tuple[int, int, str]]]:
+    """The text with its values permuted, and their places in it."""
+    out, places, at, size = [], [], 0, 0
+    for start, end, kind in spans:
+        new = _REPLACE[kind](text[start:end], key, back)
+        out += [text[at:start], new]
+        size += start - at + len(new)
+        places.append((size - len(new), size, kind))
+        at = end
+    return "".join(out) + text[at:], places
+
+
 def pseudonymise(text: str, key: bytes, back: bool = False) -> tuple[str, dict[str, int]]:
     """The text with its personal values permuted, and the number found of each kind.  ``back``
     restores the text that the same key gave."""
     found: dict[str, int] = {}
     if not _MAYBE.search(text):
         return text, found
-
-    def one(m: re.Match) -> str:
-        value = _REPLACE[m.lastgroup](m.group(), key, back)
-        if value is None:
-            return m.group()
-        found[m.lastgroup] = found.get(m.lastgroup, 0) + 1
-        return value
-
-    return _FIND.sub(one, text), found
+    spans = _spans(text, key)
+    if not spans:
+        return text, found
+    out, at, i = [], 0, 0
+    while i < len(spans):  # line by line: no value and no check goes beyond one
+        begin = text.rfind("\n", 0, spans[i][0]) + 1
+        stop = text.find("\n", spans[i][0])
+        stop = len(text) if stop < 0 else stop
+        here = []
+        while i < len(spans) and spans[i][0] < stop:
+            here.append((spans[i][0] - begin, spans[i][1] - begin, spans[i][2]))
+            found[spans[i][2]] = found.get(spans[i][2], 0) + 1
+            i += 1
+        line, places = _permuted(text[begin:stop], here, key, back)
+        while _spans(line, key) != places:
+            line, places = _permuted(line, places, key, back)
+        out += [text[at:begin], line]
+        at = stop
+    return "".join(out) + text[at:], found
 
 
 def _columns(key: bytes):

@@ -74,3 +74,40 @@ def test_edges(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in got if r.doc_id) == sorted((d, t or "") for d, t in rows if d)
     assert [r.n_ip for r in got if r.doc_id is None] == [1]
     assert P.pseudonyms(docs.limit(0), KEY).count() == 0
+
+
+MORE = {"date": ["2024-03-25T10:00:00", "3/5/2024", "3/25/2024", "1.12.1987"], "phone": ["+15551234567", "555 123 4567", "+49 30 1234 5678 2024 2025"],
+        "iban": ["ES9121000418450200051332", "ES91 2100 0418 4502 0005 1332"], "card": ["4111 1111 1111 1111", "4111111111111111", "3782 822463 10005"]}
+AFTER = ["", " 12/27", " 123", " 2 items", " 2024 2025", " EUR 500", " BIC ABCDESMM", " VISA", "\n77"]
+BEFORE = ["", "ID42 ", "2024 ", "NR "]
+
+
+@pytest.mark.parametrize("kind,value", [(k, v) for d in (VALUES, MORE) for k, vs in d.items() for v in vs])
+def test_followed_by_digits_and_capitals(kind, value):
+    for before in BEFORE:
+        for after in AFTER:
+            text = f"see {before}{value}{after}"
+            out, found = P.pseudonymise(text, KEY)
+            assert found and value not in out, text
+            assert before or found.get(kind, 0) >= 1, text
+            assert P.pseudonymise(out, KEY, back=True)[0] == text
+
+
+def test_cards_between_numbers_restore():
+    rng = random.Random(7)
+    for _ in range(400):
+        body = "4" + "".join(rng.choice("0123456789") for _ in range(14))
+        card = body + str(P.luhn(body))
+        grouped = " ".join(card[i:i + 4] for i in range(0, 16, 4))
+        text = f"{rng.choice(['', 'AB12 ', str(rng.randrange(1000, 9999)) + ' '])}{grouped} {rng.randrange(1000)} {rng.randrange(10000)}"
+        out, found = P.pseudonymise(text, KEY)
+        assert found and grouped not in out and P.pseudonymise(out, KEY, back=True)[0] == text
+
+
+def test_dates_link_in_every_form():
+    one = [P.pseudonymise(v, KEY)[0] for v in ("1999-12-25", "12/25/1999", "25.12.1999", "1999-12-25T08:00")]
+    y, m, d = one[0].split("-")
+    assert one[1:] == [f"{m}/{d}/{y}", f"{d}.{m}.{y}", f"{one[0]}T08:00"]
+    y, m, d = P.pseudonymise("2024-05-03", KEY)[0].split("-")
+    assert P.pseudonymise("3/5/2024", KEY)[0] == f"{int(d)}/{int(m)}/{y}"
+    assert P.pseudonymise("+15551234567", KEY)[0] == re.sub("[ -]", "", P.pseudonymise("+1 555-123-4567", KEY)[0])
