@@ -1,14 +1,17 @@
-"""Operator 4, toxicity: class-conditional Kneser-Ney models of spelling.
+"""Operator 4, toxicity: class-conditional Kneser-Ney models of spelling and of word pairs.
 
 A text is read as words, case folded and without punctuation, and a word as bytes between marks for
 its start and end.  For each class, toxic and ordinary, an interpolated Kneser-Ney model predicts the
 next byte from up to ``ORDER - 1`` bytes of the word, so that insults are known by their stems; both
-classes back off to one shared model of continuation counts, so that a rare expression that only one
-class has seen weighs little.  Counts are of documents, not of occurrences.
+classes back off to one shared Kneser-Ney chain of continuation counts, through every order down to
+single bytes, so that a rare expression that only one class has seen weighs little.  Beside it, a model
+of the same kind predicts each word from the word before it, so that phrases of ordinary words are
+learned too; it backs off to shared continuation counts of words.  Counts are of documents, not of
+occurrences; grams of a single document count as well.
 
 A word's log-likelihood ratio is the sum over its bytes of toxic minus ordinary log-probability; a
 document's measures are ratios normalised by length: over all of its words, over its worst
-``WINDOW``-word stretch, its worst word's, and the numbers of words above some ratios against its
+``WINDOW``-word stretch, its worst word's, the mean and worst of its word pairs, and the numbers of words above some ratios against its
 length.  Logistic regression on a fold of its own turns them into a score from 0 to 1.
 
 Labels are read only from rows whose crc32(doc_id) mod 5 is not 0 (1 to 3 are counted, 4 calibrates),
@@ -19,21 +22,21 @@ Repeated rows score alike; null ids are not held out.  Extra columns don't matte
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.words import BYTES, FOLD, SPACE, Chunk, U, chunks, signed, spans_hash
+from tessera.llm.words import BYTES, FOLD, SPACE, Chunk, U, chunks, mix, signed, spans_hash
 
 ORDER = 8
 DISCOUNT = 0.75
 WINDOW = 32
 #: Words with a log ratio above each of these are counted.
 LEAST = (3.0, 5.0, 7.0)
-MEASURES = ["mean_ratio", "window_ratio", "word_ratio", *(f"log_over_{int(x)}" for x in LEAST), "log_words"]
+MEASURES = ["mean_ratio", "window_ratio", "word_ratio", "pair_ratio", "pair_worst", *(f"log_over_{int(x)}" for x in LEAST), "log_words"]
 MAX_LABELS = 5_000
 #: Bytes of text of a chunk: the larger, the fewer distinct words are scored again.
 CHUNK = 1 << 22
@@ -116,6 +119,9 @@ class Model:
     known: Lookup
     backoff: Lookup
     weights: np.ndarray
+    #: The same of (word before, word).
+    pairs: Lookup | None = None
+    pair_backoff: Lookup | None = None
 
     def words(self, c: Chunk) -> np.ndarray:
         """The log ratio of every word of a plain chunk; each distinct word is scored once."""
@@ -127,6 +133,14 @@ class Model:
         gram = np.where(gram != 0, gram, self.backoff(context))
         return np.bincount(word, weights=gram, minlength=len(first))[back]
 
+    def followed(self, c: Chunk) -> np.ndarray:
+        """The log ratio of every word of a plain chunk after the word before it."""
+        if not len(c.starts) or self.pairs is None or self.pair_backoff is None:
+            return np.zeros(len(c.starts))
+        context, _, key = word_pairs(c)
+        gram = self.pairs(key)
+        return np.where(gram != 0, gram, self.pair_backoff(context))
+
     def measures(self, c: Chunk) -> np.ndarray:
         """Documents x measures."""
         c = plain(c)
@@ -142,8 +156,12 @@ class Model:
             at = c.wbounds[:-1][some]
             out[some, 1] = np.maximum.reduceat(window, at)
             out[some, 2] = np.maximum.reduceat(ratio, at)
+        after = self.followed(c)
+        out[:, 3] = c.sums(after) / n
+        if len(some):
+            out[some, 4] = np.maximum.reduceat(after, at)
         for i, least in enumerate(LEAST):
-            out[:, 3 + i] = np.log1p(c.sums(ratio > least))
+            out[:, 5 + i] = np.log1p(c.sums(ratio > least))
         out[:, -1] = np.log1p(c.n_words)
         return out
 
@@ -152,17 +170,58 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -500, 500)))
 
 
-def kneser_ney(grams: dict[str, np.ndarray], pairs: dict[str, np.ndarray], contexts: dict[str, np.ndarray]) -> tuple[Lookup, Lookup]:
+def word_pairs(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each word: hash of the word before it (of a document's start, 0), its own, of both."""
+    own = c.hashes()
+    before = np.zeros(len(own), U)
+    before[1:] = own[:-1]
+    before[c.wbounds[:-1][c.n_words > 0]] = 0
+    return before, own, pair_key(before, own)
+
+
+def pair_key(before: np.ndarray, own: np.ndarray) -> np.ndarray:
+    return mix(mix(before) ^ own)
+
+
+def chain(packed: np.ndarray) -> np.ndarray:
+    """The shared probability of each distinct gram's last byte after its context without the first byte:
+    Kneser-Ney's chain of orders, from single bytes up, on the numbers of distinct bytes before a gram."""
+    def ending(x: np.ndarray, n: int) -> np.ndarray:
+        return x & U((1 << 8 * n) - 1)
+
+    size = sum(((packed >> U(8 * i)) & U(255) != 0).astype(np.int64) for i in range(ORDER))
+    out = np.ones(len(packed))
+    below = p = np.zeros(0)
+    for n in range(1, ORDER):
+        ids, types = np.unique(ending(np.unique(ending(packed[size > n], n + 1)), n), return_counts=True)
+        if not len(ids):
+            break
+        if n == 1:
+            lower, back = 0.0, np.zeros(len(ids), np.int64)
+        else:
+            lower, back = p[np.searchsorted(below, ending(ids, n - 1))], np.unique(ids >> U(8), return_inverse=True)[1]
+        total, kinds = np.bincount(back, weights=types)[back], np.bincount(back)[back]
+        p = types / total if n == 1 else (types - DISCOUNT + DISCOUNT * kinds * lower) / total
+        below = ids
+        at = size == n + 1
+        out[at] = p[np.searchsorted(ids, ending(packed[at], n))]
+    return out
+
+
+def kneser_ney(grams: dict[str, np.ndarray], pairs: dict[str, np.ndarray] | None, contexts: dict[str, np.ndarray], lower: np.ndarray | None = None) -> tuple[Lookup, Lookup]:
     """The log ratios of both models.
 
     ``grams``: key, context, last byte of the context, byte, toxic, ordinary counts.  ``contexts``: context, counts and
     numbers of distinct next bytes of each class.  ``pairs``: previous byte, byte, distinct grams that end so.
+    ``lower``: the shared probability of each gram; without it, that of its last byte after one byte.
     """
-    types = np.zeros((256, 256))
-    types[pairs["last"], pairs["byte"]] = pairs["types"]
-    one = types.sum(0) / max(types.sum(), 1)
-    after = np.maximum(types.sum(1, keepdims=True), 1)
-    shared = np.maximum(types - DISCOUNT, 0) / after + DISCOUNT * (types > 0).sum(1, keepdims=True) / after * one
+    if lower is None:
+        types = np.zeros((256, 256))
+        types[pairs["last"], pairs["byte"]] = pairs["types"]
+        one = types.sum(0) / max(types.sum(), 1)
+        after = np.maximum(types.sum(1, keepdims=True), 1)
+        shared = np.maximum(types - DISCOUNT, 0) / after + DISCOUNT * (types > 0).sum(1, keepdims=True) / after * one
+        lower = shared[grams["last"], grams["byte"]]
     order = np.argsort(contexts["context"])
     ids = contexts["context"][order]
     p = {}
@@ -172,7 +231,7 @@ def kneser_ney(grams: dict[str, np.ndarray], pairs: dict[str, np.ndarray], conte
         total = contexts[kind][order] + 1.0
         rest[kind] = (DISCOUNT * contexts[f"{kind}_types"][order] + 1.0) / total
         at = np.searchsorted(ids, grams["context"])
-        p[kind] = np.maximum(grams[kind] - DISCOUNT, 0) / total[at] + rest[kind][at] * shared[grams["last"], grams["byte"]]
+        p[kind] = np.maximum(grams[kind] - DISCOUNT, 0) / total[at] + rest[kind][at] * lower
     ratio = np.log(np.maximum(p["toxic"], 1e-12)) - np.log(np.maximum(p["ordinary"], 1e-12))
     back = np.log(rest["toxic"]) - np.log(rest["ordinary"])
     return Lookup(grams["key"], np.where(ratio == 0, 1e-9, ratio)), Lookup(ids, back)
@@ -194,7 +253,7 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
 
 
 def count(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct grams of a chunk: key, context, last byte, byte, documents of each class."""
+    """Distinct grams of a chunk: key, context, last byte, byte, documents of each class, all bytes in one number."""
     c = plain(c)
     wh = c.hashes()
     pair = np.unique(np.column_stack([c.doc.astype(U), wh]), axis=0, return_index=True)[1] if len(wh) else np.zeros(0, int)
@@ -203,22 +262,42 @@ def count(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
     is_toxic = toxic[c.doc[pair][word]]
     ids, first, back = np.unique(key, return_index=True, return_inverse=True)
     both = [np.bincount(back, weights=w, minlength=len(ids)).astype(np.int64) for w in (is_toxic, ~is_toxic)]
-    return signed(ids), signed(context[first]), text[at[first] - 1].astype(np.int32), text[at[first]].astype(np.int32), *both
+    packed = np.zeros(len(ids), U)
+    for i in range(ORDER):
+        inside = at[first] - i >= begin[word[first]]
+        packed[inside] |= text[at[first][inside] - i].astype(U) << U(8 * i)
+    return signed(ids), signed(context[first]), text[at[first] - 1].astype(np.int32), text[at[first]].astype(np.int32), *both, signed(packed)
+
+
+def count_pairs(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Distinct word pairs of a chunk: key, context, word, documents of each class."""
+    c = plain(c)
+    context, own, key = word_pairs(c)
+    once = np.unique(np.column_stack([c.doc.astype(U), key]), axis=0, return_index=True)[1] if len(key) else np.zeros(0, int)
+    is_toxic = toxic[c.doc[once]]
+    ids, first, back = np.unique(key[once], return_index=True, return_inverse=True)
+    both = [np.bincount(back, weights=w, minlength=len(ids)).astype(np.int64) for w in (is_toxic, ~is_toxic)]
+    return signed(ids), signed(context[once][first]), signed(own[once][first]), *both
 
 
-_GRAM = ["key", "context", "last", "byte", "toxic", "ordinary"]
+_GRAM = ["key", "context", "last", "byte", "toxic", "ordinary", "packed"]
+_PAIR = ["key", "context", "word", "toxic", "ordinary"]
 
 
-def _counted(batches):
-    for b in batches:
-        toxic = b.column("toxic").to_numpy(zero_copy_only=False) == 1
-        for c in chunks(b.column("text"), CHUNK):
-            got = count(c, toxic[c.first:c.first + c.n])
-            yield pa.RecordBatch.from_arrays([pa.array(x) for x in got], names=_GRAM)
+def _counted(counter, names: list[str], sent: list[str]):
+    def run(batches):
+        for b in batches:
+            toxic = b.column("toxic").to_numpy(zero_copy_only=False) == 1
+            for c in chunks(b.column("text"), CHUNK):
+                got = counter(c, toxic[c.first:c.first + c.n])
+                yield pa.RecordBatch.from_arrays([pa.array(x) for n, x in zip(names, got) if n in sent], names=sent)
+    return run
 
 
-def _measured(model: Model):
+def _measured(box, weights: np.ndarray):
+    """``box``: the model as a broadcast variable, so that it is shipped once."""
     def run(batches):
+        model = replace(box.value, weights=weights)
         for b in batches:
             for c in chunks(b.column("text"), CHUNK):
                 m = model.measures(c)
@@ -244,43 +323,77 @@ def label_sample(labels: DataFrame, max_labels: int) -> DataFrame:
     return one.withColumn("fold", fold).where("fold != 0").withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_labels).drop("n")
 
 
+def _gathered(counted: DataFrame, names: list[str]) -> dict[str, np.ndarray]:
+    counts = ["toxic", "ordinary"]
+    return _arrays(counted.groupBy(*names).agg(*(F.sum(x).cast("int").alias(x) for x in counts)))
+
+
+def _contexts(grams: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
+    """Of each context the counts and numbers of distinct grams of both classes."""
+    ids, at = np.unique(grams["context"], return_inverse=True)
+    out = {"context": ids}
+    for x in ("toxic", "ordinary"):
+        out[x] = np.bincount(at, weights=grams[x], minlength=len(ids))
+        out[f"{x}_types"] = np.bincount(at, weights=grams[x] > 0, minlength=len(ids))
+    return out
+
+
+def unpacked(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Hash of the context, hash of context and byte of packed grams."""
+    if len(packed) > 1 << 17:  # bounds the driver's memory
+        parts = [unpacked(packed[at:at + (1 << 17)]) for at in range(0, len(packed), 1 << 17)]
+        return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
+    each = (packed[:, None] >> (U(8) * np.arange(ORDER, dtype=U)[::-1]) & U(255)).astype(np.uint8)
+    end = np.cumsum((each != 0).sum(1))
+    begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
+    values = BYTES[each[each != 0]]
+    return spans_hash(values, begin, end - 1), spans_hash(values, begin, end)
+
+
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Model:
-    """Counts are gathered by Spark from the sample's distinct texts; grams of a single document are
-    dropped, and the rest (bounded by the sample) makes the model on the driver."""
+    return _fitted(docs, labels, max_labels)[0]
+
+
+def _fitted(docs: DataFrame, labels: DataFrame, max_labels: int):
+    """The model, and a broadcast of it without the weights.  Counts are gathered by Spark from the sample's distinct texts; all of them (bounded by the sample)
+    make the model on the driver."""
     empty = Lookup(np.zeros(0, U), np.zeros(0))
     none = Model(empty, empty, np.zeros(len(MEASURES) + 1))
     none.weights[-1] = -500.0
+    context = docs.sparkSession.sparkContext
     sample = label_sample(labels, max_labels).persist()
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
-        return none
+        return none, context.broadcast(none)
     labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "toxic", "fold"])
-    counted = labelled.where("fold < 4").select("text", "toxic").mapInArrow(_counted, "key long, context long, last int, byte int, toxic long, ordinary long")
-    grams = counted.groupBy("key").agg(*(F.first(x).alias(x) for x in _GRAM[1:4]), F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary")).persist()
-    pairs = _arrays(grams.groupBy("last", "byte").agg(F.count(F.lit(1)).alias("types")))
-    per = grams.groupBy("context").agg(F.sum("toxic").alias("toxic"), F.sum("ordinary").alias("ordinary"),
-                                       F.count_if(F.col("toxic") > 0).alias("toxic_types"), F.count_if(F.col("ordinary") > 0).alias("ordinary_types"))
-    per = _arrays(per.where("toxic + ordinary > 1"))
-    kept = _arrays(grams.where("toxic + ordinary > 1"))
-    grams.unpersist()
-    for table in (per, kept):
-        for x in {"key", "context"} & set(table):
-            table[x] = table[x].view(U)
-    known, backoff = kneser_ney(kept, pairs, per)
-    model = Model(known, backoff, none.weights)
-    rows = labelled.where("fold = 4").select("doc_id", "text").mapInArrow(_measured(model), _SCHEMA).join(F.broadcast(sample), "doc_id")
+    counted = labelled.where("fold < 4").select("text", "toxic")
+    grams = _gathered(counted.mapInArrow(_counted(count, _GRAM, _GRAM[4:]), "toxic long, ordinary long, packed long"), ["packed"])
+    packed = np.ascontiguousarray(grams["packed"]).view(U)
+    grams["context"], grams["key"] = unpacked(packed)
+    known, backoff = kneser_ney(grams, None, _contexts(grams), chain(packed).astype(np.float32))
+    del grams, packed
+    grams = _gathered(counted.mapInArrow(_counted(count_pairs, _PAIR, _PAIR[1:]), "context long, word long, toxic long, ordinary long"), ["context", "word"])
+    grams["context"], word = (np.ascontiguousarray(grams[x]).view(U) for x in ("context", "word"))
+    grams["key"] = pair_key(grams["context"], word)
+    _, word, times = np.unique(word, return_inverse=True, return_counts=True)
+    lower = (times / max(len(word), 1)).astype(np.float32)[word]
+    del word
+    model = Model(known, backoff, none.weights, *kneser_ney(grams, None, _contexts(grams), lower))
+    del grams, lower
+    box = context.broadcast(model)
+    rows = labelled.where("fold = 4").select("doc_id", "text").mapInArrow(_measured(box, none.weights), _SCHEMA).join(F.broadcast(sample), "doc_id")
     calibration = _arrays(rows.select(*MEASURES, "toxic"))
     sample.unpersist()
     if len(set(calibration["toxic"])) < 2:
-        return none
-    model.weights = logistic(np.column_stack([calibration[x] for x in MEASURES]), calibration["toxic"])
-    return model
+        return none, context.broadcast(none)
+    weights = logistic(np.column_stack([calibration[x] for x in MEASURES]), calibration["toxic"])
+    return replace(model, weights=weights), box
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> DataFrame:
     """``doc_id, held_out, score, predicted`` and the measures, one row per input row."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    model = fit(rows, labels, max_labels)
+    model, box = _fitted(rows, labels, max_labels)
     held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
-    return rows.mapInArrow(_measured(model), _SCHEMA).select(
+    return rows.mapInArrow(_measured(box, model.weights), _SCHEMA).select(
         "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), *MEASURES)

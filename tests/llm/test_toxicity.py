@@ -92,3 +92,48 @@ def test_word_ratios_against_plain_counts():
     want = [ratio(w) for t in ("IDIOT's idol", "theme idiotic unseen") for w in spell(t)]
     assert np.allclose(model.words(p), want, atol=1e-4)
     assert want[0] > 0 > want[2]
+
+
+def test_chain_against_plain_orders():
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("aabc "), 60)) + " abacabacaba" for _ in range(6)]
+    (c,) = chunks(pa.array(texts))
+    packed = np.unique(T.count(c, np.zeros(6, bool))[6].view(U))
+    grams = [int(x).to_bytes(8, "big").lstrip(b"\0") for x in packed]
+    before = defaultdict(set)
+    for g in grams:
+        for i in range(1, len(g)):
+            before[g[i:]].add(g[i - 1])
+
+    def p(g):
+        same = {x: len(v) for x, v in before.items() if len(x) == len(g) and x[:-1] == g[:-1]}
+        if len(g) == 1:
+            return same[g] / sum(same.values())
+        return (same[g] - T.DISCOUNT + T.DISCOUNT * len(same) * p(g[1:])) / sum(same.values())
+
+    assert max(map(len, grams)) == 8
+    assert np.allclose(T.chain(packed), [p(g[1:]) for g in grams])
+
+
+def fitted(spark, toxic, ordinary):
+    """A model of many documents of filler, and the given texts among those counted."""
+    fold = [zlib.crc32(str(i).encode()) % 5 for i in range(400)]
+    filler = ["the tree is green", "a river runs far", "we walk the long road", "rain falls on the hill"]
+    rows = [(i, filler[i % 4] + " " + filler[i // 4 % 4], i % 2) for i in range(400)]
+    for texts, label in ((toxic, 1), (ordinary, 0)):
+        free = iter([i for i in range(400) if i % 2 == label and 0 < fold[i] < 4])
+        for text in texts:
+            i = next(free)
+            rows[i] = (i, text, label)
+    df = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    return T.fit(df.select("doc_id", "text"), df.select("doc_id", "toxic"))
+
+
+def test_single_documents_and_phrases_count(spark):
+    model = fitted(spark, ["you zorkful grumph", *["road green %s" % w for w in ("the", "far", "hill")]], ["far green hill", "road far tree", "zebra crossing"])
+    (probe,) = chunks(pa.array(["zorkful", "zebra", "qqq"]))
+    once = model.words(T.plain(probe))
+    assert once[0] > 0.5 and once[1] < -0.5
+    (probe,) = chunks(pa.array(["road green", "road far"]))
+    after = model.followed(T.plain(probe))
+    assert after[1] > 0.5 > 0 > after[3]
