@@ -24,7 +24,3 @@ def spark():
         s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tessera-test-ckpt-"))
     ensure_checkpoint_dir(s)
     yield s
-
-
-def lines(spark, *rows):
-    return spark.createDataFrame([(r,) for r in rows], "value string")

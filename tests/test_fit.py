@@ -1,5 +1,5 @@
 import pytest
-from conftest import lines
+from frames import lines
 from pyspark.sql import functions as F
 
 from tessera.functions.javarandom import start_weights

@@ -72,7 +72,7 @@ def test_personalised_converged_with_isolated_vertex(spark):
 
 
 def test_edges_and_users_parsing(spark):
-    from conftest import lines
+    from frames import lines
 
     from tessera.sources.text import parse_edges
     edges, bad = parse_edges(lines(spark, "# a note", "12 7", "5\t9", "", "y 3", "7", "3   12 extra"))

@@ -1,4 +1,4 @@
-from conftest import lines
+from frames import lines
 from pyspark.sql import functions as F
 
 from tessera.operators import logs as L

@@ -3,7 +3,7 @@
 import os
 
 import pytest
-from conftest import lines
+from frames import lines
 from pyspark.sql import functions as F
 
 from tessera.operators import common as C

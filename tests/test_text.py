@@ -1,4 +1,4 @@
-from conftest import lines
+from frames import lines
 
 from tessera.operators.text import tokens, word_count
 
