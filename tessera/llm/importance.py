@@ -15,7 +15,8 @@ mod 5 is not 0; residues 1 to 3 count the target model and residue 4 sets the cu
 both kinds nothing is rejected.  The raw model, the weights and the selection cover every document.
 
 Null and wordless texts have weight 0.  Null ids draw noise as an id of their own; repeated rows draw
-alike, and rows tied with the k-th all stay.  Extra columns are passed through by ``select_good``.
+alike, and rows tied with the k-th all stay.  An empty table gives an empty one.  Extra columns are passed
+through by ``select_good``, also those called like its working columns.
 """
 
 from __future__ import annotations
@@ -137,22 +138,30 @@ def _counted(batches):
     yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(raw[at]), pa.array(target[at])], names=["slot", "raw", "target"])
 
 
-def _weighing(ratio: np.ndarray, passed: list[str]):
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with underscores before it until no column is called so (in any case)."""
+    while name.lower() in {x.lower() for x in taken}:
+        name = f"_{name}"
+    return name
+
+
+def _weighing(ratio: np.ndarray, passed: list[str], names: list[str]):
     def run(batches):
         for b in batches:
             for c in chunks(b.column("text")):
                 w, n = weigh(ratio, c)
                 part = b.slice(c.first, c.n)
-                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in passed), pa.array(w), pa.array(n.astype(np.int64))],
-                                                 names=[*passed, "log_weight", "n_grams"])
+                yield pa.RecordBatch.from_arrays([*(part.column(x) for x in passed), pa.array(w), pa.array(n.astype(np.int64))], names=[*passed, *names])
     return run
 
 
 def weighed(docs: DataFrame, ratio: np.ndarray, passed: list[str]) -> DataFrame:
-    """``passed`` columns of ``docs`` (its column ``text`` is read), ``log_weight`` and ``n_grams``."""
+    """``passed`` columns of ``docs`` (its column ``text`` is read), ``log_weight`` and ``n_grams`` (see ``free``
+    for tables that have such columns themselves)."""
+    names = [free(x, passed) for x in ("log_weight", "n_grams")]
     cols = list(dict.fromkeys([*passed, "text"]))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*passed).schema)
-    return docs.select(*cols).mapInArrow(_weighing(ratio, passed), f"{kinds}, log_weight double, n_grams long")
+    return docs.select(*cols).mapInArrow(_weighing(ratio, passed, names), f"{kinds}, `{names[0]}` double, `{names[1]}` long")
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Model:
@@ -222,4 +231,4 @@ def select_good(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS
     that reads the rows, so the texts aren't shuffled."""
     _, model, least = resample(docs, labels, max_labels)
     rows = weighed(docs, model.ratio, docs.columns)
-    return rows.where(F.col("log_weight") + gumbel() >= F.lit(least)).select(*docs.columns)
+    return rows.where(F.col(free("log_weight", docs.columns)) + gumbel() >= F.lit(least)).select(*docs.columns)
