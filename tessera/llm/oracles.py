@@ -109,10 +109,88 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, class_id,
        row_number() OVER (PARTITION BY c ORDER BY doc_id NULLS LAST, r) = 1 AS representative
 FROM d JOIN cls USING (r) JOIN head USING (c)"""
 
+#: The 256 entries of the crc32 table, and the crc32 of a list of bytes.
+_CRC_TABLE = """crc AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
+  FROM range(256) x(i))"""
+
+
+def _crc32(octets: str) -> str:
+    return f"xor(4294967295, list_reduce(list_prepend(4294967295, {octets}), lambda c, b: xor(c >> 8, crc.t[(xor(c, b) & 255) + 1])))"
+
+
+def _octets(text: str) -> str:
+    return f"list_transform(range(1, 2 * strlen({text}), 2), lambda j: CAST('0x' || substr(hex(encode({text})), j, 2) AS BIGINT))"
+
+
+def _leaf(n_chars: str) -> str:
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen(CAST({x} AS VARCHAR)) AS VARCHAR) || ':' || CAST({x} AS VARCHAR), '-')"
+                                   for x in ("doc_id", "source", "lang", n_chars, "text")) + ")"
+
+
+def _climb(name: str, start: str, levels: str, tree: str, keep: str) -> str:
+    """Recursive CTE: each row's digest and proof from ``start`` to the root of its tree in ``levels``."""
+    same = f"{{}}.{tree} IS NOT DISTINCT FROM w.{tree} AND {{}}.h = w.h AND {{}}.i = "
+    return f"""{name} AS (
+  {start}
+  UNION ALL
+  SELECT {keep}, w.h + 1, w.i // 2, CASE WHEN s.x IS NULL THEN sha256(w.x) WHEN s.i < w.i THEN sha256(s.x || w.x) ELSE sha256(w.x || s.x) END,
+         w.proof || coalesce(s.x, ''), m.n = 2
+  FROM {name} w JOIN {levels} m ON {same.format('m', 'm', 'm')} w.i AND m.n > 1
+  LEFT JOIN {levels} s ON {same.format('s', 's', 's')} xor(w.i, 1))"""
+
+
+OP12 = f"""
+WITH RECURSIVE {_CRC_TABLE},
+d AS (
+  SELECT row_number() OVER () AS r, doc_id, lang, {_leaf('n_chars')} AS leaf, {_leaf('(n_chars + 1)')} AS changed,
+         {_crc32(_octets('CAST(doc_id AS VARCHAR)'))} AS code FROM documents, crc),
+lf AS (
+  SELECT r, doc_id, lang, leaf, CASE WHEN code % 7 = 0 THEN changed ELSE leaf END AS claim, count(*) OVER (PARTITION BY lang) AS n,
+         row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf, r) - 1 AS i FROM d),
+lv AS (
+  SELECT lang, 0 AS h, i, leaf AS x, n FROM lf
+  UNION ALL
+  SELECT lang, h + 1, i // 2, sha256(string_agg(x, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM lv WHERE n > 1 GROUP BY lang, h, i // 2),
+sub AS (SELECT lang, x AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i, count(*) OVER () AS n FROM lv WHERE n = 1),
+tv AS (
+  SELECT 0 AS t, 0 AS h, i, subroot AS x, n FROM sub
+  UNION ALL
+  SELECT t, h + 1, i // 2, sha256(string_agg(x, '' ORDER BY i)), (any_value(n) + 1) // 2 FROM tv WHERE n > 1 GROUP BY t, h, i // 2),
+{_climb('up', "SELECT r, lang, 0 AS h, i, claim AS x, '' AS proof, n = 1 AS done FROM lf", 'lv', 'lang', 'w.r, w.lang')},
+{_climb('top', "SELECT up.r, 0 AS t, 0 AS h, sub.i, up.x, up.proof, sub.n = 1 AS done FROM up JOIN sub ON up.done AND up.lang IS NOT DISTINCT FROM sub.lang", 'tv', 't', 'w.r, w.t')}
+SELECT lf.doc_id, lf.leaf, sub.subroot, tv.x AS root, sha256(top.proof) AS proof_sha256, top.x AS folded_root, top.x = tv.x AS verified
+FROM lf JOIN sub ON lf.lang IS NOT DISTINCT FROM sub.lang JOIN top ON top.r = lf.r AND top.done JOIN tv ON tv.n = 1"""
+
+_RUNS = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP13 = rf"""
+WITH {_CRC_TABLE},
+d AS (SELECT row_number() OVER () AS r, doc_id, {_RUNS} AS ws FROM documents),
+w AS (SELECT r, unnest(ws) AS f FROM d),
+b AS (SELECT unnest({_RUNS}) AS f FROM benchmark),
+slot AS (SELECT f, {_crc32(_octets('f'))} % 10000 AS slot FROM (SELECT f FROM w UNION SELECT f FROM b), crc),
+s AS (SELECT slot, count(*) AS n FROM w JOIN slot USING (f) GROUP BY slot),
+t AS (SELECT slot, count(*) AS n FROM b JOIN slot USING (f) GROUP BY slot),
+gain AS (
+  SELECT slot, floor(1000 * ln((coalesce(t.n, 0) + 1.0::DOUBLE) * ((SELECT count(*) FROM w) + 10000) / ((s.n + 1.0::DOUBLE) * ((SELECT count(*) FROM b) + 10000)))) AS gain
+  FROM s LEFT JOIN t USING (slot)),
+doc AS (SELECT r, count(*) AS n_features, sum(gain) AS weight FROM w JOIN slot USING (f) JOIN gain USING (slot) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, coalesce(n_features, 0) AS n_features, CAST(coalesce(weight, 0) AS BIGINT) AS weight,
+         CAST(coalesce(weight, 0) + floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('2024:' || coalesce(CAST(doc_id AS VARCHAR), '')), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296))) AS BIGINT) AS score
+  FROM d LEFT JOIN doc USING (r)),
+placed AS (SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, n_features, weight, r) AS rank FROM scored WHERE n_features >= 20)
+SELECT doc_id, CAST(n_features AS BIGINT) AS n_words, CAST(n_features AS BIGINT) AS n_features, weight, score,
+       CASE WHEN rank <= 10 * (SELECT count(*) FROM placed) // 100 THEN rank END AS rank
+FROM scored LEFT JOIN placed USING (r)"""
+
 ORACLES: dict[str, str] = {
     "op3_mix_sources": OP3,
     "op6_quality_rules": OP6,
     "op7_line_dedup": OP7,
     "op8_substring_dedup": OP8,
     "op9_near_duplicates": OP9,
+    "op12_merkle_manifest": OP12,
+    "op13_target_sampling": OP13,
 }

@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.llm import dartminhash, importance, line_dedup, mixing, nearest, pii, quality_rules, sentencepiece, substring_dedup, toxicity
+from tessera.llm import (
+    dartminhash, importance, line_dedup, merkle, mixing, nearest, pii, quality_rules, sentencepiece, substring_dedup, target_sampling, toxicity)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -59,6 +60,14 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
 
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.tampered(read(spark, sf_dir, "documents"))
+
+
+def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target_sampling.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nearest, op2_sentencepiece, op3_mix_sources, op4_toxicity, op5_pii, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
-    op9_near_duplicates, op10_quality_classifier)}
+    op9_near_duplicates, op10_quality_classifier, op12_merkle_manifest, op13_target_sampling)}

@@ -64,11 +64,12 @@ def spans_hash(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
 
 
 class Chunk:
-    """Whole documents: ``data`` bytes, ``offs`` document bounds, and the words in them."""
+    """Whole documents: ``data`` bytes, ``offs`` document bounds, and the words in them, runs of bytes
+    that ``space`` doesn't mark."""
 
-    def __init__(self, data: np.ndarray, offs: np.ndarray, first: int):
+    def __init__(self, data: np.ndarray, offs: np.ndarray, first: int, space: np.ndarray = SPACE):
         self.data, self.offs, self.first, self.n = data, offs, first, len(offs) - 1
-        space = SPACE[data]
+        space = space[data]
         edge = np.zeros(len(data) + 1, bool)
         edge[offs] = True
         gap = np.ones(len(data) + 1, bool)
@@ -111,7 +112,7 @@ class Chunk:
         return self.data[self.offs[i]:self.offs[i + 1]].tobytes()
 
 
-def chunks(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[Chunk]:
+def chunks(texts: pa.Array, max_bytes: int = 1 << 20, space: np.ndarray = SPACE) -> Iterator[Chunk]:
     """The documents of an Arrow string array, in order, as chunks."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -125,7 +126,7 @@ def chunks(texts: pa.Array, max_bytes: int = 1 << 20) -> Iterator[Chunk]:
     while at < len(texts):
         to = max(at + 1, int(np.searchsorted(offs, offs[at] + max_bytes, "right")) - 1)
         to = min(to, at + 20_000)
-        yield Chunk(data[offs[at]:offs[to]], offs[at:to + 1] - offs[at], at)
+        yield Chunk(data[offs[at]:offs[to]], offs[at:to + 1] - offs[at], at, space)
         at = to
 
 
