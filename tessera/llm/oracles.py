@@ -109,6 +109,44 @@ SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, class_id,
        row_number() OVER (PARTITION BY c ORDER BY doc_id NULLS LAST, r) = 1 AS representative
 FROM d JOIN cls USING (r) JOIN head USING (c)"""
 
+def _op11() -> str:
+    """Host and path, eight levels of the template tree, purity, rules."""
+    parts = [r"""u AS (
+  SELECT row_number() OVER () AS r, page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 1), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)([^?#]*)', 2), '') AS path FROM pages),
+lab AS (SELECT doc_id, max(quality) AS good FROM labels WHERE quality IN (0, 1) GROUP BY doc_id),
+t0 AS (
+  SELECT r, page_id, host, path, string_split(path, '/')[2:] AS segs, good, '' AS t
+  FROM u LEFT JOIN lab ON lab.doc_id = TRY_CAST(regexp_extract(path, '([0-9]+)[^0-9]*$', 1) AS BIGINT))"""]
+    chi = "CASE WHEN {A} * ({N} - {A}) * {n} * ({N} - {n}) > 0 THEN ({a} * ({N} - {n}) - ({A} - {a}) * {n}) * ({a} * ({N} - {n}) - ({A} - {a}) * {n}) * {N} / ({A} * ({N} - {A}) * {n} * ({N} - {n})) ELSE 0 END > 10.828"
+    for d in range(8):
+        parts.append(f"""c{d} AS (
+  SELECT host, t, segs[{d + 1}] AS child, count(*)::DOUBLE AS n, count(*) FILTER (len(segs) = {d + 1})::DOUBLE AS ends, count(good)::DOUBLE AS lab, coalesce(sum(good), 0)::DOUBLE AS good
+  FROM t{d} WHERE len(segs) > {d} GROUP BY 1, 2, 3),
+k{d} AS (
+  SELECT host, t, child, '~' || CAST(least(floor(5 * ((good + 5.0 * CASE WHEN l_all > 0 THEN g_all / l_all ELSE 0.5 END) / (lab + 5.0))), 4) AS INTEGER)
+         || CAST(least(floor(5 * (ends / n)), 4) AS INTEGER) AS branch
+  FROM c{d} JOIN (SELECT host, t, sum(n) AS n_all, sum(ends) AS e_all, sum(lab) AS l_all, sum(good) AS g_all FROM c{d} GROUP BY 1, 2) USING (host, t)
+  WHERE n >= 20 AND ({chi.format(a='good', n='lab', A='g_all', N='l_all')} OR {chi.format(a='ends', n='n', A='e_all', N='n_all')})),
+t{d + 1} AS (
+  SELECT x.* EXCLUDE (t), CASE WHEN len(segs) > {d} THEN x.t || '/' || coalesce(k.branch, '*') ELSE x.t END AS t
+  FROM t{d} x LEFT JOIN k{d} k ON k.host = x.host AND k.t = x.t AND k.child = x.segs[{d + 1}])""")
+    parts.append("""tt AS (SELECT *, t || CASE WHEN len(segs) > 8 THEN '/**' ELSE '' END AS template FROM t8),
+al AS (SELECT (coalesce(sum(good), 0) + 1.0::DOUBLE) / (count(good) + 2.0::DOUBLE) AS prior FROM tt),
+ho AS (SELECT host, (coalesce(sum(good), 0) + 5.0::DOUBLE * any_value(prior)) / (count(good) + 5.0::DOUBLE) AS usual FROM tt, al GROUP BY host),
+pu AS (SELECT host, template, (coalesce(sum(good), 0) + 5.0::DOUBLE * any_value(usual)) / (count(good) + 5.0::DOUBLE) AS purity FROM tt JOIN ho USING (host) GROUP BY host, template),
+rules(verdict, rule, own, start) AS (VALUES ('allow', 'org/', 'org', '/'), ('block', 'example.org/es/', 'example.org', '/es/'), ('block', 'example.org/en/1', 'example.org', '/en/1'),
+  ('allow', 'com/fr/', 'com', '/fr/'), ('block', 'com/de/', 'com', '/de/')),
+ru AS (
+  SELECT r, max_by(rule, length(rule)) AS rule, max_by(verdict, length(rule)) AS verdict
+  FROM u JOIN rules ON (host = own OR host LIKE '%.' || own) AND starts_with(path, start) GROUP BY r)
+SELECT page_id, host, path, rule, coalesce(ru.verdict, CASE WHEN purity < 0.5 THEN 'block' ELSE 'allow' END) AS verdict, template
+FROM tt JOIN pu USING (host, template) LEFT JOIN ru USING (r)""")
+    return "WITH " + ",\n".join(parts[:-1]) + ",\n" + parts[-1]
+
+
+OP11 = _op11()
+
 #: The 256 entries of the crc32 table, and the crc32 of a list of bytes.
 _CRC_TABLE = """crc AS (
   SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, _: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) ORDER BY i) AS t
@@ -191,6 +229,7 @@ ORACLES: dict[str, str] = {
     "op7_line_dedup": OP7,
     "op8_substring_dedup": OP8,
     "op9_near_duplicates": OP9,
+    "op11_url_filters": OP11,
     "op12_merkle_manifest": OP12,
     "op13_target_sampling": OP13,
 }

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.llm import (
-    dartminhash, importance, line_dedup, merkle, mixing, nearest, pii, quality_rules, sentencepiece, substring_dedup, target_sampling, toxicity)
+    dartminhash, importance, line_dedup, merkle, mixing, nearest, pii, quality_rules, sentencepiece, substring_dedup, target_sampling, toxicity, url_filters)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -60,6 +60,11 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return importance.resample(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))[0]
 
 
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = read(spark, sf_dir, "pages")
+    return url_filters.judge(pages, url_filters.page_labels(pages, read(spark, sf_dir, "labels")))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.tampered(read(spark, sf_dir, "documents"))
 
@@ -70,4 +75,4 @@ def op13_target_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     op1_nearest, op2_sentencepiece, op3_mix_sources, op4_toxicity, op5_pii, op6_quality_rules, op7_line_dedup, op8_substring_dedup,
-    op9_near_duplicates, op10_quality_classifier, op12_merkle_manifest, op13_target_sampling)}
+    op9_near_duplicates, op10_quality_classifier, op11_url_filters, op12_merkle_manifest, op13_target_sampling)}
