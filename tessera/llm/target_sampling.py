@@ -203,15 +203,24 @@ def _pair_counting(head: Head):
     return run
 
 
+def most_frequent(counts: DataFrame, k: int, name: str) -> list:
+    """The rows with the largest ``n``, at most ``k``: rows tied with the next one stay out, so that every task
+    sends only rows that are taken."""
+    counts = materialize(counts, name)
+    if counts.count() <= k:
+        return counts.collect()
+    return counts.where(F.col("n") > kth_largest(counts, "n", k + 1)).collect()
+
+
 def vocabulary(texts: DataFrame, max_run: int, n_words: int = HEAD_WORDS, n_pairs: int = HEAD_PAIRS) -> Head:
     """The head of the only column of ``texts``: at most ``n_words`` and ``n_pairs`` rows reach the driver."""
     if not n_words:
         return Head()
     words = texts.mapInArrow(_count_words, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
-    head = head_of([bytes_of(r["a"], r["b"]) for r in words.orderBy(F.desc("n"), "a", "b").limit(n_words).collect()])
+    head = head_of([bytes_of(r["a"], r["b"]) for r in most_frequent(words, n_words, "word-counts")])
     if max_run > 1 and n_pairs and len(head.key):
         pairs = texts.mapInArrow(_pair_counting(head), "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n"))
-        top = np.array([r["pair"] for r in pairs.orderBy(F.desc("n"), "pair").limit(n_pairs).collect()], np.int64)
+        top = np.array([r["pair"] for r in most_frequent(pairs, n_pairs, "pair-counts")], np.int64)
         words = [bytes_of(int(x), int(y)) for x, y in zip(head.a, head.b)]
         head.pair = np.sort(top)
         head.pair_bucket = np.array([zlib.crc32(words[p // len(words)] + b" " + words[p % len(words)]) % BUCKETS for p in head.pair.tolist()], np.int64)

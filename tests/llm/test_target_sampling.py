@@ -71,7 +71,7 @@ def test_against_plain_python(spark, max_run, n_words, n_pairs):
 
 
 def test_frequent_pairs_are_looked_up(spark):
-    texts = spark.createDataFrame([("The cat. the CAT; the dog",), (None,), ("cat",)], "text string")
+    texts = spark.createDataFrame([("The cat. the CAT; the dog",), (None,), ("cat the cat",)], "text string")
     head = T.vocabulary(texts, 2, 3, 2)
     words = [T.bytes_of(int(a), int(b)) for a, b in zip(head.a, head.b)]
     assert set(words) == {b"the", b"cat", b"dog"} and len(head.pair) == 2
@@ -81,6 +81,13 @@ def test_frequent_pairs_are_looked_up(spark):
         assert T.features(c, head, 2)[1].tolist() == want
 
 
+def test_most_frequent_is_bounded(spark):
+    df = spark.createDataFrame([(i, n) for i, n in enumerate([5, 4, 4, 3, 3, 3, 1])], "i int, n long")
+    for k, want in ((0, 0), (1, 1), (2, 1), (3, 3), (5, 3), (6, 6), (7, 7), (9, 7)):
+        rows = T.most_frequent(df, k, "t")
+        assert len(rows) == want and len(rows) <= k and {r.i for r in rows} == set(range(want))
+
+
 def test_nulls_ties_long_texts_and_extra_columns(spark):
     long = "wörd " * 100_000 + "x" * 3_000_000
     rows = [(1, None), (2, ""), (3, "..."), (4, "A b"), (None, "one two " * 10), (None, "one two " * 10), (5, "three " * 19), (6, long), (7, "\x00a\x7fb"),
