@@ -227,6 +227,9 @@ def q_item_pairs(spark, sf):
 
 
 for _m in S.METHODS:
+    if _m == "spark-appr":  # below, over ratings that it samples
+        continue
+
     def _mk(m):
         def fn(spark, sf):
             return _sim(spark, sf, m)
@@ -235,6 +238,28 @@ for _m in S.METHODS:
     query(_mk(_m))
 
 
+def _upper(sim):
+    return sim.select(F.col("i").cast("bigint").alias("i"), F.col("j").cast("bigint").alias("j"), r6("sim").alias("sim"))
+
+
+@query
+def q_sim_spark_appr(spark, sf):
+    """Sampled cosine between suppliers over the pieces customers ordered; every column is over the bound."""
+    return _upper(S.similarity(materialize(B.quantity_ratings(spark, sf), "quantities"), "spark-appr"))
+
+
+@query
+def q_sim_spark_quantities(spark, sf):
+    """The exact cosines that ``sim_spark_appr`` estimates."""
+    return _upper(S.similarity(materialize(B.quantity_ratings(spark, sf), "quantities"), "spark"))
+
+
+@query
+def q_sim_spark_appr_events(spark, sf):
+    """Sampled cosine of the training ratings (light columns: exact until they pass the bound)."""
+    return _upper(S.similarity(_train(spark, sf), "spark-appr"))
+
+
 @query
 def q_top_neighbours(spark, sf):
     nb = _nb(spark, sf)

@@ -177,10 +177,32 @@ _UPPER_COS = "SELECT i, j, dot / (sqrt(ss_i) * sqrt(ss_j)) AS sim FROM ps"
 for _m in ("cosine", "cosine_mod", "llr", "jaccard", "euclidean"):
     oracle(f"sim_{_m}", f"WITH {RATINGS}, {sim_cte('s', _m)} "
            f"SELECT CAST(i AS BIGINT) AS i, CAST(j AS BIGINT) AS j, {r6('sim')} AS sim FROM s")
-# Exact cosine on the upper triangle; at this scale no column norm reaches the
-# DIMSUM sampling bound, so the sampled variant is exact too.
 oracle("sim_spark", f"WITH {RATINGS}, s AS ({_UPPER_COS}) SELECT i, j, {r6('sim')} AS sim FROM s")
-oracle("sim_spark_appr", f"WITH {RATINGS}, s AS ({_UPPER_COS}) SELECT i, j, {r6('sim')} AS sim FROM s")
+
+QUANTITIES = """
+entries AS (
+  SELECT o.o_custkey AS u, CAST(l.l_suppkey AS BIGINT) AS i, CAST(sum(l.l_quantity) AS DOUBLE) AS v
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey GROUP BY 1, 2)"""
+
+
+def sampled_cosine(threshold: float, seed: int = 42) -> str:
+    """CTEs after ``entries(u, i, v)``: the bound, norms, the entries that both draws leave, and ``s(i, j, sim)``."""
+    def draw(at: int) -> str:
+        return f"CAST('0x' || substr(md5('{seed}:' || CAST(u AS VARCHAR) || ':' || CAST(i AS VARCHAR)), {at}, 13) AS BIGINT) / 4503599627370496.0"
+
+    return f"""
+bd AS (SELECT sqrt(10 * ln(max(i) + 1) / {threshold}) AS b FROM entries),
+nm AS (SELECT i, sqrt(sum(v * v)) AS norm FROM entries GROUP BY i),
+dr AS (SELECT u, i, v / least(b, norm) AS s, {draw(1)} < b / norm AS low, {draw(14)} < b / norm AS high FROM entries JOIN nm USING (i), bd),
+s AS (SELECT x.i, y.i AS j, sum(x.s * y.s) AS sim FROM dr x JOIN dr y ON x.u = y.u AND x.i < y.i AND x.low AND y.high GROUP BY 1, 2)"""
+
+
+oracle("sim_spark_appr", f"WITH {QUANTITIES}, {sampled_cosine(0.1)} SELECT i, j, {r6('sim')} AS sim FROM s")
+oracle("sim_spark_quantities", f"WITH {QUANTITIES}, nm AS (SELECT i, sqrt(sum(v * v)) AS norm FROM entries GROUP BY i), "
+       "w AS (SELECT u, i, v / norm AS s FROM entries JOIN nm USING (i)), "
+       "s AS (SELECT x.i, y.i AS j, sum(x.s * y.s) AS sim FROM w x JOIN w y ON x.u = y.u AND x.i < y.i GROUP BY 1, 2) "
+       f"SELECT i, j, {r6('sim')} AS sim FROM s")
+oracle("sim_spark_appr_events", f"WITH {RATINGS}, {sampled_cosine(0.1)} SELECT i, j, {r6('sim')} AS sim FROM s")
 
 NEIGHBOURS = sim_cte("cos", "cosine") + r""",
 nbr AS (SELECT i, j, sim, row_number() OVER (PARTITION BY i ORDER BY round(sim, 9) DESC, j) AS rank FROM cos),

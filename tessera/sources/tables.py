@@ -96,6 +96,16 @@ def order_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_suppkey").cast("int").alias("item"), "rating"))
 
 
+def quantity_ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Heavy ratings: (customer, supplier, pieces ordered) from ``orders`` joined with ``lineitem``.  Whole
+    numbers from one to hundreds, so the columns' norms pass DIMSUM's bound at every scale."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_suppkey", "l_quantity")
+    return (li.join(o, li.l_orderkey == o.o_orderkey)
+            .groupBy(F.col("o_custkey").alias("user_id"), F.col("l_suppkey").cast("int").alias("item"))
+            .agg(F.sum("l_quantity").cast("double").alias("rating")))
+
+
 def user_vertex(user_id: str = "user_id"):
     """Users of the bipartite graphs get negative vertex ids, items keep theirs."""
     return -(F.col(user_id).cast("bigint") + 1)

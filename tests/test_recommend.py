@@ -213,6 +213,60 @@ def test_als_directions(spark):
         RC.recommend_als(train, 3, "sideways")
 
 
+@pytest.fixture(scope="module")
+def heavy(spark):
+    """Forty items that nearly all of 3,000 users rate: every column is far over the bound."""
+    u, i = F.col("id") % 3000, F.floor(F.col("id") / 3000)
+    value = (1 + F.pmod(F.xxhash64(u, i), F.lit(3)) + F.when(i % 2 == u % 2, 3).otherwise(0)).cast("double")
+    return spark.range(120_000).select(u.alias("user_id"), i.cast("int").alias("item"), value.alias("rating")).where("(user_id + item) % 11 != 0").cache()
+
+
+def test_dimsum_thins_entries_before_they_are_paired(heavy):
+    e = S._entries(heavy, "user_id", "item", "rating")
+    bound = S.dimsum_bound(40, 0.1)
+    kept = S.sampled_entries(e, bound).cache()
+    norms = {r["item"]: math.sqrt(r["ss"]) for r in S.item_stats(heavy).collect()}
+    expected = sum(min(1, bound / norms[r["i"]]) for r in e.collect())
+    n, low, high = kept.count(), kept.where("low").count(), kept.where("high").count()
+    assert min(norms.values()) > 5 * bound and n < 0.3 * e.count()
+    assert low == pytest.approx(expected, rel=0.05) and high == pytest.approx(expected, rel=0.05)
+    assert kept.where("low AND high").count() < 0.2 * low  # the draws are independent
+    pairs = S.sided_pairs(kept).count()  # what the join makes shrinks by the product of both chances
+    assert pairs == pytest.approx(S.co_pairs(e).count() * (expected / e.count()) ** 2, rel=0.15)
+    assert sorted(map(tuple, S.sided_pairs(kept, chunk=2).collect())) == sorted(map(tuple, S.sided_pairs(kept).collect()))
+
+
+def test_dimsum_join_reads_only_kept_entries(spark, heavy):
+    kept = S.sampled_entries(S._entries(heavy, "user_id", "item", "rating"), S.dimsum_bound(40, 0.1))
+    chunks = S.chunked(kept)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = S.sided_pairs(chunks)
+        df.write.format("noop").mode("overwrite").save()
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    scans = [ln for ln in plan.splitlines() if "PushedFilters" in ln]
+    assert any("EqualTo(low,true)" in ln for ln in scans) and any("EqualTo(high,true)" in ln for ln in scans)
+    assert any("SortMergeJoin" in ln and "_a" in ln and "_b" in ln for ln in plan.splitlines())
+
+
+def test_dimsum_estimates_are_unbiased(heavy):
+    exact = _sims(S.column_similarities(heavy))
+    runs = [_sims(S.column_similarities(heavy, 0.1, seed=seed)) for seed in range(6)]
+    mean = {k: sum(r.get(k, 0.0) for r in runs) / len(runs) for k in exact}
+    errors = [mean[k] - exact[k] for k in exact]
+    assert abs(sum(errors) / len(errors)) < 0.01 and sum(map(abs, errors)) / len(errors) < 0.1
+    assert runs[0] != runs[1] and _sims(S.column_similarities(heavy, 0.1, seed=0)) == pytest.approx(runs[0])
+
+
+def test_dimsum_edges(spark):
+    one = spark.createDataFrame([(1, 0, 3.0), (2, 0, 1.0)], "user_id int, item int, rating double")
+    assert S.similarity(one, "spark-appr").collect() == [] and S.similarity(one.limit(0), "spark-appr").collect() == []
+    zero = spark.createDataFrame([(1, 0, 0.0), (1, 1, 2.0), (1, 2, 5.0)], "user_id int, item int, rating double")
+    assert _sims(S.similarity(zero, "spark-appr")) == pytest.approx({(1, 2): 1.0})
+
+
 def test_column_similarities_matrix_fixture(spark):
     entries = [(0, 0, 1.0), (0, 1, 2.0), (0, 2, 3.0), (1, 1, 1.0), (1, 2, 2.0), (5, 0, 4.0)]
     df = spark.createDataFrame(entries, "user_id int, item int, rating double")
