@@ -1,21 +1,25 @@
 """Iterative fitting as distributed loops: Lloyd's k-means and logistic gradient descent.
 
-The model (k centers, or d weights) is a handful of numbers held by the
-driver and shipped to the executors as a literal array column; each
-iteration is one aggregate over the points, whose partial sums are combined
-map-side.  Points are persisted once (memory and disk) so a lost executor
-recomputes its partitions from the scan.
+The model (k centers, or d weights) is a handful of numbers held by the driver and shipped to the tasks
+inside the batch function; each iteration is one map over Arrow batches, which adds up its task's part of
+the sums with numpy, and one small aggregate over those parts.  The plan has the same size for every k and
+d.  Points are dealt to all cores if they have fewer partitions, and persisted once (memory and disk), so a
+lost executor recomputes its partitions from the scan.
+
+Points without a vector (null, or with a null in it) belong to no cluster and have no gradient.
 """
 
 from __future__ import annotations
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.javarandom import start_weights
 from tessera.functions.text import tokens
-from tessera.functions.vectors import closest, dot, lit_matrix, lit_vector
+from tessera.functions.vectors import closest, nearest, rows_of
 
 
 def parse_vectors(lines: DataFrame, value: str = "value") -> DataFrame:
@@ -47,21 +51,52 @@ def sample_k(points: DataFrame, k: int, seed: int = 42, id_col: str = "id") -> D
 
 def assign(points: DataFrame, centers: list[list[float]], x: str = "x") -> DataFrame:
     """Add ``cluster`` (nearest center, ties to the lowest index) and ``dist`` (squared)."""
-    c = closest(F.col(x), lit_matrix(centers))
-    return points.withColumn("_best", c).select(
+    return points.withColumn("_best", closest(F.col(x), centers)).select(
         *points.columns, F.col("_best.idx").alias("cluster"), F.col("_best.d").alias("dist"))
 
 
-def _cluster_means(assigned: DataFrame, d: int, x: str = "x") -> dict[int, list[float]]:
-    sums = assigned.groupBy("cluster").agg(
-        F.count(F.lit(1)).alias("_n"), *[F.sum(F.col(x)[i]).alias(f"_s{i}") for i in range(d)])
-    out = {}
-    for row in sums.collect():  # k rows: one per cluster
-        n = row["_n"]
-        out[row["cluster"]] = [row[f"_s{i}"] * (1.0 / n) for i in range(d)]
+def _kept(points: DataFrame) -> DataFrame:
+    """``points`` persisted, on at least as many partitions as there are cores."""
+    cores = points.sparkSession.sparkContext.defaultParallelism
+    spread = points.rdd.getNumPartitions() < cores
+    return (points.repartition(cores) if spread else points).persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def _parts(values: np.ndarray, group: int) -> pa.RecordBatch:
+    """One row a value of a partial sum: ``grp, pos, v``."""
+    return pa.RecordBatch.from_arrays([pa.array(np.full(len(values), group, np.int32)), pa.array(np.arange(len(values), dtype=np.int32)), pa.array(values)],
+                                      names=["grp", "pos", "v"])
+
+
+def _summed(parts: DataFrame) -> dict[int, dict[int, float]]:
+    """The sums of all tasks' parts by group and place: the model's own size, whatever the number of points."""
+    out: dict[int, dict[int, float]] = {}
+    for g, pos, v in parts.groupBy("grp", "pos").agg(F.sum("v")).collect():
+        out.setdefault(g, {})[pos] = v
     return out
 
 
+def _cluster_sums(centers: np.ndarray):
+    """Each task's count and sum of the points nearest to each center (place 0: the count)."""
+    def run(batches):
+        k, d = centers.shape
+        total = np.zeros((k, d + 1))
+        for b in batches:
+            m, _ = rows_of(b.column(0), d)
+            idx, _ = nearest(m, centers)
+            total[:, 0] += np.bincount(idx, minlength=k)
+            for c in np.unique(idx):
+                total[c, 1:] += m[idx == c].sum(axis=0)
+        for c in np.flatnonzero(total[:, 0]):
+            yield _parts(total[c], c)
+    return run
+
+
+def _cluster_means(points: DataFrame, centers: list[list[float]], x: str = "x") -> dict[int, list[float]]:
+    sums = _summed(points.select(x).mapInArrow(_cluster_sums(np.array(centers, float)), "grp int, pos int, v double"))
+    return {c: [v[i] * (1.0 / v[0]) for i in range(1, len(v))] for c, v in sums.items()}
+
+
 def kmeans(points: DataFrame, k: int, converge_dist: float, centers: list[list[float]] | None = None,
            seed: int = 42, max_iterations: int | None = None, x: str = "x", id_col: str = "id"
            ) -> tuple[list[list[float]], DataFrame]:
@@ -71,14 +106,13 @@ def kmeans(points: DataFrame, k: int, converge_dist: float, centers: list[list[f
     (or after ``max_iterations``).  At least one step is always taken; a
     cluster left empty keeps its previous center.
     """
-    pts = points.persist(StorageLevel.MEMORY_AND_DISK)
+    pts = _kept(points.select(id_col, x) if centers is None else points.select(x))
     if centers is None:
         centers = [list(r[x]) for r in sample_k(pts, k, seed, id_col).select(x).collect()]
     centers = [list(map(float, c)) for c in centers]
-    d = len(centers[0])
     step = 0
     while True:
-        means = _cluster_means(assign(pts, centers, x), d, x)
+        means = _cluster_means(pts, centers, x)
         moved = 0.0
         new = []
         for i, c in enumerate(centers):
@@ -94,31 +128,39 @@ def kmeans(points: DataFrame, k: int, converge_dist: float, centers: list[list[f
     return centers, assign(points, centers, x)
 
 
+def _gradient_sums(w: np.ndarray):
+    """Each task's part of the gradient: two matrix products a batch."""
+    def run(batches):
+        total = np.zeros(len(w))
+        for b in batches:
+            m, which = rows_of(b.column(0), len(w))
+            y = b.column(1).take(pa.array(which)).to_numpy(zero_copy_only=False).astype(float)
+            with np.errstate(over="ignore"):  # a margin far below 0: exp is inf, its inverse 0
+                factor = (1.0 / (1.0 + np.exp(-y * (m @ w))) - 1.0) * y
+            total += np.where(np.isnan(y), 0.0, factor) @ m
+        yield _parts(total, 0)
+    return run
+
+
 def logistic_gradient(points: DataFrame, w: list[float], x: str = "x", y: str = "y") -> DataFrame:
-    """One row ``g0..g{d-1}``: sum over points of ``x * (1/(1+exp(-y w.x)) - 1) * y``."""
-    d = len(w)
-    f = (F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col(y) * dot(F.col(x), lit_vector(w)))) - F.lit(1.0)) * F.col(y)
-    staged = points.select(F.col(x), f.alias("_f"))
-    return staged.agg(*[F.sum(F.col(x)[i] * F.col("_f")).alias(f"g{i}") for i in range(d)])
+    """``pos, g``: the sum over points of ``x * (1/(1+exp(-y w.x)) - 1) * y``, one row a weight (none without
+    points).  Points without a label add nothing."""
+    parts = points.select(x, F.col(y).cast("double")).mapInArrow(_gradient_sums(np.array(w, float)), "grp int, pos int, v double")
+    return parts.groupBy("pos").agg(F.sum("v").alias("g"))
 
 
 def logistic_gd(points: DataFrame, d: int, iterations: int, w0: list[float] | None = None,
                 seed: int = 42, x: str = "x", y: str = "y") -> DataFrame:
     """Full-batch gradient descent, step 1, no intercept or penalty; labels -1/+1.
 
-    Returns the final weights as a frame ``pos, weight``.  The first
-    ``iterations - 1`` steps bring d numbers to the driver each; the last
-    step stays a lazy aggregate.
+    Returns the final weights as a frame ``pos, weight`` of d rows; each step brings d numbers to the driver.
     """
     w = list(w0) if w0 is not None else start_weights(d, seed)
-    if iterations <= 0:  # no step: the start weights themselves (d numbers)
-        return points.sparkSession.createDataFrame(list(enumerate(w)), "pos int, weight double")
-    pts = points.select(x, y).persist(StorageLevel.MEMORY_AND_DISK)
-    for _ in range(iterations - 1):
-        g = logistic_gradient(pts, w, x, y).first()
-        w = [w[i] - g[f"g{i}"] for i in range(d)]
-    pts.unpersist()
-    # The last step stays lazy and re-reads the points from their source.
-    g = logistic_gradient(points.select(x, y), w, x, y)
-    final = F.array(*[F.lit(w[i]) - F.col(f"g{i}") for i in range(d)])
-    return g.select(F.posexplode(final).alias("pos", "weight"))
+    if iterations > 1:
+        pts = _kept(points.select(x, y))
+    for step in range(iterations):
+        g = dict(map(tuple, logistic_gradient(pts if iterations > 1 else points, w, x, y).collect()))
+        w = [w[i] - g.get(i, 0.0) for i in range(d)]
+    if iterations > 1:
+        pts.unpersist()
+    return points.sparkSession.createDataFrame(list(enumerate(w)), "pos int, weight double")
