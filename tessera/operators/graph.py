@@ -1,12 +1,15 @@
 """Graph ranking over edge tables: PageRank and personalised PageRank.
 
-A graph is ``edges(src, dst)`` (directed, repeated edges kept) plus an
-optional ``vertices(id)`` frame for isolated vertices.  Every iteration is one
-distributed step: ranks join the edge table on ``src``, contributions are
-summed per ``dst`` (partial aggregation before the shuffle), and the new
-ranks are written as a table under the shared checkpoint folder, which cuts
-the lineage and survives executor loss.  The driver only sees one number per
-iteration (the largest rank change).
+A graph is ``edges(src, dst)`` (directed, repeated edges kept) plus an optional ``vertices(id)`` frame for
+isolated vertices.  Ranks are sums of *waves*: the first wave is the reset mass, and each step sends the last
+wave along the out-edges, ``x'(v) = (1 - reset) * sum(x(u) / outdeg(u))``.  Only vertices whose last wave
+exceeds the tolerance send (any positive wave in runs of a fixed length), so a converging run sends less and
+less, and a personalised run touches only what the source has reached so far; the others aren't in its state.
+
+A step is one join and one aggregate.  The state ``id, x, acc`` (last wave, sum of all) is joined with the
+persisted edge table; a row of each vertex to itself carries ``acc`` over.  Waves are summed per ``dst`` with partial aggregation before
+the shuffle.  Every few steps the state is written as a table under the shared checkpoint folder, which cuts
+the lineage and survives executor loss.  The driver sees one number a job (the largest wave).
 """
 
 from __future__ import annotations
@@ -17,11 +20,10 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tessera.operators.common import stats_join
 from tessera.session import materialize, scratch_path
 
 RESET = 0.15
-# Steps chained into one job between table writes (each step's change is still observed).
+# Steps chained into one job between table writes.
 STEPS_PER_JOB = 5
 # Out-edges of one vertex per salt (see _weighted_edges).
 EDGE_CHUNK = 1 << 20
@@ -44,132 +46,117 @@ def bipartite_edges(relation: DataFrame, a: str = "user", b: str = "item") -> Da
 
 
 def graph_vertices(edges: DataFrame, vertices: DataFrame | None = None) -> DataFrame:
-    """Distinct vertex ids: edge endpoints plus any given (isolated) vertices."""
-    v = edges.select(F.explode(F.array("src", "dst")).alias("id"))
+    """``id, degree``: edge endpoints plus any given (isolated) vertices, and their numbers of out-edges."""
+    v = edges.select(F.explode(F.array(F.struct(F.col("src").alias("id"), F.lit(1).alias("out")),
+                                       F.struct(F.col("dst").alias("id"), F.lit(0).alias("out")))).alias("_e")).select("_e.id", "_e.out")
     if vertices is not None:
-        v = v.unionByName(vertices.select(F.col("id").cast(edges.schema["src"].dataType)))
-    return v.distinct()
+        v = v.unionByName(vertices.select(F.col("id").cast(edges.schema["src"].dataType), F.lit(0).alias("out")))
+    return v.groupBy("id").agg(F.sum("out").alias("degree"))
 
 
-def _weighted_edges(edges: DataFrame, edge_chunk: int = EDGE_CHUNK) -> tuple[DataFrame, DataFrame]:
-    """``(edges, chunks)``: ``src, dst, w = 1/outdeg(src), _salt`` kept for the loop,
-    and ``id, _nc`` (number of salts) for vertices with out-edges.
+def _weighted_edges(edges: DataFrame, verts: DataFrame, largest: int, edge_chunk: int = EDGE_CHUNK) -> tuple[DataFrame, DataFrame | None]:
+    """``(edges, hot)``: ``src, dst, w, _salt`` kept for the loop, and ``src, _nc`` of the vertices with several
+    salts (None if there are none; ``largest`` is the largest degree).
 
-    A vertex with more than ``EDGE_CHUNK`` out-edges has them spread over
-    ``ceil(outdeg / EDGE_CHUNK)`` salts, and the edge table is partitioned on
-    (src, salt); each step replicates only such a vertex's rank row once per
-    salt.  So no task holds more than about ``EDGE_CHUNK`` edges of one
-    vertex, however skewed the degrees.  Below the bound every vertex has one
-    salt and the plan is the plain one.
+    ``w = 1/outdeg(src)``, and each vertex has a row to itself of weight 0 and salt -1.  The table is partitioned
+    and sorted on ``src``, as the waves are, so a step moves only them.  If a vertex has more than ``edge_chunk``
+    out-edges, those are spread over ``ceil(outdeg / edge_chunk)`` salts and the table is partitioned on (src, salt):
+    no task holds more than about ``edge_chunk`` edges of one vertex.
     """
-    deg = edges.groupBy("src").agg(F.count(F.lit(1)).alias("_deg"))
-    nc = F.ceil(F.col("_deg") / F.lit(edge_chunk)).cast("int")
-    # Any salt in [0, nc) is correct (every salt of a vertex gets its rank), so
+    n = max(1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    nc = F.ceil(F.col("degree") / F.lit(edge_chunk)).cast("int")
+    deg = verts.where("degree > 0").select(F.col("id").alias("src"), "degree")
+    # Any salt in [0, nc) is correct (every salt of a vertex gets its wave), so
     # a seeded random draw is fine even if a lost partition recomputes it.
-    we = (stats_join(edges, "src", deg, "out-degrees")
-          .select("src", "dst", (F.lit(1.0) / F.col("_deg")).alias("w"),
-                  F.floor(F.rand(17) * nc).cast("int").alias("_salt"))
-          .repartition("src", "_salt").persist(StorageLevel.MEMORY_AND_DISK))
-    return we, deg.select(F.col("src").alias("id"), nc.alias("_nc"))
-
-
-def _step(ranks: DataFrame, we: DataFrame, reset_term, reset: float) -> DataFrame:
-    """One power-iteration step; the previous ranks appear once in the plan.
-
-    Each vertex's rank row (replicated per salt) meets its out-edges; every
-    resulting row sends ``rank * w`` to the edge's ``dst`` and carries the
-    vertex's own old rank back to itself, so one partially aggregated
-    ``groupBy`` yields the new rank and the change for every vertex,
-    including vertices without edges.
-    """
-    salted = ranks.select(F.col("id").alias("src"), "rank", "_nc",
-                          F.explode(F.sequence(F.lit(0), F.col("_nc") - 1)).alias("_salt"))
-    j = salted.join(we, ["src", "_salt"], "left")
-    sent = F.explode(F.array(
-        F.struct(F.col("dst").alias("k"), (F.col("rank") * F.col("w")).alias("c"),
-                 F.lit(None).cast("double").alias("old"), F.lit(None).cast("int").alias("nc")),
-        F.struct(F.col("src").alias("k"), F.lit(0.0).alias("c"), F.col("rank").alias("old"),
-                 F.col("_nc").alias("nc")))).alias("_m")
-    agg = (j.select(sent).where(F.col("_m.k").isNotNull())
-           .groupBy(F.col("_m.k").alias("id"))
-           .agg(F.sum("_m.c").alias("_c"), F.max("_m.old").alias("_old"), F.max("_m.nc").alias("_nc")))
-    fresh = reset_term + F.lit(1.0 - reset) * F.col("_c")
-    # A rank above 1 is measured against itself: a hub's rank has no digits left for a small absolute change.
-    change = F.abs(fresh - F.col("_old")) / F.greatest(F.lit(1.0), fresh)
-    return agg.select("id", fresh.alias("rank"), "_nc", change.alias("_delta"))
-
-
-def _run(edges: DataFrame, vertices: DataFrame | None, source, tol: float | None,
-         iterations: int | None, reset: float, edge_chunk: int = EDGE_CHUNK) -> DataFrame:
+    weighted = edges.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("degree")).alias("w"), F.floor(F.rand(17) * nc).cast("int").alias("_salt"))
+    own = verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"), F.lit(-1).alias("_salt"))
+    keys = ["src", "_salt"] if largest > edge_chunk else ["src"]
+    we = weighted.unionByName(own).repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    return we, deg.select("src", nc.alias("_nc")).where("_nc > 1") if len(keys) > 1 else None
+
+
+def _step(state: DataFrame, we: DataFrame, hot: DataFrame | None, tol: float, reset: float, sent: Observation | None) -> DataFrame:
+    """The next wave and the new sums; the state appears once in the plan."""
+    s = state.withColumnRenamed("id", "src")
+    if hot is None:
+        moved = s.join(we, "src").where(f"_salt < 0 OR x > {tol!r}D")
+    else:  # hot: at most edges / edge_chunk rows
+        salts = f"explode(sequence(-1, IF(x > {tol!r}D, coalesce(_nc - 1, 0), -1))) AS _salt"
+        moved = s.join(hot, "src", "left").selectExpr("src", "x", "acc", salts).join(we, ["src", "_salt"])
+    if sent is not None:
+        moved = moved.observe(sent, F.expr("count_if(_salt >= 0) AS sent"))
+    waves = moved.groupBy("dst").agg(F.expr(f"{1.0 - reset!r}D * sum(x * w) AS x"), F.expr("max(IF(_salt < 0, acc, NULL)) AS old"))
+    return waves.selectExpr("dst AS id", "x", "coalesce(old, 0D) + x AS acc")
+
+
+def _run(edges: DataFrame, vertices: DataFrame | None, source, tol: float | None, iterations: int | None, reset: float,
+         edge_chunk: int = EDGE_CHUNK, trace: list | None = None) -> DataFrame:
     spark = edges.sparkSession
     # Degrees, weighted edges and the vertex set all read the edge list: write it once.
     edges = materialize(edges.select("src", "dst"), "edges")
-    we, chunks = _weighted_edges(edges, edge_chunk)
-    verts = (graph_vertices(edges, vertices).join(chunks, "id", "left")
-             .select("id", F.coalesce(F.col("_nc"), F.lit(1)).alias("_nc"))
-             .persist(StorageLevel.MEMORY_AND_DISK))
+    most = Observation(f"degree-{uuid.uuid4().hex[:8]}")
+    verts = materialize(graph_vertices(edges, vertices).observe(most, F.max("degree").alias("degree")), "vertices")
+    we, hot = _weighted_edges(edges, verts, most.get.get("degree") or 0, edge_chunk)
     if source is None:
-        ranks = verts.select("id", F.lit(1.0).alias("rank"), "_nc")
-        reset_term = F.lit(reset)
+        state = verts.select("id", F.lit(reset).alias("x"), F.lit(reset).alias("acc"))
     else:
-        is_src = F.col("id") == F.lit(source)
-        ranks = verts.select("id", F.when(is_src, F.lit(1.0)).otherwise(F.lit(0.0)).alias("rank"), "_nc")
-        reset_term = F.when(is_src, F.lit(reset)).otherwise(F.lit(0.0))
+        state = verts.where(F.col("id") == F.lit(source)).select("id", F.lit(1.0).alias("x"), F.lit(1.0).alias("acc"))
+    least = tol if tol is not None else 0.0
     base = scratch_path(spark, "ranks")
-    step, jobs = 0, 0
-    while True:
-        # Fixed runs chain STEPS_PER_JOB steps per job; converging runs start
-        # with 1 and double, so a graph that settles in a few steps wastes none.
-        todo = (min(STEPS_PER_JOB, 1 << jobs) if iterations is None
-                else min(STEPS_PER_JOB, iterations - step))
+    step = jobs = 0
+    while iterations is None or step < iterations:
+        # Fixed runs chain STEPS_PER_JOB steps a job; converging ones start with 1 and double, so a graph
+        # that settles in a few steps wastes none.
+        todo = min(STEPS_PER_JOB, 1 << jobs) if iterations is None else min(STEPS_PER_JOB, iterations - step)
         jobs += 1
-        cur, observed = ranks, []
-        for _ in range(todo):
-            cur = _step(cur, we, reset_term, reset)
-            obs = Observation(f"rank-delta-{uuid.uuid4().hex[:8]}")
-            cur = cur.observe(obs, F.max("_delta").alias("delta")).select("id", "rank", "_nc")
-            observed.append(obs)
-        # One job per batch of steps: the ranks are written as a table in the
-        # shared folder (cuts the lineage, survives executor loss); each step's
-        # largest change is observed during that same write.
+        used = [Observation(f"sent-{uuid.uuid4().hex[:8]}") if trace is not None else None for _ in range(todo)]
+        for sent in used:
+            state = _step(state, we, hot, least, reset, sent)
+        # One job per batch of steps; the last wave is observed during the write.
+        wave = Observation(f"wave-{uuid.uuid4().hex[:8]}")
+        state = state.observe(wave, F.expr("max(x) AS largest"))
         path = f"{base}/it={step + todo}"
-        cur.write.parquet(path)
-        ranks = spark.read.parquet(path)
+        state.write.parquet(path)
+        state = spark.read.schema(state.schema).parquet(path)
         step += todo
-        if iterations is not None and step >= iterations:
+        if trace is not None:
+            trace += [sent.get.get("sent") or 0 for sent in used]
+        if step != iterations and (wave.get.get("largest") or 0.0) <= least:
             break
-        if tol is not None:
-            deltas = [o.get.get("delta") for o in observed]
-            if any(d is None or d < tol for d in deltas):
-                break
     we.unpersist()
-    verts.unpersist()
+    if source is None:
+        ranks, scale = state.select("id", F.col("acc").alias("rank")), state.agg(F.count(F.lit(1))).scalar()
+    else:
+        # after a fixed number of steps the last wave still has its reset share, the ones before kept theirs
+        rank = F.col("acc") if tol is not None else F.lit(reset) * (F.col("acc") - F.col("x")) + F.col("x")
+        ranks = verts.join(state.select("id", rank.alias("rank")), "id", "left").select("id", F.coalesce("rank", F.lit(0.0)).alias("rank"))
+        scale = F.lit(1.0)
     total = ranks.agg(F.sum("rank")).scalar()
-    scale = F.lit(1.0) if source is not None else ranks.agg(F.count(F.lit(1))).scalar()
-    return ranks.select("id", (F.col("rank") * scale / total).alias("rank"))
+    return ranks.select("id", F.coalesce(F.try_divide(F.col("rank") * scale, total), F.lit(0.0)).alias("rank"))
 
 
 def pagerank(edges: DataFrame, tol: float = 1e-4, vertices: DataFrame | None = None,
-             reset: float = RESET, max_iterations: int | None = None, edge_chunk: int = EDGE_CHUNK) -> DataFrame:
+             reset: float = RESET, max_iterations: int | None = None, edge_chunk: int = EDGE_CHUNK, trace: list | None = None) -> DataFrame:
     """``id, rank``: rank = reset + (1 - reset) * sum(rank(src) / outdeg(src)), to tolerance.
 
-    Iterates until no rank moves by ``tol`` or more (ranks above 1: by that share of themselves), then scales the ranks to
-    sum to the vertex count (mass lost at sinks is restored proportionally).
+    A vertex passes on what its rank gained in a step only if that is more than ``tol``; when no vertex has
+    more, the ranks are scaled to sum to the vertex count (mass lost at sinks is restored proportionally).
+    ``trace`` takes the number of edges that each step sends on.
     """
-    return _run(edges, vertices, None, tol, max_iterations, reset, edge_chunk)
+    return _run(edges, vertices, None, tol, max_iterations, reset, edge_chunk, trace)
 
 
 def personalized_pagerank(edges: DataFrame, source, iterations: int | None = 20, tol: float | None = None,
                           vertices: DataFrame | None = None, reset: float = RESET,
-                          edge_chunk: int = EDGE_CHUNK) -> DataFrame:
+                          edge_chunk: int = EDGE_CHUNK, trace: list | None = None) -> DataFrame:
     """``id, rank`` personalised to ``source``: reset mass returns to the source only.
 
-    Starts at 1 on the source and 0 elsewhere; runs ``iterations`` steps, or
-    until no rank moves by ``tol`` when ``tol`` is given; ranks sum to 1.
+    Starts at 1 on the source and 0 elsewhere; runs ``iterations`` steps, or until no vertex gains more than
+    ``tol`` when ``tol`` is given.  Ranks sum to 1 (all 0 if the source is no vertex).
     """
     if tol is not None:
         iterations = None
-    return _run(edges, vertices, source, tol, iterations, reset, edge_chunk)
+    return _run(edges, vertices, source, tol, iterations, reset, edge_chunk, trace)
 
 
 def split_ranks(ranks: DataFrame, is_item) -> tuple[DataFrame, DataFrame]:

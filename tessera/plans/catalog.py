@@ -332,6 +332,8 @@ def q_matrix_mae(spark, sf):
 
 
 CONVERGED_TOL = 1e-10
+#: The usual tolerance: gains up to it aren't passed on.
+USUAL_TOL = 1e-4
 PPR_ITERATIONS = 20
 
 
@@ -404,6 +406,36 @@ def q_ppr_converged(spark, sf):
     return _ranks_out(G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), tol=CONVERGED_TOL))
 
 
+@query
+def q_pagerank_tolerance(spark, sf):
+    return _ranks_out(G.pagerank(B.next_item_edges(spark, sf), tol=USUAL_TOL))
+
+
+@query
+def q_ppr_tolerance(spark, sf):
+    return _ranks_out(G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), tol=USUAL_TOL))
+
+
+@query
+def q_ppr_split(spark, sf):
+    """Items and users apart, each with the place that ``split_ranks`` gives it."""
+    ranks = G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), PPR_ITERATIONS)
+    ranks = materialize(ranks.select("id", F.round("rank", 9).alias("rank")), "ppr")
+    sides = [C.dense_number(side.withColumn("_neg", -F.col("rank")), ["_neg", "id"], (), "pos").withColumn("side", F.lit(name))
+             for side, name in zip(G.split_ranks(ranks, F.col("id") >= 0), ("item", "user"))]
+    return sides[0].unionByName(sides[1]).select("side", "id", (F.col("pos") + 1).cast("bigint").alias("pos"), r6("rank").alias("rank"))
+
+
+@query
+def q_pagerank_ascending(spark, sf):
+    """The lowest-ranked customers first, with their names."""
+    c = B.table(spark, sf, "customer")
+    users = G.parse_users(c.select(F.concat_ws(",", F.col("c_custkey").cast("string"), "c_name").alias("value")))[0]
+    ranks = G.pagerank(B.order_edges(spark, sf), tol=USUAL_TOL).withColumn("rank", F.round("rank", 9))
+    placed = C.dense_number(users.join(ranks, "id"), ["rank", "id"], (), "pos")
+    return placed.select("handle", r6("rank").alias("rank"), (F.col("pos") + 1).cast("bigint").alias("pos"))
+
+
 @query
 def q_ppr_items(spark, sf):
     ranks = G.personalized_pagerank(_bip_edges(spark, sf), _ppr_source(spark, sf), PPR_ITERATIONS)

@@ -364,6 +364,32 @@ oracle("ppr_items", unrolled_ranks(BIP_EDGES, 20, PPR_SOURCE) +
        "(ORDER BY round(rank, 9) DESC, id) AS BIGINT) AS pos FROM ranks WHERE id >= 0")
 
 
+def unrolled_waves(edges_cte: str, steps: int, tol: float, source: str | None) -> str:
+    """``WITH ...`` ending in ``ranks(id, rank)``: gains of more than ``tol`` are passed on, ``steps`` times
+    (steps after the last gain change nothing)."""
+    start = "0.15::DOUBLE" if source is None else f"CASE WHEN id = {source} THEN 1.0::DOUBLE ELSE 0.0 END"
+    parts = [edges_cte.strip().rstrip(","),
+             "g_deg AS (SELECT src, count(*) AS d FROM g_edges GROUP BY src)",
+             "g_w AS MATERIALIZED (SELECT e.src, e.dst, 1.0::DOUBLE / g.d AS w FROM g_edges e JOIN g_deg g USING (src))",
+             f"x0 AS MATERIALIZED (SELECT id, {start} AS x FROM (SELECT src AS id FROM g_edges UNION SELECT dst FROM g_edges))"]
+    for t in range(steps):
+        parts.append(f"x{t + 1} AS MATERIALIZED (SELECT w.dst AS id, 0.85 * sum(x.x * w.w) AS x FROM g_w w JOIN x{t} x ON w.src = x.id WHERE x.x > {tol} GROUP BY w.dst)")
+    waves = " UNION ALL ".join(f"SELECT id, x FROM x{t}" for t in range(steps + 1))
+    scale = "1.0" if source is not None else "count(*) OVER ()"
+    parts.append(f"ranks AS (SELECT id, sum(x) * {scale} / sum(sum(x)) OVER () AS rank FROM ({waves}) GROUP BY id)")
+    return "WITH " + ",\n".join(parts)
+
+
+oracle("pagerank_tolerance", unrolled_waves(NEXT_ITEM_EDGES, 70, 1e-4, None) + " " + _RANK_OUT)
+oracle("ppr_tolerance", unrolled_waves(BIP_EDGES, 70, 1e-4, PPR_SOURCE) + " " + _RANK_OUT)
+oracle("ppr_split", unrolled_ranks(BIP_EDGES, 20, PPR_SOURCE) +
+       f" SELECT CASE WHEN id >= 0 THEN 'item' ELSE 'user' END AS side, CAST(id AS BIGINT) AS id, CAST(row_number() OVER "
+       f"(PARTITION BY id >= 0 ORDER BY round(rank, 9) DESC, id) AS BIGINT) AS pos, {r6('round(rank, 9)')} AS rank FROM ranks")
+oracle("pagerank_ascending", unrolled_waves(ORDER_EDGES, 4, 1e-4, None) +
+       f" SELECT c.c_name AS handle, {r6('round(r.rank, 9)')} AS rank, CAST(row_number() OVER (ORDER BY round(r.rank, 9), r.id) AS BIGINT) AS pos "
+       "FROM ranks r JOIN customer c ON r.id = c.c_custkey")
+
+
 # --- iterative fitting ------------------------------------------------------
 
 def _java_start_weights(d: int, seed: int = 42) -> list[float]:

@@ -80,9 +80,9 @@ def materialize(df, name: str):
     Used where one intermediate feeds several branches of a plan (Spark
     recomputes a shared subtree per branch otherwise) and to cut lineage:
     the table lives in shared storage, so a lost executor does not force a
-    recompute from the sources.  Eager: runs one job.
+    recompute from the sources.  Eager: runs one job (the schema is known, so reading back runs none).
     """
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -71,6 +71,83 @@ def test_personalised_converged_with_isolated_vertex(spark):
     assert got == pytest.approx(solved(pairs + [(i, u) for u, i in pairs], source=1, vertices=[24]), abs=1e-6)
 
 
+def waves(links, first, tol, steps=400):
+    """Plain delta propagation: ``(sums of waves, edges used by each step)``."""
+    out = {}
+    for s, d in links:
+        out.setdefault(s, []).append(d)
+    x, total, used = dict(first), dict(first), []
+    while any(v > tol for v in x.values()) and len(used) < steps:
+        after, n = {}, 0
+        for v, mass in x.items():
+            if mass > tol:
+                for d in out.get(v, ()):
+                    after[d] = after.get(d, 0.0) + 0.85 * mass / len(out[v])
+                    n += 1
+        used.append(n)
+        x = after
+        for v, mass in x.items():
+            total[v] = total.get(v, 0.0) + mass
+    return total, used
+
+
+def test_only_vertices_that_gained_send(spark):
+    rng = np.random.default_rng(4)
+    links = [(int(s), int(d)) for s, d in zip(rng.integers(0, 300, 900), (300 * rng.random(900) ** 3).astype(int))]
+    ids = {v for e in links for v in e}
+    e = spark.createDataFrame(links, "src long, dst long")
+    total, used = waves(links, {v: 0.15 for v in ids}, 1e-3)
+    trace = []
+    got = _ranks(G.pagerank(e, tol=1e-3, trace=trace))
+    scale = len(ids) / sum(total.values())
+    assert got == pytest.approx({v: total[v] * scale for v in ids}, abs=1e-9)
+    assert trace[:len(used)] == used and not any(trace[len(used):])
+    assert all(b <= a for a, b in zip(used[2:], used[3:])) and used[-1] < used[0] / 20  # fewer and fewer edges are used
+
+
+def test_personalised_frontier_grows_from_the_source(spark):
+    links = [(i, i + 1) for i in range(1, 60)] + [(1, 3), (100, 101), (101, 100)]
+    e = spark.createDataFrame(links, "src long, dst long")
+    trace = []
+    got = _ranks(G.personalized_pagerank(e, 1, iterations=6, trace=trace))
+    assert trace == [2, 2, 2, 2, 2, 2] and got[100] == got[101] == got[30] == 0  # two walkers, not 62 edges
+    x = {1: 1.0}
+    for _ in range(6):
+        nxt = {1: 0.15}
+        for s, d in links:
+            nxt[d] = nxt.get(d, 0) + 0.85 * x.get(s, 0) / sum(a == s for a, _ in links)
+        x = nxt
+    assert {v: r for v, r in got.items() if r} == pytest.approx({v: r / sum(x.values()) for v, r in x.items() if r}, abs=1e-12)
+    total, used = waves(links, {1: 1.0}, 1e-2)
+    trace = []
+    got = _ranks(G.personalized_pagerank(e, 1, tol=1e-2, trace=trace, edge_chunk=1))  # vertex 1 has two salts
+    assert {v: r for v, r in got.items() if r} == pytest.approx({v: r / sum(total.values()) for v, r in total.items()}, abs=1e-12)
+    assert trace[:len(used)] == used
+    assert set(_ranks(G.personalized_pagerank(e, 999)).values()) == {0.0}
+
+
+def test_step_moves_only_waves(spark):
+    """The persisted edges are neither shuffled nor sorted again."""
+    e = spark.createDataFrame(LINKS, "src long, dst long")
+    verts = G.graph_vertices(e)
+    we, hot = G._weighted_edges(e, verts, 2)
+    assert hot is None
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        state = verts.selectExpr("id", "0.15D AS x", "0.15D AS acc")
+        for _ in range(2):
+            state = G._step(state, we, None, 0.0, 0.15, None)
+        state.write.format("noop").mode("overwrite").save()
+        plan = state._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        we.unpersist()
+    final = plan.split("Initial Plan")[0].split("InMemoryRelation")[0]
+    lines = [ln.strip(" :+-*()0123456789") for ln in plan.splitlines()]
+    at = [i for i, ln in enumerate(lines) if "InMemoryTableScan" in ln or "TableCacheQueryStage" in ln]
+    assert at and not any("Exchange" in lines[i - 1] or lines[i - 1].startswith("Sort") for i in at), final
+
+
 def test_edges_and_users_parsing(spark):
     from frames import lines
 
