@@ -18,6 +18,7 @@ from tessera.operators import evaluate as EV
 from tessera.operators import fit as FT
 from tessera.operators import graph as G
 from tessera.operators import logs as L
+from tessera.operators import pruned as PN
 from tessera.operators import ratings as RT
 from tessera.operators import recommend as RC
 from tessera.operators import similarity as S
@@ -267,6 +268,14 @@ def q_top_neighbours(spark, sf):
                      r6("weight").alias("weight"), F.col("rank").cast("bigint").alias("rank"))
 
 
+@query
+def q_top_neighbours_pruned(spark, sf):
+    """The lists of ``top_neighbours`` by the search that skips pairs."""
+    nb = PN.top_neighbours_pruned(_train(spark, sf), NUM_NEIGHBOURS)
+    return nb.select(F.col("item").cast("bigint").alias("item"), F.col("neighbour").cast("bigint").alias("neighbour"),
+                     r6("weight").alias("weight"), F.col("rank").cast("bigint").alias("rank"))
+
+
 @query
 def q_rec_candidates(spark, sf):
     c = RC.candidates(_nb(spark, sf), _train(spark, sf))

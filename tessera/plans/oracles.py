@@ -265,6 +265,7 @@ oracle("item_stats", f"WITH {RATINGS} SELECT item, {r6('ss')} AS ss, CAST(cnt AS
 oracle("item_pairs", f"WITH {RATINGS} SELECT i, j, {r6('dot')} AS dot, CAST(co AS BIGINT) AS co FROM pairs")
 oracle("top_neighbours", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS BIGINT) AS item, "
        f"CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight, CAST(rank AS BIGINT) AS rank FROM nb")
+oracle("top_neighbours_pruned", ORACLES["top_neighbours"])
 oracle("rec_candidates", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(user_id AS BIGINT) AS user_id, "
        f"CAST(item AS BIGINT) AS item, CAST(neighbour AS BIGINT) AS neighbour, {r6('weight')} AS weight FROM cands")
 oracle("candidates_unseen", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(user_id AS BIGINT) AS user_id, "
