@@ -30,6 +30,7 @@ from tessera.sinks import upsert as U
 from tessera.sources import tables as B
 from tessera.sources.text import parse_edges
 from tessera.streaming import batches as SB
+from tessera.streaming import manifest_sink as MS
 from tessera.streaming import sources as SS
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -627,6 +628,35 @@ def q_ledger_start_offsets(spark, sf):
     return SS.start_offsets_frame(ledger)
 
 
+def _log_segments(spark, sf):
+    """The events as segments of one log, each a file with a run of event ids (its offsets), as many as Spark
+    writes tasks; a stream takes some of them a batch, in order."""
+    path = scratch_path(spark, "segments")
+    n = max(BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    lines = B.log_lines_space(spark, sf).select(F.lit(B.KAFKA_TOPIC).alias("topic"), F.lit(0).alias("partition"), F.col("event_id").alias("offset"),
+                                                F.lit(None).cast("string").alias("key"), "value")
+    lines.repartitionByRange(n, "offset").write.parquet(path)
+    files = SS.stamp_files(spark, path)
+    return spark.readStream.schema(SS.RECORD_SCHEMA).option("maxFilesPerTrigger", max(1, files // BATCHES)).parquet(path)
+
+
+def _exactly_once(spark, sf):
+    table = MS.errors_table(spark, scratch_path(spark, "minute-errors"))
+    MS.run_errors(_log_segments(spark, sf), table, scratch_path(spark, "segments-ckpt"), {"availableNow": True}, strict=False).awaitTermination()
+    return table
+
+
+@query
+def q_exactly_once_errors(spark, sf):
+    return _exactly_once(spark, sf).read().select(_fmt_time(F.col("log_time")).alias("log_time"), "log_count")
+
+
+@query
+def q_exactly_once_resume(spark, sf):
+    """Where a new stream over the same log would start."""
+    return SS.start_offsets_frame(MS.position_frame(_exactly_once(spark, sf)))
+
+
 # --- recommender run and ALS ------------------------------------------------
 
 

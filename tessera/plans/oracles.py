@@ -487,6 +487,9 @@ oracle("ledger_start_offsets", f"WITH {RECORDS}, led AS (SELECT topic, partition
        "string_agg('\"' || CAST(partition AS VARCHAR) || '\":' || CAST(o AS VARCHAR), ',' ORDER BY partition) "
        "|| '}}' AS offsets_json FROM led GROUP BY topic")
 
+oracle("exactly_once_errors", ORACLES["errors_per_minute"])
+oracle("exactly_once_resume", "SELECT 'events' AS topic, '{\"events\":{\"0\":' || CAST(max(event_id) + 1 AS VARCHAR) || '}}' AS offsets_json FROM events HAVING count(*) > 0")
+
 oracle("recommender_run", f"WITH {RATINGS}, {NEIGHBOURS}, {EVAL}, cnt AS (SELECT item, count(*) AS n FROM train GROUP BY 1) "
        f"SELECT tp, tp_fn, tp_fp, {r6('precision')} AS precision, {r6('recall')} AS recall, "
        f"{r6('CASE WHEN precision + recall = 0 THEN ' + chr(39) + 'NaN' + chr(39) + '::DOUBLE ELSE 2.0 * precision * recall / (precision + recall) END')} AS f1, "
