@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.common import minmax, score_order, top_k
+from tessera.operators.inner_product import top_inner
 
 
 def candidates(nb: DataFrame, train: DataFrame, user: str = "user_id", item: str = "item",
@@ -72,29 +73,55 @@ def fit_als(train: DataFrame, user: str = "user_id", item: str = "item", rating:
     return als.fit(train)
 
 
+def als_residuals(model, train: DataFrame, user: str = "user_id", item: str = "item", rating: str = "rating",
+                  reg: float = 0.01, alpha: float = 1.0) -> DataFrame:
+    """``user, residual``: how far each user's factors are from solving their normal equations, relative to the
+    right-hand side.
+
+    With item factors y, weights ``c = 1 + alpha |r|`` and preferences ``p = [r > 0]``, a user's x solves
+    ``(Y'Y + sum (c - 1) y y' + reg n I) x = sum c p y`` over the user's items, n of them with ``r > 0``.  The last
+    half-step of the fit makes the user factors, so they must solve it to the precision of their floats.
+    ``Y'Y`` is rank x rank numbers at the driver; the sums are one aggregate by user.
+    """
+    rank = model.rank
+    items = model.itemFactors.select(F.col("id").alias("_item"), F.col("features").cast("array<double>").alias("_y"))
+    users = model.userFactors.select(F.col("id").alias("_user"), F.col("features").cast("array<double>").alias("_x"))
+    y, x = ([F.col(f"_{v}")[i] for i in range(rank)] for v in "yx")
+    gram = items.agg(*(F.sum(y[i] * y[j]).alias(f"g{i}_{j}") for i in range(rank) for j in range(rank))).first()
+    rows = train.join(items, F.col(item) == F.col("_item")).join(users, F.col(user) == F.col("_user"))
+    r = F.col(rating).cast("double")
+    seen = sum((y[i] * x[i] for i in range(rank)), F.lit(0.0))
+    positive = F.when(r > 0, 1.0).otherwise(0.0)
+    staged = rows.select(user, "_x", "_y", positive.alias("_p"), (F.abs(r) * alpha).alias("_c"), seen.alias("_s"))
+    left = F.col("_c") * F.col("_s")
+    right = (1.0 + F.col("_c")) * F.col("_p")
+    sums = staged.groupBy(user).agg(F.first("_x").alias("_x"), F.sum("_p").alias("_n"), *(F.sum(left * y[i]).alias(f"_l{i}") for i in range(rank)),
+                                    *(F.sum(right * y[i]).alias(f"_r{i}") for i in range(rank)))
+    gap = [sum((F.lit(gram[f"g{i}_{j}"] or 0.0) * x[j] for j in range(rank)), F.lit(0.0)) + F.col(f"_l{i}") + reg * F.col("_n") * x[i] - F.col(f"_r{i}") for i in range(rank)]
+    size = F.sqrt(sum((F.col(f"_r{i}") * F.col(f"_r{i}") for i in range(rank)), F.lit(0.0)))
+    return sums.select(user, (F.sqrt(sum((g * g for g in gap), F.lit(0.0))) / F.greatest(size, F.lit(1e-12))).alias("residual"))
+
+
 def recommend_als(train: DataFrame, n: int = 30, direction: str = "user-product", user: str = "user_id",
                   item: str = "item", rating: str = "rating", model=None, seed: int = 42
                   ) -> tuple[DataFrame, DataFrame]:
-    """ALS recommendations.
+    """ALS recommendations, found by ``inner_product.top_inner`` over the factors.
 
     ``user-product``: the top ``n`` items per user, owned items not removed.
     ``product-user``: the top ``10 n`` users of each item, flipped, then the
     top ``n`` per user; users in no item's list get nothing.
     """
+    if direction not in ("user-product", "product-user"):
+        raise ValueError(f"unknown recommend method: {direction}")
     model = model or fit_als(train, user, item, rating, seed=seed)
+    users = model.userFactors.select("id", F.col("features").alias("vec"))
+    items = model.itemFactors.select("id", F.col("features").alias("vec"))
     if direction == "user-product":
-        r = model.recommendForAllUsers(n).select(user, F.posexplode("recommendations").alias("_p", "_r"))
-        recs = r.select(user, (F.col("_p") + 1).alias("rank"), F.col(f"_r.{item}").alias("item"),
-                        F.col("_r.rating").cast("double").alias("score"))
-        users = train.select(user).distinct()
-        return users, recs
-    if direction == "product-user":
-        r = model.recommendForAllItems(10 * n).select(item, F.explode("recommendations").alias("_r"))
-        flipped = r.select(F.col(f"_r.{user}").alias(user), F.col(item).alias("item"),
-                           F.col("_r.rating").cast("double").alias("score"))
-        top = top_k(flipped, user, score_order("score", "item"), n)
-        return top.select(user).distinct(), top.select(user, "rank", "item", "score")
-    raise ValueError(f"unknown recommend method: {direction}")
+        recs = top_inner(users, items, n).select(F.col("id").alias(user), "rank", F.col("item"), "score")
+        return train.select(user).distinct(), recs
+    listed = top_inner(items, users, 10 * n).select(F.col("item").alias(user), F.col("id").alias("item"), "score")
+    top = top_k(listed, user, score_order("score", "item"), n)
+    return top.select(user).distinct(), top.select(user, "rank", "item", "score")
 
 
 def recommend(method: str, nb: DataFrame | None, train: DataFrame, n: int = 30, **kw):

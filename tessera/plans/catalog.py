@@ -667,30 +667,47 @@ def q_recommender_run(spark, sf):
     return _metric_cols(m)
 
 
-@query
-def q_rec_als_user(spark, sf):
-    """Each user's list: its length, first and last rank, and how many items were trained on."""
+#: Largest relative residual of a user's normal equations (the factors are 32-bit floats).
+ALS_RESIDUAL = 1e-4
+
+
+def _als_lists(spark, sf, direction):
+    """A row for every trained user: what the served list holds, and whether the user's factors solve their equations."""
     train = _train(spark, sf)
-    _, recs = RC.recommend_als(train, NUM_RECS, "user-product")
+    model = RC.fit_als(train)
+    _, recs = RC.recommend_als(train, NUM_RECS, direction, model=model)
     known = train.select("item").distinct().withColumn("known", F.lit(1))
-    return recs.join(known, "item", "left").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n_recs"), F.min("rank").cast("bigint").alias("first_rank"),
-        F.max("rank").cast("bigint").alias("last_rank"), F.count("known").alias("n_known")) \
-        .withColumn("user_id", F.col("user_id").cast("bigint"))
+    per = recs.join(known, "item", "left").groupBy("user_id").agg(
+        F.count(F.lit(1)).alias("n_recs"), F.count_distinct("item").alias("n_items"), F.max("rank").cast("bigint").alias("last_rank"),
+        F.count("known").alias("n_known"))
+    solved = RC.als_residuals(model, train).select("user_id", (F.col("residual") < ALS_RESIDUAL).alias("solved"))
+    counts = [F.coalesce(c, F.lit(0)).cast("bigint").alias(c) for c in ("n_recs", "n_items", "last_rank", "n_known")]
+    return (train.select("user_id").distinct().join(per, "user_id", "left").join(solved, "user_id", "left")
+            .select(F.col("user_id").cast("bigint").alias("user_id"), *counts, F.coalesce("solved", F.lit(False)).alias("solved")))
+
+
+@query
+def q_rec_als_user(spark, sf):
+    return _als_lists(spark, sf, "user-product")
 
 
 @query
 def q_rec_als_item(spark, sf):
-    """What must hold of the lists whatever the factors are: for every trained user, whether a served list
-    breaks off, is too long or names unknown items (a user in no item's list is served none)."""
-    train = _train(spark, sf)
-    _, recs = RC.recommend_als(train, NUM_RECS, "product-user")
-    known = train.select("item").distinct().withColumn("known", F.lit(1))
-    per = recs.join(known, "item", "left").groupBy("user_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("rank").alias("last"), F.count_distinct("item").alias("items"), F.count("known").alias("known"))
-    sound = (F.col("n") == F.col("last")) & (F.col("n") == F.col("items")) & (F.col("n") == F.col("known")) & (F.col("n") <= NUM_RECS)
-    return train.select("user_id").distinct().join(per, "user_id", "left").select(
-        F.col("user_id").cast("bigint").alias("user_id"), F.coalesce(sound, F.lit(True)).alias("sound"))
+    return _als_lists(spark, sf, "product-user")
+
+
+@query
+def q_recommender_run_als(spark, sf):
+    """The whole run over ALS factors: what is counted, not scored, as factors differ in their last digits."""
+    m = run_recommender(B.rating_lines(spark, sf), "als", None, "user-product", NUM_RECS, output_path=scratch_path(spark, "recommender-out"))
+    return m.select(F.col("tp_fn").cast("bigint").alias("tp_fn"), F.col("tp_fp").cast("bigint").alias("tp_fp"),
+                    ((F.col("precision") >= 0) & (F.col("precision") <= 1) & (F.col("recall") <= 1)).alias("in_range"))
+
+
+@query
+def q_recommender_run_score(spark, sf):
+    return _metric_cols(run_recommender(B.rating_lines(spark, sf), "sim", "cosine", "score", NUM_RECS,
+                                        output_path=scratch_path(spark, "recommender-out")))
 
 
 @query
