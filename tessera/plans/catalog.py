@@ -26,8 +26,10 @@ from tessera.operators import text as T
 from tessera.plans.recommender import run_recommender
 from tessera.session import materialize, scratch_path
 from tessera.sinks import files as FS
+from tessera.sinks import merge_table as MT
 from tessera.sinks import upsert as U
 from tessera.sources import tables as B
+from tessera.sources import views as VW
 from tessera.sources.text import parse_edges
 from tessera.streaming import batches as SB
 from tessera.streaming import manifest_sink as MS
@@ -542,6 +544,40 @@ def q_upsert_table(spark, sf):
     return _sup_out(U.upsert(_supplier_rows(spark, sf), _supplier_updates(spark, sf), ["s_suppkey"]))
 
 
+@query
+def q_merge_table(spark, sf):
+    """The updates of ``upsert_table`` merged into the suppliers as a stored table."""
+    target = _supplier_rows(spark, sf)
+    table = MT.MergeTable(spark, scratch_path(spark, "supplier-table"), target.schema, ["s_suppkey"])
+    table.merge(target)
+    table.merge(_supplier_updates(spark, sf))
+    return _sup_out(table.read())
+
+
+@query
+def q_sql_count_avg(spark, sf):
+    """Count and average in SQL over a stored table's view; the balance is a decimal."""
+    VW.register_table(spark, "supplier_view", f"{sf}/supplier.parquet")
+    out = spark.sql(f"SELECT count(*) AS n, avg(CAST(s_acctbal AS DECIMAL(12, 2))) AS mean FROM supplier_view WHERE s_nationkey = {Q1_NATION}")
+    return out.select("n", r6("mean").alias("mean"), F.typeof("mean").alias("kind"))
+
+
+@query
+def q_sql_view_groups(spark, sf):
+    """Grouped SQL over two stored tables' views."""
+    for name in ("orders", "customer"):
+        VW.register_table(spark, f"{name}_view", f"{sf}/{name}.parquet")
+    return spark.sql("SELECT c_mktsegment, count(*) AS n, round(avg(CAST(o_totalprice AS DECIMAL(15, 2))), 2) AS mean "
+                     "FROM orders_view JOIN customer_view ON o_custkey = c_custkey GROUP BY c_mktsegment").select("c_mktsegment", "n", r6("mean").alias("mean"))
+
+
+@query
+def q_sql_frame_view(spark, sf):
+    """A DataFrame (the parsed ratings) as a view."""
+    VW.register_frame(RT.parse_ratings(B.rating_lines(spark, sf)), "ratings_view")
+    return spark.sql("SELECT CAST(item AS BIGINT) AS item, count(*) AS n, round(avg(clicks), 6) AS mean FROM ratings_view GROUP BY item")
+
+
 def _hourly(spark, sf, kind):
     ev = B.table(spark, sf, "events")
     return (ev.where(kind)

@@ -454,6 +454,12 @@ _UPD = ("SELECT c_custkey AS s_suppkey, c_name AS s_name, c_nationkey AS s_natio
 _UPSERTED = (f"SELECT {_SUP} FROM supplier WHERE s_suppkey NOT IN (SELECT c_custkey FROM customer) "
              f"UNION ALL {_UPD}")
 oracle("upsert_table", _UPSERTED)
+oracle("merge_table", _UPSERTED)
+oracle("sql_count_avg", "SELECT CAST(count(*) AS BIGINT) AS n, round(CAST(sum(CAST(s_acctbal AS DECIMAL(12, 2))) AS DOUBLE) / count(*), 6) AS mean, "
+       "'decimal(16,6)' AS kind FROM supplier WHERE s_nationkey = 7")
+oracle("sql_view_groups", "SELECT c_mktsegment, CAST(count(*) AS BIGINT) AS n, round(CAST(sum(CAST(o_totalprice AS DECIMAL(15, 2))) AS DOUBLE) / count(*), 2) AS mean "
+       "FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_mktsegment")
+oracle("sql_frame_view", f"WITH {RATINGS} SELECT CAST(item AS BIGINT) AS item, CAST(count(*) AS BIGINT) AS n, round(avg(rating), 6) AS mean FROM ratings GROUP BY item")
 oracle("upsert_add", "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS log_time, "
        "CAST(count(*) AS BIGINT) AS log_count FROM events GROUP BY 1")
 oracle("write_tsv_roundtrip", f"WITH {RATINGS}, {NEIGHBOURS} SELECT CAST(item AS BIGINT) AS item, "

@@ -9,7 +9,7 @@ The highest version is the table's state.  A batch is written to a data folder o
 makes it count is the creation of the next manifest, which names that folder beside the earlier ones and moves the
 positions.  The file is written under another name and renamed; a rename never replaces (on HDFS in one step), so of
 two writers that have read the same version one fails, reads the new state and plans its batch anew: compare and
-set.  A crash before the rename leaves a folder that nothing names; a crash after it a batch that the positions
+set (``sinks.manifest``).  A crash before the rename leaves a folder that nothing names; a crash after it a batch that the positions
 show as done, so a replay, also one with a new checkpoint, changes nothing.
 
 Positions are offsets by (topic, partition); a batch's ranges follow ``plan_positions``.  Results are sums by key: a
@@ -19,7 +19,6 @@ manifest of that many names and a number a partition; the data stay with the exe
 
 from __future__ import annotations
 
-import json
 import uuid
 from collections.abc import Callable
 
@@ -27,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators.logs import errors_per_minute, parse_log_lines
+from tessera.sinks.manifest import Manifests
 from tessera.streaming.batches import offset_ranges
 
 #: Data folders that a manifest names before they are merged.
@@ -58,57 +58,15 @@ class ManifestTable:
 
     def __init__(self, spark: SparkSession, path: str, keys: list[str], measures: list[str]):
         self.spark, self.path, self.keys, self.measures = spark, path, keys, measures
-        self._jvm = spark.sparkContext._jvm
-        self._folder = self._hadoop(f"{path}/manifests")
-        self._fs = self._folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        self._fs.mkdirs(self._folder)
-
-    def _hadoop(self, path: str):
-        return self._jvm.org.apache.hadoop.fs.Path(path)
-
-    def version(self) -> int:
-        """The newest manifest's number; 0 before the first."""
-        names = [s.getPath().getName() for s in self._fs.listStatus(self._folder)]
-        return max((int(n.removesuffix(".json")) for n in names if n.endswith(".json") and not n.startswith(".")), default=0)
+        self.versions = Manifests(spark, path)
 
     def state(self, version: int | None = None) -> dict:
         """``{"data": [folders], "positions": [[topic, partition, offset]]}`` of a version (default: the newest)."""
-        version = self.version() if version is None else version
-        if not version:
-            return {"data": [], "positions": []}
-        stream = self._fs.open(self._hadoop(f"{self.path}/manifests/{version:012d}.json"))
-        try:
-            return json.loads(self._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
-        finally:
-            stream.close()
+        return {"data": [], "positions": []} | self.versions.read(self.versions.newest() if version is None else version)
 
     def positions(self) -> Positions:
         return {(t, int(p)): int(o) for t, p, o in self.state()["positions"]}
 
-    def _create(self, version: int, state: dict) -> bool:
-        """Make ``version`` the newest; False if it exists."""
-        target = self._hadoop(f"{self.path}/manifests/{version:012d}.json")
-        written = self._hadoop(f"{self.path}/manifests/.{uuid.uuid4().hex}")
-        out = self._fs.create(written, False)
-        out.write(bytearray(json.dumps(state).encode()))
-        out.close()
-        if self._fs.exists(target) or not self._rename(written, target):
-            self._fs.delete(written, False)
-            return False
-        return True
-
-    def _rename(self, source, target) -> bool:
-        """A rename that fails if ``target`` exists."""
-        jvm, gateway = self._jvm, self.spark.sparkContext._gateway
-        none = gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
-        try:
-            jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._fs.getUri(), self.spark.sparkContext._jsc.hadoopConfiguration()).rename(source, target, none)
-            return True
-        except Exception as e:
-            if "FileAlreadyExistsException" in str(e):
-                return False
-            raise
-
     def _write(self, df: DataFrame) -> str:
         folder = f"data/{uuid.uuid4().hex}"
         df.select(*self.keys, *self.measures).write.parquet(f"{self.path}/{folder}")
@@ -128,7 +86,7 @@ class ManifestTable:
         """
         folder = None
         while True:
-            version = self.version()
+            version = self.versions.newest()
             state = self.state(version)
             after = plan_positions(ranges, {(t, int(p)): int(o) for t, p, o in state["positions"]}, strict)
             if after is None:
@@ -137,7 +95,7 @@ class ManifestTable:
             data = [*state["data"], folder]
             if len(data) > MERGE_AT:
                 data = [self._write(self._added(data))]
-            if self._create(version + 1, {"data": data, "positions": [[t, p, o] for (t, p), o in sorted(after.items())]}):
+            if self.versions.create(version + 1, {"data": data, "positions": [[t, p, o] for (t, p), o in sorted(after.items())]}):
                 return True
 
 

@@ -39,7 +39,7 @@ def test_positions():
 def test_batches_and_replays(spark, table):
     first = records(spark, 0, 0, [error(1), error(1), "junk", error(2)])
     assert M.commit_errors(table, first) and counts(table) == {1: 2, 2: 1}
-    assert not M.commit_errors(table, first) and table.version() == 1  # a replay changes nothing
+    assert not M.commit_errors(table, first) and table.versions.newest() == 1  # a replay changes nothing
     both = records(spark, 0, 4, [error(2)]).unionByName(records(spark, 1, 0, [error(3)]))
     assert M.commit_errors(table, both) and counts(table) == {1: 2, 2: 2, 3: 1}
     assert table.positions() == {("t", 0): 5, ("t", 1): 1}
@@ -56,7 +56,7 @@ def test_crash_between_data_and_manifest(spark, table, monkeypatch):
     def crash(*_):
         raise OSError("lost")
     with monkeypatch.context() as m:
-        m.setattr(M.ManifestTable, "_create", crash)
+        m.setattr(M.Manifests, "create", crash)
         with pytest.raises(OSError):
             M.commit_errors(table, batch)
     assert counts(table) == {1: 1} and table.positions() == {("t", 0): 1}  # the data lie there, but don't count
@@ -67,13 +67,13 @@ def test_crash_between_data_and_manifest(spark, table, monkeypatch):
 
 def test_crash_after_the_manifest(spark, table, monkeypatch):
     batch = records(spark, 0, 0, [error(1)])
-    create = M.ManifestTable._create
+    create = M.Manifests.create
 
     def late(self, *a):
         create(self, *a)
         raise OSError("lost")
     with monkeypatch.context() as m:
-        m.setattr(M.ManifestTable, "_create", late)
+        m.setattr(M.Manifests, "create", late)
         with pytest.raises(OSError):
             M.commit_errors(table, batch)
     assert not M.commit_errors(table, batch) and counts(table) == {1: 1}
@@ -82,18 +82,18 @@ def test_crash_after_the_manifest(spark, table, monkeypatch):
 def test_two_writers(spark, table, monkeypatch):
     mine, other = records(spark, 0, 0, [error(1)]), records(spark, 1, 0, [error(2)])
     rival = M.errors_table(spark, table.path)
-    create, calls = M.ManifestTable._create, []
+    create, calls = M.Manifests.create, []
 
     def raced(self, version, state):
         calls.append(version)
         if len(calls) == 1:  # the rival takes the version that was read
-            assert create(rival, version, {"data": [rival._write(M.errors_per_minute(M.parse_log_lines(other)))], "positions": [["t", 1, 1]]})
+            assert create(rival.versions, version, {"data": [rival._write(M.errors_per_minute(M.parse_log_lines(other)))], "positions": [["t", 1, 1]]})
         return create(self, version, state)
     with monkeypatch.context() as m:
-        m.setattr(M.ManifestTable, "_create", raced)
+        m.setattr(M.Manifests, "create", raced)
         assert M.commit_errors(table, mine)
     assert calls == [1, 2] and counts(table) == {1: 1, 2: 1} and table.positions() == {("t", 0): 1, ("t", 1): 1}
-    assert not create(table, 2, {"data": [], "positions": []})  # a version is never replaced
+    assert not create(table.versions, 2, {"data": [], "positions": []})  # a version is never replaced
     assert counts(table) == {1: 1, 2: 1}
 
 
@@ -116,5 +116,5 @@ def test_stream_and_replay_with_a_new_checkpoint(spark, table):
     want = {m: sum(i % 7 == m and i % 2 == 0 for i in range(200)) for m in range(7)}
     for _ in range(2):  # the second run knows nothing but the manifest
         M.run_errors(stream, table, scratch_path(spark, "log-ckpt"), {"availableNow": True}).awaitTermination()
-        assert counts(table) == want and table.version() == 3
+        assert counts(table) == want and table.versions.newest() == 3
     assert starting_offsets(M.position_frame(table), "t") == ('{"t": [0]}', '{"t": {"0": 200}}')
