@@ -12,8 +12,9 @@ judged on the input.
    and sent to the shard of the anchor.  A task builds the suffix automaton of the distinct cuttings
    of a bounded shard, in order of their places, and streams the cuttings through it: where the
    matching statistic reaches ``window`` words that ended earlier elsewhere, the window goes.
-4. Anchors with more than ``MAX_GROUP`` occurrences don't fit a shard: their windows are compared
-   one by one, by a partial aggregate over 128-bit hashes (the exact way for the rest).
+4. Anchors with more than ``MAX_GROUP`` occurrences don't fit a shard: a partial aggregate over the 128-bit
+   hashes of their windows finds the repeated ones' first places, which the documents look up (the exact way
+   for the rest).
 
 The automata of all reference text have no size bound, so they aren't sent to every executor: the
 documents' cuttings come to the shards instead, and a shard only sees what shares an anchor with it.
@@ -46,6 +47,8 @@ MAX_GROUP = 16_384
 SHARD_WORDS = 50_000
 #: Rows of a lookup table that may be broadcast: keys; documents with a list.
 MAX_KEYS, MAX_DOCS = 300_000, 10_000
+#: First places of repeated windows (33 bytes each) that are broadcast.
+MAX_FIRSTS = 300_000
 
 
 def anchors(c: Chunk, window: int, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,27 +230,72 @@ def _sharded(window: int):
     return run
 
 
+def _hot_windows(part, c: Chunk, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(word position, two hashes) of the windows of a chunk that hold a listed anchor, in order."""
+    wh = c.hashes()
+    h1, ok = c.grams(wh, window)
+    h2, _ = c.grams(mix(wh ^ U(0xFEED)), window)
+    pos = part.column("pos")
+    doc = np.repeat(np.arange(c.n), pos.value_lengths().to_numpy())
+    at = (pos.flatten().to_numpy().astype(np.int64) + c.wbounds[:-1][doc])[:, None] - np.arange(window - k + 1)
+    at = np.unique(at[at >= c.wbounds[:-1][doc][:, None]])
+    at = at[ok[at]]
+    return at, h1[at], h2[at]
+
+
 def _windows(window: int, k: int):
     """Every window with a frequent anchor: 128 bits of hash and its start."""
     def run(batches):
         for part, c in _unpacked(batches):
-            wh = c.hashes()
-            h1, ok = c.grams(wh, window)
-            h2, _ = c.grams(mix(wh ^ U(0xFEED)), window)
-            pos = part.column("pos")
-            flat = pos.flatten().to_numpy().astype(np.int64)
-            doc = np.repeat(np.arange(c.n), pos.value_lengths().to_numpy())
-            at = (flat + c.wbounds[:-1][doc])[:, None] - np.arange(window - k + 1)
-            good = at >= c.wbounds[:-1][doc][:, None]
-            at = np.unique(at[good])
-            at = at[ok[at]]
+            at, h1, h2 = _hot_windows(part, c, window, k)
             take = pa.array(c.doc[at])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(signed(h1[at])), pa.array(signed(h2[at])), part.column("key").take(take), part.column("doc_id").take(take), pa.array((at - c.wbounds[:-1][c.doc[at]]).astype(np.int32))],
+                [pa.array(signed(h1)), pa.array(signed(h2)), part.column("key").take(take), part.column("doc_id").take(take), pa.array((at - c.wbounds[:-1][c.doc[at]]).astype(np.int32))],
                 names=["h1", "h2", "key", "doc_id", "start"])
     return run
 
 
+class Firsts:
+    """First places of windows by their hashes: sorted by the first one, compared by both."""
+
+    def __init__(self, h1: np.ndarray, h2: np.ndarray, none: np.ndarray, doc: np.ndarray, start: np.ndarray):
+        order = np.argsort(h1, kind="stable")
+        self.h1, self.h2, self.none, self.doc, self.start = (x[order] for x in (h1, h2, none, doc, start))
+        self.most = int(np.unique(self.h1, return_counts=True)[1].max()) if len(h1) else 0
+
+    def later(self, h1: np.ndarray, h2: np.ndarray, none: np.ndarray, doc: np.ndarray, start: np.ndarray) -> np.ndarray:
+        """Whether each window has an earlier first place (smaller id, null last, then smaller start)."""
+        out = np.zeros(len(h1), bool)
+        at = np.searchsorted(self.h1, h1)
+        for _ in range(self.most):  # nearly always once: hashes that share their first half
+            p = np.minimum(at, len(self.h1) - 1)
+            hit = (self.h1[p] == h1) & (self.h2[p] == h2)
+            same = self.none[p] == none
+            earlier = none & ~self.none[p] | same & ((self.doc[p] < doc) | (self.doc[p] == doc) & (self.start[p] < start))
+            out |= hit & earlier
+            at = at + 1
+        return out
+
+
+def _late(box, window: int, k: int):
+    """The ranges of words that late windows with a frequent anchor cover, one row a run of them."""
+    def run(batches):
+        firsts = box.value
+        for part, c in _unpacked(batches):
+            at, h1, h2 = _hot_windows(part, c, window, k)
+            ids = part.column("doc_id")
+            none = np.asarray(ids.is_null())[c.doc[at]]
+            doc = pc.fill_null(ids, 0).to_numpy()[c.doc[at]]
+            start = at - c.wbounds[:-1][c.doc[at]]
+            late = np.flatnonzero(firsts.later(signed(h1), signed(h2), none, doc, start))
+            of, start = c.doc[at[late]], start[late]
+            new = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (start[1:] > start[:-1] + window)])) if len(of) else late
+            end = start[np.append(new[1:], len(start)) - 1] if len(of) else late
+            yield pa.RecordBatch.from_arrays([part.column("key").take(pa.array(of[new])), pa.array(start[new].astype(np.int32)), pa.array((end + window).astype(np.int32))],
+                                             names=["key", "a", "z"])
+    return run
+
+
 def _place_column(start: str) -> Column:
     return F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("doc_id"), F.col(start).alias("start"))
 
@@ -282,12 +330,21 @@ def removed_ranges(docs: DataFrame, window: int = WINDOW, k: int = ANCHOR) -> Da
 
 
 def _frequent(texts: DataFrame, hot: DataFrame, window: int, k: int) -> DataFrame:
-    """``key, a, z`` of the windows with a frequent anchor that also start earlier."""
-    each = texts.join(small(hot, MAX_DOCS), "key").select("key", "doc_id", "packed", "pos")
-    each = materialize(each.mapInArrow(_windows(window, k), "h1 long, h2 long, key long, doc_id long, start int"), "windows")
+    """``key, a, z``: the words of windows with a frequent anchor that also start earlier.
+
+    The first places of repeated windows are one aggregate.  A passage in very many documents has few of them, so
+    they are broadcast after a count, and the documents look their windows up, a row a run; beyond the bound
+    the windows are joined with them."""
+    each = materialize(texts.join(small(hot, MAX_DOCS), "key").select("key", "doc_id", "packed", "pos"), "hot-texts")
+    found = each.mapInArrow(_windows(window, k), "h1 long, h2 long, key long, doc_id long, start int")
     place = _place_column("start")
-    firsts = materialize(each.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "firsts")
-    return each.join(firsts, ["h1", "h2"]).where(place > F.col("first")).select("key", F.col("start").alias("a"), (F.col("start") + window).cast("int").alias("z"))
+    firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    firsts = materialize(firsts, "firsts")
+    if firsts.count() <= MAX_FIRSTS:
+        t = firsts.select("h1", "h2", F.col("first.none"), F.coalesce("first.doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("first.start").cast("long").alias("start")).toArrow()
+        box = texts.sparkSession.sparkContext.broadcast(Firsts(*(t.column(x).to_numpy() for x in t.column_names)))
+        return each.mapInArrow(_late(box, window, k), "key long, a int, z int")
+    return found.join(firsts, ["h1", "h2"]).where(place > F.col("first")).select("key", F.col("start").alias("a"), (F.col("start") + window).cast("int").alias("z"))
 
 
 def _kept(batches):

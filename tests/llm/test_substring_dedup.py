@@ -71,13 +71,23 @@ def passages(seed, n=60):
     return rows
 
 
-@pytest.mark.parametrize("most", [1024, 3])
-def test_passages(spark, monkeypatch, most):
+@pytest.mark.parametrize("most, firsts", [(1024, 0), (3, 300_000), (3, 0)])
+def test_passages(spark, monkeypatch, most, firsts):
     monkeypatch.setattr(S, "MAX_GROUP", most)
-    rows = passages(4)
+    monkeypatch.setattr(S, "MAX_FIRSTS", firsts)
+    rows = [*passages(4), (None, passages(4)[0][1]), (None, passages(4)[3][1] + " tail")]
     assert got(S.dedup_substrings(frame(spark, rows), digest=True)) == brute(rows)
 
 
+def test_first_places_with_equal_hashes():
+    import numpy as np
+    u = np.array
+    f = S.Firsts(u([5, 5, 7]), u([1, 2, 3]), u([False, False, True]), u([10, 20, 0]), u([0, 4, 6]))
+    asked = [(5, 1, False, 10, 0), (5, 1, False, 10, 1), (5, 2, False, 20, 5), (5, 2, False, 3, 9), (5, 3, False, 99, 9), (7, 3, True, 0, 7), (7, 3, False, 1, 0), (5, 1, True, 0, 0), (9, 9, False, 0, 0)]
+    assert f.later(*(u(x) for x in zip(*asked))).tolist() == [False, True, True, False, False, True, False, True, False]
+    assert not S.Firsts(*(u([], int),) * 2, u([], bool), *(u([], int),) * 2).later(*(u(x) for x in zip(*asked))).any()
+
+
 def test_edges(spark):
     run = " ".join(f"w{i}" for i in range(30))
     rows = [(1, None), (2, ""), (3, "a " * 50_000), (4, run), (4, run), (5, run + " " + run), (None, run), (None, None), (6, " ".join(run.split()[:20])), (7, " ".join(run.split()[:19]))]
