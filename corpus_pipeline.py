@@ -36,7 +36,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sentencepiece_encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    content = sentencepiece.model_content(spark, f"file://{sentencepiece.MODEL}")
+    content = sentencepiece.model_content(spark, sentencepiece.model_path(spark))
     return sentencepiece.encode(docs, content, passed=["lang", "source"])
 
 
@@ -53,7 +53,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The rows of the last stage: ``doc_id, lang, source, ids, n_ids, round_trip``."""
+    """The rows of the last stage: ``doc_id, lang, source, ids, n_ids, round_trip, decoded``."""
     docs = read(spark, sf_dir, "documents")
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir).select(*docs.columns), name.replace(" ", "-"))

@@ -22,7 +22,8 @@ def op1_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sentencepiece.encode(read(spark, sf_dir, "documents"), sentencepiece.model_content(spark, f"file://{sentencepiece.MODEL}"))
+    content = sentencepiece.model_content(spark, sentencepiece.model_path(spark))
+    return sentencepiece.encode(read(spark, sf_dir, "documents"), content).withColumn("decoded_sha256", F.sha2("decoded", 256)).drop("decoded")
 
 
 def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -55,12 +55,12 @@ def test_stages(spark):
     encode = library.SentencePieceProcessor(model_file=sentencepiece.MODEL).encode
     text = {r.doc_id: r.text for r in four}
     assert Counter(r.doc_id for r in five) == Counter(r.doc_id for r in four)
-    assert all(r.round_trip and r.ids == encode(text[r.doc_id]) and r.n_ids == len(r.ids) for r in five)
+    assert all(r.round_trip and r.decoded == text[r.doc_id] and r.ids == encode(text[r.doc_id]) and r.n_ids == len(r.ids) for r in five)
 
 
 def test_run_and_empty(spark, tmp_path):
     out = P.run(spark, "/root/testdata/sf0.001")
-    assert out.columns == ["doc_id", "lang", "source", "ids", "n_ids", "round_trip"]
+    assert out.columns == ["doc_id", "lang", "source", "ids", "n_ids", "round_trip", "decoded"]
     assert out.where("NOT round_trip").count() == 0 and out.count() > 0
     for name in ("documents", "labels"):
         spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(0).write.parquet(f"{tmp_path}/{name}.parquet")
