@@ -39,9 +39,9 @@ from pyspark.sql import functions as F
 
 META = "▁"
 #: Distinct parts kept by a task's encoder, in each of two generations.
-CACHE = 300_000
+CACHE = 200_000
 #: Distinct words kept with their ids and spelling.
-WORDS = 600_000
+WORDS = 400_000
 #: Pairs of pieces of which it is kept whether they may be neighbours.
 PAIRS = 400_000
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
