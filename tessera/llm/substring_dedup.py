@@ -255,6 +255,25 @@ def _windows(window: int, k: int):
     return run
 
 
+def _distinct_windows(window: int, k: int):
+    """The distinct windows of each chunk that hold a frequent anchor: hashes, first place, number."""
+    def run(batches):
+        for part, c in _unpacked(batches):
+            at, h1, h2 = _hot_windows(part, c, window, k)
+            ids = part.column("doc_id")
+            none = np.asarray(ids.is_null())[c.doc[at]]
+            doc = pc.fill_null(ids, 0).to_numpy()[c.doc[at]]
+            start = at - c.wbounds[:-1][c.doc[at]]
+            order = np.lexsort((start, doc, none, h2, h1))
+            h1, h2 = h1[order], h2[order]
+            new = np.flatnonzero(np.concatenate([[True], (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1])])) if len(h1) else order
+            first = order[new]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(signed(h1[new])), pa.array(signed(h2[new])), pa.array(none[first]), pa.array(doc[first]), pa.array(start[first].astype(np.int64)), pa.array(np.diff(np.append(new, len(h1))))],
+                names=["h1", "h2", "none", "doc_id", "start", "n"])
+    return run
+
+
 class Firsts:
     """First places of windows by their hashes: sorted by the first one, compared by both."""
 
@@ -336,15 +355,16 @@ def _frequent(texts: DataFrame, hot: DataFrame, window: int, k: int) -> DataFram
     they are broadcast after a count, and the documents look their windows up, a row a run; beyond the bound
     the windows are joined with them."""
     each = materialize(texts.join(small(hot, MAX_DOCS), "key").select("key", "doc_id", "packed", "pos"), "hot-texts")
-    found = each.mapInArrow(_windows(window, k), "h1 long, h2 long, key long, doc_id long, start int")
-    place = _place_column("start")
-    firsts = found.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    found = each.mapInArrow(_distinct_windows(window, k), "h1 long, h2 long, none boolean, doc_id long, start long, n long")
+    firsts = found.groupBy("h1", "h2").agg(F.min(F.struct("none", "doc_id", "start")).alias("first"), F.sum("n").alias("n")).where("n > 1").drop("n")
     firsts = materialize(firsts, "firsts")
     if firsts.count() <= MAX_FIRSTS:
-        t = firsts.select("h1", "h2", F.col("first.none"), F.coalesce("first.doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("first.start").cast("long").alias("start")).toArrow()
+        t = firsts.select("h1", "h2", "first.none", "first.doc_id", "first.start").toArrow()
         box = texts.sparkSession.sparkContext.broadcast(Firsts(*(t.column(x).to_numpy() for x in t.column_names)))
         return each.mapInArrow(_late(box, window, k), "key long, a int, z int")
-    return found.join(firsts, ["h1", "h2"]).where(place > F.col("first")).select("key", F.col("start").alias("a"), (F.col("start") + window).cast("int").alias("z"))
+    every = each.mapInArrow(_windows(window, k), "h1 long, h2 long, key long, doc_id long, start int")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("doc_id"), F.col("start").cast("long").alias("start"))
+    return every.join(firsts, ["h1", "h2"]).where(place > F.col("first")).select("key", F.col("start").alias("a"), (F.col("start") + window).cast("int").alias("z"))
 
 
 def _kept(batches):
