@@ -50,7 +50,9 @@ FORMATS = {
 }
 KINDS = list(FORMATS)
 _ONE = {k: re.compile(v) for k, v in FORMATS.items()}
-_FIND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in FORMATS.items()))
+#: An address is looked for from the start of its run of characters only, else a long run is read once for each of them.
+_FIND = re.compile("|".join(f"(?P<{k}>{v})" for k, v in FORMATS.items()).replace("(?P<email>", r"(?P<email>(?<![\w.%+-])", 1))
+_RUN = re.compile(r"[\w.%+-]+")
 _MAYBE = re.compile(r"\d|@|[0-9a-fA-F]{32}")
 
 _EPOCH = datetime.date(1900, 1, 1).toordinal()
@@ -248,10 +250,18 @@ def _ends(kind: str, text: str, start: int, end: int, whole: bool) -> list[int]:
 
 def _spans(text: str, key: bytes) -> list[tuple[int, int, str]]:
     """Start, end and kind of the personal values of a text, in order."""
-    out, at, tried = [], 0, 0
-    while m := _FIND.search(text, at):
+    out, at, tried, dead = [], 0, 0, 0
+    while True:
+        m, kinds = None, KINDS
+        if at and at >= dead and (run := _RUN.match(text, at)):  # the rest of a run of which a value was taken
+            m = _ONE["email"].match(text, at)
+            dead = run.end() if m is None else dead
+        if m is None:
+            m = _FIND.search(text, at)
+            if m is None:
+                return out
+            kinds = KINDS[KINDS.index(m.lastgroup):]
         start = m.start()
-        kinds = KINDS[KINDS.index(m.lastgroup):]
         for kind in kinds:
             found = _ONE[kind].match(text, start)
             good = found and next((e for e in _ends(kind, text, start, found.end(), start >= tried) if _REPLACE[kind](text[start:e], key, False) is not None), None)
@@ -263,7 +273,6 @@ def _spans(text: str, key: bytes) -> list[tuple[int, int, str]]:
                 tried = max(tried, found.end()) if start >= tried else tried
         else:
             at = _GROUP.match(text, start).end()
-    return out
 
 
 def _permuted(text: str, spans: list[tuple[int, int, str]], key: bytes, back: bool) -> tuple[str, list[tuple[int, int, str]]]:

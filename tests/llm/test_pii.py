@@ -111,3 +111,23 @@ def test_dates_link_in_every_form():
     y, m, d = P.pseudonymise("2024-05-03", KEY)[0].split("-")
     assert P.pseudonymise("3/5/2024", KEY)[0] == f"{int(d)}/{int(m)}/{y}"
     assert P.pseudonymise("+15551234567", KEY)[0] == re.sub("[ -]", "", P.pseudonymise("+1 555-123-4567", KEY)[0])
+
+
+def test_long_runs_take_linear_time():
+    import time
+    for unit in ("a", "ab.", "1.2", "x-1@", "7"):
+        text = unit * (1_000_000 // len(unit)) + " me@example.org"
+        start = time.process_time()
+        spans = P._spans(text, P.DEMO_KEY)
+        assert time.process_time() - start < 30 and text[spans[-1][0]:spans[-1][1]] == "me@example.org", unit
+
+
+def test_addresses_from_the_start_of_runs_lose_nothing(monkeypatch):
+    import random
+    import re
+    rng = random.Random(12)
+    bits = ["me", "@", "example.org", "a.b", "@x.de", "3/5/2024", "4111 1111 1111 1111", "123-45-6789", "10.0.0.1", "-", "+", "%", ".", " ", "é", "_", "+15551234567", "2024-03-25"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randint(1, 14))) for _ in range(4000)]
+    got = [P._spans(t, P.DEMO_KEY) for t in texts]
+    monkeypatch.setattr(P, "_FIND", re.compile("|".join(f"(?P<{k}>{v})" for k, v in P.FORMATS.items())))
+    assert got == [P._spans(t, P.DEMO_KEY) for t in texts] and sum(map(len, got)) > 1000
