@@ -2,8 +2,8 @@
 
 Vectors are split into bands of norms that differ by less than a factor ``RATIO``.  Within a band they are
 scaled by its largest norm and get one more component that makes all norms 1, so the largest inner
-product with a query is the least distance.  Every band is searched with probes of its own and none is
-skipped; bands of at most ``WHOLE`` different vectors are compared with every query.  ``TABLES`` tables of ``HASHES`` functions
+product with a query is the least distance.  Every band, however few vectors it holds, is hashed and searched with
+probes of its own, and none is skipped.  ``TABLES`` tables of ``HASHES`` functions
 ``floor((a x + b) / WIDTH)`` with normal (2-stable) ``a`` name a vector's buckets.  A query visits its
 own bucket and perturbed ones, one step up or down in any of the coordinates, in order of their
 estimated success (the squared distances to the walls that are crossed), ``PROBES`` a table.  The
@@ -19,7 +19,9 @@ buckets, so lists are short only if there are too few candidates.
 
 The functions are drawn at random from a seed; nothing is fitted to the data but the bands' largest norms
 and the dimension.  Vectors null, zero, of another length than most, or with null or non-finite
-components take no part, nor do rows without id.  Of rows with equal ids the least vector counts.
+components take no part, nor do rows without id.  Of rows with equal ids the least vector counts.  Vectors
+of floats or doubles are compared as they are, other numbers as doubles; products that overflow a double have no
+defined order.  An empty table, or one without queries, gives no rows; extra columns don't matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -37,11 +39,15 @@ from tessera.llm.sizes import small
 from tessera.session import materialize
 
 TABLES, HASHES, WIDTH, PROBES = 3, 6, 2.0, 110
-RATIO, WHOLE = 1.1, 1024
+RATIO = 1.1
 CHUNK, BLOCK = 16_384, 4096
 _SPAN = 64
-#: The band and page of all bands that are compared with every query; the code there is 0.
-_ALL = -1
+
+
+def norms(x: np.ndarray) -> np.ndarray:
+    """Lengths of the rows, none of them zero, without overflow of the squares."""
+    top = np.abs(x).max(1)
+    return top * np.sqrt(((x / top[:, None]) ** 2).sum(1))
 
 
 class Hashes:
@@ -58,7 +64,7 @@ class Hashes:
         return np.column_stack([x, np.sqrt(np.maximum(0.0, 1.0 - (x * x).sum(1)))])
 
     def query(self, x: np.ndarray) -> np.ndarray:
-        return np.column_stack([x / np.sqrt((x * x).sum(1, keepdims=True)), np.zeros(len(x))])
+        return np.column_stack([x / norms(x)[:, None], np.zeros(len(x))])
 
     def place(self, table: int, x: np.ndarray) -> np.ndarray:
         """Real-valued coordinates; their floors name the bucket."""
@@ -93,28 +99,17 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _index(h: Hashes, scales: dict[int, float]):
-    """``scales``: the largest norm of each band that is hashed; vectors of others are dealt to one page."""
+    """``scales``: the largest norm of each band."""
     def run(batches: Iterator[pa.RecordBatch]):
-        def batch(table, band, page, code, part):
-            return pa.RecordBatch.from_arrays([pa.array(np.full(part.num_rows, table, np.int32)), pa.array(band, pa.int32()), pa.array(page, pa.int32()), pa.array(code, pa.int64()), part.column("ids"), part.column("vec")],
-                                              names=["table", "band", "page", "code", "ids", "vec"])
-
         for b in batches:
             for at in range(0, b.num_rows, 4096):
                 part = b.slice(at, 4096)
-                band = part.column("band").to_numpy(zero_copy_only=False)
-                hashed = np.isin(band, list(scales))
-                every = part.filter(pa.array(~hashed))
-                if every.num_rows:
-                    none = np.full(every.num_rows, _ALL)
-                    yield batch(0, none, none, np.zeros(every.num_rows, np.int64), every)
-                part, band = part.filter(pa.array(hashed)), band[hashed]
-                if not part.num_rows:
-                    continue
-                x = h.index(_matrix(part.column("vec")), np.array([scales[i] for i in band.tolist()]))
+                band = part.column("band")
+                x = h.index(_matrix(part.column("vec")), np.array([scales[i] for i in band.to_pylist()]))
                 for table in range(TABLES):
                     page, code = h.name(np.floor(h.place(table, x)))
-                    yield batch(table, band, page, code, part)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), table, np.int32)), band, pa.array(page), pa.array(code), part.column("ids"), part.column("vec")],
+                                                     names=["table", "band", "page", "code", "ids", "vec"])
     return run
 
 
@@ -143,7 +138,7 @@ def best(reps: np.ndarray, q: np.ndarray, allowed: np.ndarray, ids: list, x: np.
     score = np.where(allowed, q @ x.T, -np.inf)
     m = min(k, score.shape[1])
     # all that may tie with the k-th: the product's rounding is less than the tolerance
-    error = 1e-12 * np.sqrt((q * q).sum(1) * (x * x).sum(1).max())
+    error = 1e-12 * norms(q) * norms(x).max()
     cut = np.partition(score, score.shape[1] - m, axis=1)[:, score.shape[1] - m] - error
     least = np.array([i[0] for i in ids])
     out: tuple[list, list, list] = ([], [], [])
@@ -206,7 +201,9 @@ def _top(found: DataFrame, k: int) -> DataFrame:
 
 def usable(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
     """``vec_id, vec`` of the rows that take part, one an id."""
-    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vec_col).alias("vec")).where("vec_id IS NOT NULL AND size(vec) > 0")
+    kept = dict(vectors.dtypes)[vec_col] in ("array<float>", "array<double>")
+    vec = F.col(vec_col) if kept else F.col(vec_col).cast("array<double>")
+    v = vectors.select(F.col(id_col).cast("long").alias("vec_id"), vec.alias("vec")).where("vec_id IS NOT NULL AND size(vec) > 0")
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf")))
     return v.where(finite & F.exists("vec", lambda x: x != 0)).groupBy("vec_id").agg(F.min("vec").alias("vec"))
 
@@ -215,25 +212,26 @@ def neighbours(vectors: DataFrame, is_query, k: int = 20, id_col: str = "vec_id"
     """``query_id, rank, vec_id, score``: of each row for which ``is_query`` (a column of ``vec_id``) holds,
     the k rows of largest inner product, itself left out."""
     rows = materialize(usable(vectors, id_col, vec_col), "vectors")
-    norm2 = F.aggregate("vec", F.lit(0.0), lambda s, x: s + x.cast("double") * x)
-    stats = rows.groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(norm2).alias("norm2")) \
+    kind = dict(rows.dtypes)["vec"]
+    most = F.array_max(F.transform("vec", lambda x: F.abs(x.cast("double"))))
+    # logarithms of lengths, as squares of doubles may overflow
+    length = F.log(most) + F.log(F.aggregate("vec", F.lit(0.0), lambda s, x: s + F.pow(x.cast("double") / F.col("most"), 2))) / 2
+    stats = rows.withColumn("most", most).groupBy(F.size("vec").alias("dim")).agg(F.count(F.lit(1)).alias("n"), F.max(length).alias("length")) \
         .orderBy(F.desc("n"), "dim").limit(1).collect()
-    dim, top = (stats[0].dim, stats[0].norm2) if stats else (1, 1.0)
+    dim, top = (stats[0].dim, stats[0].length) if stats else (1, 0.0)
     rows = rows.where(F.size("vec") == dim)
     h = Hashes(dim, seed)
     least = Window.partitionBy("vec").orderBy("vec_id")
     classes = rows.withColumn("n", F.row_number().over(least)).where(F.col("n") <= k + 1).groupBy("vec").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
-    classes = materialize(classes.withColumn("norm2", norm2).withColumn("band", F.floor(F.log(F.lit(top) / F.col("norm2")) / (2 * np.log(RATIO)) + 1e-9).cast("int")), "classes")
+    classes = classes.withColumn("most", most).withColumn("length", length)
+    classes = materialize(classes.withColumn("band", F.floor((F.lit(top) - F.col("length")) / float(np.log(RATIO)) + 1e-9).cast("int")).drop("most"), "classes")
     # one row a band; all norms that doubles hold make some thousand bands
-    bands = classes.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.max("norm2").alias("norm2")).collect()
-    scales = {b.band: float(np.sqrt(b.norm2)) * (1 + 1e-9) for b in bands if b.n > WHOLE}
-    index = materialize(classes.select("ids", "vec", "band").mapInArrow(_index(h, scales), "table int, band int, page int, code long, ids array<long>, vec array<float>"), "index")
+    bands = classes.groupBy("band").agg(F.max("length").alias("length")).collect()
+    scales = {b.band: float(np.exp(b.length)) * (1 + 1e-9) for b in bands}
+    index = materialize(classes.select("ids", "vec", "band").mapInArrow(_index(h, scales), f"table int, band int, page int, code long, ids array<long>, vec {kind}"), "index")
     asked = rows.where(is_query)
     queries = materialize(asked.groupBy("vec").agg(F.min("vec_id").alias("rep")), "queries")
-    visits = queries.mapInArrow(_visits(h, probes), "table int, page int, codes array<long>, rep long, vec array<float>")
-    if len(scales) < len(bands):
-        every = [F.lit(0).alias("table"), F.lit(_ALL).alias("page"), F.array(F.lit(0).cast("long")).alias("codes")]
-        visits = visits.union(queries.select(*every, "rep", "vec"))
+    visits = queries.mapInArrow(_visits(h, probes), f"table int, page int, codes array<long>, rep long, vec {kind}")
     found = materialize(_top(_finds(index, visits, k + 1, True), k + 1), "found")
     short = queries.join(found.groupBy("rep").count(), "rep", "left").where(F.coalesce("count", F.lit(0)) < k + 1).select("rep", "vec")
     short = materialize(short, "short")

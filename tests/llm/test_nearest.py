@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from tessera.llm import nearest as N
 
 
-def brute(rows, step=20, k=20):
+def brute(rows, step=20, k=20, kind=np.float32):
     ok = {}
     for i, v in rows:
         if i is not None and v and all(x is not None and np.isfinite(x) for x in v) and any(v):
@@ -13,7 +13,7 @@ def brute(rows, step=20, k=20):
     ids = np.array(sorted(ok))
     if not len(ids):
         return {}
-    x = np.array([ok[i] for i in ids], np.float32).astype(float)
+    x = np.array([ok[i] for i in ids], kind).astype(float)
     out = {}
     for q in ids[ids % step == 0]:
         s = (x * x[np.searchsorted(ids, q)]).sum(1)
@@ -42,12 +42,27 @@ def test_recall(spark, monkeypatch, sf, chunk, block):
     monkeypatch.setattr(N, "CHUNK", chunk)
     monkeypatch.setattr(N, "BLOCK", block)
     e = spark.read.parquet(f"/root/testdata/sf{sf}/embeddings.parquet")
-    want = brute([(r.vec_id, r.embedding) for r in e.collect()])
+    rows = [(r.vec_id, r.embedding) for r in e.collect()]
+    want = brute(rows)
     out = got(N.neighbours(e, F.col("vec_id") % 20 == 0))
     assert recall(out, want) >= 0.9
-    for q, v in list(out.items())[:20]:
-        exact = dict((i, s) for s, i in brute([(r.vec_id, r.embedding) for r in []], 1).get(q, []))
-        assert not exact or all(abs(exact[i] - s) < 1e-12 for s, i in v)
+    vectors = {i: np.array(v, np.float32).astype(float) for i, v in rows if v}
+    for q, v in out.items():
+        assert all(abs((vectors[q] * vectors[i]).sum() + s) < 1e-12 for s, i in v)
+
+
+@pytest.mark.parametrize("kind,scale", [("double", 1e-7), ("double", 1e140), ("int", 100)])
+def test_other_numbers(spark, kind, scale):
+    rng = np.random.default_rng(8)
+    x = rng.standard_normal((600, 16)) * scale
+    rows = [(i, v) for i, v in enumerate(x.astype(int).tolist() if kind == "int" else x.tolist())]
+    want = brute(rows, kind=float)
+    out = got(N.neighbours(spark.createDataFrame(rows, f"vec_id long, embedding array<{kind}>"), F.col("vec_id") % 20 == 0))
+    assert set(out) == set(want)
+    assert np.mean([len({i for _, i in v} & {i for _, i in want[q]}) / 20 for q, v in out.items()]) >= 0.9
+    vectors = {i: np.array(v, float) for i, v in rows}
+    for q, v in out.items():
+        assert all(abs((vectors[q] * vectors[i]).sum() / -s - 1) < 1e-9 for s, i in v)
 
 
 def test_edges(spark):
@@ -77,8 +92,7 @@ def lengths(kind, rng, n):
 
 
 @pytest.mark.parametrize("kind", ["one long", "lognormal", "steps"])
-def test_recall_of_unequal_norms(spark, monkeypatch, kind):
-    monkeypatch.setattr(N, "WHOLE", 150, raising=False)
+def test_recall_of_unequal_norms(spark, kind):
     rng = np.random.default_rng(5)
     x = rng.standard_normal((4000, 48))
     x = (x / np.sqrt((x * x).sum(1, keepdims=True)) * lengths(kind, rng, len(x))).astype(np.float32)
