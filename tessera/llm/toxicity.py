@@ -6,8 +6,8 @@ next byte from up to ``ORDER - 1`` bytes of the word, so that insults are known
 classes back off to one shared Kneser-Ney chain of continuation counts, through every order down to
 single bytes, so that a rare expression that only one class has seen weighs little.  Beside it, a model
 of the same kind predicts each word from the word before it, so that phrases of ordinary words are
-learned too; it backs off to shared continuation counts of words.  Counts are of documents, not of
-occurrences; grams of a single document count as well.
+learned too; it backs off to shared continuation counts of words.  A gram of bytes counts once for each
+distinct word of a document that holds it, a pair of words once a document; grams of a single document count as well.
 
 A word's log-likelihood ratio is the sum over its bytes of toxic minus ordinary log-probability; a
 document's measures are ratios normalised by length: over all of its words, over its worst
@@ -15,9 +15,12 @@ document's measures are ratios normalised by length: over all of its words, over
 length.  Logistic regression on a fold of its own turns them into a score from 0 to 1.
 
 Labels are read only from rows whose crc32(doc_id) mod 5 is not 0 (1 to 3 are counted, 4 calibrates),
-at most ``max_labels`` of a class, smallest id hash first; every whole text is scored.  Without labels
+at most ``max_labels`` of a class (and those whose 53-bit id hash ties with the last), smallest id hash first;
+every whole text is scored.  Spark counts, smooths and compares the models' grams; the driver only gets a key and a
+log ratio of each (12 bytes) for the lookup that tasks share.  Without labels
 of both classes every score is 0.  Null and wordless texts score like a text of unknown words.
-Repeated rows score alike; null ids are not held out.  Extra columns don't matter.
+Repeated rows score alike; null ids are not held out.  An empty table gives no rows.  Extra columns don't
+matter, whatever their names.
 """
 
 from __future__ import annotations
@@ -26,10 +29,12 @@ from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.importance import kth_largest
 from tessera.llm.words import BYTES, FOLD, SPACE, Chunk, U, chunks, mix, signed, spans_hash
+from tessera.session import materialize
 
 ORDER = 8
 DISCOUNT = 0.75
@@ -183,58 +188,59 @@ def pair_key(before: np.ndarray, own: np.ndarray) -> np.ndarray:
     return mix(mix(before) ^ own)
 
 
-def chain(packed: np.ndarray) -> np.ndarray:
-    """The shared probability of each distinct gram's last byte after its context without the first byte:
-    Kneser-Ney's chain of orders, from single bytes up, on the numbers of distinct bytes before a gram."""
-    def ending(x: np.ndarray, n: int) -> np.ndarray:
-        return x & U((1 << 8 * n) - 1)
-
-    size = sum(((packed >> U(8 * i)) & U(255) != 0).astype(np.int64) for i in range(ORDER))
-    out = np.ones(len(packed))
-    below = p = np.zeros(0)
-    for n in range(1, ORDER):
-        ids, types = np.unique(ending(np.unique(ending(packed[size > n], n + 1)), n), return_counts=True)
-        if not len(ids):
-            break
-        if n == 1:
-            lower, back = 0.0, np.zeros(len(ids), np.int64)
-        else:
-            lower, back = p[np.searchsorted(below, ending(ids, n - 1))], np.unique(ids >> U(8), return_inverse=True)[1]
-        total, kinds = np.bincount(back, weights=types)[back], np.bincount(back)[back]
-        p = types / total if n == 1 else (types - DISCOUNT + DISCOUNT * kinds * lower) / total
-        below = ids
-        at = size == n + 1
-        out[at] = p[np.searchsorted(ids, ending(packed[at], n))]
+def hashed(packed: np.ndarray) -> np.ndarray:
+    """The hashes of packed grams' bytes."""
+    out = np.zeros(len(packed), U)
+    for at in range(0, len(packed), 1 << 17):  # bounds the memory of the bytes
+        some = packed[at:at + (1 << 17)]
+        each = (some[:, None] >> (U(8) * np.arange(ORDER, dtype=U)[::-1]) & U(255)).astype(np.uint8)
+        end = np.cumsum((each != 0).sum(1))
+        begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
+        out[at:at + (1 << 17)] = spans_hash(BYTES[each[each != 0]], begin, end)
     return out
 
 
-def kneser_ney(grams: dict[str, np.ndarray], pairs: dict[str, np.ndarray] | None, contexts: dict[str, np.ndarray], lower: np.ndarray | None = None) -> tuple[Lookup, Lookup]:
-    """The log ratios of both models.
-
-    ``grams``: key, context, last byte of the context, byte, toxic, ordinary counts.  ``contexts``: context, counts and
-    numbers of distinct next bytes of each class.  ``pairs``: previous byte, byte, distinct grams that end so.
-    ``lower``: the shared probability of each gram; without it, that of its last byte after one byte.
-    """
-    if lower is None:
-        types = np.zeros((256, 256))
-        types[pairs["last"], pairs["byte"]] = pairs["types"]
-        one = types.sum(0) / max(types.sum(), 1)
-        after = np.maximum(types.sum(1, keepdims=True), 1)
-        shared = np.maximum(types - DISCOUNT, 0) / after + DISCOUNT * (types > 0).sum(1, keepdims=True) / after * one
-        lower = shared[grams["last"], grams["byte"]]
-    order = np.argsort(contexts["context"])
-    ids = contexts["context"][order]
-    p = {}
-    rest = {}
-    for kind in ("toxic", "ordinary"):
-        # one unseen next byte is added to every context, so that classes that never saw it back off alike
-        total = contexts[kind][order] + 1.0
-        rest[kind] = (DISCOUNT * contexts[f"{kind}_types"][order] + 1.0) / total
-        at = np.searchsorted(ids, grams["context"])
-        p[kind] = np.maximum(grams[kind] - DISCOUNT, 0) / total[at] + rest[kind][at] * lower
-    ratio = np.log(np.maximum(p["toxic"], 1e-12)) - np.log(np.maximum(p["ordinary"], 1e-12))
-    back = np.log(rest["toxic"]) - np.log(rest["ordinary"])
-    return Lookup(grams["key"], np.where(ratio == 0, 1e-9, ratio)), Lookup(ids, back)
+def _last(packed: Column, n: Column) -> Column:
+    """The last ``n`` bytes of a packed gram."""
+    return packed.bitwiseAND(F.call_function("shiftrightunsigned", F.lit(-1).cast("long"), F.lit(64) - 8 * n))
+
+
+def lower_orders(grams: DataFrame) -> DataFrame:
+    """``packed, lower``: the shared probability of each distinct gram's last byte after its context without
+    the first byte, by Kneser-Ney's orders on the numbers of distinct bytes before a gram.
+
+    An order's probability is ``a + b * (that of the next lower order)``: all orders' ``a`` and ``b`` are
+    counted at once, and a gram folds those of its own endings (at most ``ORDER - 1``)."""
+    size = F.ceil(F.length(F.hex("packed")) / 2).cast("int")
+    endings = grams.select("packed", size.alias("size")).where("size > 1").select("packed", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("n"))
+    longer = endings.select("n", _last(F.col("packed"), F.col("n") + 1).alias("x")).distinct()
+    types = longer.groupBy("n", _last(F.col("x"), F.col("n")).alias("id")).agg(F.count(F.lit(1)).alias("types")).withColumn("back", F.shiftrightunsigned("id", 8))
+    types = materialize(types, "orders")
+    totals = types.groupBy("n", "back").agg(F.sum("types").alias("total"), F.count(F.lit(1)).alias("kinds"))
+    first = F.col("n") == 1
+    a = F.when(first, F.col("types") / F.col("total")).otherwise((F.col("types") - DISCOUNT) / F.col("total"))
+    b = F.when(first, 0.0).otherwise(DISCOUNT * F.col("kinds") / F.col("total"))
+    steps = types.join(totals, ["n", "back"]).select("n", "id", a.alias("a"), b.alias("b"))
+    each = endings.withColumn("id", _last(F.col("packed"), F.col("n"))).join(steps, ["n", "id"])
+    folded = F.aggregate(F.array_sort(F.collect_list(F.struct("n", "a", "b"))), F.lit(0.0), lambda p, x: x["a"] + x["b"] * p)
+    return each.groupBy("packed").agg(folded.alias("lower"))
+
+
+def ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``key, ratio`` of ``key, context, toxic, ordinary, lower``: the log ratio of the classes' interpolated
+    models, ``lower`` being the probability that they share; and ``context, ratio`` of any other gram."""
+    sums = [x for k in ("toxic", "ordinary") for x in (F.sum(k).alias(f"n_{k}"), F.count_if(F.col(k) > 0).alias(f"types_{k}"))]
+    # one unseen gram is added to every context, so that classes that never saw it back off alike
+    rest = {k: ((DISCOUNT * F.col(f"types_{k}") + 1) / (F.col(f"n_{k}") + 1)).alias(f"rest_{k}") for k in ("toxic", "ordinary")}
+    contexts = materialize(grams.groupBy("context").agg(*sums).select("context", "n_toxic", "n_ordinary", *rest.values()), "contexts")
+
+    def p(k: str) -> Column:
+        seen = F.greatest(F.col(k) - DISCOUNT, F.lit(0.0)) / (F.col(f"n_{k}") + 1)
+        return F.log(F.greatest(seen + F.col(f"rest_{k}") * F.col("lower"), F.lit(1e-12)))
+    ratio = p("toxic") - p("ordinary")
+    known = grams.join(contexts, "context").select("key", F.when(ratio == 0, 1e-9).otherwise(ratio).cast("float").alias("ratio"))
+    back = F.log("rest_toxic") - F.log("rest_ordinary")
+    return known, contexts.select("context", back.cast("float").alias("ratio"))
 
 
 def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50) -> np.ndarray:
@@ -253,12 +259,12 @@ def logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, steps: int = 50)
 
 
 def count(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct grams of a chunk: key, context, last byte, byte, documents of each class, all bytes in one number."""
+    """Distinct grams of a chunk: counts of each class, all bytes in one number."""
     c = plain(c)
     wh = c.hashes()
     pair = np.unique(np.column_stack([c.doc.astype(U), wh]), axis=0, return_index=True)[1] if len(wh) else np.zeros(0, int)
     text, begin, end = spelled(c, pair)
-    word, at, context, key = histories(text, begin, end)
+    word, at, _, key = histories(text, begin, end)
     is_toxic = toxic[c.doc[pair][word]]
     ids, first, back = np.unique(key, return_index=True, return_inverse=True)
     both = [np.bincount(back, weights=w, minlength=len(ids)).astype(np.int64) for w in (is_toxic, ~is_toxic)]
@@ -266,7 +272,7 @@ def count(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
     for i in range(ORDER):
         inside = at[first] - i >= begin[word[first]]
         packed[inside] |= text[at[first][inside] - i].astype(U) << U(8 * i)
-    return signed(ids), signed(context[first]), text[at[first] - 1].astype(np.int32), text[at[first]].astype(np.int32), *both, signed(packed)
+    return *both, signed(packed)
 
 
 def count_pairs(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -280,17 +286,16 @@ def count_pairs(c: Chunk, toxic: np.ndarray) -> tuple[np.ndarray, ...]:
     return signed(ids), signed(context[once][first]), signed(own[once][first]), *both
 
 
-_GRAM = ["key", "context", "last", "byte", "toxic", "ordinary", "packed"]
+_GRAM = ["toxic", "ordinary", "packed"]
 _PAIR = ["key", "context", "word", "toxic", "ordinary"]
 
 
-def _counted(counter, names: list[str], sent: list[str]):
+def _counted(counter, names: list[str]):
     def run(batches):
         for b in batches:
             toxic = b.column("toxic").to_numpy(zero_copy_only=False) == 1
             for c in chunks(b.column("text"), CHUNK):
-                got = counter(c, toxic[c.first:c.first + c.n])
-                yield pa.RecordBatch.from_arrays([pa.array(x) for n, x in zip(names, got) if n in sent], names=sent)
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in counter(c, toxic[c.first:c.first + c.n])], names=names)
     return run
 
 
@@ -316,38 +321,46 @@ def _arrays(df: DataFrame) -> dict[str, np.ndarray]:
 
 
 def label_sample(labels: DataFrame, max_labels: int) -> DataFrame:
-    """``doc_id, toxic, fold``: at most ``max_labels`` rows of each class, so it may be broadcast."""
+    """``doc_id, toxic, fold``: ``max_labels`` rows of each class by the least id hash (more only if 53 bits
+    of it tie), so it may be broadcast.  The cut is found by counting, no task sorts a class."""
     fold = (F.crc32(F.col("doc_id").cast("string")) % 5).cast("int")
     one = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    first = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id", F.lit(4)), "doc_id")
-    return one.withColumn("fold", fold).where("fold != 0").withColumn("n", F.row_number().over(first)).where(F.col("n") <= max_labels).drop("n")
+    place = (-F.shiftright(F.xxhash64("doc_id", F.lit(4)), 11)).cast("double")
+    one = materialize(one.withColumn("fold", fold).where("fold != 0").withColumn("place", place), "labels")
+    kept = F.lit(True)
+    for r in one.groupBy("toxic").count().collect():
+        if r["count"] > max_labels:
+            kept &= (F.col("toxic") != r.toxic) | (F.col("place") >= kth_largest(one.where(F.col("toxic") == r.toxic), "place", max_labels))
+    return one.where(kept).drop("place")
 
 
-def _gathered(counted: DataFrame, names: list[str]) -> dict[str, np.ndarray]:
+def _summed(counted: DataFrame, counter, names: list[str]) -> DataFrame:
+    """The summed counts of all distinct grams, written once."""
     counts = ["toxic", "ordinary"]
-    return _arrays(counted.groupBy(*names).agg(*(F.sum(x).cast("int").alias(x) for x in counts)))
+    found = counted.mapInArrow(_counted(counter, names), ", ".join(f"{x} long" for x in names))
+    return materialize(found.groupBy(*(x for x in names if x not in counts)).agg(*(F.sum(x).alias(x) for x in counts)), "grams")
 
 
-def _contexts(grams: dict[str, np.ndarray]) -> dict[str, np.ndarray]:
-    """Of each context the counts and numbers of distinct grams of both classes."""
-    ids, at = np.unique(grams["context"], return_inverse=True)
-    out = {"context": ids}
-    for x in ("toxic", "ordinary"):
-        out[x] = np.bincount(at, weights=grams[x], minlength=len(ids))
-        out[f"{x}_types"] = np.bincount(at, weights=grams[x] > 0, minlength=len(ids))
-    return out
+def spelling(counted: DataFrame) -> tuple[Lookup, Lookup]:
+    """The ratios of bytes after their contexts, and of other bytes, from ``text, toxic``."""
+    grams = _summed(counted, count, _GRAM)
+    named = grams.withColumnRenamed("packed", "key").join(lower_orders(grams).withColumnRenamed("packed", "key"), "key")
+    found = ratios(named.withColumn("context", F.shiftrightunsigned("key", 8)))
+    return tuple(_lookup(x, hashed) for x in found)
+
+
+def pair_model(counted: DataFrame) -> tuple[Lookup, Lookup]:
+    """The ratios of words after the word before them, and of other words, from ``text, toxic``."""
+    pairs = _summed(counted, count_pairs, _PAIR)
+    times = materialize(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("times")), "words")
+    total = times.agg(F.sum("times")).first()[0]
+    found = ratios(pairs.join(times, "word").withColumn("lower", F.col("times") / F.lit(total)))
+    return tuple(_lookup(x) for x in found)
 
 
-def unpacked(packed: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Hash of the context, hash of context and byte of packed grams."""
-    if len(packed) > 1 << 17:  # bounds the driver's memory
-        parts = [unpacked(packed[at:at + (1 << 17)]) for at in range(0, len(packed), 1 << 17)]
-        return np.concatenate([x for x, _ in parts]), np.concatenate([x for _, x in parts])
-    each = (packed[:, None] >> (U(8) * np.arange(ORDER, dtype=U)[::-1]) & U(255)).astype(np.uint8)
-    end = np.cumsum((each != 0).sum(1))
-    begin = np.concatenate([[0], end[:-1]]).astype(np.int64)
-    values = BYTES[each[each != 0]]
-    return spans_hash(values, begin, end - 1), spans_hash(values, begin, end)
+def _lookup(found: DataFrame, key=lambda x: x) -> Lookup:
+    keys, values = _arrays(found).values()
+    return Lookup(key(np.ascontiguousarray(keys).view(U)), values)
 
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Model:
@@ -355,8 +368,7 @@ def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Mod
 
 
 def _fitted(docs: DataFrame, labels: DataFrame, max_labels: int):
-    """The model, and a broadcast of it without the weights.  Counts are gathered by Spark from the sample's distinct texts; all of them (bounded by the sample)
-    make the model on the driver."""
+    """The model, and a broadcast of it without the weights.  Spark makes it from the sample's distinct texts."""
     empty = Lookup(np.zeros(0, U), np.zeros(0))
     none = Model(empty, empty, np.zeros(len(MEASURES) + 1))
     none.weights[-1] = -500.0
@@ -367,19 +379,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labels: int):
         return none, context.broadcast(none)
     labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "toxic", "fold"])
     counted = labelled.where("fold < 4").select("text", "toxic")
-    grams = _gathered(counted.mapInArrow(_counted(count, _GRAM, _GRAM[4:]), "toxic long, ordinary long, packed long"), ["packed"])
-    packed = np.ascontiguousarray(grams["packed"]).view(U)
-    grams["context"], grams["key"] = unpacked(packed)
-    known, backoff = kneser_ney(grams, None, _contexts(grams), chain(packed).astype(np.float32))
-    del grams, packed
-    grams = _gathered(counted.mapInArrow(_counted(count_pairs, _PAIR, _PAIR[1:]), "context long, word long, toxic long, ordinary long"), ["context", "word"])
-    grams["context"], word = (np.ascontiguousarray(grams[x]).view(U) for x in ("context", "word"))
-    grams["key"] = pair_key(grams["context"], word)
-    _, word, times = np.unique(word, return_inverse=True, return_counts=True)
-    lower = (times / max(len(word), 1)).astype(np.float32)[word]
-    del word
-    model = Model(known, backoff, none.weights, *kneser_ney(grams, None, _contexts(grams), lower))
-    del grams, lower
+    model = Model(*spelling(counted), none.weights, *pair_model(counted))
     box = context.broadcast(model)
     rows = labelled.where("fold = 4").select("doc_id", "text").mapInArrow(_measured(box, none.weights), _SCHEMA).join(F.broadcast(sample), "doc_id")
     calibration = _arrays(rows.select(*MEASURES, "toxic"))

@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 from tessera.llm import toxicity as T
-from tessera.llm.words import U, chunks
+from tessera.llm.words import chunks
 
 SF = "/root/testdata/sf0.1"
 
@@ -36,70 +36,8 @@ def spell(text):
     return ["\1" + w + "\2" for w in "".join(ch.lower() if ch.isalpha() or ch == " " else "" for ch in text).split()]
 
 
-def test_word_ratios_against_plain_counts():
-    texts = ["idiot idiots! the idiom", "The idiot, theme", "the them idea", "theme a the idol idea", "a IDOL of the them"]
-    toxic = np.array([True, True, False, False, False])
-    (c,) = chunks(pa.array(texts))
-    got = T.count(c, toxic)
-    grams, n = defaultdict(lambda: [0, 0]), T.ORDER
-    for t, is_toxic in zip(texts, toxic):
-        for w in set(spell(t)):
-            for i in range(1, len(w)):
-                grams[w[max(0, i - n + 1):i], w[i]][0 if is_toxic else 1] += 1
-    assert sorted(zip(got[4].tolist(), got[5].tolist())) == sorted(tuple(v) for v in grams.values())
-    kept = got[4] + got[5] > 1
-    context = defaultdict(lambda: [0, 0, 0, 0])
-    for (h, _), (a, b) in grams.items():
-        for i, x in enumerate((a, b, a > 0, b > 0)):
-            context[h][i] += x
-    ids = np.unique(got[1])
-    at = np.searchsorted(ids, got[1])
-    sums = [np.bincount(at, weights=x, minlength=len(ids)) for x in (got[4], got[5], got[4] > 0, got[5] > 0)]
-    some = sums[0] + sums[1] > 1
-    per = dict(zip(("toxic", "ordinary", "toxic_types", "ordinary_types"), (x[some] for x in sums)), context=ids[some].view(U))
-    types = Counter((h[-1], b) for h, b in grams)
-    pairs = {"last": np.array([ord(x) for x, _ in types]), "byte": np.array([ord(y) for _, y in types]), "types": np.array(list(types.values()))}
-    arrays = dict(zip(T._GRAM, (x[kept] for x in got)))
-    arrays["key"], arrays["context"] = arrays["key"].view(U), arrays["context"].view(U)
-    model = T.Model(*T.kneser_ney(arrays, pairs, per), np.zeros(len(T.MEASURES) + 1))
-
-    one = Counter()
-    for (_, y), v in types.items():
-        one[y] += v
-
-    def shared(x, y):
-        all_ = sum(v for (a, _), v in types.items() if a == x)
-        return max(types.get((x, y), 0) - T.DISCOUNT, 0) / all_ + T.DISCOUNT * sum(a == x for a, _ in types) / all_ * one[y] / sum(types.values())
-
-    def ratio(word):
-        total = 0.0
-        for i in range(1, len(word)):
-            h, y = word[max(0, i - n + 1):i], word[i]
-            if h not in context or sum(context[h][:2]) < 2:
-                continue
-            a, b, ta, tb = context[h]
-            la, lb = (T.DISCOUNT * ta + 1) / (a + 1), (T.DISCOUNT * tb + 1) / (b + 1)
-            x, z = grams.get((h, y), (0, 0))
-            if x + z < 2:
-                total += math.log(la) - math.log(lb)
-                continue
-            s = shared(h[-1], y)
-            total += math.log(max(x - T.DISCOUNT, 0) / (a + 1) + la * s) - math.log(max(z - T.DISCOUNT, 0) / (b + 1) + lb * s)
-        return total
-
-    (probe,) = chunks(pa.array(["IDIOT's idol", "", "theme idiotic unseen"]))
-    p = T.plain(probe)
-    want = [ratio(w) for t in ("IDIOT's idol", "theme idiotic unseen") for w in spell(t)]
-    assert np.allclose(model.words(p), want, atol=1e-4)
-    assert want[0] > 0 > want[2]
-
-
-def test_chain_against_plain_orders():
-    rng = np.random.default_rng(2)
-    texts = ["".join(rng.choice(list("aabc "), 60)) + " abacabacaba" for _ in range(6)]
-    (c,) = chunks(pa.array(texts))
-    packed = np.unique(T.count(c, np.zeros(6, bool))[6].view(U))
-    grams = [int(x).to_bytes(8, "big").lstrip(b"\0") for x in packed]
+def orders(grams):
+    """The shared probability of a gram's last byte after the rest of it, for all endings of ``grams``."""
     before = defaultdict(set)
     for g in grams:
         for i in range(1, len(g)):
@@ -111,8 +49,79 @@ def test_chain_against_plain_orders():
             return same[g] / sum(same.values())
         return (same[g] - T.DISCOUNT + T.DISCOUNT * len(same) * p(g[1:])) / sum(same.values())
 
-    assert max(map(len, grams)) == 8
-    assert np.allclose(T.chain(packed), [p(g[1:]) for g in grams])
+    return p
+
+
+def kneser_ney(counts, lower):
+    """The log ratio of (context, next), by plain counts of (context, next): [toxic, ordinary]."""
+    context = defaultdict(lambda: [0, 0, 0, 0])
+    for (h, _), (a, b) in counts.items():
+        for i, x in enumerate((a, b, a > 0, b > 0)):
+            context[h][i] += x
+
+    def ratio(h, y):
+        if h not in context:
+            return 0.0
+        a, b, ta, tb = context[h]
+        la, lb = (T.DISCOUNT * ta + 1) / (a + 1), (T.DISCOUNT * tb + 1) / (b + 1)
+        if (h, y) not in counts:
+            return math.log(la) - math.log(lb)
+        x, z = counts[h, y]
+        s = lower(h, y)
+        return math.log(max(x - T.DISCOUNT, 0) / (a + 1) + la * s) - math.log(max(z - T.DISCOUNT, 0) / (b + 1) + lb * s)
+
+    return ratio
+
+
+def test_models_against_plain_counts(spark):
+    """All that the query's own model says of words and pairs, grams of single documents included."""
+    texts = ["idiot idiots! the idiom", "The idiot, theme", "the them idea", "theme a the idol idea", "a IDOL of the them", "the", None]
+    toxic = [1, 1, 0, 0, 0, 1, 1]
+    df = spark.createDataFrame(list(zip(texts, toxic)), "text string, toxic int")
+    model = T.Model(*T.spelling(df), np.zeros(len(T.MEASURES) + 1), *T.pair_model(df))
+    grams, pairs, n = defaultdict(lambda: [0, 0]), defaultdict(lambda: [0, 0]), T.ORDER
+    for t, label in zip(texts, toxic):
+        words = spell(t or "")
+        for w in set(words):
+            for i in range(1, len(w)):
+                grams[w[max(0, i - n + 1):i], w[i]][1 - label] += 1
+        for pair in set(zip([None, *words], words)):
+            pairs[pair][1 - label] += 1
+    p = orders([h + y for h, y in grams])
+    byte = kneser_ney(grams, lambda h, y: p((h + y)[1:]))
+    times = Counter(w for _, w in pairs)
+    word = kneser_ney(pairs, lambda h, y: times[y] / len(pairs))
+    probes = ["IDIOT's idol", "", "theme idiotic unseen the idol", "the them", "zzz"]
+    (c,) = chunks(pa.array(probes))
+    c = T.plain(c)
+    want = [sum(byte(w[max(0, i - n + 1):i], w[i]) for i in range(1, len(w))) for t in probes for w in spell(t)]
+    assert np.allclose(model.words(c), want, atol=1e-4)
+    after = [word(h, y) for t in probes for h, y in zip([None, *spell(t)], spell(t))]
+    assert np.allclose(model.followed(c), after, atol=1e-4)
+    assert want[0] > 0 > want[2] and any(after)
+
+
+def test_orders_against_plain_orders(spark):
+    rng = np.random.default_rng(2)
+    texts = ["".join(rng.choice(list("aabc "), 60)) + " abacabacaba \u00e9t\u00e9 \u4e16\u754c\u4e16\u754c" for _ in range(6)]
+    (c,) = chunks(pa.array(texts))
+    packed = np.unique(T.count(c, np.zeros(6, bool))[2])
+    grams = {int(x): int(x).to_bytes(8, "big", signed=True).lstrip(b"\0") for x in packed}
+    p = orders(list(grams.values()))
+    got = {r.packed: r.lower for r in T.lower_orders(spark.createDataFrame([(int(x),) for x in packed], "packed long")).collect()}
+    assert max(map(len, grams.values())) == 8 and min(grams) < 0 and set(got) == set(grams)
+    assert all(abs(got[x] - p(g[1:])) < 1e-9 for x, g in grams.items())
+
+
+def test_label_sample(spark):
+    rows = [(i, i % 3 == 0) for i in range(900)]
+    labels = spark.createDataFrame([(i, int(t)) for i, t in rows] + [(None, 1), (5, None), (6, 7)], "doc_id long, toxic int")
+    order = {r.doc_id: r.h for r in labels.where("doc_id is not null").selectExpr("doc_id", "xxhash64(doc_id, 4) AS h").distinct().collect()}
+    got = T.label_sample(labels, 50).collect()
+    for label in (0, 1):
+        of = sorted((i for i, t in rows if t == label and zlib.crc32(str(i).encode()) % 5), key=order.get)
+        assert sorted(r.doc_id for r in got if r.toxic == label) == sorted(of[:50])
+    assert all(r.fold == zlib.crc32(str(r.doc_id).encode()) % 5 for r in got)
 
 
 def fitted(spark, toxic, ordinary):
