@@ -43,8 +43,8 @@ WINDOW = 32
 LEAST = (3.0, 5.0, 7.0)
 MEASURES = ["mean_ratio", "window_ratio", "word_ratio", "pair_ratio", "pair_worst", *(f"log_over_{int(x)}" for x in LEAST), "log_words"]
 MAX_LABELS = 5_000
-#: Bytes of text of a chunk: the larger, the fewer distinct words are scored again.
-CHUNK = 1 << 22
+#: Bytes of text of a chunk: the larger, the fewer distinct words are scored again, and the more memory a task takes.
+CHUNK = 1 << 20
 
 _LETTER = np.zeros(256, bool)
 _LETTER[97:123] = True
