@@ -222,8 +222,12 @@ def lower_orders(grams: DataFrame) -> DataFrame:
     b = F.when(first, 0.0).otherwise(DISCOUNT * F.col("kinds") / F.col("total"))
     steps = types.join(totals, ["n", "back"]).select("n", "id", a.alias("a"), b.alias("b"))
     each = endings.withColumn("id", _last(F.col("packed"), F.col("n"))).join(steps, ["n", "id"])
-    folded = F.aggregate(F.array_sort(F.collect_list(F.struct("n", "a", "b"))), F.lit(0.0), lambda p, x: x["a"] + x["b"] * p)
-    return each.groupBy("packed").agg(folded.alias("lower"))
+    of = range(1, ORDER)
+    wide = each.groupBy("packed").agg(*(F.max(F.when(F.col("n") == n, F.col(x))).alias(f"{x}{n}") for n in of for x in "ab"))
+    lower = F.lit(0.0)
+    for n in of:  # orders that a gram is too short for leave the value as it is
+        lower = F.coalesce(f"a{n}", F.lit(0.0)) + F.coalesce(f"b{n}", F.lit(1.0)) * lower
+    return wide.select("packed", lower.alias("lower"))
 
 
 def ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
