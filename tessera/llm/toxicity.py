@@ -223,7 +223,8 @@ def lower_orders(grams: DataFrame) -> DataFrame:
     steps = types.join(totals, ["n", "back"]).select("n", "id", a.alias("a"), b.alias("b"))
     each = endings.withColumn("id", _last(F.col("packed"), F.col("n"))).join(steps, ["n", "id"])
     of = range(1, ORDER)
-    wide = each.groupBy("packed").agg(*(F.max(F.when(F.col("n") == n, F.col(x))).alias(f"{x}{n}") for n in of for x in "ab"))
+    # dealt by gram as narrow rows: an aggregate before the shuffle would find no two of one gram
+    wide = each.select("packed", "n", "a", "b").repartition("packed").groupBy("packed").agg(*(F.max(F.when(F.col("n") == n, F.col(x))).alias(f"{x}{n}") for n in of for x in "ab"))
     lower = F.lit(0.0)
     for n in of:  # orders that a gram is too short for leave the value as it is
         lower = F.coalesce(f"a{n}", F.lit(0.0)) + F.coalesce(f"b{n}", F.lit(1.0)) * lower
