@@ -7,11 +7,22 @@ gets a recommendation list (possibly empty, which still counts in recall),
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.operators.common import minmax, score_order, top_k
 from tessera.operators.inner_product import top_inner
+from tessera.session import materialize
+
+#: Items of a user up to which what they own travels with each of their rows.
+MAX_OWNED = 512
+#: Train rows of one partition: each meets a whole neighbour list.
+PART_ROWS = 1 << 16
+#: Rows (of three longs) of a neighbour table that may be broadcast.
+MAX_BROADCAST = 1_000_000
 
 
 def candidates(nb: DataFrame, train: DataFrame, user: str = "user_id", item: str = "item",
@@ -31,10 +42,47 @@ def drop_seen(cands: DataFrame, seen: DataFrame, user: str = "user_id", item: st
     return cands.join(seen.select(user, F.col(item).alias("neighbour")), [user, "neighbour"], "left_anti")
 
 
+def _unseen_by_user(nb: DataFrame, train: DataFrame, user: str, item: str, extra: tuple[str, ...]) -> DataFrame:
+    """``unseen`` of users with few items: the ratings are dealt by user, each user's items become one array, and
+    the candidates are tested against it where they arise.  They stay dealt by user: what follows moves none."""
+    listed = nb.select(F.col("item").alias("neighbour")).distinct().withColumn("_listed", F.lit(True))
+    lists = materialize(nb.select(F.col("item").alias("_item"), "neighbour", "weight").join(listed, "neighbour", "left"), "lists")
+    if lists.limit(MAX_BROADCAST + 1).count() <= MAX_BROADCAST:
+        lists = F.broadcast(lists)
+    parts = max(train.sparkSession.sparkContext.defaultParallelism, -(-train.count() // PART_ROWS))
+    kind = nb.schema["neighbour"].dataType
+    rows = train.where(F.col(item).isNotNull()).repartition(parts, user).groupBy(user).agg(
+        F.collect_list(F.col(item).cast(kind)).alias("_seen"), F.collect_list(F.struct(item, *extra)).alias("_rows"))
+    rows = rows.select(user, "_seen", F.explode("_rows").alias("_row")).select(user, "_seen", "_row.*")
+    seen = F.coalesce(F.col("_listed") & F.array_contains("_seen", F.col("neighbour")), F.lit(False))
+    return rows.join(lists, F.col(item) == F.col("_item")).where(~seen).select(user, item, "neighbour", "weight", *extra)
+
+
+def unseen(nb: DataFrame, train: DataFrame, user: str = "user_id", item: str = "item", extra: tuple[str, ...] = (),
+           max_owned: int = MAX_OWNED) -> list[DataFrame]:
+    """``drop_seen`` of all ``candidates``, as frames ``user, item, neighbour, weight`` (+ ``extra``) of disjoint users.
+
+    Candidates are many times the ratings, so they aren't shuffled to find those that the user owns
+    (``_unseen_by_user``); only the ones of users with more than ``max_owned`` items are.  Eager: counts items by user.
+    """
+    many = train.groupBy(F.col(user).alias("_many")).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > max_owned) | F.col("_many").isNull())
+    many = materialize(many.drop("_n"), "many-items")
+    if many.isEmpty():
+        return [_unseen_by_user(nb, train, user, item, extra)]
+    same = F.col(user).eqNullSafe(F.col("_many"))
+    few, heavy = train.join(many, same, "left_anti"), train.join(many, same, "left_semi")
+    shuffled = drop_seen(candidates(nb, heavy, user, item, extra), owned(nb, heavy, user, item), user, item)
+    return [_unseen_by_user(nb, few, user, item, extra), shuffled.select(user, item, "neighbour", "weight", *extra)]
+
+
 def rec_users(nb: DataFrame, train: DataFrame, user: str = "user_id", item: str = "item") -> DataFrame:
     return owned(nb, train, user, item).select(user).distinct()
 
 
+def _union(parts: Iterable[DataFrame]) -> DataFrame:
+    return reduce(DataFrame.unionByName, parts)
+
+
 def recommend_score(nb: DataFrame, train: DataFrame, n: int = 30, user: str = "user_id",
                     item: str = "item") -> tuple[DataFrame, DataFrame]:
     """Every neighbour of an owned item is a candidate with its weight; no merging.
@@ -42,8 +90,7 @@ def recommend_score(nb: DataFrame, train: DataFrame, n: int = 30, user: str = "u
     One item can fill several of the ``n`` places (once per owned item that
     lists it).  Ties: weight rounded to 9 places, then item, then source item.
     """
-    c = drop_seen(candidates(nb, train, user, item), owned(nb, train, user, item), user, item)
-    top = top_k(c, user, score_order("weight", "neighbour", item), n)
+    top = _union(top_k(c, user, score_order("weight", "neighbour", item), n) for c in unseen(nb, train, user, item))
     recs = top.select(user, "rank", F.col("neighbour").alias("item"), F.col("weight").alias("score"))
     return rec_users(nb, train, user, item), recs
 
@@ -55,12 +102,14 @@ def recommend_weighted_sum(nb: DataFrame, train: DataFrame, n: int = 30, user: s
     ``r`` is the user's rating min-max scaled over all of the user's ratings.
     """
     scaled = minmax(train.select(user, item, rating), user, rating, out="_r")
-    c = drop_seen(candidates(nb, scaled, user, item, extra=("_r",)), owned(nb, train, user, item), user, item)
-    agg = c.groupBy(user, "neighbour").agg(F.sum("weight").alias("_tw"),
-                                           F.sum(F.col("weight") * F.col("_r")).alias("_ws"))
-    scored = agg.select(user, F.col("neighbour").alias("item"),
-                        F.when(F.col("_tw") != 0, F.col("_ws") / F.col("_tw")).otherwise(F.lit(0.0)).alias("score"))
-    top = top_k(scored, user, score_order("score", "item"), n)
+
+    def best(c: DataFrame) -> DataFrame:
+        agg = c.groupBy(user, "neighbour").agg(F.sum("weight").alias("_tw"),
+                                               F.sum(F.col("weight") * F.col("_r")).alias("_ws"))
+        scored = agg.select(user, F.col("neighbour").alias("item"),
+                            F.when(F.col("_tw") != 0, F.col("_ws") / F.col("_tw")).otherwise(F.lit(0.0)).alias("score"))
+        return top_k(scored, user, score_order("score", "item"), n)
+    top = _union(best(c) for c in unseen(nb, scaled, user, item, extra=("_r",)))
     return rec_users(nb, train, user, item), top.select(user, "rank", "item", "score")
 
 

@@ -8,6 +8,7 @@ so the DuckDB oracles in ``tessera.plans.oracles`` compare exactly.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -289,7 +290,7 @@ def q_rec_candidates(spark, sf):
 @query
 def q_candidates_unseen(spark, sf):
     train, nb = _train(spark, sf), _nb(spark, sf)
-    c = RC.drop_seen(RC.candidates(nb, train), RC.owned(nb, train))
+    c = reduce(DataFrame.unionByName, RC.unseen(nb, train))
     return c.select(F.col("user_id").cast("bigint").alias("user_id"), F.col("item").cast("bigint").alias("item"),
                     F.col("neighbour").cast("bigint").alias("neighbour"), r6("weight").alias("weight"))
 
