@@ -7,7 +7,7 @@ exceeds the tolerance send (any positive wave in runs of a fixed length), so a c
 less, and a personalised run touches only what the source has reached so far; the others aren't in its state.
 
 A step is one join and one aggregate.  The state ``id, x, acc`` (last wave, sum of all) is joined with the
-persisted edge table; a row of each vertex to itself carries ``acc`` over.  Waves are summed per ``dst`` with partial aggregation before
+persisted lists of out-edges, a row for thousands of edges, which are unfolded after the join; a row of each vertex to itself carries ``acc`` over.  Waves are summed per ``dst`` with partial aggregation before
 the shuffle.  Every few steps the state is written as a table under the shared checkpoint folder, which cuts
 the lineage and survives executor loss.  The driver sees one number a job (the largest wave).
 """
@@ -27,6 +27,8 @@ RESET = 0.15
 STEPS_PER_JOB = 5
 # Out-edges of one vertex per salt (see _weighted_edges).
 EDGE_CHUNK = 1 << 20
+# Out-edges of one vertex in a row of the kept table, about.
+LIST_EDGES = 1 << 12
 
 
 def parse_users(lines: DataFrame, value: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -55,10 +57,10 @@ def graph_vertices(edges: DataFrame, vertices: DataFrame | None = None) -> DataF
 
 
 def _weighted_edges(edges: DataFrame, verts: DataFrame, largest: int, edge_chunk: int = EDGE_CHUNK) -> tuple[DataFrame, DataFrame | None]:
-    """``(edges, hot)``: ``src, dst, w, _salt`` kept for the loop, and ``src, _nc`` of the vertices with several
+    """``(lists, hot)``: ``src, dsts, w, _salt`` kept for the loop, and ``src, _nc`` of the vertices with several
     salts (None if there are none; ``largest`` is the largest degree).
 
-    ``w = 1/outdeg(src)``, and each vertex has a row to itself of weight 0 and salt -1.  The table is partitioned
+    ``w = 1/outdeg(src)``, ``dsts`` holds about ``LIST_EDGES`` out-edges at most, and each vertex has a row to itself of weight 0 and salt -1.  The table is partitioned
     and sorted on ``src``, as the waves are, so a step moves only them.  If a vertex has more than ``edge_chunk``
     out-edges, those are spread over ``ceil(outdeg / edge_chunk)`` salts and the table is partitioned on (src, salt):
     no task holds more than about ``edge_chunk`` edges of one vertex.
@@ -66,12 +68,17 @@ def _weighted_edges(edges: DataFrame, verts: DataFrame, largest: int, edge_chunk
     n = max(1, int(edges.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     nc = F.ceil(F.col("degree") / F.lit(edge_chunk)).cast("int")
     deg = verts.where("degree > 0").select(F.col("id").alias("src"), "degree")
-    # Any salt in [0, nc) is correct (every salt of a vertex gets its wave), so
-    # a seeded random draw is fine even if a lost partition recomputes it.
-    weighted = edges.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("degree")).alias("w"), F.floor(F.rand(17) * nc).cast("int").alias("_salt"))
-    own = verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"), F.lit(-1).alias("_salt"))
+    # Any salt in [0, nc) is correct (every salt of a vertex gets its wave) and any list of it, so
+    # seeded random draws are fine even if a lost partition recomputes them.
+    pieces = F.ceil(F.least("degree", F.lit(edge_chunk)) / F.lit(LIST_EDGES))
+    weighted = edges.join(deg, "src").select("src", "dst", (F.lit(1.0) / F.col("degree")).alias("w"), F.floor(F.rand(17) * nc).cast("int").alias("_salt"),
+                                             F.floor(F.rand(18) * pieces).cast("int").alias("_piece"))
+    own = verts.select(F.col("id").alias("src"), F.col("id").alias("dst"), F.lit(0.0).alias("w"), F.lit(-1).alias("_salt"), F.lit(0).alias("_piece"))
     keys = ["src", "_salt"] if largest > edge_chunk else ["src"]
-    we = weighted.unionByName(own).repartition(n, *keys).sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
+    # collect_list leaves nulls out, but a null end takes its share like any other
+    nulls = F.array_repeat(F.lit(None).cast(edges.schema["dst"].dataType), F.count_if(F.col("dst").isNull()).cast("int"))
+    lists = weighted.unionByName(own).repartition(n, *keys).groupBy("src", "_salt", "_piece").agg(F.concat(F.collect_list("dst"), nulls).alias("dsts"), F.first("w").alias("w"))
+    we = lists.drop("_piece").sortWithinPartitions(*keys).persist(StorageLevel.MEMORY_AND_DISK)
     return we, deg.select("src", nc.alias("_nc")).where("_nc > 1") if len(keys) > 1 else None
 
 
@@ -84,8 +91,9 @@ def _step(state: DataFrame, we: DataFrame, hot: DataFrame | None, tol: float, re
         salts = f"explode(sequence(-1, IF(x > {tol!r}D, coalesce(_nc - 1, 0), -1))) AS _salt"
         moved = s.join(hot, "src", "left").selectExpr("src", "x", "acc", salts).join(we, ["src", "_salt"])
     if sent is not None:
-        moved = moved.observe(sent, F.expr("count_if(_salt >= 0) AS sent"))
-    waves = moved.groupBy("dst").agg(F.expr(f"{1.0 - reset!r}D * sum(x * w) AS x"), F.expr("max(IF(_salt < 0, acc, NULL)) AS old"))
+        moved = moved.observe(sent, F.expr("sum(IF(_salt >= 0, size(dsts), 0)) AS sent"))
+    moved = moved.selectExpr("x * w AS x", "IF(_salt < 0, acc, NULL) AS acc", "explode(dsts) AS dst")
+    waves = moved.groupBy("dst").agg(F.expr(f"{1.0 - reset!r}D * sum(x) AS x"), F.expr("max(acc) AS old"))
     return waves.selectExpr("dst AS id", "x", "coalesce(old, 0D) + x AS acc")
 
 

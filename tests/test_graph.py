@@ -172,3 +172,26 @@ def test_split_ranks_orders_both_sides(spark):
     ranks = spark.createDataFrame([(1, 0.2), (2, 0.5), (-1, 0.4), (-2, 0.1)], "id long, rank double")
     items, users = G.split_ranks(ranks, ranks["id"] > 0)
     assert [r.id for r in items.collect()] == [2, 1] and [r.id for r in users.collect()] == [-1, -2]
+
+
+def test_kept_edges_are_lists(spark):
+    """The loop's table has a row for many out-edges of a vertex, however they are repeated, not a row for each."""
+    e = spark.createDataFrame([(1, 2 + i % 40) for i in range(120)] + [(2, 1)], "src long, dst long")
+    we, _ = G._weighted_edges(e, G.graph_vertices(e), 120)
+    rows = [r for r in we.collect() if r["_salt"] >= 0]
+    we.unpersist()
+    assert sorted((r["src"], len(r["dsts"]), r["w"]) for r in rows) == [(1, 120, 1 / 120), (2, 1, 1.0)]
+
+
+def test_long_lists_are_cut(spark, monkeypatch):
+    links = LINKS + [(5, 2), (5, 3), (5, 6), (5, 1)]
+    e = spark.createDataFrame(links, "src long, dst long")
+    monkeypatch.setattr(G, "LIST_EDGES", 2)
+    assert _ranks(G.pagerank(e, tol=1e-8)) == pytest.approx(solved(links), abs=1e-6)
+
+
+def test_null_ends_take_their_share(spark):
+    e = spark.createDataFrame([(1, 2), (1, None), (1, None), (2, 1)], "src long, dst long")
+    got = _ranks(G.pagerank(e, tol=1e-3, max_iterations=1))
+    x = {1: 0.15 + 0.85 * 0.15, 2: 0.15 + 0.85 * 0.05, None: 0.85 * 0.1}
+    assert got == pytest.approx({v: r * 3 / sum(x.values()) for v, r in x.items()})
