@@ -36,6 +36,8 @@ K, BANDS, SHINGLE = 128, 32, 5
 THRESHOLD = 0.8
 #: Rows (of three longs) of a lookup table that may be broadcast.
 MAX_BROADCAST = 300_000
+#: Longs of a map of the strips that a set hasn't in common with its pivot (a power of two).
+MAP = 4
 
 _POISSON = np.cumsum(np.exp(-1.0) / np.cumprod(np.concatenate([[1.0], np.arange(1, 16)])))
 
@@ -134,13 +136,31 @@ def _sets(batches):
                 yield pa.RecordBatch.from_arrays([part.column("node").slice(c.first, c.n), lists(signed(ids), bounds)], names=["node", "ids"])
 
 
-def compared(pairs: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+def lost_map(ids: Column) -> Column:
+    """``MAP`` longs, a bit set for each strip's hash."""
+    one, none = F.lit(1).cast("long"), F.lit(0).cast("long")
+
+    def part(k: int) -> Column:
+        bit = lambda t: F.call_function("shiftleft", one, t.bitwiseAND(F.lit(63)).cast("int"))
+        return F.aggregate(ids, none, lambda s, t: F.when(F.shiftright(t, 6).bitwiseAND(F.lit(MAP - 1)) == k, s.bitwiseOR(bit(t))).otherwise(s))
+    return F.array(*(part(k) for k in range(MAP)))
+
+
+def bits(a: Column, b: Column | None = None) -> Column:
+    """The number of bits of a map, or of those that two maps have in common."""
+    return sum((F.bit_count(F.get(a, F.lit(k)) if b is None else F.get(a, F.lit(k)).bitwiseAND(F.get(b, F.lit(k)))) for k in range(MAP)), F.lit(0))
+
+
+def compared(pairs: DataFrame, sets: DataFrame, threshold: float, maps: bool = False) -> DataFrame:
     """``a, b, common, similar``: the strips that two sets share, and whether their weighted Jaccard
-    similarity is at least the threshold."""
+    similarity is at least the threshold.  With ``maps`` also ``n_a, n_b``, the sets' sizes, and ``lost_a, lost_b``,
+    maps of each set's strips that the other hasn't."""
     both = pairs.join(sets.select(F.col("node").alias("a"), F.col("ids").alias("x")), "a") \
         .join(sets.select(F.col("node").alias("b"), F.col("ids").alias("y")), "b")
     common = F.size(F.array_intersect("x", "y"))
-    return both.select("a", "b", common.alias("common"), (common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).alias("similar"))
+    more = [F.size("x").alias("n_a"), F.size("y").alias("n_b"), lost_map(F.array_except("x", "y")).alias("lost_a"),
+            lost_map(F.array_except("y", "x")).alias("lost_b")] if maps else []
+    return both.select("a", "b", common.alias("common"), (common >= threshold * (F.size("x") + F.size("y") - common) - 1e-9).alias("similar"), *more)
 
 
 def _possible(n: str, shared: str, m: str, other: str, threshold: float) -> Column:
@@ -205,7 +225,7 @@ def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     leads = members.where("node = leader").select("key", F.col("weight").alias("lead_weight"), F.col("shared").alias("lead_shared"))
     near = members.join(leads, "key").where((F.col("node") != F.col("leader")) & _possible("weight", "shared", "lead_weight", "lead_shared", threshold))
     star = materialize(near.select(F.least("leader", "node").alias("a"), F.greatest("leader", "node").alias("b")).distinct(), "pairs")
-    star = materialize(compared(star, sets, threshold), "compared")
+    star = materialize(compared(star, sets, threshold, maps=True), "compared")
     links = star.where("similar").select("a", "b")
     comps = connected_components(links)
     cross = _cross_pairs(members, star, comps, threshold)
@@ -229,25 +249,32 @@ def _cross_pairs(members: DataFrame, star: DataFrame, comps: DataFrame, threshol
     joined with the members of the other components, so a large component isn't joined with itself.
     What two members share lies inside or outside any third set, their pivot: inside, it is at most the
     lesser of what they share with the pivot, outside, the lesser of what else they share with any.  A
-    member's pivot is the leader of its buckets that meets the most others.
+    member's pivot is the leader of its buckets that meets the most others.  Members with one pivot also
+    miss in common at most as many of its strips as their maps of these have equal bits, and one more for
+    each strip that a map's bits don't count; what either misses they don't share.
     """
-    met = star.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "common")
+    met = star.select(F.col("a").alias("_a"), F.col("b").alias("_b"), "common", "n_a", "n_b", "lost_a", "lost_b")
     pair = (F.least("leader", "node") == F.col("_a")) & (F.greatest("leader", "node") == F.col("_b"))
-    known = members.join(met, pair, "left").withColumn("inside", F.when(F.col("leader") == F.col("node"), F.col("weight")).otherwise(F.col("common")))
-    known = materialize(known.drop("_a", "_b", "common"), "known")
-    pivots = known.where("inside IS NOT NULL").groupBy("node").agg(F.max(F.struct("lead_met", "leader", "inside")).alias("best"))
-    pivots = materialize(pivots.select("node", F.col("best.leader").alias("pivot"), F.col("best.inside").alias("inside")), "pivots")
-    labelled = known.drop("inside").join(pivots, "node", "left").join(comps, "node", "left") \
-        .select("key", "node", "weight", "shared", "pivot", "inside", F.coalesce("comp", "node").alias("comp"))
+    own, first = F.col("leader") == F.col("node"), F.col("leader") == F.col("_a")
+    known = members.join(met, pair, "left").withColumn("inside", F.when(own, F.col("weight")).otherwise(F.col("common"))) \
+        .withColumn("whole", F.when(own, F.col("weight")).when(first, F.col("n_a")).otherwise(F.col("n_b"))) \
+        .withColumn("lost", F.when(own, F.array_repeat(F.lit(0).cast("long"), MAP)).when(first, F.col("lost_a")).otherwise(F.col("lost_b")))
+    known = materialize(known.drop(*met.columns), "known")
+    pivots = known.where("inside IS NOT NULL").groupBy("node").agg(F.max(F.struct("lead_met", "leader", "inside", "whole", "lost")).alias("best"))
+    pivots = materialize(pivots.select("node", F.col("best.leader").alias("pivot"), "best.inside", "best.whole", "best.lost"), "pivots")
+    labelled = known.drop("inside", "whole", "lost").join(pivots, "node", "left").join(comps, "node", "left") \
+        .select("key", "node", "weight", "shared", "pivot", "inside", "whole", "lost", F.coalesce("comp", "node").alias("comp"))
     labelled = materialize(labelled, "labelled")
     parts = labelled.groupBy("key", "comp").count()
     main = parts.groupBy("key").agg(F.max(F.struct("count", "comp")).alias("m"), F.count(F.lit(1)).alias("n")).where("n > 1") \
         .select("key", F.col("m.comp").alias("main"))
     mixed = materialize(labelled.join(main, "key"), "mixed")
     rest = mixed.where("comp != main").select("key", F.col("node").alias("p"), F.col("weight").alias("pw"), F.col("shared").alias("ps"),
-                                              F.col("inside").alias("pi"), F.col("pivot").alias("pp"), F.col("comp").alias("pc"))
+                                              F.col("inside").alias("pi"), F.col("pivot").alias("pp"), F.col("lost").alias("pl"), F.col("comp").alias("pc"))
     outside = F.least(F.col("ps") - F.col("pi"), F.col("shared") - F.col("inside"))
-    most = F.least("pi", "inside") + outside
+    uncounted = F.least(F.col("whole") - F.col("pi") - bits(F.col("pl")), F.col("whole") - F.col("inside") - bits(F.col("lost")))
+    both_lost = bits(F.col("pl"), F.col("lost")) + uncounted
+    most = F.least(F.col("pi"), F.col("inside"), F.col("pi") + F.col("inside") - F.col("whole") + both_lost) + outside
     enough = threshold / (1 + threshold) * (F.col("pw") + F.col("weight")) - F.lit(1e-9)
     pairs = rest.join(mixed, "key").where((F.col("pc") != F.col("comp")) & _possible("pw", "ps", "weight", "shared", threshold)
                                           & F.coalesce((F.col("pp") != F.col("pivot")) | (most >= enough), F.lit(True)))

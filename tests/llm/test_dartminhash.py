@@ -97,3 +97,21 @@ def test_components(spark):
     links = [(i, i + 1) for i in range(1, 40)] + [(101, 100), (101, 102), (200, 200), (301, 300)]
     rows = connected_components(spark.createDataFrame(links, "a long, b long")).collect()
     assert {r.node: r.comp for r in rows} == {**{i: 1 for i in range(1, 41)}, 100: 100, 101: 100, 102: 100, 300: 300, 301: 300}
+
+
+def test_copies_just_below_the_threshold_are_not_all_compared(spark, monkeypatch):
+    """Forty copies that each differ from the text at seven words, one of them a change that others have too: every pair
+    has enough in common with the text and outside it, but they miss different strips."""
+    rng = random.Random(4)
+    base = [f"w{i}" for i in range(300)]
+    rows = [(0, " ".join(base))]
+    for d in range(1, 41):
+        words = list(base)
+        for i in rng.sample(range(3, 33), 6):
+            words[i * 9] = f"u{d}"
+        words[4 + 288 * (d % 2)] = "q"
+        rows.append((d, " ".join(words)))
+    seen, real = [], D._cross_pairs
+    monkeypatch.setattr(D, "_cross_pairs", lambda *a: seen.append(real(*a)) or seen[0])
+    assert got(D.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))) == classes(rows)
+    assert seen[0].count() < 40
