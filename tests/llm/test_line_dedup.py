@@ -1,7 +1,11 @@
 import random
 import re
+import time
+
+from pyspark.sql import functions as F
 
 from tessera.llm import line_dedup as L
+from tessera.session import CLEANUP_CONF
 
 SPACES = re.compile(r"[\x20\x09-\x0D]+")
 
@@ -63,3 +67,29 @@ def test_edges(spark):
     assert out == sorted([(False, 2, "", 7), (False, 3, "", 7), (False, 1, "a b\n", 4), (False, 4, "x", 1), (False, 5, long, 7),
                           (False, 7, "p q", 7), (False, 7, "p q", 7), (True, 0, "", 7), (False, 9, "\n\n", 7)])
     assert L.line_verdicts(docs.limit(0)).count() == 0 and L.drop_lines(docs.limit(0)).count() == 0
+
+
+def test_tables_leave_no_shuffle_files(spark):
+    """Files of earlier shuffles stayed until the driver collected garbage, several times the input on disk."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+    kept = spark.conf.get(CLEANUP_CONF, None)
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle")}
+    before = shuffles()
+    out = L.written(spark.range(5000).groupBy((F.col("id") % 700).alias("k")).count(), "t")
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffles() <= before and out.count() == 700
+    assert spark.conf.get(CLEANUP_CONF, None) == kept
+
+
+def test_maps_of_halves_rule_out_pairs(spark):
+    """Sets whose words' bits agree but lie in other halves: the map of all words can't tell them apart."""
+    rows = [(1, 6, 0b111111, 0), (2, 6, 0, 0b111111), (3, 6, 0b111111, 0)]
+    classes = spark.createDataFrame(rows, "c long, n int, even long, odd long")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
+    assert [tuple(r) for r in L._close(pairs, classes, 0.8).collect()] == [(1, 3)]
