@@ -30,12 +30,14 @@ from pyspark.sql import functions as F
 
 from tessera.llm.mixing import uniform
 from tessera.llm.words import FOLD, U, chunks, mix
-from tessera.session import materialize
+from tessera.session import bound_batches, materialize
 
 SLOTS = 1 << 16
 MAX_LABELS = 20_000
 SMOOTHING = 5.0
 GOOD_COST = 10.0
+#: Bytes of text that are turned into features at once: a word takes some 500 bytes of arrays then.
+MAX_BYTES = 1 << 18
 
 _KIND = np.zeros(256, np.int64)
 _KIND[65:91] = 1
@@ -130,7 +132,7 @@ def _counted(batches):
     raw, target = np.zeros(SLOTS, np.int64), np.zeros(SLOTS, np.int64)
     for b in batches:
         is_target = b.column("target").to_numpy(zero_copy_only=False).astype(bool)
-        for c in chunks(b.column("text")):
+        for c in chunks(b.column("text"), MAX_BYTES):
             doc, slot = features(c)
             raw += np.bincount(slot, minlength=SLOTS)
             target += np.bincount(slot[is_target[c.first:c.first + c.n][doc]], minlength=SLOTS)
@@ -148,7 +150,7 @@ def free(name: str, taken: list[str]) -> str:
 def _weighing(ratio: np.ndarray, passed: list[str], names: list[str]):
     def run(batches):
         for b in batches:
-            for c in chunks(b.column("text")):
+            for c in chunks(b.column("text"), MAX_BYTES):
                 w, n = weigh(ratio, c)
                 part = b.slice(c.first, c.n)
                 yield pa.RecordBatch.from_arrays([*(part.column(x) for x in passed), pa.array(w), pa.array(n.astype(np.int64))], names=[*passed, *names])
@@ -158,6 +160,7 @@ def _weighing(ratio: np.ndarray, passed: list[str], names: list[str]):
 def weighed(docs: DataFrame, ratio: np.ndarray, passed: list[str]) -> DataFrame:
     """``passed`` columns of ``docs`` (its column ``text`` is read), ``log_weight`` and ``n_grams`` (see ``free``
     for tables that have such columns themselves)."""
+    bound_batches(docs.sparkSession)
     names = [free(x, passed) for x in ("log_weight", "n_grams")]
     cols = list(dict.fromkeys([*passed, "text"]))
     kinds = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*passed).schema)
@@ -166,6 +169,7 @@ def weighed(docs: DataFrame, ratio: np.ndarray, passed: list[str]) -> DataFrame:
 
 def fit(docs: DataFrame, labels: DataFrame, max_labels: int = MAX_LABELS) -> Model:
     """Both models: one pass over all documents brings two counts a slot to the driver."""
+    bound_batches(docs.sparkSession)
     sample = label_sample(labels, max_labels)
     target = sample.where("good = 1 AND fold < 4").select("doc_id", F.lit(True).alias("target"))
     marked = docs.select("doc_id", "text").join(F.broadcast(target), "doc_id", "left") \

@@ -1,7 +1,9 @@
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import importance as I
 
@@ -73,3 +75,15 @@ def test_kth_largest(spark, k):
     values = np.concatenate([np.random.default_rng(1).standard_cauchy(900) ** 3, np.full(100, 0.25)])
     df = spark.createDataFrame([(float(v),) for v in values], "v double")
     assert I.kth_largest(df, "v", k, steps=16) == np.sort(values)[-k]
+
+
+def test_texts_reach_the_workers_in_small_batches(spark):
+    """A batch is bounded by its bytes: 10,000 texts of any length took several hundred MB an executor."""
+    docs = spark.range(3000, numPartitions=1).select(F.col("id").alias("doc_id"), F.repeat(F.lit("word and more "), 200).alias("text"))
+    I.weighed(docs, np.zeros(I.SLOTS), ["doc_id"])
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+    n = [r.n for r in docs.mapInArrow(sizes, "n long").collect()]
+    assert sum(n) == 3000 and max(n) <= 1000
