@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.importance import kth_largest
 from tessera.llm.words import BYTES, FOLD, SPACE, Chunk, U, chunks, mix, signed, spans_hash
-from tessera.session import materialize
+from tessera.session import written
 
 ORDER = 8
 DISCOUNT = 0.75
@@ -215,7 +215,7 @@ def lower_orders(grams: DataFrame) -> DataFrame:
     endings = grams.select("packed", size.alias("size")).where("size > 1").select("packed", F.explode(F.sequence(F.lit(1), F.col("size") - 1)).alias("n"))
     longer = endings.select("n", _last(F.col("packed"), F.col("n") + 1).alias("x")).distinct()
     types = longer.groupBy("n", _last(F.col("x"), F.col("n")).alias("id")).agg(F.count(F.lit(1)).alias("types")).withColumn("back", F.shiftrightunsigned("id", 8))
-    types = materialize(types, "orders")
+    types = written(types, "orders")
     totals = types.groupBy("n", "back").agg(F.sum("types").alias("total"), F.count(F.lit(1)).alias("kinds"))
     first = F.col("n") == 1
     a = F.when(first, F.col("types") / F.col("total")).otherwise((F.col("types") - DISCOUNT) / F.col("total"))
@@ -234,10 +234,11 @@ def lower_orders(grams: DataFrame) -> DataFrame:
 def ratios(grams: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``key, ratio`` of ``key, context, toxic, ordinary, lower``: the log ratio of the classes' interpolated
     models, ``lower`` being the probability that they share; and ``context, ratio`` of any other gram."""
+    grams = written(grams, "named")  # read twice
     sums = [x for k in ("toxic", "ordinary") for x in (F.sum(k).alias(f"n_{k}"), F.count_if(F.col(k) > 0).alias(f"types_{k}"))]
     # one unseen gram is added to every context, so that classes that never saw it back off alike
     rest = {k: ((DISCOUNT * F.col(f"types_{k}") + 1) / (F.col(f"n_{k}") + 1)).alias(f"rest_{k}") for k in ("toxic", "ordinary")}
-    contexts = materialize(grams.groupBy("context").agg(*sums).select("context", "n_toxic", "n_ordinary", *rest.values()), "contexts")
+    contexts = written(grams.groupBy("context").agg(*sums).select("context", "n_toxic", "n_ordinary", *rest.values()), "contexts")
 
     def p(k: str) -> Column:
         seen = F.greatest(F.col(k) - DISCOUNT, F.lit(0.0)) / (F.col(f"n_{k}") + 1)
@@ -331,7 +332,7 @@ def label_sample(labels: DataFrame, max_labels: int) -> DataFrame:
     fold = (F.crc32(F.col("doc_id").cast("string")) % 5).cast("int")
     one = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull()).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     place = (-F.shiftright(F.xxhash64("doc_id", F.lit(4)), 11)).cast("double")
-    one = materialize(one.withColumn("fold", fold).where("fold != 0").withColumn("place", place), "labels")
+    one = written(one.withColumn("fold", fold).where("fold != 0").withColumn("place", place), "labels")
     kept = F.lit(True)
     for r in one.groupBy("toxic").count().collect():
         if r["count"] > max_labels:
@@ -343,7 +344,7 @@ def _summed(counted: DataFrame, counter, names: list[str]) -> DataFrame:
     """The summed counts of all distinct grams, written once."""
     counts = ["toxic", "ordinary"]
     found = counted.mapInArrow(_counted(counter, names), ", ".join(f"{x} long" for x in names))
-    return materialize(found.groupBy(*(x for x in names if x not in counts)).agg(*(F.sum(x).alias(x) for x in counts)), "grams")
+    return written(found.groupBy(*(x for x in names if x not in counts)).agg(*(F.sum(x).alias(x) for x in counts)), "grams")
 
 
 def spelling(counted: DataFrame) -> tuple[Lookup, Lookup]:
@@ -357,14 +358,14 @@ def spelling(counted: DataFrame) -> tuple[Lookup, Lookup]:
 def pair_model(counted: DataFrame) -> tuple[Lookup, Lookup]:
     """The ratios of words after the word before them, and of other words, from ``text, toxic``."""
     pairs = _summed(counted, count_pairs, _PAIR)
-    times = materialize(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("times")), "words")
+    times = written(pairs.groupBy("word").agg(F.count(F.lit(1)).alias("times")), "words")
     total = times.agg(F.sum("times")).first()[0]
     found = ratios(pairs.join(times, "word").withColumn("lower", F.col("times") / F.lit(total)))
     return tuple(_lookup(x) for x in found)
 
 
 def _lookup(found: DataFrame, key=lambda x: x) -> Lookup:
-    keys, values = _arrays(found).values()
+    keys, values = _arrays(written(found, "ratios")).values()
     return Lookup(key(np.ascontiguousarray(keys).view(U)), values)
 
 
@@ -382,7 +383,7 @@ def _fitted(docs: DataFrame, labels: DataFrame, max_labels: int):
     sizes = {r[0]: r[1] for r in sample.groupBy("toxic").count().collect()}
     if len(sizes) < 2:
         return none, context.broadcast(none)
-    labelled = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "toxic", "fold"])
+    labelled = written(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").dropDuplicates(["text", "toxic", "fold"]), "labelled")
     counted = labelled.where("fold < 4").select("text", "toxic")
     model = Model(*spelling(counted), none.weights, *pair_model(counted))
     box = context.broadcast(model)

@@ -1,4 +1,5 @@
 import math
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -146,3 +147,21 @@ def test_single_documents_and_phrases_count(spark):
     (probe,) = chunks(pa.array(["road green", "road far"]))
     after = model.followed(T.plain(probe))
     assert after[1] > 0.5 > 0 > after[3]
+
+
+def test_models_leave_no_shuffle_files(spark):
+    """The shuffle files of all steps stayed until the driver collected garbage, over four times the input on disk."""
+    manager = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager()
+
+    def shuffles():
+        files = manager.getAllFiles()
+        return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle")}
+    rows = [("the idiot theme %d" % i, i % 2) for i in range(40)]
+    df = spark.createDataFrame(rows, "text string, toxic int")
+    before = shuffles()
+    T.spelling(df)
+    for _ in range(50):
+        if shuffles() <= before:
+            break
+        time.sleep(0.2)
+    assert shuffles() <= before
