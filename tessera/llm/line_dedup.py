@@ -18,21 +18,21 @@ Rows that agree in doc_id and text are one document and lose the same lines.  Ex
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.sizes import small
-from tessera.session import materialize
+from tessera.session import written
 
 THRESHOLD = 0.8
 SLOTS = 1 << 19
 #: Rows (of 8 to 50 bytes) of a lookup table that may be broadcast.
 MAX_BROADCAST = 500_000
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """A table of ``df``, and no shuffle files besides: they'd hold several times the input by the last step."""
-    return materialize(df, name, clean=True)
+#: The prefixes' words are joined in so many parts, one after another: the shuffle files of one part are on disk at a time.
+PARTS = 4
 
 
 def words(text: Column) -> Column:
@@ -87,11 +87,12 @@ def prefix_size(n: Column, threshold: float) -> Column:
     return (n - F.ceil(threshold * n - 1e-9) + 1).cast("int")
 
 
-def _entries(classes: DataFrame) -> DataFrame:
-    """``token, x`` of each word of a class's prefix that other lines have as well."""
+def _entries(classes: DataFrame, part: int) -> DataFrame:
+    """``token, x`` of each word of a class's prefix that other lines have as well, of one of ``PARTS`` parts of the
+    words.  Dealt by word once a part: both sides of a join read the same exchange."""
     doc = F.coalesce(F.col("first.doc_id"), F.lit((1 << 63) - 1)).alias("doc")
-    return classes.select("c", doc, "n", F.col("even").bitwiseOR(F.col("odd")).alias("bits"), F.posexplode("prefix").alias("p", "token")).where("token IS NOT NULL") \
-        .select("token", F.struct("doc", "c", "n", "bits", "p").alias("x"))
+    return classes.select("c", doc, "n", F.col("even").bitwiseOR(F.col("odd")).alias("bits"), F.posexplode("prefix").alias("p", "token")).where(F.pmod("token", F.lit(PARTS)) == part) \
+        .select("token", F.struct("doc", "c", "n", "bits", "p").alias("x")).repartition("token")
 
 
 def _possible(a: Column, b: Column, threshold: float) -> Column:
@@ -105,6 +106,28 @@ def _possible(a: Column, b: Column, threshold: float) -> Column:
     return (a["c"] != b["c"]) & sizes & (rest >= enough) & (common >= enough)
 
 
+_ORDERED = ["least(lead.c, x.c) AS a", "greatest(lead.c, x.c) AS b"]
+
+
+def _near(entries: DataFrame, threshold: float) -> DataFrame:
+    """The possible pairs ``a, b`` of a class and the earliest class of a word of its prefix."""
+    leaders = entries.groupBy("token").agg(F.min("x").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
+    return entries.join(leaders, "token").where(_possible(F.col("lead"), F.col("x"), threshold)).selectExpr(*_ORDERED)
+
+
+def _rest(entries: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
+    """The possible pairs of a class that isn't settled and any earlier class of a word of its prefix."""
+    unsettled = entries.join(settled, F.col("x.c") == F.col("c"), "left_anti")
+    both = entries.withColumnRenamed("x", "lead").join(unsettled, "token")
+    return both.where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold)).selectExpr(*_ORDERED)
+
+
+def _in_parts(pairs: Callable[[int], DataFrame]) -> DataFrame:
+    """The distinct pairs of all parts."""
+    found = [written(pairs(part).distinct(), "part") for part in range(PARTS)]
+    return written(reduce(DataFrame.union, found).distinct(), "pairs")
+
+
 def _close(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
     """The pairs that the maps of both halves' words don't rule out: the whole sets are only fetched for these."""
     def side(c: str) -> DataFrame:
@@ -150,16 +173,10 @@ def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no")
     classes = lines.where("n > 0").groupBy("c").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("even").alias("even"), F.first("odd").alias("odd"), F.first("prefix").alias("prefix"))
     classes = written(classes, "classes")
-    # dealt by word once a round: both sides of a round's join read the same exchange
-    entries = _entries(classes).repartition("token")
-    leaders = entries.groupBy("token").agg(F.min("x").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    near = entries.join(leaders, "token").where(_possible(F.col("lead"), F.col("x"), threshold))
-    ordered = [F.least("lead.c", "x.c").alias("a"), F.greatest("lead.c", "x.c").alias("b")]
-    pairs = written(near.select(*ordered).distinct(), "pairs")
+    pairs = _in_parts(lambda part: _near(_entries(classes, part), threshold))
     later = written(_later(pairs, exploded, classes, levels, threshold), "later")
-    unsettled = entries.join(small(later, MAX_BROADCAST), F.col("x.c") == F.col("c"), "left_anti")
-    rest = entries.withColumnRenamed("x", "lead").join(unsettled, "token").where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold))
-    rest = written(rest.select(*ordered).distinct().join(pairs, ["a", "b"], "left_anti"), "pairs")
+    settled = small(later, MAX_BROADCAST)
+    rest = written(_in_parts(lambda part: _rest(_entries(classes, part), settled, threshold)).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
         later = written(later.union(_later(rest, exploded, classes, levels, threshold)).distinct(), "later")
     firsts = classes.join(later, "c", "left_anti").select("first.doc_id", "first.text_hash", "first.line_no")

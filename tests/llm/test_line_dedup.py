@@ -93,3 +93,21 @@ def test_maps_of_halves_rule_out_pairs(spark):
     classes = spark.createDataFrame(rows, "c long, n int, even long, odd long")
     pairs = spark.createDataFrame([(1, 2), (1, 3), (2, 3)], "a long, b long")
     assert [tuple(r) for r in L._close(pairs, classes, 0.8).collect()] == [(1, 3)]
+
+
+def test_pairs_are_joined_in_parts(spark, monkeypatch):
+    """Every word's entries were dealt at once: with the tables beside them, over three times the input on disk."""
+    rng = random.Random(4)
+    rows = [(d, "\n".join(" ".join(rng.sample([f"w{i}" for i in range(40)], rng.choice((4, 5, 6)))) for _ in range(4))) for d in range(80)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    entries, dealt = L._entries, []
+
+    def seen(classes, part):
+        out = entries(classes, part)
+        dealt.append((part, {r.token for r in out.select("token").distinct().collect()}))
+        return out
+    monkeypatch.setattr(L, "_entries", seen)
+    assert got(L.line_verdicts(docs)) == want(rows)
+    first, second = dealt[:L.PARTS], dealt[L.PARTS:]
+    assert first == second and len(first) == L.PARTS > 1
+    assert all(0 < len(t) < 40 / 2 for _, t in first) and sum(len(t) for _, t in first) == len(set().union(*(t for _, t in first)))
