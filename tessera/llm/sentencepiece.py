@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 
 META = "▁"
 #: Distinct parts kept by a task's encoder, in each of two generations.
-CACHE = 200_000
-#: Distinct words kept with their ids and spelling.
+CACHE = 60_000
+#: Distinct words kept with their ids.
 WORDS = 400_000
 #: Pairs of pieces of which it is kept whether they may be neighbours.
 PAIRS = 400_000
@@ -117,7 +117,8 @@ class Transducer:
         self._beside: dict[tuple[str, str], bool] = {}
         self.spaced = False
         self._parts = self._cut_pattern()
-        self._known: dict[str, tuple[list[int], str]] = {}
+        self._known: dict[str, tuple[int, ...]] = {}
+        self._respelled: dict[str, str] = {}
         self._tree = self._piece_tree() if self.bpe else {}
         self._previous: dict[str, tuple[str, list[str | None]]] = {}
         self._inside = {x for p in self.ids for x in zip(p, p[1:])}
@@ -320,17 +321,27 @@ class Transducer:
             out = [i for at, i in enumerate(out) if i != self.unknown or not at or out[at - 1] != i]
         return out
 
-    def _words(self, words: list[str]) -> list[tuple[list[int], str]]:
-        """For each of some distinct words, the ids of the word with a space before it and what they decode to."""
-        known, fresh = self._known, {}
+    def _shared(self, part: str) -> tuple[int, ...]:
+        """The ids of a part, in the cache's own tuple if it has the whole part."""
+        ids = self._part(part)
+        return self._young.get(part) or tuple(ids)
+
+    def _words(self, words: list[str]) -> tuple[list[tuple[int, ...]], list[str]]:
+        """For each of some distinct words, the ids of the word with a space before it, and what they decode to.  Of
+        the known ones only the ids are kept, in the tuple that the cache of parts has, and other spellings than their own."""
+        known, fresh, odd = self._known, {}, {}
         for w in sorted(w for w in words if w not in known):  # those that begin alike come together
-            ids: list[int] = []
-            for part in self._parts.findall(META + w):
-                ids += self._young.get(part) or self._part(part)
-            fresh[w] = ids, self._spelled(ids)
-        out = [known.get(w) or fresh[w] for w in words]
-        kept = {w: x for w, x in fresh.items() if len(w) < 64}
-        self._known = known | kept if len(known) + len(kept) <= WORDS else kept
+            parts = self._parts.findall(META + w)
+            found = [self._young.get(part) or self._shared(part) for part in parts]
+            fresh[w] = ids = found[0] if len(found) == 1 else tuple(chain.from_iterable(found))
+            if (spelled := self._spelled(ids)) != " " + w:
+                odd[w] = spelled
+        other = self._respelled | odd if odd else self._respelled
+        out = [known.get(w) or fresh[w] for w in words], [other.get(w) or " " + w for w in words]
+        if len(known) + len(fresh) > WORDS:
+            self._known, self._respelled = {}, {}
+        self._known.update((w, x) for w, x in fresh.items() if len(w) < 64)
+        self._respelled.update((w, x) for w, x in odd.items() if len(w) < 64)
         return out
 
     def plain(self, texts: pa.Array) -> pa.Array:
@@ -350,14 +361,14 @@ class Transducer:
         split = pc.split_pattern(texts.cast(pa.large_string()), " ")
         bounds = split.offsets.to_numpy()
         words = split.flatten().dictionary_encode()
-        each = self._words(words.dictionary.to_pylist())
-        size = np.array([len(i) for i, _ in each], np.int64)
-        ids = np.fromiter(chain.from_iterable(i for i, _ in each), np.int32, int(size.sum()))
+        each, spelling = self._words(words.dictionary.to_pylist())
+        size = np.array([len(i) for i in each], np.int64)
+        ids = np.fromiter(chain.from_iterable(each), np.int32, int(size.sum()))
         code = words.indices.to_numpy()
         n, first = size[code], (np.cumsum(size) - size)[code]
         end = np.concatenate([[0], np.cumsum(n)])
         at = np.arange(end[-1]) + np.repeat(first - end[:-1], n)
-        spelled = pa.array([w for _, w in each], pa.large_string()).take(words.indices)
+        spelled = pa.array(spelling, pa.large_string()).take(words.indices)
         bounds = bounds - bounds[0]
         _, offsets, data = spelled.buffers()  # the words lie end to end, so a text is the bytes between two of them
         offsets = np.frombuffer(offsets, np.int64)[spelled.offset:][bounds]
@@ -424,6 +435,8 @@ def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 def _encoded(content: bytes, passed: list[str]):
     def run(batches):
+        gc.collect()  # the worker may have served other steps, whose buffers it still holds
+        pa.default_memory_pool().release_unused()
         t = compiled(content)
         for b in batches:
             for at, n in _slices(b.column("text")):

@@ -61,6 +61,18 @@ def test_small_cache_gives_the_same(content, model, monkeypatch):
     assert small.encode(text) == model.encode(text) and len(small._young) <= 5
 
 
+def test_known_words_keep_ids_only(content, reference):
+    """Each known word had a list of its own, a pair and its spelling besides the cached part: twice the memory."""
+    import pyarrow as pa
+    t = S.Transducer(content)
+    texts = ["the thing thinks", "a thing \u2047 \x01", "then the thing"]
+    for _ in range(2):
+        ids, decoded = t.encode_all(pa.array(texts, pa.string()))
+        assert ids.to_pylist() == [reference.encode(x) for x in texts] and decoded.to_pylist() == texts
+    assert len(t._known) == 7 and all(t._known[w] is t._young[S.META + w] for w in ("the", "thing", "thinks", "a", "then"))
+    assert not t._respelled
+
+
 def field(number, value):
     head = bytes([number << 3 | 2, len(value)]) if isinstance(value, bytes) else bytes([number << 3, value])
     return head + (value if isinstance(value, bytes) else b"")
