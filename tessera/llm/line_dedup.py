@@ -3,16 +3,15 @@
 A line is the set of its lower-case words.  Words are ordered by rarity (counted over all documents
 in ``SLOTS`` hashed counters, so the table has a fixed size), each line's first words in that order
 are its prefix, and two lines can only be similar if their prefixes share a word.  Sharing pairs pass
-the length filter, the positional filter and a filter on 64-bit maps of their words (bits that differ
-are words that aren't shared), then a filter on two such maps, each of one half of the words, then their
-whole sets are compared: a line goes if an earlier line
+the length filter, the positional filter and a filter on two 64-bit maps, each of one half of the words
+(bits that differ are words that aren't shared), then their whole sets are compared: a line goes if an earlier line
 (smaller doc_id, null last; in the same document an earlier line) has a Jaccard similarity of
 ``threshold`` or more.  Lines are judged on the input, not on what is left.
 
 Equal sets are joined as one class, so copies aren't multiplied.  A class is first compared with the
 earliest class of each word of its prefix; only classes that this doesn't settle are joined with all
-earlier ones, so a large group of similar lines isn't joined with itself.  Words are compared by 57
-bits of their hash, sets by 64.  Wordless lines stay.  Null and empty texts have no lines to lose.
+earlier ones, so a large group of similar lines isn't joined with itself.  Texts are split once, into
+sets of 64-bit hashes that are written with the lines; words and sets are compared by these.  Wordless lines stay.  Null and empty texts have no lines to lose.
 Rows that agree in doc_id and text are one document and lose the same lines.  Extra columns don't matter.
 """
 
@@ -21,7 +20,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.llm.sizes import small
@@ -33,6 +32,8 @@ SLOTS = 1 << 19
 MAX_BROADCAST = 500_000
 #: The prefixes' words are joined in so many parts, one after another: the shuffle files of one part are on disk at a time.
 PARTS = 4
+#: Bytes of distinct words that a file of lines may keep as a dictionary: their places in it take a third of the hashes' bytes.
+DICTIONARY = 1 << 23
 
 
 def words(text: Column) -> Column:
@@ -43,33 +44,32 @@ def words(text: Column) -> Column:
     return F.split(text, " ")
 
 
-def rarity(docs: DataFrame) -> Column:
-    """A literal of ``SLOTS`` bytes: a letter for the whole log2 of the number of words that hash to each
-    slot, A for one word or none.  The driver gets it as strings of 4096 slots each."""
-    spark = docs.sparkSession
-    word = docs.select(F.explode(words(F.col("text"))).alias("w")).where("w != ''")
-    counts = word.groupBy(F.xxhash64("w").bitwiseAND(F.lit(SLOTS - 1)).alias("id")).count()
-    level = F.char(F.lit(65) + F.coalesce(F.floor(F.log2("count") + 1e-12), F.lit(0)))
+def token_set(line: Column) -> Column:
+    """The sorted set of the hashes of a line's words."""
+    return F.sort_array(F.array_distinct(F.transform(F.array_remove(words(line), ""), lambda w: F.xxhash64(w))))
+
+
+def rarity(lines: DataFrame) -> Column:
+    """A literal array of ``SLOTS`` numbers: the whole log2 of the number of ``tokens`` that fall into each slot, 0 for
+    one line's word or none.  The driver gets it as strings of 4096 slots each."""
+    spark = lines.sparkSession
+    counts = lines.select(F.explode("tokens").alias("t")).groupBy(F.col("t").bitwiseAND(F.lit(SLOTS - 1)).alias("id")).count()
+    level = F.coalesce(F.floor(F.log2("count") + 1e-12), F.lit(0)).cast("string")
     every = spark.range(SLOTS).join(counts, "id", "left").select(F.shiftright("id", 12).alias("part"), "id", level.alias("level"))
     parts = every.groupBy("part").agg(F.array_sort(F.collect_list(F.struct("id", "level"))).alias("x")) \
-        .select("part", F.array_join(F.col("x.level"), "").alias("levels"))
-    return F.lit("".join(r.levels for r in sorted(parts.collect())).encode())
-
+        .select("part", F.array_join(F.col("x.level"), ",").alias("levels"))
+    return F.split(F.lit(",".join(r.levels for r in sorted(parts.collect()))), ",").cast("array<bigint>")
 
-def token_set(line: Column, levels: Column) -> Column:
-    """The sorted set of a line's words as longs: rarity level in the upper 6 bits, hash in the rest."""
-    hashes = F.array_distinct(F.transform(F.array_remove(words(line), ""), lambda w: F.xxhash64(w)))
 
+def by_rarity(tokens: Column, levels: Column) -> Column:
+    """The tokens in the order of their rarity, as longs: rarity level in the upper 6 bits, hash in the rest."""
     def keyed(h: Column) -> Column:
-        letter = F.substring(levels, h.bitwiseAND(F.lit(SLOTS - 1)).cast("int") + 1, 1)
-        level = F.ascii(letter.cast("string")) - 65
-        return F.shiftleft(level.cast("long"), 57).bitwiseOR(F.shiftrightunsigned(h, 7))
-    return F.sort_array(F.transform(hashes, keyed))
+        return F.shiftleft(levels[h.bitwiseAND(F.lit(SLOTS - 1)).cast("int")], 57).bitwiseOR(F.shiftrightunsigned(h, 7))
+    return F.sort_array(F.transform(tokens, keyed))
 
 
 def word_map(tokens: Column, half: int) -> Column:
-    """64 bits, one set for each word's hash, of the words that fall into a half (0 or 1).  Both maps or-ed are the
-    map of all words."""
+    """64 bits, one set for each word's hash, of the words that fall into a half (0 or 1)."""
     one = F.lit(1).cast("long")
 
     def add(s: Column, t: Column) -> Column:
@@ -79,8 +79,9 @@ def word_map(tokens: Column, half: int) -> Column:
 
 
 def _exploded(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"),
-                       F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    """``doc_id, text_hash, line_no, line``; a text is hashed once, not for each of its lines."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), F.split("text", "\n").alias("lines"))
+    return docs.select("doc_id", "text_hash", F.posexplode("lines").alias("line_no", "line"))
 
 
 def prefix_size(n: Column, threshold: float) -> Column:
@@ -88,11 +89,15 @@ def prefix_size(n: Column, threshold: float) -> Column:
 
 
 def _entries(classes: DataFrame, part: int) -> DataFrame:
-    """``token, x`` of each word of a class's prefix that other lines have as well, of one of ``PARTS`` parts of the
-    words.  Dealt by word once a part: both sides of a join read the same exchange."""
+    """``token, doc, c, n, even, odd, p`` of each word of a class's prefix that other lines have as well, of one of
+    ``PARTS`` parts of the words.  Dealt by word once a part: both sides of a join read the same exchange."""
     doc = F.coalesce(F.col("first.doc_id"), F.lit((1 << 63) - 1)).alias("doc")
-    return classes.select("c", doc, "n", F.col("even").bitwiseOR(F.col("odd")).alias("bits"), F.posexplode("prefix").alias("p", "token")).where(F.pmod("token", F.lit(PARTS)) == part) \
-        .select("token", F.struct("doc", "c", "n", "bits", "p").alias("x")).repartition("token")
+    return classes.select("c", doc, "n", "even", "odd", F.posexplode("prefix").alias("p", "token")).where(F.pmod("token", F.lit(PARTS)) == part).repartition("token")
+
+
+def _alike(n: Column, even: Column, odd: Column, threshold: float) -> Column:
+    """The map filter, by the sum of two sizes and the bits that differ in the maps of either half."""
+    return (n - F.bit_count(even) - F.bit_count(odd)) / 2 >= threshold / (1 + threshold) * n - 1e-9
 
 
 def _possible(a: Column, b: Column, threshold: float) -> Column:
@@ -102,24 +107,25 @@ def _possible(a: Column, b: Column, threshold: float) -> Column:
     enough = threshold / (1 + threshold) * both - 1e-9
     sizes = F.least(a["n"], b["n"]) >= threshold * F.greatest(a["n"], b["n"]) - 1e-9
     rest = F.least(a["n"] - a["p"], b["n"] - b["p"])
-    common = (both - F.bit_count(a["bits"].bitwiseXOR(b["bits"]))) / 2
-    return (a["c"] != b["c"]) & sizes & (rest >= enough) & (common >= enough)
+    return (a["c"] != b["c"]) & sizes & (rest >= enough) & _alike(both, a["even"].bitwiseXOR(b["even"]), a["odd"].bitwiseXOR(b["odd"]), threshold)
 
 
+_FIELDS = ("doc", "c", "n", "even", "odd", "p")
 _ORDERED = ["least(lead.c, x.c) AS a", "greatest(lead.c, x.c) AS b"]
 
 
 def _near(entries: DataFrame, threshold: float) -> DataFrame:
     """The possible pairs ``a, b`` of a class and the earliest class of a word of its prefix."""
-    leaders = entries.groupBy("token").agg(F.min("x").alias("lead"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
-    return entries.join(leaders, "token").where(_possible(F.col("lead"), F.col("x"), threshold)).selectExpr(*_ORDERED)
+    so_far = Window.partitionBy("token").orderBy("doc", "c").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    x = F.struct(*_FIELDS)
+    both = entries.select(x.alias("x"), F.first(x).over(so_far).alias("lead"))
+    return both.where(_possible(F.col("lead"), F.col("x"), threshold)).selectExpr(*_ORDERED)
 
 
 def _rest(entries: DataFrame, settled: DataFrame, threshold: float) -> DataFrame:
     """The possible pairs of a class that isn't settled and any earlier class of a word of its prefix."""
-    unsettled = entries.join(settled, F.col("x.c") == F.col("c"), "left_anti")
-    both = entries.withColumnRenamed("x", "lead").join(unsettled, "token")
-    return both.where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold)).selectExpr(*_ORDERED)
+    lead, x = entries.select("token", F.struct(*_FIELDS).alias("lead")), entries.join(settled, "c", "left_anti").select("token", F.struct(*_FIELDS).alias("x"))
+    return lead.join(x, "token").where((F.col("lead.doc") <= F.col("x.doc")) & _possible(F.col("lead"), F.col("x"), threshold)).selectExpr(*_ORDERED)
 
 
 def _in_parts(pairs: Callable[[int], DataFrame]) -> DataFrame:
@@ -129,25 +135,20 @@ def _in_parts(pairs: Callable[[int], DataFrame]) -> DataFrame:
 
 
 def _close(pairs: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
-    """The pairs that the maps of both halves' words don't rule out: the whole sets are only fetched for these."""
+    """Of any pairs ``a, b`` those that the maps don't rule out; the joins by words apply this filter themselves."""
     def side(c: str) -> DataFrame:
         return classes.select(F.col("c").alias(c), *(F.col(x).alias(f"{x}_{c}") for x in ("n", "even", "odd")))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    size = F.col("n_a") + F.col("n_b")
-    differ = F.bit_count(F.col("even_a").bitwiseXOR(F.col("even_b"))) + F.bit_count(F.col("odd_a").bitwiseXOR(F.col("odd_b")))
-    return both.where((size - differ) / 2 >= threshold / (1 + threshold) * size - 1e-9).select("a", "b")
-
+    return both.where(_alike(F.col("n_a") + F.col("n_b"), F.col("even_a").bitwiseXOR(F.col("even_b")), F.col("odd_a").bitwiseXOR(F.col("odd_b")), threshold)).select("a", "b")
 
-def _later(pairs: DataFrame, exploded: DataFrame, classes: DataFrame, levels: Column, threshold: float) -> DataFrame:
-    """``c``: the classes of the pairs ``a, b`` that have a similar earlier one.
 
-    The whole sets are computed again from the lines at the classes' first places."""
-    pairs = written(_close(pairs, classes, threshold), "close")
-    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct()
-    wanted = written(wanted.join(classes.select("c", "first"), "c").select("c", "first", "first.doc_id", "first.text_hash", "first.line_no"), "wanted")
-    some = small(wanted, MAX_BROADCAST).withColumnsRenamed({x: f"_{x}" for x in ("doc_id", "text_hash", "line_no")})
-    same = exploded["doc_id"].eqNullSafe(some["_doc_id"]) & (exploded["text_hash"] == some["_text_hash"]) & (exploded["line_no"] == some["_line_no"])
-    sets = written(exploded.join(some, same).select("c", "first", token_set(F.col("line"), levels).alias("tokens")), "sets")
+def _later(pairs: DataFrame, lines: DataFrame, classes: DataFrame, threshold: float) -> DataFrame:
+    """``c``: the classes of the pairs ``a, b`` that have a similar earlier one, by their whole sets."""
+    wanted = pairs.select(F.col("a").alias("c")).union(pairs.select("b")).distinct().join(classes.select("c", "first"), "c")
+    wanted = written(wanted.select("c", "first", "first.*"), "wanted")
+    some = small(wanted, MAX_BROADCAST).select(F.col("c").alias("_c"), "first", *(F.col(x).alias(f"_{x}") for x in ("doc_id", "text_hash", "line_no")))
+    same = (lines["c"] == some["_c"]) & lines["doc_id"].eqNullSafe(some["_doc_id"]) & (lines["text_hash"] == some["_text_hash"]) & (lines["line_no"] == some["_line_no"])
+    sets = written(lines.join(some, same).select("c", "first", "tokens"), "sets")
     if sets.count() > wanted.count():  # rows that agree in doc_id and text
         sets = written(sets.dropDuplicates(["c"]), "sets")
     both = pairs.join(sets.select(F.col("c").alias("a"), F.col("tokens").alias("x"), F.col("first").alias("fa")), "a") \
@@ -160,25 +161,24 @@ def _later(pairs: DataFrame, exploded: DataFrame, classes: DataFrame, levels: Co
 def line_verdicts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """``doc_id, text_hash, n_lines, removed``: one row for each distinct (doc_id, text), ``removed``
     being the sorted numbers (from 0) of the lines to remove."""
-    levels = rarity(docs)
-    exploded = _exploded(docs)
-    tokens = exploded.withColumn("tokens", token_set(F.col("line"), levels))
-    n = F.size("tokens")
+    tokens = token_set(F.col("line"))
+    lines = _exploded(docs).withColumn("tokens", tokens).withColumn("n", F.size("tokens")) \
+        .select("doc_id", "text_hash", "line_no", F.when(F.col("n") > 0, F.xxhash64("tokens")).alias("c"), "n", "tokens")
+    lines = written(lines, "lines", {"parquet.dictionary.page.size": DICTIONARY})
+    n, (even, odd) = F.col("n"), (word_map(F.col("tokens"), half) for half in (0, 1))
     # a set that is too small to be similar to another set needs no prefix
-    first = F.when(n / (n + 1) >= threshold - 1e-9, F.slice("tokens", 1, prefix_size(n, threshold)))
+    first = F.when(n / (n + 1) >= threshold - 1e-9, F.slice(by_rarity(F.col("tokens"), rarity(lines)), 1, prefix_size(n, threshold)))
     shared = F.transform(first, lambda t: F.when(F.shiftrightunsigned(t, 57) > 0, t.bitwiseAND(F.lit(0x7FFFFFFF)).cast("int")))
-    lines = tokens.select("doc_id", "text_hash", "line_no", F.when(n > 0, F.xxhash64("tokens")).alias("c"), n.alias("n"),
-                          word_map(F.col("tokens"), 0).alias("even"), word_map(F.col("tokens"), 1).alias("odd"), shared.alias("prefix"))
-    lines = written(lines, "lines")
     place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash", "line_no")
-    classes = lines.where("n > 0").groupBy("c").agg(F.min(place).alias("first"), F.first("n").alias("n"), F.first("even").alias("even"), F.first("odd").alias("odd"), F.first("prefix").alias("prefix"))
+    classes = lines.where("n > 0").select("c", place.alias("first"), "n", even.alias("even"), odd.alias("odd"), shared.alias("prefix")) \
+        .groupBy("c").agg(F.min("first").alias("first"), *(F.first(x).alias(x) for x in ("n", "even", "odd", "prefix")))
     classes = written(classes, "classes")
     pairs = _in_parts(lambda part: _near(_entries(classes, part), threshold))
-    later = written(_later(pairs, exploded, classes, levels, threshold), "later")
+    later = written(_later(pairs, lines, classes, threshold), "later")
     settled = small(later, MAX_BROADCAST)
     rest = written(_in_parts(lambda part: _rest(_entries(classes, part), settled, threshold)).join(pairs, ["a", "b"], "left_anti"), "pairs")
     if not rest.isEmpty():
-        later = written(later.union(_later(rest, exploded, classes, levels, threshold)).distinct(), "later")
+        later = written(later.union(_later(rest, lines, classes, threshold)).distinct(), "later")
     firsts = classes.join(later, "c", "left_anti").select("first.doc_id", "first.text_hash", "first.line_no")
     return _by_document(lines, firsts)
 

@@ -111,3 +111,29 @@ def test_pairs_are_joined_in_parts(spark, monkeypatch):
     first, second = dealt[:L.PARTS], dealt[L.PARTS:]
     assert first == second and len(first) == L.PARTS > 1
     assert all(0 < len(t) < 40 / 2 for _, t in first) and sum(len(t) for _, t in first) == len(set().union(*(t for _, t in first)))
+
+
+def test_joins_rule_out_pairs_of_long_lines(spark, monkeypatch):
+    """One map of all words is full for long lines: each two of them that share a rare word were written as a pair."""
+    rng = random.Random(5)
+    rows = [(d, " ".join([f"rare{d % 5}", *(f"w{i}" for i in rng.sample(range(3000), 150))])) for d in range(100)]
+    rows += [(100 + d, rows[d][1] + " more") for d in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    written, sizes = L.written, {}
+
+    def seen(df, name, *more):
+        out = written(df, name, *more)
+        sizes[name] = max(sizes.get(name, 0), out.count())
+        return out
+    monkeypatch.setattr(L, "written", seen)
+    assert got(L.line_verdicts(docs)) == want(rows)
+    assert 3 <= sizes["pairs"] < 30
+
+
+def test_texts_are_split_once(spark, monkeypatch):
+    """Words were split to be counted, again for the sets, and again for each table of sets to compare."""
+    words, calls = L.words, []
+    monkeypatch.setattr(L, "words", lambda text: calls.append(1) or words(text))
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "f e d c b a g\nx"), (4, "y")]
+    assert got(L.line_verdicts(spark.createDataFrame(rows, "doc_id long, text string"))) == want(rows)
+    assert len(calls) == 1
