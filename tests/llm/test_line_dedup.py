@@ -137,3 +137,16 @@ def test_texts_are_split_once(spark, monkeypatch):
     rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "f e d c b a g\nx"), (4, "y")]
     assert got(L.line_verdicts(spark.createDataFrame(rows, "doc_id long, text string"))) == want(rows)
     assert len(calls) == 1
+
+
+def test_driver_keeps_short_plan_texts(spark):
+    """The text of a plan holds its literals: the rarity table stood in those of all executions that the driver kept."""
+    from tessera.session import PLAN_CHARS, PLAN_CONF
+    kept = spark.conf.get(PLAN_CONF, None)
+    out = L.written(spark.range(3).select("id", F.lit("x" * 500_000).alias("s")).where(F.length("s") > F.col("id")), "t")
+    assert out.count() == 3 and spark.conf.get(PLAN_CONF, None) == kept
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    executions = spark._jsparkSession.sharedState().statusStore().executionsList()
+    texts = [executions.apply(i).physicalPlanDescription() for i in range(max(0, executions.size() - 3), executions.size())]
+    assert any("InsertIntoHadoopFsRelationCommand" in x for x in texts)
+    assert all(len(x) <= int(PLAN_CHARS) + 200 for x in texts if "InsertIntoHadoopFsRelationCommand" in x)
