@@ -64,7 +64,7 @@ def test_rounds_leave_no_shuffle(spark, monkeypatch, method):
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64MB") != "16m"
 
 
-@pytest.mark.parametrize("query", ["sim_cosine_orders"])
+@pytest.mark.parametrize("query", ["sim_cosine_orders", "sim_spark_quantities"])
 def test_queries_leave_no_shuffle_before_the_result(spark, tmp_path, query):
     spark.createDataFrame([(o, o % 7) for o in range(60)], "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
     lines = [(o, (o * 5 + n * n) % 11, float(1 + (o + n) % 9)) for o in range(60) for n in range(4)]
